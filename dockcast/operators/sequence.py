@@ -30,6 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pyspark import StorageLevel
 
@@ -243,42 +244,63 @@ def _compose(first, second):
     return (a2 * a1, a2 * b1 + b2, lo, hi)
 
 
-def _apply_seq(x0: float, a, b, lo, hi) -> np.ndarray:
-    out = np.empty(len(a), dtype="float64")
-    x = x0
-    for i in range(len(a)):
-        if a[i] == 0.0:
-            y = b[i]
-        else:
-            y = a[i] * x + b[i]
-        if y != y:  # NaN: a null input stays null
-            x = y
-        else:
-            x = min(max(y, lo[i]), hi[i])
-        out[i] = x
-    return out
+def _group_starts(pdf: pd.DataFrame, cols: list[str], prev_key) -> np.ndarray:
+    """Boolean vector: row i starts a new group (vs row i-1 / the previous batch)."""
+    n = len(pdf)
+    starts = np.zeros(n, dtype=bool)
+    for c in cols:
+        v = pdf[c].to_numpy()
+        starts[1:] |= v[1:] != v[:-1]
+    if n:
+        starts[0] = prev_key is None or tuple(pdf[c].iloc[0] for c in cols) != prev_key
+    return starts
 
 
-_MAP_COLS = ["_sq_a", "_sq_b", "_sq_lo", "_sq_hi"]
+def _replay(df: DataFrame, group: list[str], order: list, out: str, start: str | None) -> DataFrame:
+    """Sequential replay of x = clamp(a·x_prev + b, lo, hi) within each group.
 
+    Rows are hash-partitioned by group and sorted by (group, order); one
+    Python call per Arrow batch walks the rows and carries (group, x) across
+    batches, so memory stays at one batch whatever the group size. The first
+    row of a group uses (_sq_a1, _sq_b1) and starts from ``start`` (or 0).
+    """
+    out_schema = T.StructType(df.schema.fields + [T.StructField(out, T.DoubleType(), True)])
 
-def _scan_rows(df: DataFrame, key: list[str], pos: str, start: str | None,
-               key_schema: str) -> DataFrame:
-    """Sequential replay per key (group bounded by the caller); returns
-    key, pos, _sq_x. ``start`` holds the carried-in value (or null)."""
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(pos)
-        x0 = pdf[start].iloc[0] if start else 0.0
-        x0 = 0.0 if x0 is None or (isinstance(x0, float) and np.isnan(x0)) else float(x0)
-        x = _apply_seq(x0, pdf["_sq_a"].to_numpy("float64"), pdf["_sq_b"].to_numpy("float64"),
-                       pdf["_sq_lo"].to_numpy("float64"), pdf["_sq_hi"].to_numpy("float64"))
-        res = pdf[key + [pos]].copy()
-        res["_sq_x"] = x
-        return res
-    cols = key + [pos] + _MAP_COLS + ([start] if start else [])
-    return (df.select(*cols)
-              .groupBy(*key)
-              .applyInPandas(replay, schema=f"{key_schema}, {pos} long, _sq_x double"))
+    def run(it):
+        prev_key, x = None, 0.0
+        for pdf in it:
+            n = len(pdf)
+            if n == 0:
+                continue
+            new = _group_starts(pdf, group, prev_key)
+            a = pdf["_sq_a"].to_numpy("float64")
+            b = pdf["_sq_b"].to_numpy("float64")
+            a1 = pdf["_sq_a1"].to_numpy("float64")
+            b1 = pdf["_sq_b1"].to_numpy("float64")
+            lo = pdf["_sq_lo"].to_numpy("float64")
+            hi = pdf["_sq_hi"].to_numpy("float64")
+            st = pdf[start].to_numpy("float64") if start else None
+            res = np.empty(n, dtype="float64")
+            for i in range(n):
+                if new[i]:
+                    x0 = st[i] if st is not None else 0.0
+                    x = 0.0 if x0 != x0 else x0
+                    ai, bi = a1[i], b1[i]
+                else:
+                    ai, bi = a[i], b[i]
+                y = bi if ai == 0.0 else ai * x + bi
+                x = y if y != y else min(max(y, lo[i]), hi[i])
+                res[i] = x
+            prev_key = tuple(pdf[c].iloc[n - 1] for c in group)
+            pdf[out] = res
+            yield pdf
+    ordered = [F.col(g).asc() for g in group] + _order_exprs(order, False)
+    return (df.repartition(*[F.col(g) for g in group])
+              .sortWithinPartitions(*ordered)
+              .mapInPandas(run, schema=out_schema))
+
+
+_MAP_COLS = ["_sq_a", "_sq_b", "_sq_lo", "_sq_hi"]
 
 
 def _compose_chunks(df: DataFrame, key: list[str], pos: str, chunk: str, key_schema: str) -> DataFrame:
@@ -299,44 +321,62 @@ def _compose_chunks(df: DataFrame, key: list[str], pos: str, chunk: str, key_sch
               .applyInPandas(comp, schema=f"{key_schema}, {chunk} long, _sq_a double, _sq_b double, _sq_lo double, _sq_hi double"))
 
 
-def _scan(df: DataFrame, key: list[str], pos: str, key_schema: str, cfg: SkewConfig, depth: int = 0) -> DataFrame:
-    """df: key, pos (1..n per key), map columns → key, pos, _sq_x."""
+def _scan(df: DataFrame, key: list[str], pos: str, cfg: SkewConfig, depth: int = 0) -> DataFrame:
+    """Chunked scan for long keys. df: key, pos (1..n per key), map
+    columns, with the first row's map already in place → key, pos, _sq_x.
+
+    Each chunk's maps are composed (groups of ``chunk_rows``), the chunk
+    table (n / chunk_rows rows per key) is scanned the same way — recursively
+    while it is still long — and every chunk is replayed from the value
+    carried in from the end of the previous chunk.
+    """
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_sq_n"))
+    key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in key)
     if row_count_at_most(counts.filter(F.col("_sq_n") > cfg.hot_rows), 0) or depth > 8:
-        return _scan_rows(df, key, pos, None, key_schema)
+        d = df.withColumn("_sq_a1", F.col("_sq_a")).withColumn("_sq_b1", F.col("_sq_b"))
+        return _replay(d, key, [pos], "_sq_x", None).select(*key, pos, "_sq_x")
     ch = f"_sq_c{depth}"
     c = cfg.chunk_rows
     d = df.withColumn(ch, F.floor((F.col(pos) - 1) / F.lit(c)).cast("long"))
     summary = _compose_chunks(d, key, pos, ch, key_schema).withColumn("_sq_p", F.col(ch) + 1)
-    ends = _scan(summary.drop(ch).withColumnRenamed("_sq_p", pos), key, pos, key_schema, cfg, depth + 1)
+    ends = _scan(summary.drop(ch).withColumnRenamed("_sq_p", pos), key, pos, cfg, depth + 1)
     carry = ends.select(*key, F.col(pos).alias(ch), F.col("_sq_x").alias("_sq_start"))
-    d = d.join(carry, key + [ch], "left")
-    # replay each (key, chunk) group, bounded by chunk_rows
-    return _scan_rows(d.withColumn("_sq_k", F.col(ch)), key + ["_sq_k"], pos, "_sq_start",
-                      f"{key_schema}, _sq_k long").drop("_sq_k")
+    d = (d.join(carry, key + [ch], "left")
+          .withColumn("_sq_a1", F.col("_sq_a")).withColumn("_sq_b1", F.col("_sq_b")))
+    # replay each (key, chunk), bounded by chunk_rows, from its carried-in value
+    return _replay(d, key + [ch], [pos], "_sq_x", "_sq_start").select(*key, pos, "_sq_x")
 
 
 def clamped_affine_scan(df: DataFrame, key, order, *, a: Column, b: Column,
                         a_first: Column, b_first: Column,
                         lo: float = float("-inf"), hi: float = float("inf"),
                         out: str = "x", cfg: SkewConfig = DEFAULT_SKEW) -> DataFrame:
-    """Per key, in ``order``: x_1 = clamp(a_first·0 + b_first) (the first
-    row's map should not depend on the previous value, so pass a_first=0),
-    x_n = clamp(a_n·x_{n-1} + b_n, lo, hi). A null b yields null from there.
+    """Per key, in ``order``: x_1 = clamp(a_first·0 + b_first, lo, hi) (pass
+    a_first = 0: the first row does not depend on a previous value),
+    x_n = clamp(a_n·x_{n-1} + b_n, lo, hi). A null b yields null from there
+    on (until a row whose a is 0).
 
-    Positions come from the skew-safe numbering; the replay runs in groups of
-    at most ``hot_rows`` (unsplit keys) or ``chunk_rows`` rows.
+    Keys up to ``hot_rows`` rows are replayed in one streaming pass over
+    key-partitioned sorted rows; longer keys go through the chunked scan.
     """
     key, order = _as_list(key), _as_list(order)
-    key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in key)
-    p = position(df, key, order, out="_sq_pos", cfg=cfg)
-    first = F.col("_sq_pos") == 1
-    m = p.select("*",
-                 F.when(first, a_first).otherwise(a).cast("double").alias("_sq_a"),
-                 F.when(first, b_first).otherwise(b).cast("double").alias("_sq_b"),
-                 F.lit(lo).cast("double").alias("_sq_lo"),
-                 F.lit(hi).cast("double").alias("_sq_hi"))
-    xs = _scan(m.select(*key, "_sq_pos", *_MAP_COLS), key, "_sq_pos", key_schema, cfg)
-    return (p.join(xs, key + ["_sq_pos"])
-             .withColumn(out, F.when(F.isnan("_sq_x"), F.lit(None)).otherwise(F.col("_sq_x")))
-             .drop("_sq_x", "_sq_pos"))
+    cold, hot = split_hot_keys(df, key, cfg)
+    maps = [a.cast("double").alias("_sq_a"), b.cast("double").alias("_sq_b"),
+            a_first.cast("double").alias("_sq_a1"), b_first.cast("double").alias("_sq_b1"),
+            F.lit(lo).cast("double").alias("_sq_lo"), F.lit(hi).cast("double").alias("_sq_hi")]
+    helper = ["_sq_a", "_sq_b", "_sq_a1", "_sq_b1", "_sq_lo", "_sq_hi"]
+    parts = []
+    if cold is not None:
+        r = _replay(cold.select("*", *maps), key, order, "_sq_x", None)
+        parts.append(r.drop(*helper))
+    if hot is not None:
+        p = global_position(hot, key, order, out="_sq_pos", small_key_count=cold is not None, cfg=cfg)
+        first = F.col("_sq_pos") == 1
+        m = p.select("*", *maps)
+        m = (m.withColumn("_sq_a", F.when(first, F.col("_sq_a1")).otherwise(F.col("_sq_a")))
+              .withColumn("_sq_b", F.when(first, F.col("_sq_b1")).otherwise(F.col("_sq_b"))))
+        xs = _scan(m.select(*key, "_sq_pos", *_MAP_COLS), key, "_sq_pos", cfg)
+        parts.append(p.join(xs, key + ["_sq_pos"]).drop("_sq_pos"))
+    return (_union(parts)
+            .withColumn(out, F.when(F.isnan("_sq_x"), F.lit(None)).otherwise(F.col("_sq_x")))
+            .drop("_sq_x"))
