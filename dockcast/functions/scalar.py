@@ -117,8 +117,10 @@ def percent_text(x, digits: int = 0) -> Column:
     """Fraction → ``'42%'`` text as shown in the station view."""
     c = col(x)
     if digits == 0:
-        return F.format_string("%d%%", F.round(c * 100).cast("long"))
-    return F.format_string(f"%.{digits}f%%", c * 100)
+        txt = F.format_string("%d%%", F.round(c * 100).cast("long"))
+    else:
+        txt = F.format_string(f"%.{digits}f%%", c * 100)
+    return F.when(c.isNotNull(), txt)
 
 
 def reconstruct_fill(pct, change, mode: str = "serving") -> Column:

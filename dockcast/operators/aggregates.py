@@ -137,3 +137,22 @@ def latest_rows(df: DataFrame, ts: str | Column, unit: str | None = None) -> Dat
 
 def unique_count(df: DataFrame, column: str, out: str = "n") -> DataFrame:
     return df.agg(F.count_distinct(col(column)).alias(out))
+
+
+# Multiplicative hashing constant (Knuth) and 32-bit range.
+HASH_MULT = 2654435761
+HASH_RANGE = 1 << 32
+
+
+def hash_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
+    """Deterministic sample: keep rows whose integer key hashes below
+    ``fraction`` of the 32-bit range (same rows on every run and engine;
+    ``df.sample(fraction, seed)`` is the random form)."""
+    h = (col(key).cast("long") * F.lit(HASH_MULT)) % F.lit(HASH_RANGE)
+    return df.filter(h < F.lit(int(fraction * HASH_RANGE)))
+
+
+def overview(df: DataFrame, key: str, ts: str) -> DataFrame:
+    """Distinct stations, newest snapshot time, row count (one row)."""
+    return df.agg(F.count_distinct(col(key)).alias("n_stations"), F.max(col(ts)).alias("latest"),
+                  F.count(F.lit(1)).alias("n_rows"))

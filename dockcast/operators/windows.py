@@ -106,10 +106,27 @@ def series_position(df: DataFrame, key, order, out: str = "position", cfg=sq.DEF
     return sq.position(df, key, order, out=out, cfg=cfg)
 
 
-def time_rolling_mean(df: DataFrame, key, ts: str, value, seconds: int, out: str) -> DataFrame:
-    """Time-based twin of the rolling mean: rows within the last ``seconds``
-    (a RANGE frame on epoch seconds), for irregular snapshot spacing."""
-    t = F.unix_micros(col(ts).cast("timestamp")) / F.lit(1_000_000)
-    w = (Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy(t)
-         .rangeBetween(-(seconds - 1), 0))
-    return df.withColumn(out, F.avg(col(value)).over(w))
+def time_rolling_mean(df: DataFrame, key, ts: str, value, seconds: int, out: str, *,
+                      chunk_seconds: int = 86_400) -> DataFrame:
+    """Time-based twin of the rolling mean: mean of the rows of the same key
+    with ts − ``seconds`` ≤ t ≤ ts (a RANGE frame, for irregular spacing).
+
+    A plain RANGE window puts a whole key in one task, so the series is cut
+    into ``chunk_seconds`` time chunks: rows in the last ``seconds`` of a
+    chunk are copied into the next chunk as halo, and the window runs per
+    (key, chunk) — exact, since no frame reaches back further than one chunk.
+    """
+    if seconds > chunk_seconds:
+        raise ValueError("chunk_seconds must cover the frame")
+    keys = [key] if isinstance(key, str) else list(key)
+    us = F.unix_micros(col(ts).cast("timestamp"))
+    width, span = seconds * 1_000_000, chunk_seconds * 1_000_000
+    d = df.withColumn("_tr_us", us).withColumn("_tr_c", F.floor(F.col("_tr_us") / F.lit(span)).cast("long"))
+    nxt = F.when(F.col("_tr_us") >= (F.col("_tr_c") + 1) * F.lit(span) - F.lit(width),
+                 F.struct((F.col("_tr_c") + 1).alias("c"), F.lit(True).alias("h")))
+    home = F.struct(F.col("_tr_c").alias("c"), F.lit(False).alias("h"))
+    d = (d.withColumn("_tr_t", F.explode(F.filter(F.array(home, nxt), lambda x: x.isNotNull())))
+          .withColumn("_tr_c", F.col("_tr_t.c")).withColumn("_tr_h", F.col("_tr_t.h")).drop("_tr_t"))
+    w = Window.partitionBy(*keys, "_tr_c").orderBy("_tr_us").rangeBetween(-width, 0)
+    return (d.withColumn(out, F.avg(col(value)).over(w))
+             .filter(~F.col("_tr_h")).drop("_tr_us", "_tr_c", "_tr_h"))

@@ -359,6 +359,137 @@ def q_stream_occupancy_window(spark, sf_dir):
         KEY, "w", F.round("v", 6).alias("v"))
 
 
+# --------------------------------------------------------------------------
+# more filters, joins, aggregates, sinks and composites
+# --------------------------------------------------------------------------
+
+AS_OF_EVENTS = "2024-01-30 12:00:00"
+AS_OF_ORDERS = "1998-01-01 00:00:00"
+
+
+def q_filter_ids(spark, sf_dir):
+    """Requested stations given as a table (semi join, not a literal list)."""
+    o = _t(spark, sf_dir, "orders")
+    ids = _t(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey")
+    return joins.filter_ids(o, "o_custkey", ids).select("o_orderkey")
+
+
+def q_validate_ids(spark, sf_dir):
+    """Requested ids that are not known (a valid request returns nothing)."""
+    req = _t(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("id"))
+    known = _t(spark, sf_dir, "part").filter(F.col("p_size") <= 25).select(F.col("p_partkey").alias("id"))
+    return joins.validate_ids(req, known, "id")
+
+
+def q_drop_na_features(spark, sf_dir):
+    f = features(spark, sf_dir).dropna(subset=["pct", "lag3", "fwd3"])
+    return f.select("event_id")
+
+
+def q_filter_fresh(spark, sf_dir):
+    e = _t(spark, sf_dir, "events")
+    return serve.filter_fresh(e, "ts", AS_OF_EVENTS, minutes=300).select("event_id")
+
+
+def q_needs_refresh(spark, sf_dir):
+    return serve.needs_refresh(_t(spark, sf_dir, "events"), "ts", "2024-01-30 23:59:00", 5, "stale")
+
+
+def q_display_view(spark, sf_dir):
+    m = observations(spark, sf_dir).groupBy(KEY).agg(F.avg("pct").alias("fill"))
+    return serve.display_view(m, {"user_id": "user_id", "fill_pct": "fill"}, percent=["fill"])
+
+
+def q_join_status_station(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("id"))
+    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_name")
+    return joins.lookup_join(o, c, "id", how="inner").select("o_orderkey", "c_name")
+
+
+def q_anti_stale_forecasts(spark, sf_dir):
+    """Customers (requested stations) without an order (forecast) fresher
+    than a year before the as-of time."""
+    req = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("station_id"))
+    fc = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("station_id"), F.col("o_orderdate").alias("run_ts"))
+    return serve.stale_ids(req, fc, "station_id", "run_ts", AS_OF_ORDERS, minutes=525_600)
+
+
+def q_dedupe_weather(spark, sf_dir):
+    """One reading per (zone, hour): the first of the hour."""
+    e = _t(spark, sf_dir, "events").select("event_type", fx.hour_floor("ts").alias("h"), "ts", "event_id", "value")
+    d = clean.dedupe_first(e, ["event_type", "h"], ["ts", "event_id"])
+    return d.select("event_type", "h", "value")
+
+
+def q_distinct_values(spark, sf_dir):
+    return agg.distinct_values(_t(spark, sf_dir, "orders"), "o_orderstatus").withColumnRenamed("o_orderstatus", "s")
+
+
+def q_unique_ids(spark, sf_dir):
+    return agg.overview(_t(spark, sf_dir, "events"), KEY, TS)
+
+
+def q_avg_fill(spark, sf_dir):
+    w = serve.pivot_horizons(_t(spark, sf_dir, "events"), KEY, "event_type", "value", ["click", "view"],
+                             digits=None)
+    return w.select(KEY, F.round(serve.avg_fill("click", "view"), 6).alias("avg_fill"))
+
+
+def q_group_size(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return clean.group_size(li, ["l_orderkey", "l_linenumber"], "n")
+
+
+def q_time_rolling_mean(spark, sf_dir):
+    e = _t(spark, sf_dir, "events")
+    r = windows.time_rolling_mean(e, KEY, TS, "value", 7200, "m")
+    return r.select("event_id", F.round("m", 6).alias("m"))
+
+
+def q_sample_rows(spark, sf_dir):
+    return agg.hash_sample(_t(spark, sf_dir, "events"), "event_id", 0.05).select("event_id")
+
+
+def q_limit_ids(spark, sf_dir):
+    return serve.top_k(_t(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", 100)
+
+
+def q_union_by_name(spark, sf_dir):
+    """History files with drifting columns stacked by name (missing → null)."""
+    a = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("okey"), "o_totalprice")
+    b = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("okey"), "l_quantity")
+    return setops.union_by_name(a, b)
+
+
+def q_out_json(spark, sf_dir):
+    c = _t(spark, sf_dir, "events").groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
+    return serve.to_json_rows(c.select(KEY, "n"), "json")
+
+
+def q_ridge_fit_station(spark, sf_dir):
+    per = model.ridge_fit_per_key(_training(spark, sf_dir), KEY, ["pct"], "y", alpha=RIDGE_ALPHA)
+    return per.select(KEY, F.round("w_pct", 6).alias("w"), F.round("intercept", 6).alias("b"))
+
+
+def q_training_features(spark, sf_dir):
+    """Composite: occupancy → calendar parts → lag, 12-row mean and 3-row
+    target in one window pass → zone weather of the hour with its next-hour
+    value → rows with lag, mean and target present."""
+    o = observations(spark, sf_dir)
+    for name, c in fx.time_features("ts").items():
+        o = o.withColumn(name, c)
+    spec = (windows.FrameSpec().lag("lag3", "pct", 3).rolling_mean("m12", "pct", 12).lead("fwd3", "pct", 3))
+    f = spec.apply(o, KEY, ORDER)
+    wx = windows.lead_columns(hourly_weather(spark, sf_dir), "event_type", ["h"], {"v_fwd": "v"})
+    j = joins.join_weather_hour(f, wx, zone="event_type", ts="ts", weather_zone="event_type", weather_hour="h",
+                                columns=["v", "v_fwd"])
+    j = j.dropna(subset=["lag3", "m12", "fwd3"])
+    return j.select("event_id", F.round("pct", 6).alias("pct_full"), "month", "day_of_week", "hour",
+                    F.round("lag3", 6).alias("lag3"), F.round("m12", 6).alias("m12"),
+                    F.round("v", 6).alias("wx"), F.round("v_fwd", 6).alias("wx_fwd"),
+                    F.round(F.col("pct") - F.col("fwd3"), 6).alias("chg"))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
@@ -419,3 +550,26 @@ ORACLE_SQL: dict[str, str] = {
     "recursive_forecast": "with recursive " + _OBS[5:] + ", s as (select user_id, event_id, pct, row_number() over (partition by user_id order by ts, event_id) rn from obs), r as (select user_id,event_id,rn,greatest(0,pct*0.9-0.02) p from s where rn=1 union all select s.user_id,s.event_id,s.rn,greatest(0,r.p*0.9-0.02+0.05*(s.event_id%2)) from r join s on s.user_id=r.user_id and s.rn=r.rn+1) select event_id, round(p,6) p from r",
     "stream_occupancy_window": "select user_id, w, round(avg(value),6) v from (select user_id, value, unnest(generate_series(time_bucket(interval 10 minute, ts)-interval 110 minute, time_bucket(interval 10 minute, ts), interval 10 minute)) w from events) group by all",
 }
+
+ORACLE_SQL.update({
+    "filter_ids": "select o_orderkey from orders where o_custkey in (select c_custkey from customer where c_mktsegment='BUILDING')",
+    "validate_ids": "select distinct l_partkey id from lineitem anti join (select p_partkey from part where p_size<=25) k on l_partkey=k.p_partkey",
+    "drop_na_features": _F + " select event_id from f where pct is not null and lag3 is not null and fwd3 is not null",
+    "filter_fresh": "select event_id from events where ts > timestamp '2024-01-30 12:00:00' - interval 300 minute",
+    "needs_refresh": "select coalesce(max(ts) <= timestamp '2024-01-30 23:59:00' - interval 5 minute, true) stale from events",
+    "display_view": _OBS + " select user_id, printf('%d%%', cast(round(avg(pct)*100) as bigint)) fill_pct from obs group by 1",
+    "join_status_station": "select o_orderkey, c_name from orders join customer on o_custkey=c_custkey",
+    "anti_stale_forecasts": "select distinct c_custkey station_id from customer anti join (select o_custkey from orders where o_orderdate > timestamp '1998-01-01' - interval 525600 minute) f on c_custkey=f.o_custkey",
+    "dedupe_weather": "select event_type, h, value from (select event_type, date_trunc('hour',ts) h, value, row_number() over (partition by event_type, date_trunc('hour',ts) order by ts, event_id) rn from events) where rn=1",
+    "distinct_values": "select distinct o_orderstatus s from orders",
+    "unique_ids": "select count(distinct user_id) n_stations, max(ts) latest, count(*) n_rows from events",
+    "avg_fill": "select user_id, round((avg(value) filter (event_type='click') + avg(value) filter (event_type='view'))/2,6) avg_fill from events group by 1",
+    "group_size": "select l_orderkey, l_linenumber, l_partkey, count(*) over (partition by l_orderkey,l_linenumber) n from lineitem",
+    "time_rolling_mean": "select event_id, round(avg(value) over (partition by user_id order by ts range between interval 7200 second preceding and current row),6) m from events",
+    "sample_rows": "select event_id from events where (event_id*2654435761) % 4294967296 < 214748364",
+    "limit_ids": "select c_custkey from customer order by c_custkey limit 100",
+    "union_by_name": "select o_orderkey okey, o_totalprice from orders union all by name select l_orderkey okey, l_quantity from lineitem",
+    "out_json": "select to_json({'user_id': user_id, 'n': count(*)}) json from events group by user_id",
+    "ridge_fit_station": _F + " select user_id, round(w,6) w, round(my-w*mx,6) b from (select user_id, regr_sxy(pct-fwd3,pct)/(regr_sxx(pct-fwd3,pct)+1) w, avg(pct-fwd3) my, avg(pct) mx from f where fwd3 is not null and pct is not null group by user_id)",
+    "training_features": _OBS + ", wx0 as (select event_type, date_trunc('hour',ts) h, avg(value) v from events group by all), wx as (select *, lead(v) over (partition by event_type order by h) v_fwd from wx0), f as (select o.*, lag(pct,3) over w lag3, case when count(pct) over w12 = 12 then avg(pct) over w12 end m12, lead(pct,3) over w fwd3 from obs o window w as (partition by user_id order by ts, event_id), w12 as (partition by user_id order by ts, event_id rows between 11 preceding and current row)) select f.event_id, round(f.pct,6) pct_full, month(f.ts) \"month\", isodow(f.ts)-1 day_of_week, hour(f.ts) \"hour\", round(lag3,6) lag3, round(m12,6) m12, round(wx.v,6) wx, round(wx.v_fwd,6) wx_fwd, round(f.pct-fwd3,6) chg from f left join wx on wx.event_type=f.event_type and wx.h=date_trunc('hour', f.ts) where lag3 is not null and m12 is not null and fwd3 is not null",
+})
