@@ -188,7 +188,7 @@ def split_label(ts: str | Column, split, train: str = "train", test: str = "test
 
 def recursive_forecast(df: DataFrame, key, order, *, step_slope: Column, step_offset: Column,
                        first_value: Column, floor: float | None = 0.0, out: str = "forecast",
-                       cfg: sq.SkewConfig = sq.DEFAULT_SKEW) -> DataFrame:
+                       cfg: sq.SkewConfig | None = None) -> DataFrame:
     """Multi-step forecast that feeds its own output back, per station in
     time order: p_1 = max(floor, first_value), p_n = max(floor, slope_n·p_{n-1}
     + offset_n). A linear model whose features include the previous fill is

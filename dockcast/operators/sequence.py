@@ -24,6 +24,7 @@ so the numbering is deterministic on recomputation.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,6 +47,23 @@ class SkewConfig:
 
 
 DEFAULT_SKEW = SkewConfig()
+_ACTIVE: list[SkewConfig] = [DEFAULT_SKEW]
+
+
+def current_skew(cfg: SkewConfig | None = None) -> SkewConfig:
+    """The explicit config, else the innermost ``skew_config`` block's."""
+    return cfg if cfg is not None else _ACTIVE[-1]
+
+
+@contextmanager
+def skew_config(cfg: SkewConfig):
+    """Run the enclosed plan construction with another skew config (tests
+    use tiny thresholds to push every key through the split path)."""
+    _ACTIVE.append(cfg)
+    try:
+        yield cfg
+    finally:
+        _ACTIVE.pop()
 
 _RANK, _PID, _LRN, _CHUNK, _HALO = "_sq_rank", "_sq_pid", "_sq_lrn", "_sq_chunk", "_sq_halo"
 
@@ -64,13 +82,14 @@ def _order_exprs(order: Sequence, descending: bool) -> list[Column]:
     return out
 
 
-def split_hot_keys(df: DataFrame, key: Sequence[str], cfg: SkewConfig = DEFAULT_SKEW
+def split_hot_keys(df: DataFrame, key: Sequence[str], cfg: SkewConfig | None = None
                    ) -> tuple[DataFrame | None, DataFrame | None]:
     """(cold rows, hot rows); either may be None when empty.
 
     The count per key is a partial (map-side) aggregate over the key columns
     only, so a hot key costs one partial row per map task.
     """
+    cfg = current_skew(cfg)
     key = list(key)
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_sq_n"))
     hot = counts.filter(F.col("_sq_n") > F.lit(cfg.hot_rows)).select(*key)
@@ -84,7 +103,7 @@ def split_hot_keys(df: DataFrame, key: Sequence[str], cfg: SkewConfig = DEFAULT_
 
 def global_position(df: DataFrame, key: Sequence[str], order: Sequence, *,
                     descending: bool = False, out: str = _RANK,
-                    small_key_count: bool = True, cfg: SkewConfig = DEFAULT_SKEW) -> DataFrame:
+                    small_key_count: bool = True, cfg: SkewConfig | None = None) -> DataFrame:
     """1-based position of each row within its key, without a per-key task.
 
     Range partitioning on (key, order) splits a long key over many
@@ -98,6 +117,7 @@ def global_position(df: DataFrame, key: Sequence[str], order: Sequence, *,
     range exchange, hence the same partition contents) or, with
     ``cfg.materialize == 'checkpoint'``, written to the checkpoint folder.
     """
+    cfg = current_skew(cfg)
     key = list(key)
     n = shuffle_partitions(df.sparkSession)
     ordered = [F.col(k).asc() for k in key] + _order_exprs(order, descending)
@@ -124,7 +144,7 @@ def _chunked(df: DataFrame, chunk_rows: int) -> DataFrame:
 def row_frames(df: DataFrame, key: Sequence[str] | str, order: Sequence | str,
                build: Callable[[Window], dict[str, Column]], *,
                preceding: int = 0, following: int = 0,
-               cfg: SkewConfig = DEFAULT_SKEW) -> DataFrame:
+               cfg: SkewConfig | None = None) -> DataFrame:
     """Add window columns whose frames stay within ``preceding`` rows before
     and ``following`` rows after the current row of the same key.
 
@@ -133,6 +153,7 @@ def row_frames(df: DataFrame, key: Sequence[str] | str, order: Sequence | str,
     (lag/lead) and ``w.rowsBetween(-p, f)`` frames with p ≤ preceding and
     f ≤ following are allowed; unbounded frames are not.
     """
+    cfg = current_skew(cfg)
     key, order = _as_list(key), _as_list(order)
     cold, hot = split_hot_keys(df, key, cfg)
     parts = []
@@ -168,8 +189,9 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def position(df: DataFrame, key, order, out: str = "position", *, descending: bool = False,
-             cfg: SkewConfig = DEFAULT_SKEW) -> DataFrame:
+             cfg: SkewConfig | None = None) -> DataFrame:
     """1-based row position per key (``row_number``), skew-safe."""
+    cfg = current_skew(cfg)
     key, order = _as_list(key), _as_list(order)
     cold, hot = split_hot_keys(df, key, cfg)
     parts = []
@@ -183,12 +205,13 @@ def position(df: DataFrame, key, order, out: str = "position", *, descending: bo
 
 
 def carry_forward(df: DataFrame, key, order, value: str | Column, out: str, *,
-                  cfg: SkewConfig = DEFAULT_SKEW) -> DataFrame:
+                  cfg: SkewConfig | None = None) -> DataFrame:
     """Last non-null ``value`` at or before each row of the key (forward fill).
 
     Split path: a two-level scan — last non-null per chunk, carried across
     chunks by a window over the (rows / chunk_rows)-sized chunk table.
     """
+    cfg = current_skew(cfg)
     key, order = _as_list(key), _as_list(order)
     v = F.col(value) if isinstance(value, str) else value
     cold, hot = split_hot_keys(df, key, cfg)
@@ -330,6 +353,7 @@ def _scan(df: DataFrame, key: list[str], pos: str, cfg: SkewConfig, depth: int =
     while it is still long — and every chunk is replayed from the value
     carried in from the end of the previous chunk.
     """
+    cfg = current_skew(cfg)
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_sq_n"))
     key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in key)
     if row_count_at_most(counts.filter(F.col("_sq_n") > cfg.hot_rows), 0) or depth > 8:
@@ -350,7 +374,7 @@ def _scan(df: DataFrame, key: list[str], pos: str, cfg: SkewConfig, depth: int =
 def clamped_affine_scan(df: DataFrame, key, order, *, a: Column, b: Column,
                         a_first: Column, b_first: Column,
                         lo: float = float("-inf"), hi: float = float("inf"),
-                        out: str = "x", cfg: SkewConfig = DEFAULT_SKEW) -> DataFrame:
+                        out: str = "x", cfg: SkewConfig | None = None) -> DataFrame:
     """Per key, in ``order``: x_1 = clamp(a_first·0 + b_first, lo, hi) (pass
     a_first = 0: the first row does not depend on a previous value),
     x_n = clamp(a_n·x_{n-1} + b_n, lo, hi). A null b yields null from there
@@ -359,6 +383,7 @@ def clamped_affine_scan(df: DataFrame, key, order, *, a: Column, b: Column,
     Keys up to ``hot_rows`` rows are replayed in one streaming pass over
     key-partitioned sorted rows; longer keys go through the chunked scan.
     """
+    cfg = current_skew(cfg)
     key, order = _as_list(key), _as_list(order)
     cold, hot = split_hot_keys(df, key, cfg)
     maps = [a.cast("double").alias("_sq_a"), b.cast("double").alias("_sq_b"),

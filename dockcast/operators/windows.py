@@ -54,27 +54,27 @@ class FrameSpec:
         self.following = max(self.following, following)
         return self
 
-    def apply(self, df: DataFrame, key, order, cfg: sq.SkewConfig = sq.DEFAULT_SKEW) -> DataFrame:
+    def apply(self, df: DataFrame, key, order, cfg: sq.SkewConfig | None = None) -> DataFrame:
         items = list(self._items)
         return sq.row_frames(df, key, order, lambda w: {o: f(w) for o, f in items},
                              preceding=self.preceding, following=self.following, cfg=cfg)
 
 
-def lag_rows(df, key, order, value, n: int, out: str, cfg=sq.DEFAULT_SKEW) -> DataFrame:
+def lag_rows(df, key, order, value, n: int, out: str, cfg=None) -> DataFrame:
     return FrameSpec().lag(out, value, n).apply(df, key, order, cfg)
 
 
-def lead_rows(df, key, order, value, n: int, out: str, cfg=sq.DEFAULT_SKEW) -> DataFrame:
+def lead_rows(df, key, order, value, n: int, out: str, cfg=None) -> DataFrame:
     return FrameSpec().lead(out, value, n).apply(df, key, order, cfg)
 
 
 def rolling_mean(df, key, order, value, rows: int, out: str, min_periods: int | None = None,
-                 cfg=sq.DEFAULT_SKEW) -> DataFrame:
+                 cfg=None) -> DataFrame:
     return FrameSpec().rolling_mean(out, value, rows, min_periods).apply(df, key, order, cfg)
 
 
 def lead_columns(df: DataFrame, key, order, columns: dict[str, str], n: int = 1,
-                 cfg=sq.DEFAULT_SKEW) -> DataFrame:
+                 cfg=None) -> DataFrame:
     """Next-row values of several columns (weather: the next hour's reading)."""
     spec = FrameSpec()
     for out, c in columns.items():
@@ -83,26 +83,26 @@ def lead_columns(df: DataFrame, key, order, columns: dict[str, str], n: int = 1,
 
 
 def target_change(df: DataFrame, key, order, value: str, n: int = 3, fwd: str = "fwd",
-                  change: str = "change", cfg=sq.DEFAULT_SKEW) -> DataFrame:
+                  change: str = "change", cfg=None) -> DataFrame:
     """Value ``n`` rows ahead and the relative change value − ahead (the
     training target's sign convention)."""
     out = lead_rows(df, key, order, value, n, fwd, cfg)
     return out.withColumn(change, col(value) - F.col(fwd))
 
 
-def forward_fill(df: DataFrame, key, order, value: str | Column, out: str, cfg=sq.DEFAULT_SKEW) -> DataFrame:
+def forward_fill(df: DataFrame, key, order, value: str | Column, out: str, cfg=None) -> DataFrame:
     """Carry the last non-null value forward within each key (never across
     keys)."""
     return sq.carry_forward(df, key, order, value, out, cfg=cfg)
 
 
-def tail_n(df: DataFrame, key, order, n: int, cfg=sq.DEFAULT_SKEW) -> DataFrame:
+def tail_n(df: DataFrame, key, order, n: int, cfg=None) -> DataFrame:
     """Last ``n`` rows of each key by ``order``."""
     p = sq.position(df, key, order, out="_tail_pos", descending=True, cfg=cfg)
     return p.filter(F.col("_tail_pos") <= n).drop("_tail_pos")
 
 
-def series_position(df: DataFrame, key, order, out: str = "position", cfg=sq.DEFAULT_SKEW) -> DataFrame:
+def series_position(df: DataFrame, key, order, out: str = "position", cfg=None) -> DataFrame:
     return sq.position(df, key, order, out=out, cfg=cfg)
 
 

@@ -25,7 +25,7 @@ LAG_COL, ROLL_COL = "30m_blag_pct_full", "120m_avg_pct_full"
 TARGET_COL, TARGET_CHANGE = "30m_fwd_pct_full", "30m_fwd_pct_full_rel_change"
 
 
-def weather_features(weather: DataFrame, cfg: sq.SkewConfig = sq.DEFAULT_SKEW) -> DataFrame:
+def weather_features(weather: DataFrame, cfg: sq.SkewConfig | None = None) -> DataFrame:
     """One reading per (datetime, zone), then next-hour apparent temperature
     and precipitation per zone."""
     w = clean.dedupe_first(weather, ["datetime", "zone"], [c for c in weather.columns if c not in ("datetime", "zone")])
@@ -50,7 +50,7 @@ def _zoned(obs: DataFrame, stations: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def training_inputs(snapshots: DataFrame, stations: DataFrame, zones: DataFrame, weather: DataFrame, *,
-                    start, end, station_ids=None, cfg: sq.SkewConfig = sq.DEFAULT_SKEW) -> DataFrame:
+                    start, end, station_ids=None, cfg: sq.SkewConfig | None = None) -> DataFrame:
     """All snapshots with start ≤ extraction_ts < end (partition-pruned),
     optionally some stations only, with zone and hourly weather."""
     s = readers.scan_time_range(snapshots, "extraction_ts", start, end)
@@ -62,7 +62,7 @@ def training_inputs(snapshots: DataFrame, stations: DataFrame, zones: DataFrame,
 
 def prediction_inputs(status: DataFrame, snapshots: DataFrame, stations: DataFrame, zones: DataFrame,
                       weather_latest: DataFrame, *, history_minutes: int = 120, station_ids=None,
-                      cfg: sq.SkewConfig = sq.DEFAULT_SKEW) -> DataFrame:
+                      cfg: sq.SkewConfig | None = None) -> DataFrame:
     """Latest status of each station plus its snapshots of the preceding
     ``history_minutes`` (enough rows for the lag and rolling mean), with
     zone and the latest weather report."""
@@ -82,7 +82,7 @@ def prediction_inputs(status: DataFrame, snapshots: DataFrame, stations: DataFra
 
 
 def feature_matrix(inputs: DataFrame, *, with_target: bool = False,
-                   cfg: sq.SkewConfig = sq.DEFAULT_SKEW) -> DataFrame:
+                   cfg: sq.SkewConfig | None = None) -> DataFrame:
     """Occupancy, month / day of week (Mon=0) / hour, 3-row lag and 12-row
     mean of the fill per station (and the 3-row-ahead target), one pass."""
     f = inputs.withColumn("pct_full", occupancy_ratio("full", "empty"))
@@ -98,7 +98,7 @@ def feature_matrix(inputs: DataFrame, *, with_target: bool = False,
     return f
 
 
-def prediction_features(inputs: DataFrame, cfg: sq.SkewConfig = sq.DEFAULT_SKEW) -> DataFrame:
+def prediction_features(inputs: DataFrame, cfg: sq.SkewConfig | None = None) -> DataFrame:
     """Rows at the newest extraction time with every model input present,
     in the feature schema (stations with a gap are dropped here)."""
     f = feature_matrix(inputs, cfg=cfg)
@@ -107,7 +107,7 @@ def prediction_features(inputs: DataFrame, cfg: sq.SkewConfig = sq.DEFAULT_SKEW)
     return project_features(f)
 
 
-def training_features(inputs: DataFrame, cfg: sq.SkewConfig = sq.DEFAULT_SKEW) -> DataFrame:
+def training_features(inputs: DataFrame, cfg: sq.SkewConfig | None = None) -> DataFrame:
     """Every row with features and the target; rows lacking lag, mean or
     target are dropped (the training-set rule)."""
     f = feature_matrix(inputs, with_target=True, cfg=cfg)
@@ -135,7 +135,7 @@ def drop_stations_with_gaps(features: DataFrame, column: str = "pct_full") -> Da
 
 
 def forward_fill_features(features: DataFrame, columns: Sequence[str],
-                          cfg: sq.SkewConfig = sq.DEFAULT_SKEW) -> DataFrame:
+                          cfg: sq.SkewConfig | None = None) -> DataFrame:
     """Fill gaps with the station's own last value (never another station's)."""
     out = features
     for c in columns:

@@ -102,7 +102,7 @@ def run_ts_from_path(pattern: str = r"(\d{4}-\d{2}-\d{2}_\d{2}:\d{2}:\d{2})") ->
 
 
 def hourly_landing(df: DataFrame, key: str, order: Sequence[str], value: str, *, start: str,
-                   chunk_hours: int = 24 * 7, cfg: sq.SkewConfig = sq.DEFAULT_SKEW) -> DataFrame:
+                   chunk_hours: int = 24 * 7, cfg: sq.SkewConfig | None = None) -> DataFrame:
     """Build landing rows in the weather-response layout from a table: per
     key, consecutive values as hourly arrays beginning at ``start``.
     Arrays are cut every ``chunk_hours`` positions so no group is unbounded.

@@ -35,3 +35,20 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert 0 < len(rows) <= 10
     assert df.columns == ["user_id", "pct_full", "lag_30m", "avg_120m"]
+
+
+SEQUENCE_QUERIES = ["lag_occupancy", "rolling_mean", "target_lead", "ffill", "tail_n", "lead_weather",
+                    "null_profile", "union_horizons", "explode_hourly", "ridge_fit", "forecast_rows", "r2",
+                    "recursive_forecast", "flagship_shortage", "training_features", "drop_na_features",
+                    "ridge_fit_station", "describe"]
+
+
+def test_split_path_matches_oracle(spark):
+    """The same queries with every station forced through the hot-key
+    (range-numbered, chunked) path must give identical results."""
+    import oracle_check
+    from dockcast.operators import sequence as sq
+    with sq.skew_config(sq.SkewConfig(hot_rows=8, chunk_rows=16, max_hot_keys=1_000_000)):
+        res = oracle_check.compare(spark, SF01, SEQUENCE_QUERIES)
+    bad = {k: why for k, (ok, why) in res.items() if not ok}
+    assert not bad, bad

@@ -85,3 +85,32 @@ def test_affine_scan_matches_python_loop(events):
     for k, v in want.items():
         assert math.isclose(got_a[k], v, abs_tol=1e-12)
         assert math.isclose(got_b[k], v, abs_tol=1e-12)
+
+
+def test_affine_scan_multilevel_recursion(events):
+    """hot_rows=2, chunk_rows=4: ~67-row keys → 17 chunks → 5 → 2, three levels."""
+    deep = sq.SkewConfig(hot_rows=2, chunk_rows=4, max_hot_keys=10_000)
+    kw = dict(a=F.lit(0.9), b=F.lit(-0.02) + F.lit(0.05) * (F.col("event_id") % 2),
+              a_first=F.lit(0.0), b_first=F.col("value") / 100 * 0.9 - 0.02, lo=0.0)
+    small = events.filter(F.col("user_id") < 6)
+    a = dict(_rows(sq.clamped_affine_scan(small, "user_id", ["ts", "event_id"], out="p", cfg=deep, **kw), ["event_id", "p"]))
+    b = dict(_rows(sq.clamped_affine_scan(small, "user_id", ["ts", "event_id"], out="p", cfg=PLAIN, **kw), ["event_id", "p"]))
+    assert a.keys() == b.keys()
+    for k in a:
+        assert math.isclose(a[k], b[k], abs_tol=1e-12)
+
+
+def test_compose_is_associative():
+    import random
+    rnd = random.Random(7)
+    maps = [(rnd.uniform(-2, 2), rnd.uniform(-1, 1), rnd.uniform(-3, 0), rnd.uniform(0, 3)) for _ in range(30)]
+    maps[5] = (0.0, 0.3, -1.0, 1.0)
+    for x0 in (-5.0, 0.1, 4.0):
+        x = x0
+        for m in maps:
+            x = min(max(m[0] * x + m[1], m[2]), m[3])
+        comp = (1.0, 0.0, float("-inf"), float("inf"))
+        for m in maps:
+            comp = sq._compose(comp, m)
+        y = min(max(comp[0] * x0 + comp[1], comp[2]), comp[3])
+        assert math.isclose(x, y, abs_tol=1e-9)
