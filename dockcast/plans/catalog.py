@@ -9,7 +9,7 @@ vocabulary mapped onto the driver data:
 * raw snapshot rows with duplicates = ``lineitem`` keyed by
   (l_orderkey, l_linenumber), which is not unique;
 * dimensions = customer → nation; points = first two embedding coordinates,
-  zones = embeddings with vec_id < 10.
+  zones = the centroid of each embedding label.
 
 ``ORACLE_SQL`` holds an independent SQL formulation of every entry.
 """
@@ -244,14 +244,16 @@ def q_join_weather_hour(spark, sf_dir):
 
 def _points(spark, sf_dir):
     emb = _t(spark, sf_dir, "embeddings")
-    return emb.select("vec_id", F.element_at("embedding", 1).cast("double").alias("x"),
+    return emb.select("vec_id", "label", F.element_at("embedding", 1).cast("double").alias("x"),
                       F.element_at("embedding", 2).cast("double").alias("y"))
 
 
 def q_nearest_zone(spark, sf_dir):
+    """Zones = the centroid of each label's points (a small aggregate of the
+    table); every point gets its nearest zone."""
     p = _points(spark, sf_dir)
-    zones = p.filter(F.col("vec_id") < 10)
-    return joins.nearest_zone(p, zones, point_id="vec_id", px="x", py="y", zone_id="vec_id", zx="x", zy="y",
+    zones = p.groupBy("label").agg(F.avg("x").alias("zx"), F.avg("y").alias("zy"))
+    return joins.nearest_zone(p, zones, point_id="vec_id", px="x", py="y", zone_id="label", zx="zx", zy="zy",
                               out="zone")
 
 
@@ -534,7 +536,7 @@ ORACLE_SQL: dict[str, str] = {
     "top_shortage": _OBS + " select user_id, round(avg(pct),6) a from obs group by 1 order by a, user_id limit 10",
     "join_station_zone": "select o_orderkey, n_name from orders left join customer on o_custkey=c_custkey left join nation on c_nationkey=n_nationkey",
     "join_weather_hour": _WX + " select event_id, round(v,6) v from events e left join wx on wx.event_type=e.event_type and wx.h=date_trunc('hour',e.ts)+interval 1 hour",
-    "nearest_zone": "with p as (select vec_id, cast(embedding[1] as double) x, cast(embedding[2] as double) y from embeddings) select vec_id, zone from (select a.vec_id, z.vec_id zone, row_number() over (partition by a.vec_id order by sqrt((a.x-z.x)**2+(a.y-z.y)**2), z.vec_id) r from p a, p z where z.vec_id<10) where r=1",
+    "nearest_zone": "with p as (select vec_id, label, cast(embedding[1] as double) x, cast(embedding[2] as double) y from embeddings), z as (select label, avg(x) zx, avg(y) zy from p group by label) select vec_id, zone from (select a.vec_id, z.label zone, row_number() over (partition by a.vec_id order by sqrt((a.x-z.zx)**2+(a.y-z.zy)**2), z.label) r from p a, z) where r=1",
     "anti_new_stations": "select c_custkey from customer anti join (select * from orders where o_orderdate>=timestamp '2001-01-01') o on o_custkey=c_custkey",
     "anti_bad_stations": "select o_orderkey from orders where o_custkey not in (select o_custkey from orders where o_totalprice<5000)",
     "pivot_horizons": "select user_id, round(avg(value) filter (event_type='click'),6) \"click\", round(avg(value) filter (event_type='view'),6) \"view\" from events group by 1",
