@@ -118,6 +118,8 @@ def ridge_fit_per_key(df: DataFrame, key: Sequence[str] | str, features: Sequenc
     """One ridge per station: per-key moments (a partial aggregate, so a hot
     station is combined map-side), then a k×k solve per key on the small
     moments table (one row per key)."""
+    from dockcast.session import ship_package
+    ship_package(df.sparkSession)
     key = [key] if isinstance(key, str) else list(key)
     k = len(features)
     mom = _complete(df, features, target).groupBy(*key).agg(*_moment_exprs(features, target))

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from pyspark import StorageLevel
 
-from dockcast.session import cut_lineage, row_count_at_most, shuffle_partitions
+from dockcast.session import cut_lineage, row_count_at_most, ship_package, shuffle_partitions
 
 
 @dataclass(frozen=True)
@@ -287,6 +287,7 @@ def _replay(df: DataFrame, group: list[str], order: list, out: str, start: str |
     batches, so memory stays at one batch whatever the group size. The first
     row of a group uses (_sq_a1, _sq_b1) and starts from ``start`` (or 0).
     """
+    ship_package(df.sparkSession)
     out_schema = T.StructType(df.schema.fields + [T.StructField(out, T.DoubleType(), True)])
 
     def run(it):
@@ -327,6 +328,7 @@ _MAP_COLS = ["_sq_a", "_sq_b", "_sq_lo", "_sq_hi"]
 
 
 def _compose_chunks(df: DataFrame, key: list[str], pos: str, chunk: str, key_schema: str) -> DataFrame:
+    ship_package(df.sparkSession)
     def comp(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(pos)
         m = (1.0, 0.0, -np.inf, np.inf)
