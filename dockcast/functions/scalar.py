@@ -70,25 +70,35 @@ def hour_key(ts) -> Column:
     return F.date_format(col(ts), "yyyy-MM-dd_HH")
 
 
-def _same_ts_type(c: Column, ntz: bool) -> Column:
-    return c.cast("timestamp_ntz") if ntz else c.cast("timestamp")
+def _floor_ntz(c: Column, unit: str) -> Column:
+    """Wall-clock truncation built from the parts, so no session-time-zone
+    round trip (and no DST gap) is involved."""
+    zero = F.lit(0)
+    return F.make_timestamp_ntz(
+        F.year(c), F.month(c), F.dayofmonth(c),
+        F.hour(c) if unit in ("hour", "minute") else zero,
+        F.minute(c) if unit == "minute" else zero, zero)
+
+
+def _floor(c: Column, unit: str, ntz: bool) -> Column:
+    return _floor_ntz(c, unit) if ntz else F.date_trunc(unit, c).cast("timestamp")
 
 
 def hour_floor(ts, ntz: bool = True) -> Column:
-    """Truncate to the hour. ``date_trunc`` yields TIMESTAMP; cast back so
-    wall-clock (NTZ) inputs stay NTZ."""
-    return _same_ts_type(F.date_trunc("hour", col(ts)), ntz)
+    """Truncate to the hour: wall clock (TIMESTAMP_NTZ) by default, or an
+    instant truncated in the session time zone with ``ntz=False``."""
+    return _floor(col(ts), "hour", ntz)
 
 
 def day_floor(ts, ntz: bool = True) -> Column:
-    return _same_ts_type(F.date_trunc("day", col(ts)), ntz)
+    return _floor(col(ts), "day", ntz)
 
 
 def forecast_ts(ts, minutes: int = 30, ntz: bool = True) -> Column:
     """Base time + horizon, rounded to the minute (half a minute rounds up;
     the pandas original rounds exact half-minutes to even)."""
     shifted = col(ts) + F.expr(f"INTERVAL {int(minutes)} MINUTES 30 SECONDS")
-    return _same_ts_type(F.date_trunc("minute", shifted), ntz)
+    return _floor(shifted, "minute", ntz)
 
 
 def epoch_seconds_to_ts(c) -> Column:
