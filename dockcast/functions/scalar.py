@@ -101,6 +101,17 @@ def forecast_ts(ts, minutes: int = 30, ntz: bool = True) -> Column:
     return _floor(shifted, "minute", ntz)
 
 
+def wall_clock(ts, from_tz: str, to_tz: str) -> Column:
+    """Wall-clock time in ``from_tz`` → the same instant's wall clock in
+    ``to_tz`` (TIMESTAMP_NTZ in and out, independent of the session zone)."""
+    return F.convert_timezone(F.lit(from_tz), F.lit(to_tz), col(ts).cast("timestamp_ntz"))
+
+
+def relative_day_text(ts, days: int, fmt: str = "yyyy-MM-dd") -> Column:
+    """Date ``days`` before ``ts`` as text (report request ranges)."""
+    return F.date_format(F.date_sub(F.to_date(col(ts)), days), fmt)
+
+
 def epoch_seconds_to_ts(c) -> Column:
     return F.timestamp_seconds(col(c))
 

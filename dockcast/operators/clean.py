@@ -24,7 +24,7 @@ def filter_valid(df: DataFrame, required: Sequence[str] = (), rules: Sequence[Co
 
 
 def station_rules(cutoff_ts: Column | str, *, min_lat: float = 21.89, min_lng: float = 120.0,
-                  excess_slack: int = 10) -> list[Column]:
+                  excess_slack: int | None = 10) -> list[Column]:
     """Validity rules for a raw station snapshot (a row is dropped if any holds):
     not a type-2 station, negative empty docks, no space, south/west of the
     main island, updated before the cut-off, more bikes+docks than space+slack.
@@ -38,8 +38,13 @@ def station_rules(cutoff_ts: Column | str, *, min_lat: float = 21.89, min_lng: f
         F.col("lat") < F.lit(min_lat),
         F.col("lng") < F.lit(min_lng),
         F.col("last_update_ts") < cutoff,
-        F.col("space") < F.col("full") + F.col("empty") - F.lit(excess_slack),
-    ]
+    ] + ([F.col("space") < F.col("full") + F.col("empty") - F.lit(excess_slack)] if excess_slack is not None else [])
+
+
+def eda_rules(cutoff_ts: Column | str) -> list[Column]:
+    """The exploratory variant: a fixed cut-off date and no capacity rule
+    (use with ``required=['city']``)."""
+    return station_rules(cutoff_ts, excess_slack=None)
 
 
 def staleness_cutoff(as_of, days: int = 8, tz: str = "Asia/Taipei") -> Column:

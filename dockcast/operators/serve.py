@@ -79,6 +79,20 @@ def pivot_horizons(df: DataFrame, key: str, horizon: str, value: str, horizons:
     return out.dropna(subset=names) if drop_incomplete else out
 
 
+def unpivot_horizons(wide: DataFrame, key: str, columns: dict[str, object], horizon: str = "relative_ts",
+                     value: str = "fill_rate") -> DataFrame:
+    """Wide → long: one row per (key, horizon) from columns {name: horizon},
+    in one pass (``unpivot``). Nulls are dropped, so unpivot(pivot(x)) = x."""
+    names = list(columns)
+    long = wide.select(key, *[col(n).alias(f"_h{i}") for i, n in enumerate(names)]).unpivot(
+        [key], [f"_h{i}" for i in range(len(names))], "_name", value)
+    kv = []
+    for i, n in enumerate(names):
+        kv += [F.lit(f"_h{i}"), F.lit(columns[n])]
+    return (long.filter(F.col(value).isNotNull())
+                .select(key, F.element_at(F.create_map(*kv), F.col("_name")).alias(horizon), value))
+
+
 def avg_fill(a, b) -> Column:
     return (col(a) + col(b)) / F.lit(2.0)
 

@@ -492,6 +492,28 @@ def q_training_features(spark, sf_dir):
                     F.round(F.col("pct") - F.col("fwd3"), 6).alias("chg"))
 
 
+def q_tz_convert(spark, sf_dir):
+    """Snapshot times kept as UTC wall clock → local (Taipei) wall clock."""
+    e = _t(spark, sf_dir, "events")
+    return e.select("event_id", fx.wall_clock("ts", "UTC", "Asia/Taipei").alias("local_ts"))
+
+
+def q_relative_days(spark, sf_dir):
+    """History report range for each snapshot: days −13 … −7 as date text."""
+    e = _t(spark, sf_dir, "events")
+    return e.select("event_id", fx.relative_day_text("ts", 13).alias("start_day"),
+                    fx.relative_day_text("ts", 7).alias("end_day"))
+
+
+def q_filter_valid_eda(spark, sf_dir):
+    """The exploratory rule set on the same rows: a null check on one column
+    and no capacity rule."""
+    li = _t(spark, sf_dir, "lineitem")
+    rules = [~F.col("l_returnflag").eqNullSafe("R"), F.col("l_quantity") < 5, F.col("l_tax") < 0.01,
+             F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz")]
+    return clean.filter_valid(li, required=["l_returnflag"], rules=rules).select("l_orderkey", "l_linenumber")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
@@ -573,5 +595,8 @@ ORACLE_SQL.update({
     "union_by_name": "select o_orderkey okey, o_totalprice from orders union all by name select l_orderkey okey, l_quantity from lineitem",
     "out_json": "select to_json({'user_id': user_id, 'n': count(*)}) json from events group by user_id",
     "ridge_fit_station": _F + " select user_id, round(w,6) w, round(my-w*mx,6) b from (select user_id, regr_sxy(pct-fwd3,pct)/(regr_sxx(pct-fwd3,pct)+1) w, avg(pct-fwd3) my, avg(pct) mx from f where fwd3 is not null and pct is not null group by user_id)",
+    "tz_convert": "select event_id, (ts at time zone 'UTC') at time zone 'Asia/Taipei' local_ts from events",
+    "relative_days": "select event_id, strftime(cast(ts as date) - interval 13 day, '%Y-%m-%d') start_day, strftime(cast(ts as date) - interval 7 day, '%Y-%m-%d') end_day from events",
+    "filter_valid_eda": "select l_orderkey, l_linenumber from lineitem where l_returnflag is not null and not (l_returnflag is distinct from 'R' or l_quantity<5 or l_tax<0.01 or l_shipdate < timestamp '1996-01-01')",
     "training_features": _OBS + ", wx0 as (select event_type, date_trunc('hour',ts) h, avg(value) v from events group by all), wx as (select *, lead(v) over (partition by event_type order by h) v_fwd from wx0), f as (select o.*, lag(pct,3) over w lag3, case when count(pct) over w12 = 12 then avg(pct) over w12 end m12, lead(pct,3) over w fwd3 from obs o window w as (partition by user_id order by ts, event_id), w12 as (partition by user_id order by ts, event_id rows between 11 preceding and current row)) select f.event_id, round(f.pct,6) pct_full, month(f.ts) \"month\", isodow(f.ts)-1 day_of_week, hour(f.ts) \"hour\", round(lag3,6) lag3, round(m12,6) m12, round(wx.v,6) wx, round(wx.v_fwd,6) wx_fwd, round(f.pct-fwd3,6) chg from f left join wx on wx.event_type=f.event_type and wx.h=date_trunc('hour', f.ts) where lag3 is not null and m12 is not null and fwd3 is not null",
 })

@@ -142,3 +142,12 @@ def test_pivot_drop_incomplete(spark):
     df = spark.createDataFrame([(1, 0, 0.5), (1, 1, 0.6), (2, 0, 0.2)], "station_id int, relative_ts int, fill_rate double")
     w = serving.wide_forecast(df)
     assert [tuple(r) for r in w.collect()] == [(1, 0.5, 0.6)]
+
+
+def test_pivot_unpivot_identity(spark):
+    rows = [(s, h, round(0.1 * s + 0.01 * h, 4)) for s in range(1, 6) for h in range(3) if (s + h) % 4]
+    long = spark.createDataFrame(rows, "station_id int, relative_ts int, fill_rate double")
+    wide = serve.pivot_horizons(long, "station_id", "relative_ts", "fill_rate", [0, 1, 2],
+                                ["h0", "h1", "h2"], agg="first", digits=None)
+    back = serve.unpivot_horizons(wide, "station_id", {"h0": 0, "h1": 1, "h2": 2})
+    assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
