@@ -74,6 +74,18 @@ def _as_list(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
+def _join_ns(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` that also matches null keys (<=>), keeping one copy
+    of the key columns. Still planned as a hash/sort-merge join."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on])
+    cond = None
+    for c in on:
+        e = left[c].eqNullSafe(r[f"_r_{c}"])
+        cond = e if cond is None else cond & e
+    out = left.join(r, cond, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r_{c}" for c in on])
+
+
 def _order_exprs(order: Sequence, descending: bool) -> list[Column]:
     out = []
     for o in order:
@@ -93,12 +105,13 @@ def split_hot_keys(df: DataFrame, key: Sequence[str], cfg: SkewConfig | None = N
     key = list(key)
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_sq_n"))
     hot = counts.filter(F.col("_sq_n") > F.lit(cfg.hot_rows)).select(*key)
-    if row_count_at_most(hot, 0):
+    n_hot = hot.limit(cfg.max_hot_keys + 1).count()  # one bounded job
+    if n_hot == 0:
         return df, None
-    if not row_count_at_most(hot, cfg.max_hot_keys):
+    if n_hot > cfg.max_hot_keys:
         return None, df
-    hk = F.broadcast(hot)  # bounded by max_hot_keys (checked above)
-    return df.join(hk, key, "left_anti"), df.join(hk, key, "left_semi")
+    hk = F.broadcast(hot)  # bounded by max_hot_keys (checked above); null keys match too
+    return _join_ns(df, hk, key, "left_anti"), _join_ns(df, hk, key, "left_semi")
 
 
 def global_position(df: DataFrame, key: Sequence[str], order: Sequence, *,
@@ -132,7 +145,7 @@ def global_position(df: DataFrame, key: Sequence[str], order: Sequence, *,
                         F.coalesce(F.sum("_sq_cnt").over(before), F.lit(0)).alias("_sq_off"))
     if small_key_count:
         offs = F.broadcast(offs)  # ≤ #partitions + max_hot_keys rows
-    return (r.join(offs, key + [_PID])
+    return (_join_ns(r, offs, key + [_PID])
              .withColumn(out, (F.col("_sq_off") + F.col(_LRN) - F.col("_sq_min") + 1).cast("long"))
              .drop(_PID, _LRN, "_sq_off", "_sq_min"))
 
@@ -232,11 +245,11 @@ def carry_forward(df: DataFrame, key, order, value: str | Column, out: str, *,
         # chunks without a non-null value have no ``tail`` row; the window over
         # the chunk table (rows / chunk_rows per key) carries the last one on
         fill = r.select(*key, _CHUNK).distinct()
-        fill = (fill.join(tail, key + [_CHUNK], "left")
+        fill = (_join_ns(fill, tail, key + [_CHUNK], "left")
                     .withColumn("_sq_prev", F.last("_sq_tail", ignorenulls=True).over(
                         Window.partitionBy(*key).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)))
                     .select(*key, _CHUNK, "_sq_prev"))
-        r = r.join(fill, key + [_CHUNK], "left")
+        r = _join_ns(r, fill, key + [_CHUNK], "left")
         parts.append(r.withColumn(out, F.coalesce("_sq_local", "_sq_prev"))
                       .drop("_sq_v", "_sq_local", "_sq_prev", _CHUNK, _RANK))
     return _union(parts)
@@ -267,15 +280,35 @@ def _compose(first, second):
     return (a2 * a1, a2 * b1 + b2, lo, hi)
 
 
+class _Null:
+    """Stands for a null key so that null == null when finding group starts."""
+
+    def __eq__(self, other):
+        return isinstance(other, _Null)
+
+    def __hash__(self):
+        return 0
+
+
+_NULL = _Null()
+
+
+def _key_of(pdf: pd.DataFrame, cols: list[str], i: int) -> tuple:
+    return tuple(_NULL if pd.isna(pdf[c].iloc[i]) else pdf[c].iloc[i] for c in cols)
+
+
 def _group_starts(pdf: pd.DataFrame, cols: list[str], prev_key) -> np.ndarray:
-    """Boolean vector: row i starts a new group (vs row i-1 / the previous batch)."""
+    """Boolean vector: row i starts a new group (vs row i-1 / the previous
+    batch). Null keys form one group, as in a GROUP BY."""
     n = len(pdf)
     starts = np.zeros(n, dtype=bool)
     for c in cols:
-        v = pdf[c].to_numpy()
-        starts[1:] |= v[1:] != v[:-1]
+        s = pdf[c]
+        prev = s.shift(1)
+        changed = (s != prev) & ~(s.isna() & prev.isna())
+        starts |= changed.to_numpy(dtype=bool)
     if n:
-        starts[0] = prev_key is None or tuple(pdf[c].iloc[0] for c in cols) != prev_key
+        starts[0] = prev_key is None or _key_of(pdf, cols, 0) != prev_key
     return starts
 
 
@@ -315,7 +348,7 @@ def _replay(df: DataFrame, group: list[str], order: list, out: str, start: str |
                 y = bi if ai == 0.0 else ai * x + bi
                 x = y if y != y else min(max(y, lo[i]), hi[i])
                 res[i] = x
-            prev_key = tuple(pdf[c].iloc[n - 1] for c in group)
+            prev_key = _key_of(pdf, group, n - 1)
             pdf[out] = res
             yield pdf
     ordered = [F.col(g).asc() for g in group] + _order_exprs(order, False)
@@ -367,7 +400,7 @@ def _scan(df: DataFrame, key: list[str], pos: str, cfg: SkewConfig, depth: int =
     summary = _compose_chunks(d, key, pos, ch, key_schema).withColumn("_sq_p", F.col(ch) + 1)
     ends = _scan(summary.drop(ch).withColumnRenamed("_sq_p", pos), key, pos, cfg, depth + 1)
     carry = ends.select(*key, F.col(pos).alias(ch), F.col("_sq_x").alias("_sq_start"))
-    d = (d.join(carry, key + [ch], "left")
+    d = (_join_ns(d, carry, key + [ch], "left")
           .withColumn("_sq_a1", F.col("_sq_a")).withColumn("_sq_b1", F.col("_sq_b")))
     # replay each (key, chunk), bounded by chunk_rows, from its carried-in value
     return _replay(d, key + [ch], [pos], "_sq_x", "_sq_start").select(*key, pos, "_sq_x")
@@ -403,7 +436,7 @@ def clamped_affine_scan(df: DataFrame, key, order, *, a: Column, b: Column,
         m = (m.withColumn("_sq_a", F.when(first, F.col("_sq_a1")).otherwise(F.col("_sq_a")))
               .withColumn("_sq_b", F.when(first, F.col("_sq_b1")).otherwise(F.col("_sq_b"))))
         xs = _scan(m.select(*key, "_sq_pos", *_MAP_COLS), key, "_sq_pos", cfg)
-        parts.append(p.join(xs, key + ["_sq_pos"]).drop("_sq_pos"))
+        parts.append(_join_ns(p, xs, key + ["_sq_pos"]).drop("_sq_pos"))
     return (_union(parts)
             .withColumn(out, F.when(F.isnan("_sq_x"), F.lit(None)).otherwise(F.col("_sq_x")))
             .drop("_sq_x"))

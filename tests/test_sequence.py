@@ -114,3 +114,29 @@ def test_compose_is_associative():
             comp = sq._compose(comp, m)
         y = min(max(comp[0] * x0 + comp[1], comp[2]), comp[3])
         assert math.isclose(x, y, abs_tol=1e-9)
+
+
+def test_null_key_rows_survive_split_path(spark):
+    rows = [(None if i % 3 == 0 else i % 2, i, float(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, t long, v double")
+    cfg = sq.SkewConfig(hot_rows=5, chunk_rows=6, max_hot_keys=100)
+
+    def build(w):
+        return {"lag1": F.lag("v", 1).over(w), "m3": F.avg("v").over(w.rowsBetween(-2, 0))}
+    a = sq.row_frames(df, "k", ["t"], build, preceding=2, following=0, cfg=cfg)
+    b = sq.row_frames(df, "k", ["t"], build, preceding=2, following=0, cfg=PLAIN)
+    assert a.count() == 60
+    _close(_rows(a, ["t", "lag1", "m3"]), _rows(b, ["t", "lag1", "m3"]))
+    ff_a = sq.carry_forward(df, "k", ["t"], F.when(F.col("t") % 5 == 0, F.col("v")), "f", cfg=cfg)
+    ff_b = sq.carry_forward(df, "k", ["t"], F.when(F.col("t") % 5 == 0, F.col("v")), "f", cfg=PLAIN)
+    _close(_rows(ff_a, ["t", "f"]), _rows(ff_b, ["t", "f"]))
+
+
+def test_affine_scan_null_key_is_one_group(spark):
+    rows = [(None, i, 1.0) for i in range(5)] + [(1, i, 1.0) for i in range(3)]
+    df = spark.createDataFrame(rows, "k long, t long, v double")
+    for cfg in (PLAIN, sq.SkewConfig(hot_rows=2, chunk_rows=2, max_hot_keys=100)):
+        r = sq.clamped_affine_scan(df, "k", ["t"], a=F.lit(1.0), b=F.lit(1.0), a_first=F.lit(0.0),
+                                   b_first=F.col("v"), out="x", cfg=cfg)
+        got = sorted((row.k is None, row.t, row.x) for row in r.collect())
+        assert got == sorted([(True, i, 1.0 + i) for i in range(5)] + [(False, i, 1.0 + i) for i in range(3)])
