@@ -47,49 +47,56 @@ def check_sums(df: DataFrame, identity: Column, bad: str = "bad", n: str = "n")
                   F.count(F.lit(1)).alias(n))
 
 
+def _numbered_values(df: DataFrame, column: str) -> tuple[DataFrame, int]:
+    v = df.select(col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    n = v.count()  # one number to the driver
+    # a constant key → all values form one series, numbered by range partitions
+    return sq.global_position(v.withColumn("_k", F.lit(0)), ["_k"], ["_v"], out="_p"), n
+
+
+def _quantile_aggs(n: int, qs: Sequence[float]) -> tuple[list[Column], list[Column]]:
+    """Picks for each quantile the two neighbouring order statistics by
+    position (type 7 interpolation, as quantile_cont)."""
+    aggs, outs = [], []
+    for i, q in enumerate(qs):
+        h = (n - 1) * float(q)
+        lo = int(h // 1) + 1
+        hi = min(lo + 1, n)
+        frac = h - (lo - 1)
+        aggs += [F.max(F.when(F.col("_p") == lo, F.col("_v"))).alias(f"_lo{i}"),
+                 F.max(F.when(F.col("_p") == hi, F.col("_v"))).alias(f"_hi{i}")]
+        outs.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.lit(frac)).alias(str(i)))
+    return aggs, outs
+
+
 def exact_quantiles(df: DataFrame, column: str, qs: Sequence[float]) -> DataFrame:
-    """Exact interpolated quantiles (type 7, as quantile_cont), one row.
+    """Exact interpolated quantiles (type 7, as quantile_cont), one row with
+    columns "0", "1", …
 
-    The values are numbered globally by a range-partitioned sort (no task
-    holds more than its range), the two neighbours of each quantile position
-    are picked by an equi-filter, and interpolated.
+    Values are numbered globally by a range-partitioned sort (no task holds
+    more than its range); one aggregate then picks the order statistics at
+    the quantile positions. No value buffer is gathered in one task.
     """
-    v = df.select(col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    # a constant key → every row is one "hot" series, numbered by range partitions
-    numbered = sq.global_position(v.withColumn("_k", F.lit(0)), ["_k"], ["_v"], out="_p")
-    n = v.agg(F.count(F.lit(1)).alias("_n"))
-    outs = []
-    for i, q in enumerate(qs):
-        h = (F.col("_n") - 1) * F.lit(float(q))
-        outs.append(F.struct(F.floor(h).cast("long").alias("lo"), (h - F.floor(h)).alias("frac")).alias(f"_q{i}"))
-    pos = n.select("_n", *outs)
-    wanted = pos.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("qi"), (F.col(f"_q{i}.lo") + 1).alias("p"), F.col(f"_q{i}.frac").alias("frac"),
-                 F.lit(0).alias("side")) for i in range(len(qs))] + [
-        F.struct(F.lit(i).alias("qi"), (F.least(F.col(f"_q{i}.lo") + 2, F.col("_n"))).alias("p"),
-                 F.col(f"_q{i}.frac").alias("frac"), F.lit(1).alias("side")) for i in range(len(qs))])).alias("w")
-    ).select("w.*")
-    picked = numbered.join(F.broadcast(wanted), numbered["_p"] == wanted["p"])  # 2·len(qs) rows
-    per_q = (picked.groupBy("qi")
-                   .agg(F.max(F.when(F.col("side") == 0, F.col("_v"))).alias("lo_v"),
-                        F.max(F.when(F.col("side") == 1, F.col("_v"))).alias("hi_v"),
-                        F.max("frac").alias("frac"))
-                   .select("qi", (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * F.col("frac")).alias("q")))
-    return per_q.groupBy().pivot("qi", list(range(len(qs)))).agg(F.first("q"))
+    numbered, n = _numbered_values(df, column)
+    if n == 0:
+        return df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(str(i)) for i in range(len(qs))])
+    aggs, outs = _quantile_aggs(n, qs)
+    return numbered.agg(*aggs).select(*outs)
 
 
 def describe(df: DataFrame, column: str, *, digits: int = 6) -> DataFrame:
-    """count, mean, std, min, quartiles, max of one column (exact quartiles)."""
-    c = col(column)
-    moments = df.agg(F.count(c).alias("n"), F.round(F.avg(c), digits).alias("mean"),
-                     F.round(F.stddev_samp(c), digits).alias("std"),
-                     F.min(c).alias("lo"), F.max(c).alias("hi"))
-    qs = exact_quantiles(df, column, [0.25, 0.5, 0.75])
-    qs = qs.select(*[F.round(F.col(str(i)), digits).alias(f"q{i + 1}") for i in range(3)])
-    # both sides are single rows: a one-row broadcast join on a constant key
-    return (moments.withColumn("_one", F.lit(1))
-                   .join(F.broadcast(qs.withColumn("_one", F.lit(1))), "_one")
-                   .select("n", "mean", "std", "lo", "q1", "q2", "q3", "hi"))
+    """count, mean, std, min, quartiles, max of one column (exact quartiles),
+    all in one aggregate over the numbered values."""
+    numbered, n = _numbered_values(df, column)
+    if n == 0:
+        return df.agg(F.count(col(column)).alias("n"), *[F.lit(None).cast("double").alias(c)
+                      for c in ("mean", "std", "lo", "q1", "q2", "q3", "hi")])
+    aggs, outs = _quantile_aggs(n, [0.25, 0.5, 0.75])
+    v = F.col("_v")
+    row = numbered.agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                       F.min(v).alias("lo"), F.max(v).alias("hi"), *aggs)
+    return row.select("n", F.round("mean", digits).alias("mean"), F.round("std", digits).alias("std"), "lo",
+                      *[F.round(o, digits).alias(f"q{i + 1}") for i, o in enumerate(outs)], "hi")
 
 
 def group_mean(df: DataFrame, keys: Mapping[str, Column], value: Column, out: str, digits: int | None = 6) -> DataFrame:

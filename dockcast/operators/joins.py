@@ -54,24 +54,35 @@ def join_weather_hour(obs: DataFrame, weather: DataFrame, *, zone: str, ts: str,
 
 def nearest_zone(points: DataFrame, zones: DataFrame, *, point_id: str, px: str, py: str,
                  zone_id: str, zx: str, zy: str, out: str = "zone",
-                 max_broadcast_zones: int = 1_024, cell: float | None = None) -> DataFrame:
+                 max_literal_zones: int = 1_024, cell: float | None = None) -> DataFrame:
     """For each point, the zone at the least Euclidean distance; ties go to
     the smallest zone id.
 
-    Zones are a small dimension: with a checked count ≤ ``max_broadcast_zones``
-    they are broadcast and each point keeps ``min(struct(dist, zone_id))``
-    over them (points × zones, zones bounded). Above the bound the exact
-    grid search ``nearest_zone_grid`` is used, which joins on grid cells.
+    Zones are a small dimension. When a bounded job proves there are at most
+    ``max_literal_zones`` of them, they are inlined as a literal array (like a
+    literal lookup map) and each point folds over it with ``aggregate``,
+    keeping min(struct(dist, zone_id)): a projection, no join. Above the
+    bound the exact grid search ``nearest_zone_grid`` runs on equi-joins.
     """
     z = zones.select(F.col(zone_id).alias("_z_id"), F.col(zx).cast("double").alias("_z_x"),
                      F.col(zy).cast("double").alias("_z_y")).dropDuplicates(["_z_id"])
-    if not row_count_at_most(z, max_broadcast_zones):
+    small = z.limit(max_literal_zones + 1).collect()  # bounded: ≤ max_literal_zones + 1 rows
+    if len(small) > max_literal_zones:
         return nearest_zone_grid(points, z, point_id=point_id, px=px, py=py, out=out, cell=cell)
+    id_type = z.schema["_z_id"].dataType
     p = points.select(F.col(point_id), F.col(px).cast("double").alias("_p_x"), F.col(py).cast("double").alias("_p_y"))
-    pairs = p.join(F.broadcast(z), F.lit(True), "inner")
-    best = pairs.groupBy(point_id).agg(
-        F.min(F.struct(euclid("_p_x", "_p_y", "_z_x", "_z_y").alias("d"), F.col("_z_id").alias("z"))).alias("_b"))
-    return best.select(point_id, F.col("_b.z").alias(out))
+    if not small:
+        return p.select(point_id, F.lit(None).cast(id_type).alias(out))
+    arr = F.array(*[F.struct(F.lit(r["_z_id"]).cast(id_type).alias("id"), F.lit(r["_z_x"]).cast("double").alias("x"),
+                             F.lit(r["_z_y"]).cast("double").alias("y")) for r in small])
+    start = F.struct(F.lit(None).cast("double").alias("d"), F.lit(None).cast(id_type).alias("z"))
+
+    def step(acc, zz):
+        d = F.sqrt(F.pow(F.col("_p_x") - zz["x"], 2) + F.pow(F.col("_p_y") - zz["y"], 2))
+        cand = F.struct(d.alias("d"), zz["id"].alias("z"))
+        better = acc["d"].isNull() | (d < acc["d"]) | ((d == acc["d"]) & (zz["id"] < acc["z"]))
+        return F.when(d.isNotNull() & better, cand).otherwise(acc)
+    return p.select(point_id, F.aggregate(arr, start, step)["z"].alias(out))
 
 
 def nearest_zone_grid(points: DataFrame, zones: DataFrame, *, point_id: str, px: str, py: str,
@@ -137,12 +148,13 @@ def semi_join(df: DataFrame, other: DataFrame, on) -> DataFrame:
 
 def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
     """SQL ``column NOT IN (subquery)``: no rows at all when the subquery has
-    a null, and null ``column`` rows never qualify."""
+    a null (checked by a one-row bounded job), and null ``column`` rows never
+    qualify; otherwise an anti join."""
     o = other.select(F.col(other_column).alias("_ni"))
-    has_null = o.filter(F.col("_ni").isNull()).limit(1)
-    kept = df.filter(F.col(column).isNotNull()).join(o.filter(F.col("_ni").isNotNull()).distinct(),
-                                                     F.col(column) == F.col("_ni"), "left_anti")
-    return kept.join(F.broadcast(has_null.select(F.lit(1).alias("_hn"))), F.lit(True), "left_anti")
+    if not row_count_at_most(o.filter(F.col("_ni").isNull()), 0):
+        return df.limit(0)
+    return (df.filter(F.col(column).isNotNull())
+              .join(o.distinct(), F.col(column) == F.col("_ni"), "left_anti"))
 
 
 def filter_ids(df: DataFrame, column: str, ids) -> DataFrame:

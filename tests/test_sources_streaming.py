@@ -92,7 +92,7 @@ def test_nearest_zone_grid_equals_broadcast(spark):
     zones = p.filter(F.col("vec_id") < 60)
     a = joins.nearest_zone(p, zones, point_id="vec_id", px="x", py="y", zone_id="vec_id", zx="x", zy="y")
     b = joins.nearest_zone(p, zones, point_id="vec_id", px="x", py="y", zone_id="vec_id", zx="x", zy="y",
-                           max_broadcast_zones=5)
+                           max_literal_zones=5)
     pts = [(r.vec_id, r.x, r.y) for r in p.collect()]
     zs = [t for t in pts if t[0] < 60]
     want = {i: min(zs, key=lambda z: (math.hypot(x - z[1], y - z[2]), z[0]))[0] for i, x, y in pts}
