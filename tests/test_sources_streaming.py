@@ -149,3 +149,23 @@ def test_stream_status_upserts(spark, tmp_path):
     q.awaitTermination()
     got = {r.id: (r.full, r.empty) for r in spark.read.parquet(out).collect()}
     assert got == {1: (6, 4), 2: (1, 9)}
+
+
+def test_stream_window_append_emits_closed_windows(spark, tmp_path):
+    """Append mode: after the data and the following no-data batch, exactly
+    the batch twin's windows that end at or before max(ts) − 8 days."""
+    ev = spark.read.parquet(f"{SF01}/events.parquet")
+    src = str(tmp_path / "src")
+    ev.write.parquet(src)
+    stream = streams.read_stream(spark, src, ev.schema)
+    q = (streams.stream_occupancy_window(stream, "user_id", "ts", "value", delay="8 days")
+         .writeStream.outputMode("append").format("memory").queryName("occ_append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.sql("select user_id, cast(w as timestamp_ntz) w, round(v, 9) v from occ_append")
+    limit = ev.agg(F.max("ts")).first()[0] - timedelta(days=8)
+    want = (streams.occupancy_windows(ev, "user_id", "ts", "value")
+            .filter(F.col("w") + F.expr("INTERVAL 120 MINUTES") <= F.lit(limit))
+            .select("user_id", "w", F.round("v", 9).alias("v")))
+    assert want.count() == 80_312
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
