@@ -50,8 +50,8 @@ def upsert_version(spark: SparkSession, current: str, updates: DataFrame, key: S
 def insert_ignore_append(spark: SparkSession, target: str, incoming: DataFrame, key: Sequence[str]) -> int:
     """Append the rows whose key is not in the target yet; returns how many.
     The new rows are materialised first so the count and the write agree."""
-    new = serve.insert_ignore(spark.read.parquet(target), incoming, key)
-    new = new.checkpoint(eager=True)
+    from dockcast.session import cut_lineage
+    new = cut_lineage(serve.insert_ignore(spark.read.parquet(target), incoming, key))
     n = new.count()
     if n:
         new.write.mode("append").parquet(target)
