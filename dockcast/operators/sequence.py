@@ -44,6 +44,7 @@ class SkewConfig:
     chunk_rows: int = 1 << 16      # positions per chunk on the split path
     max_hot_keys: int = 100_000    # bound for broadcasting the hot-key list
     materialize: str = "persist"   # or "checkpoint" (shared checkpoint folder)
+    rows_per_partition: int = 1 << 22  # range partitions on the split path are sized by this
 
 
 DEFAULT_SKEW = SkewConfig()
@@ -94,9 +95,18 @@ def _order_exprs(order: Sequence, descending: bool) -> list[Column]:
     return out
 
 
-def split_hot_keys(df: DataFrame, key: Sequence[str], cfg: SkewConfig | None = None
-                   ) -> tuple[DataFrame | None, DataFrame | None]:
-    """(cold rows, hot rows); either may be None when empty.
+@dataclass
+class KeySplit:
+    cold: DataFrame | None   # rows of keys with at most hot_rows rows
+    hot: DataFrame | None    # rows of the longer keys
+    hot_rows: int            # how many rows the hot side has (sizes its partitioning)
+
+    def __iter__(self):
+        return iter((self.cold, self.hot))
+
+
+def split_hot_keys(df: DataFrame, key: Sequence[str], cfg: SkewConfig | None = None) -> KeySplit:
+    """Cold rows and hot rows; either may be None when empty.
 
     The count per key is a partial (map-side) aggregate over the key columns
     only, so a hot key costs one partial row per map task.
@@ -104,19 +114,30 @@ def split_hot_keys(df: DataFrame, key: Sequence[str], cfg: SkewConfig | None = N
     cfg = current_skew(cfg)
     key = list(key)
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_sq_n"))
-    hot = counts.filter(F.col("_sq_n") > F.lit(cfg.hot_rows)).select(*key)
-    n_hot = hot.limit(cfg.max_hot_keys + 1).count()  # one bounded job
+    hot_counts = counts.filter(F.col("_sq_n") > F.lit(cfg.hot_rows))
+    stats = hot_counts.agg(F.count(F.lit(1)).alias("k"), F.sum("_sq_n").alias("rows")).first()  # one row
+    n_hot, hot_total = int(stats["k"]), int(stats["rows"] or 0)
     if n_hot == 0:
-        return df, None
+        return KeySplit(df, None, 0)
     if n_hot > cfg.max_hot_keys:
-        return None, df
-    hk = F.broadcast(hot)  # bounded by max_hot_keys (checked above); null keys match too
-    return _join_ns(df, hk, key, "left_anti"), _join_ns(df, hk, key, "left_semi")
+        return KeySplit(None, df, hot_total)
+    hk = F.broadcast(hot_counts.select(*key))  # bounded by max_hot_keys (checked above); null keys match too
+    return KeySplit(_join_ns(df, hk, key, "left_anti"), _join_ns(df, hk, key, "left_semi"), hot_total)
+
+
+def _range_partitions(spark, rows: int | None, cfg: SkewConfig) -> int:
+    """At least the session's shuffle partitions, more when the split rows
+    would exceed ``rows_per_partition`` per partition."""
+    n = shuffle_partitions(spark)
+    if rows:
+        n = max(n, -(-rows // cfg.rows_per_partition))
+    return n
 
 
 def global_position(df: DataFrame, key: Sequence[str], order: Sequence, *,
                     descending: bool = False, out: str = _RANK,
-                    small_key_count: bool = True, cfg: SkewConfig | None = None) -> DataFrame:
+                    small_key_count: bool = True, cfg: SkewConfig | None = None,
+                    rows: int | None = None) -> DataFrame:
     """1-based position of each row within its key, without a per-key task.
 
     Range partitioning on (key, order) splits a long key over many
@@ -132,7 +153,7 @@ def global_position(df: DataFrame, key: Sequence[str], order: Sequence, *,
     """
     cfg = current_skew(cfg)
     key = list(key)
-    n = shuffle_partitions(df.sparkSession)
+    n = _range_partitions(df.sparkSession, rows, cfg)
     ordered = [F.col(k).asc() for k in key] + _order_exprs(order, descending)
     r = (df.repartitionByRange(n, *ordered)
            .sortWithinPartitions(*ordered)
@@ -168,7 +189,8 @@ def row_frames(df: DataFrame, key: Sequence[str] | str, order: Sequence | str,
     """
     cfg = current_skew(cfg)
     key, order = _as_list(key), _as_list(order)
-    cold, hot = split_hot_keys(df, key, cfg)
+    split = split_hot_keys(df, key, cfg)
+    cold, hot = split.cold, split.hot
     parts = []
     if cold is not None:
         w = Window.partitionBy(*key).orderBy(*_order_exprs(order, False))
@@ -178,7 +200,7 @@ def row_frames(df: DataFrame, key: Sequence[str] | str, order: Sequence | str,
         c = cfg.chunk_rows
         if c < max(preceding, following):
             raise ValueError("chunk_rows must cover the frame on each side")
-        r = _chunked(global_position(hot, key, order, small_key_count=cold is not None, cfg=cfg), c)
+        r = _chunked(global_position(hot, key, order, small_key_count=cold is not None, cfg=cfg, rows=split.hot_rows), c)
         pos = (F.col(_RANK) - 1) % F.lit(c)
         home = F.struct(F.col(_CHUNK).alias("c"), F.lit(False).alias("h"))
         to_next = F.when(pos >= F.lit(c - preceding), F.struct((F.col(_CHUNK) + 1).alias("c"), F.lit(True).alias("h")))
@@ -206,14 +228,15 @@ def position(df: DataFrame, key, order, out: str = "position", *, descending: bo
     """1-based row position per key (``row_number``), skew-safe."""
     cfg = current_skew(cfg)
     key, order = _as_list(key), _as_list(order)
-    cold, hot = split_hot_keys(df, key, cfg)
+    split = split_hot_keys(df, key, cfg)
+    cold, hot = split.cold, split.hot
     parts = []
     if cold is not None:
         w = Window.partitionBy(*key).orderBy(*_order_exprs(order, descending))
         parts.append(cold.withColumn(out, F.row_number().over(w).cast("long")))
     if hot is not None:
         parts.append(global_position(hot, key, order, descending=descending, out=out,
-                                     small_key_count=cold is not None, cfg=cfg))
+                                     small_key_count=cold is not None, cfg=cfg, rows=split.hot_rows))
     return _union(parts)
 
 
@@ -227,14 +250,15 @@ def carry_forward(df: DataFrame, key, order, value: str | Column, out: str, *,
     cfg = current_skew(cfg)
     key, order = _as_list(key), _as_list(order)
     v = F.col(value) if isinstance(value, str) else value
-    cold, hot = split_hot_keys(df, key, cfg)
+    split = split_hot_keys(df, key, cfg)
+    cold, hot = split.cold, split.hot
     parts = []
     if cold is not None:
         w = (Window.partitionBy(*key).orderBy(*_order_exprs(order, False))
              .rowsBetween(Window.unboundedPreceding, 0))
         parts.append(cold.withColumn(out, F.last(v, ignorenulls=True).over(w)))
     if hot is not None:
-        r = _chunked(global_position(hot, key, order, small_key_count=cold is not None, cfg=cfg), cfg.chunk_rows)
+        r = _chunked(global_position(hot, key, order, small_key_count=cold is not None, cfg=cfg, rows=split.hot_rows), cfg.chunk_rows)
         r = r.withColumn("_sq_v", v)
         wl = (Window.partitionBy(*key, _CHUNK).orderBy(_RANK)
               .rowsBetween(Window.unboundedPreceding, 0))
@@ -420,7 +444,8 @@ def clamped_affine_scan(df: DataFrame, key, order, *, a: Column, b: Column,
     """
     cfg = current_skew(cfg)
     key, order = _as_list(key), _as_list(order)
-    cold, hot = split_hot_keys(df, key, cfg)
+    split = split_hot_keys(df, key, cfg)
+    cold, hot = split.cold, split.hot
     maps = [a.cast("double").alias("_sq_a"), b.cast("double").alias("_sq_b"),
             a_first.cast("double").alias("_sq_a1"), b_first.cast("double").alias("_sq_b1"),
             F.lit(lo).cast("double").alias("_sq_lo"), F.lit(hi).cast("double").alias("_sq_hi")]
@@ -430,7 +455,8 @@ def clamped_affine_scan(df: DataFrame, key, order, *, a: Column, b: Column,
         r = _replay(cold.select("*", *maps), key, order, "_sq_x", None)
         parts.append(r.drop(*helper))
     if hot is not None:
-        p = global_position(hot, key, order, out="_sq_pos", small_key_count=cold is not None, cfg=cfg)
+        p = global_position(hot, key, order, out="_sq_pos", small_key_count=cold is not None, cfg=cfg,
+                            rows=split.hot_rows)
         first = F.col("_sq_pos") == 1
         m = p.select("*", *maps)
         m = (m.withColumn("_sq_a", F.when(first, F.col("_sq_a1")).otherwise(F.col("_sq_a")))

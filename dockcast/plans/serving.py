@@ -50,7 +50,10 @@ def serve_forecast(requested: DataFrame, stations: DataFrame, forecasts: DataFra
     stale = serve.stale_ids(requested, forecasts, "station_id", "run_ts", as_of, minutes)
     feats = features.join(stale, "station_id", "left_semi")
     incoming = new_forecasts(feats, m, run_ts=as_of)
-    to_insert = serve.insert_ignore(forecasts, incoming, ["station_id", "relative_ts", "run_ts"])
+    # every new row has run_ts = as_of, so only table rows of that run can
+    # conflict: the filter reaches the scan instead of anti-joining history
+    same_run = forecasts.filter(F.col("run_ts") == F.lit(as_of).cast("timestamp"))
+    to_insert = serve.insert_ignore(same_run, incoming, ["station_id", "relative_ts", "run_ts"])
     state = forecasts.unionByName(to_insert)
     fresh = (serve.filter_fresh(state, "run_ts", as_of, minutes)
                   .join(requested.select("station_id").distinct(), "station_id", "left_semi"))

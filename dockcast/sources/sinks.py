@@ -18,9 +18,13 @@ def write_layer(df: DataFrame, path: str, *, ts: str = "extraction_ts", mode: st
 
     ``mode='overwrite'`` replaces only the dates present in ``df`` (dynamic
     partition overwrite), which is what re-processing a range needs. Rows
-    are sorted inside each file only (no global sort)."""
+    are sorted inside each file only."""
     out = df if DATE_PART in df.columns else df.withColumn(DATE_PART, F.to_date(F.col(ts)))
-    out = out.repartition(DATE_PART).sortWithinPartitions(DATE_PART, *sort_by)
+    # range partitioning on (date, sort keys): a day is spread over as many
+    # tasks as its size needs (never one task per day), each task writes a
+    # few date folders with files already in sort order
+    keys = [DATE_PART, *[c for c in sort_by if c in out.columns]]
+    out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
     w = out.write.mode(mode).partitionBy(DATE_PART)
     if mode == "overwrite":
         w = w.option("partitionOverwriteMode", "dynamic")
