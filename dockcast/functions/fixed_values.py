@@ -82,6 +82,11 @@ WEATHER_ZONES = [
     ("PingDong", 22.67, 120.48),
 ]
 
+# Timestamp text formats (Spark datetime patterns) — run
+# stamps in file names, and timestamps as the SQL store receives them.
+FILE_TS_FORMAT = "yyyy-MM-dd_HH:mm:ss"
+DB_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+
 # Operating constants.
 LOCAL_TZ = "Asia/Taipei"
 STALE_DAYS = 8               # snapshots updated before midnight of today − 8 days are stale

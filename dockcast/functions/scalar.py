@@ -112,6 +112,17 @@ def relative_day_text(ts, days: int, fmt: str = "yyyy-MM-dd") -> Column:
     return F.date_format(F.date_sub(F.to_date(col(ts)), days), fmt)
 
 
+def ts_text(ts, fmt: str) -> Column:
+    """Timestamp → text in a fixed format (see ``fixed_values``)."""
+    return F.date_format(col(ts), fmt)
+
+
+def parse_ts(text, fmt: str, ntz: bool = True) -> Column:
+    """Text in a fixed format → timestamp (null when it does not parse)."""
+    f = F.try_to_timestamp(col(text), F.lit(fmt))
+    return f.cast("timestamp_ntz") if ntz else f
+
+
 def epoch_seconds_to_ts(c) -> Column:
     return F.timestamp_seconds(col(c))
 

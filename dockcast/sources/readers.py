@@ -98,7 +98,8 @@ def scan_latest_file(df: DataFrame) -> DataFrame:
 
 def run_ts_from_path(pattern: str = r"(\d{4}-\d{2}-\d{2}_\d{2}:\d{2}:\d{2})") -> Column:
     """Run timestamp parsed out of the source file name."""
-    return F.to_timestamp(F.regexp_extract(F.col("_metadata.file_path"), pattern, 1), "yyyy-MM-dd_HH:mm:ss")
+    from dockcast.functions.fixed_values import FILE_TS_FORMAT
+    return F.to_timestamp(F.regexp_extract(F.col("_metadata.file_path"), pattern, 1), FILE_TS_FORMAT)
 
 
 def hourly_landing(df: DataFrame, key: str, order: Sequence[str], value: str, *, start: str,
