@@ -40,7 +40,14 @@ from dockcast.session import cut_lineage, row_count_at_most, ship_package, shuff
 
 @dataclass(frozen=True)
 class SkewConfig:
-    hot_rows: int = 1 << 22        # a key with more rows is split
+    """When a key counts as hot, and how the split path is cut.
+
+    A key is hot when its rows exceed both ``hot_rows`` and ``hot_share`` ×
+    (all rows / shuffle partitions): alone it would be more than an even
+    partition's share of the work, i.e. a straggler.
+    """
+    hot_rows: int = 1 << 14        # floor: keys with at most this many rows are never split
+    hot_share: float = 1.0         # fraction of an even partition share above which a key is hot
     chunk_rows: int = 1 << 16      # positions per chunk on the split path
     max_hot_keys: int = 100_000    # bound for broadcasting the hot-key list
     materialize: str = "persist"   # or "checkpoint" (shared checkpoint folder)
@@ -105,6 +112,12 @@ class KeySplit:
         return iter((self.cold, self.hot))
 
 
+def hot_threshold(spark, total_rows: int, cfg: SkewConfig) -> int:
+    """Rows above which one key is split (see ``SkewConfig``)."""
+    share = int(total_rows * cfg.hot_share / max(shuffle_partitions(spark), 1))
+    return max(cfg.hot_rows, share)
+
+
 def split_hot_keys(df: DataFrame, key: Sequence[str], cfg: SkewConfig | None = None) -> KeySplit:
     """Cold rows and hot rows; either may be None when empty.
 
@@ -114,11 +127,14 @@ def split_hot_keys(df: DataFrame, key: Sequence[str], cfg: SkewConfig | None = N
     cfg = current_skew(cfg)
     key = list(key)
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_sq_n"))
-    hot_counts = counts.filter(F.col("_sq_n") > F.lit(cfg.hot_rows))
+    top = counts.agg(F.sum("_sq_n").alias("total"), F.max("_sq_n").alias("top")).first()  # one row
+    total, largest = int(top["total"] or 0), int(top["top"] or 0)
+    threshold = hot_threshold(df.sparkSession, total, cfg)
+    if largest <= threshold:  # the common case ends here, after one job
+        return KeySplit(df, None, 0)
+    hot_counts = counts.filter(F.col("_sq_n") > F.lit(threshold))
     stats = hot_counts.agg(F.count(F.lit(1)).alias("k"), F.sum("_sq_n").alias("rows")).first()  # one row
     n_hot, hot_total = int(stats["k"]), int(stats["rows"] or 0)
-    if n_hot == 0:
-        return KeySplit(df, None, 0)
     if n_hot > cfg.max_hot_keys:
         return KeySplit(None, df, hot_total)
     hk = F.broadcast(hot_counts.select(*key))  # bounded by max_hot_keys (checked above); null keys match too

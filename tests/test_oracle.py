@@ -48,7 +48,7 @@ def test_split_path_matches_oracle(spark):
     (range-numbered, chunked) path must give identical results."""
     import oracle_check
     from dockcast.operators import sequence as sq
-    with sq.skew_config(sq.SkewConfig(hot_rows=8, chunk_rows=16, max_hot_keys=1_000_000)):
+    with sq.skew_config(sq.SkewConfig(hot_rows=8, hot_share=0.0, chunk_rows=16, max_hot_keys=1_000_000)):
         res = oracle_check.compare(spark, SF01, SEQUENCE_QUERIES)
     bad = {k: why for k, (ok, why) in res.items() if not ok}
     assert not bad, bad

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from dockcast.operators import sequence as sq
 
 # Tiny thresholds force every key of the fixture through the chunked path.
-HOT = sq.SkewConfig(hot_rows=5, chunk_rows=7, max_hot_keys=10_000)
+HOT = sq.SkewConfig(hot_rows=5, hot_share=0.0, chunk_rows=7, max_hot_keys=10_000)
 PLAIN = sq.SkewConfig()
 
 
@@ -41,8 +41,8 @@ def test_row_frames_hot_equals_plain(events):
                 "m": F.avg("value").over(w.rowsBetween(-11, 0)),
                 "n": F.count("value").over(w.rowsBetween(-11, 0))}
     a = sq.row_frames(events, "user_id", ["ts", "event_id"], build, preceding=11, following=3,
-                      cfg=sq.SkewConfig(hot_rows=5, chunk_rows=11, max_hot_keys=10_000))
-    HOT2 = sq.SkewConfig(hot_rows=5, chunk_rows=16, max_hot_keys=10_000)
+                      cfg=sq.SkewConfig(hot_rows=5, hot_share=0.0, chunk_rows=11, max_hot_keys=10_000))
+    HOT2 = sq.SkewConfig(hot_rows=5, hot_share=0.0, chunk_rows=16, max_hot_keys=10_000)
     b = sq.row_frames(events, "user_id", ["ts", "event_id"], build, preceding=11, following=3, cfg=PLAIN)
     cols = ["event_id", "lag3", "fwd3", "m", "n"]
     _close(_rows(a, cols), _rows(b, cols))
@@ -89,7 +89,7 @@ def test_affine_scan_matches_python_loop(events):
 
 def test_affine_scan_multilevel_recursion(events):
     """hot_rows=2, chunk_rows=4: ~67-row keys → 17 chunks → 5 → 2, three levels."""
-    deep = sq.SkewConfig(hot_rows=2, chunk_rows=4, max_hot_keys=10_000)
+    deep = sq.SkewConfig(hot_rows=2, hot_share=0.0, chunk_rows=4, max_hot_keys=10_000)
     kw = dict(a=F.lit(0.9), b=F.lit(-0.02) + F.lit(0.05) * (F.col("event_id") % 2),
               a_first=F.lit(0.0), b_first=F.col("value") / 100 * 0.9 - 0.02, lo=0.0)
     small = events.filter(F.col("user_id") < 6)
@@ -119,7 +119,7 @@ def test_compose_is_associative():
 def test_null_key_rows_survive_split_path(spark):
     rows = [(None if i % 3 == 0 else i % 2, i, float(i)) for i in range(60)]
     df = spark.createDataFrame(rows, "k long, t long, v double")
-    cfg = sq.SkewConfig(hot_rows=5, chunk_rows=6, max_hot_keys=100)
+    cfg = sq.SkewConfig(hot_rows=5, hot_share=0.0, chunk_rows=6, max_hot_keys=100)
 
     def build(w):
         return {"lag1": F.lag("v", 1).over(w), "m3": F.avg("v").over(w.rowsBetween(-2, 0))}
@@ -135,7 +135,7 @@ def test_null_key_rows_survive_split_path(spark):
 def test_affine_scan_null_key_is_one_group(spark):
     rows = [(None, i, 1.0) for i in range(5)] + [(1, i, 1.0) for i in range(3)]
     df = spark.createDataFrame(rows, "k long, t long, v double")
-    for cfg in (PLAIN, sq.SkewConfig(hot_rows=2, chunk_rows=2, max_hot_keys=100)):
+    for cfg in (PLAIN, sq.SkewConfig(hot_rows=2, hot_share=0.0, chunk_rows=2, max_hot_keys=100)):
         r = sq.clamped_affine_scan(df, "k", ["t"], a=F.lit(1.0), b=F.lit(1.0), a_first=F.lit(0.0),
                                    b_first=F.col("v"), out="x", cfg=cfg)
         got = sorted((row.k is None, row.t, row.x) for row in r.collect())
