@@ -47,56 +47,72 @@ def check_sums(df: DataFrame, identity: Column, bad: str = "bad", n: str = "n")
                   F.count(F.lit(1)).alias(n))
 
 
-def _numbered_values(df: DataFrame, column: str) -> tuple[DataFrame, int]:
-    v = df.select(col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    n = v.count()  # one number to the driver
-    # a constant key → all values form one series, numbered by range partitions
-    return sq.global_position(v.withColumn("_k", F.lit(0)), ["_k"], ["_v"], out="_p"), n
+# accuracy of the bracketing sketch: rank error ≤ n / QUANTILE_ACCURACY, so
+# each bracket holds about 4·n / QUANTILE_ACCURACY values
+QUANTILE_ACCURACY = 1_000_000
 
 
-def _quantile_aggs(n: int, qs: Sequence[float]) -> tuple[list[Column], list[Column]]:
-    """Picks for each quantile the two neighbouring order statistics by
-    position (type 7 interpolation, as quantile_cont)."""
-    aggs, outs = [], []
-    for i, q in enumerate(qs):
-        h = (n - 1) * float(q)
-        lo = int(h // 1) + 1
-        hi = min(lo + 1, n)
-        frac = h - (lo - 1)
-        aggs += [F.max(F.when(F.col("_p") == lo, F.col("_v"))).alias(f"_lo{i}"),
-                 F.max(F.when(F.col("_p") == hi, F.col("_v"))).alias(f"_hi{i}")]
-        outs.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.lit(frac)).alias(str(i)))
-    return aggs, outs
+def _positions(n: int, q: float) -> tuple[int, int, float]:
+    """1-based ranks of the two order statistics around quantile q and the
+    interpolation weight (type 7, as quantile_cont)."""
+    h = (n - 1) * float(q)
+    lo = int(h // 1) + 1
+    return lo, min(lo + 1, n), h - (lo - 1)
 
 
 def exact_quantiles(df: DataFrame, column: str, qs: Sequence[float]) -> DataFrame:
     """Exact interpolated quantiles (type 7, as quantile_cont), one row with
     columns "0", "1", …
 
-    Values are numbered globally by a range-partitioned sort (no task holds
-    more than its range); one aggregate then picks the order statistics at
-    the quantile positions. No value buffer is gathered in one task.
+    Two passes, no sort of the column and no value buffer that grows with
+    the table: (1) the count and, from a ``percentile_approx`` sketch, values
+    L ≤ x_(r) ≤ U bracketing each needed order statistic (the sketch's rank
+    error is at most n / accuracy, so asking for ranks r ∓ 2n/accuracy is
+    safe); (2) one aggregate counting the values below each L and collecting
+    the values inside [L, U] (about 4n/accuracy of them), where x_(r) is read
+    off by position.
     """
-    numbered, n = _numbered_values(df, column)
+    return _quantile_frame(df, column, qs, {})
+
+
+def _quantile_frame(df: DataFrame, column: str, qs: Sequence[float], extra: dict[str, Column]) -> DataFrame:
+    """One row: ``extra`` aggregates over ``df`` plus the exact quantiles
+    (columns "0", "1", …) of ``column``, nulls ignored."""
+    vv = col(column).cast("double")
+    n = int(df.agg(F.count(vv).alias("n")).first()["n"])  # pass 1a: a number
     if n == 0:
-        return df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(str(i)) for i in range(len(qs))])
-    aggs, outs = _quantile_aggs(n, qs)
-    return numbered.agg(*aggs).select(*outs)
+        nulls = [F.lit(None).cast("double").alias(str(i)) for i in range(len(qs))]
+        return df.agg(*[c.alias(k) for k, c in extra.items()], *nulls)
+    slack = 2.0 / QUANTILE_ACCURACY
+    ranks = sorted({r for q in qs for r in _positions(n, q)[:2]})
+    probes = []
+    for r in ranks:
+        p = (r - 1) / max(n - 1, 1)
+        probes += [max(p - slack, 0.0), min(p + slack, 1.0)]
+    approx = (df.agg(F.percentile_approx(vv, probes, QUANTILE_ACCURACY).alias("a"))
+                .first()["a"])  # pass 1b: 2 values per rank
+    aggs = [c.alias(k) for k, c in extra.items()]
+    for i, r in enumerate(ranks):
+        lo, hi = approx[2 * i], approx[2 * i + 1]
+        aggs.append(F.count_if(vv < F.lit(lo)).alias(f"_b{r}"))
+        aggs.append(F.array_sort(F.collect_list(F.when((vv >= F.lit(lo)) & (vv <= F.lit(hi)), vv))).alias(f"_w{r}"))
+    row = df.agg(*aggs)  # pass 2
+    pick = {r: F.element_at(F.col(f"_w{r}"), (F.lit(r) - F.col(f"_b{r}")).cast("int")) for r in ranks}
+    outs = []
+    for i, q in enumerate(qs):
+        lo_r, hi_r, frac = _positions(n, q)
+        outs.append((pick[lo_r] + (pick[hi_r] - pick[lo_r]) * F.lit(frac)).alias(str(i)))
+    return row.select(*extra, *outs)
 
 
 def describe(df: DataFrame, column: str, *, digits: int = 6) -> DataFrame:
-    """count, mean, std, min, quartiles, max of one column (exact quartiles),
-    all in one aggregate over the numbered values."""
-    numbered, n = _numbered_values(df, column)
-    if n == 0:
-        return df.agg(F.count(col(column)).alias("n"), *[F.lit(None).cast("double").alias(c)
-                      for c in ("mean", "std", "lo", "q1", "q2", "q3", "hi")])
-    aggs, outs = _quantile_aggs(n, [0.25, 0.5, 0.75])
-    v = F.col("_v")
-    row = numbered.agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-                       F.min(v).alias("lo"), F.max(v).alias("hi"), *aggs)
+    """count, mean, std, min, quartiles, max of one column (exact quartiles,
+    see ``exact_quantiles``); the moments ride along in the second pass."""
+    c = col(column).cast("double")
+    moments = {"n": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c), "lo": F.min(c), "hi": F.max(c)}
+    row = _quantile_frame(df, column, [0.25, 0.5, 0.75], moments)
     return row.select("n", F.round("mean", digits).alias("mean"), F.round("std", digits).alias("std"), "lo",
-                      *[F.round(o, digits).alias(f"q{i + 1}") for i, o in enumerate(outs)], "hi")
+                      *[F.round(F.col(str(i)), digits).alias(f"q{i + 1}") for i in range(3)], "hi")
 
 
 def group_mean(df: DataFrame, keys: Mapping[str, Column], value: Column, out: str, digits: int | None = 6) -> DataFrame:
