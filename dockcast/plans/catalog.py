@@ -524,6 +524,17 @@ def q_ts_text(spark, sf_dir):
                     fx.parse_ts(fx.ts_text("ts", DB_TS_FORMAT), DB_TS_FORMAT).alias("parsed"))
 
 
+def q_zone_rolling(spark, sf_dir):
+    """Zone-level series (few keys, each a large share of all rows): lag,
+    12-row mean and lead of the readings per zone. At scale every zone is a
+    hot key and takes the split path."""
+    e = _t(spark, sf_dir, "events")
+    spec = windows.FrameSpec().lag("lag3", "value", 3).rolling_mean("m12", "value", 12).lead("fwd3", "value", 3)
+    f = spec.apply(e, "event_type", ORDER)
+    return f.select("event_id", F.round("lag3", 6).alias("lag3"), F.round("m12", 6).alias("m12"),
+                    F.round("fwd3", 6).alias("fwd3"))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
@@ -609,5 +620,6 @@ ORACLE_SQL.update({
     "relative_days": "select event_id, strftime(cast(ts as date) - interval 13 day, '%Y-%m-%d') start_day, strftime(cast(ts as date) - interval 7 day, '%Y-%m-%d') end_day from events",
     "filter_valid_eda": "select l_orderkey, l_linenumber from lineitem where l_returnflag is not null and not (l_returnflag is distinct from 'R' or l_quantity<5 or l_tax<0.01 or l_shipdate < timestamp '1996-01-01')",
     "ts_text": "select event_id, strftime(ts, '%Y-%m-%d_%H:%M:%S') file_ts, strftime(ts, '%Y-%m-%d %H:%M:%S') db_ts, date_trunc('second', ts) parsed from events",
+    "zone_rolling": "select event_id, round(lag(value,3) over w,6) lag3, case when count(value) over w12=12 then round(avg(value) over w12,6) end m12, round(lead(value,3) over w,6) fwd3 from events window w as (partition by event_type order by ts, event_id), w12 as (partition by event_type order by ts, event_id rows between 11 preceding and current row)",
     "training_features": _OBS + ", wx0 as (select event_type, date_trunc('hour',ts) h, avg(value) v from events group by all), wx as (select *, lead(v) over (partition by event_type order by h) v_fwd from wx0), f as (select o.*, lag(pct,3) over w lag3, case when count(pct) over w12 = 12 then avg(pct) over w12 end m12, lead(pct,3) over w fwd3 from obs o window w as (partition by user_id order by ts, event_id), w12 as (partition by user_id order by ts, event_id rows between 11 preceding and current row)) select f.event_id, round(f.pct,6) pct_full, month(f.ts) \"month\", isodow(f.ts)-1 day_of_week, hour(f.ts) \"hour\", round(lag3,6) lag3, round(m12,6) m12, round(wx.v,6) wx, round(wx.v_fwd,6) wx_fwd, round(f.pct-fwd3,6) chg from f left join wx on wx.event_type=f.event_type and wx.h=date_trunc('hour', f.ts) where lag3 is not null and m12 is not null and fwd3 is not null",
 })
