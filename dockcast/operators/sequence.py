@@ -133,11 +133,14 @@ def split_hot_keys(df: DataFrame, key: Sequence[str], cfg: SkewConfig | None = N
     if largest <= threshold:  # the common case ends here, after one job
         return KeySplit(df, None, 0)
     hot_counts = counts.filter(F.col("_sq_n") > F.lit(threshold))
-    stats = hot_counts.agg(F.count(F.lit(1)).alias("k"), F.sum("_sq_n").alias("rows")).first()  # one row
-    n_hot, hot_total = int(stats["k"]), int(stats["rows"] or 0)
-    if n_hot > cfg.max_hot_keys:
-        return KeySplit(None, df, hot_total)
-    hk = F.broadcast(hot_counts.select(*key))  # bounded by max_hot_keys (checked above); null keys match too
+    listed = hot_counts.limit(cfg.max_hot_keys + 1).collect()  # bounded: ≤ max_hot_keys + 1 rows
+    if len(listed) > cfg.max_hot_keys:
+        total_hot = int(hot_counts.agg(F.sum("_sq_n")).first()[0])
+        return KeySplit(None, df, total_hot)
+    hot_total = sum(int(r["_sq_n"]) for r in listed)
+    # the listed keys become a local relation: the plan does not aggregate again
+    schema = counts.select(*key).schema
+    hk = F.broadcast(df.sparkSession.createDataFrame([tuple(r[k] for k in key) for r in listed], schema))
     return KeySplit(_join_ns(df, hk, key, "left_anti"), _join_ns(df, hk, key, "left_semi"), hot_total)
 
 
