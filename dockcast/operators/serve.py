@@ -67,15 +67,31 @@ def insert_ignore_state(target: DataFrame, incoming: DataFrame, key: Sequence[st
 
 def pivot_horizons(df: DataFrame, key: str, horizon: str, value: str, horizons: Sequence,
                    names: Sequence[str] | None = None, agg: str = "avg", digits: int | None = 6,
-                   drop_incomplete: bool = False) -> DataFrame:
-    """Long (key, horizon, value) → wide (key, value per horizon). The value
-    list is given, so no extra job is run to discover it.
-    ``drop_incomplete`` keeps only keys with every horizon (inner-join form)."""
-    fn = getattr(F, agg)
-    wide = df.groupBy(key).pivot(horizon, list(horizons)).agg(fn(col(value)))
+                   drop_incomplete: bool = False, latest_by: str | None = None) -> DataFrame:
+    """Long (key, horizon, value) → wide (key, value per horizon).
+
+    The horizon values are given, so the pivot is one partially aggregated
+    ``groupBy(key)`` with a conditional aggregate per horizon (``pivot()``
+    would first aggregate by (key, horizon): a second shuffle).
+    ``drop_incomplete`` keeps only keys with every horizon (inner-join form).
+    ``latest_by`` takes, per key and horizon, the value of the row with the
+    greatest ``latest_by`` (e.g. the newest forecast run) instead of ``agg``.
+    """
     names = list(names) if names else [str(h) for h in horizons]
-    out = wide.select(key, *[(F.round(F.col(f"`{h}`"), digits) if digits is not None else F.col(f"`{h}`")).alias(n)
-                             for h, n in zip(horizons, names)])
+    v, h = col(value), col(horizon)
+
+    def one(hv):
+        picked = F.when(h == F.lit(hv), v)
+        if latest_by is not None:
+            return F.max(F.when(h == F.lit(hv), F.struct(col(latest_by).alias("o"), v.alias("v"))))["v"]
+        if agg == "first":
+            return F.first(picked, ignorenulls=True)
+        return getattr(F, agg)(picked)
+    aggs = []
+    for hv, n in zip(horizons, names):
+        a = one(hv)
+        aggs.append((F.round(a, digits) if digits is not None else a).alias(n))
+    out = df.groupBy(key).agg(*aggs)
     return out.dropna(subset=names) if drop_incomplete else out
 
 

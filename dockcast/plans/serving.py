@@ -61,11 +61,12 @@ def serve_forecast(requested: DataFrame, stations: DataFrame, forecasts: DataFra
 
 
 def wide_forecast(forecasts: DataFrame, horizons: Sequence[int] = (0, 1)) -> DataFrame:
-    """One row per station: ``fill_rate_t+i`` per horizon, only stations
-    with every horizon (as the chain of inner joins gave)."""
+    """One row per station: ``fill_rate_t+i`` per horizon from the newest
+    run holding it, only stations with every horizon (as the chain of inner
+    joins gave)."""
     names = ["fill_rate" if h == 0 else f"fill_rate_t+{h}" for h in horizons]
     return serve.pivot_horizons(forecasts, "station_id", "relative_ts", "fill_rate", list(horizons), names,
-                                agg="first", digits=None, drop_incomplete=True)
+                                digits=None, drop_incomplete=True, latest_by="run_ts")
 
 
 def shortage_view(stations: DataFrame, forecasts: DataFrame, *, city: str | None = None, k: int = 10):

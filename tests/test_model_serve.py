@@ -138,8 +138,10 @@ def test_serve_forecast_flow(spark):
     assert shown[0]["Now"] == "40%"
 
 
-def test_pivot_drop_incomplete(spark):
-    df = spark.createDataFrame([(1, 0, 0.5), (1, 1, 0.6), (2, 0, 0.2)], "station_id int, relative_ts int, fill_rate double")
+def test_pivot_drop_incomplete_newest_run(spark):
+    t1, t2 = datetime(2024, 1, 1, 10, 0), datetime(2024, 1, 1, 10, 3)
+    df = spark.createDataFrame([(1, 0, 0.4, t1), (1, 0, 0.5, t2), (1, 1, 0.6, t2), (2, 0, 0.2, t2)],
+                               "station_id int, relative_ts int, fill_rate double, run_ts timestamp")
     w = serving.wide_forecast(df)
     assert [tuple(r) for r in w.collect()] == [(1, 0.5, 0.6)]
 
