@@ -298,6 +298,39 @@ def carry_forward(df: DataFrame, key, order, value: str | Column, out: str, *,
     return _union(parts)
 
 
+def prefix_sums(df: DataFrame, key, order, sums: dict[str, Column], *,
+                cfg: SkewConfig | None = None) -> DataFrame:
+    """Running (inclusive) sums per key in ``order``: {out: value column}.
+
+    Split path: sums inside each chunk, plus the total of all earlier chunks
+    from a window over the chunk table (rows / chunk_rows per key).
+    """
+    cfg = current_skew(cfg)
+    key, order = _as_list(key), _as_list(order)
+    split = split_hot_keys(df, key, cfg)
+    cold, hot = split.cold, split.hot
+    parts = []
+    if cold is not None:
+        w = (Window.partitionBy(*key).orderBy(*_order_exprs(order, False))
+             .rowsBetween(Window.unboundedPreceding, 0))
+        parts.append(cold.select("*", *[F.sum(c).over(w).alias(o) for o, c in sums.items()]))
+    if hot is not None:
+        r = _chunked(global_position(hot, key, order, small_key_count=cold is not None, cfg=cfg,
+                                     rows=split.hot_rows), cfg.chunk_rows)
+        r = r.select("*", *[c.alias(f"_sq_s_{o}") for o, c in sums.items()])
+        wl = (Window.partitionBy(*key, _CHUNK).orderBy(_RANK)
+              .rowsBetween(Window.unboundedPreceding, 0))
+        r = r.select("*", *[F.sum(f"_sq_s_{o}").over(wl).alias(f"_sq_l_{o}") for o in sums])
+        tot = r.groupBy(*key, _CHUNK).agg(*[F.sum(f"_sq_s_{o}").alias(f"_sq_t_{o}") for o in sums])
+        wc = Window.partitionBy(*key).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        before = tot.select(*key, _CHUNK, *[F.coalesce(F.sum(f"_sq_t_{o}").over(wc), F.lit(0)).alias(f"_sq_b_{o}")
+                                            for o in sums])
+        r = _join_ns(r, before, key + [_CHUNK], "left")
+        parts.append(r.select(*[c for c in hot.columns],
+                              *[(F.col(f"_sq_l_{o}") + F.col(f"_sq_b_{o}")).alias(o) for o in sums]))
+    return _union(parts)
+
+
 # ---------------------------------------------------------------------------
 # Sequential recurrence x_n = clamp(a_n * x_{n-1} + b_n, lo, hi)
 #

@@ -107,26 +107,44 @@ def series_position(df: DataFrame, key, order, out: str = "position", cfg=None)
 
 
 def time_rolling_mean(df: DataFrame, key, ts: str, value, seconds: int, out: str, *,
-                      chunk_seconds: int = 86_400) -> DataFrame:
-    """Time-based twin of the rolling mean: mean of the rows of the same key
-    with ts − ``seconds`` ≤ t ≤ ts (a RANGE frame, for irregular spacing).
-
-    A plain RANGE window puts a whole key in one task, so the series is cut
-    into ``chunk_seconds`` time chunks: rows in the last ``seconds`` of a
-    chunk are copied into the next chunk as halo, and the window runs per
-    (key, chunk) — exact, since no frame reaches back further than one chunk.
+                      tie: Sequence[str], cfg: sq.SkewConfig | None = None) -> DataFrame:
+    """Time-based twin of the rolling mean: per key, the mean of the
+    non-null ``value`` of all rows with ts − ``seconds`` ≤ t ≤ ts (a RANGE
+    frame, for irregular snapshot spacing). ``tie`` makes rows unique
+    within a key.
+
+    Cold keys: a plain RANGE window. Hot keys: the frame mean is a difference
+    of running sums, S(≤ ts) − S(< ts − W), read at two probe rows merged
+    into the key's series (one sorting before the rows at ts − W, one after
+    the rows at ts); running sums come from ``sequence.prefix_sums``, which
+    never holds a key in one task.
     """
-    if seconds > chunk_seconds:
-        raise ValueError("chunk_seconds must cover the frame")
+    cfg = sq.current_skew(cfg)
     keys = [key] if isinstance(key, str) else list(key)
+    tie = list(tie)
+    width = seconds * 1_000_000
     us = F.unix_micros(col(ts).cast("timestamp"))
-    width, span = seconds * 1_000_000, chunk_seconds * 1_000_000
-    d = df.withColumn("_tr_us", us).withColumn("_tr_c", F.floor(F.col("_tr_us") / F.lit(span)).cast("long"))
-    nxt = F.when(F.col("_tr_us") >= (F.col("_tr_c") + 1) * F.lit(span) - F.lit(width),
-                 F.struct((F.col("_tr_c") + 1).alias("c"), F.lit(True).alias("h")))
-    home = F.struct(F.col("_tr_c").alias("c"), F.lit(False).alias("h"))
-    d = (d.withColumn("_tr_t", F.explode(F.filter(F.array(home, nxt), lambda x: x.isNotNull())))
-          .withColumn("_tr_c", F.col("_tr_t.c")).withColumn("_tr_h", F.col("_tr_t.h")).drop("_tr_t"))
-    w = Window.partitionBy(*keys, "_tr_c").orderBy("_tr_us").rangeBetween(-width, 0)
-    return (d.withColumn(out, F.avg(col(value)).over(w))
-             .filter(~F.col("_tr_h")).drop("_tr_us", "_tr_c", "_tr_h"))
+    split = sq.split_hot_keys(df, keys, cfg)
+    parts = []
+    if split.cold is not None:
+        w = Window.partitionBy(*keys).orderBy(us).rangeBetween(-width, 0)
+        parts.append(split.cold.withColumn(out, F.avg(col(value)).over(w)))
+    if split.hot is not None:
+        hot = split.hot
+        v = col(value).cast("double")
+        base = hot.select(*keys, *tie, us.alias("_tr_t"), F.coalesce(v, F.lit(0.0)).alias("_tr_v"),
+                          F.when(v.isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias("_tr_c"))
+        zero = [F.lit(0.0).alias("_tr_v"), F.lit(0).alias("_tr_c")]
+        data = base.select(*keys, *tie, "_tr_t", F.lit(1).alias("_tr_f"), "_tr_v", "_tr_c")
+        lo = base.select(*keys, *tie, (F.col("_tr_t") - F.lit(width)).alias("_tr_t"), F.lit(0).alias("_tr_f"), *zero)
+        hi = base.select(*keys, *tie, "_tr_t", F.lit(2).alias("_tr_f"), *zero)
+        series = data.unionByName(lo).unionByName(hi)
+        run = sq.prefix_sums(series, keys, ["_tr_t", "_tr_f", *tie],
+                             {"_tr_sv": F.col("_tr_v"), "_tr_sc": F.col("_tr_c")}, cfg=cfg)
+        probes = (run.filter(F.col("_tr_f") != 1)
+                     .groupBy(*keys, *tie)
+                     .agg(F.sum(F.when(F.col("_tr_f") == 2, F.col("_tr_sv")).otherwise(-F.col("_tr_sv"))).alias("_tr_s"),
+                          F.sum(F.when(F.col("_tr_f") == 2, F.col("_tr_sc")).otherwise(-F.col("_tr_sc"))).alias("_tr_n")))
+        means = probes.select(*keys, *tie, F.when(F.col("_tr_n") > 0, F.col("_tr_s") / F.col("_tr_n")).alias(out))
+        parts.append(sq._join_ns(hot, means, keys + tie))
+    return sq._union(parts)

@@ -444,7 +444,7 @@ def q_group_size(spark, sf_dir):
 
 def q_time_rolling_mean(spark, sf_dir):
     e = _t(spark, sf_dir, "events")
-    r = windows.time_rolling_mean(e, KEY, TS, "value", 7200, "m")
+    r = windows.time_rolling_mean(e, KEY, TS, "value", 7200, "m", tie=[TIE])
     return r.select("event_id", F.round("m", 6).alias("m"))
 
 

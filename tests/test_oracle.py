@@ -40,7 +40,7 @@ def test_entry_smoke(spark):
 SEQUENCE_QUERIES = ["lag_occupancy", "rolling_mean", "target_lead", "ffill", "tail_n", "lead_weather",
                     "null_profile", "union_horizons", "explode_hourly", "ridge_fit", "forecast_rows", "r2",
                     "recursive_forecast", "flagship_shortage", "training_features", "drop_na_features",
-                    "ridge_fit_station", "describe", "zone_rolling"]
+                    "ridge_fit_station", "describe", "zone_rolling", "time_rolling_mean"]
 
 
 def test_split_path_matches_oracle(spark):

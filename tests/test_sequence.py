@@ -140,3 +140,10 @@ def test_affine_scan_null_key_is_one_group(spark):
                                    b_first=F.col("v"), out="x", cfg=cfg)
         got = sorted((row.k is None, row.t, row.x) for row in r.collect())
         assert got == sorted([(True, i, 1.0 + i) for i in range(5)] + [(False, i, 1.0 + i) for i in range(3)])
+
+
+def test_prefix_sums_hot_equals_plain(events):
+    sums = {"cs": F.col("value"), "cn": F.lit(1)}
+    a = sq.prefix_sums(events, "user_id", ["ts", "event_id"], sums, cfg=HOT)
+    b = sq.prefix_sums(events, "user_id", ["ts", "event_id"], sums, cfg=PLAIN)
+    _close(_rows(a, ["event_id", "cs", "cn"]), _rows(b, ["event_id", "cs", "cn"]))
