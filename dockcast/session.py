@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,30 +85,20 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
-_SHIPPED: set[str] = set()
-
-
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers of every executor.
+    """Make the Python code that runs inside executors travel with the task.
 
-    Operators that run Python on executors (``mapInPandas``/``applyInPandas``)
-    call this once per application: the package is zipped on the driver and
-    distributed with ``SparkContext.addPyFile`` (what ``--py-files`` does at
-    submit time), so workers never depend on the driver's working directory.
+    The operators whose functions run in Python workers (``mapInPandas``)
+    live in two modules; registering them with cloudpickle "by value" ships
+    their code inside the serialized task, so workers need neither the
+    package installed nor any file copied (no local folders involved).
+    On a cluster, installing the package or ``--py-files`` works as well.
     """
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _SHIPPED:
-        return
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    root = os.path.dirname(pkg)
-    out = os.path.join(tempfile.mkdtemp(prefix="dockcast-pyfiles-"), "dockcast.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for d, dirs, files in os.walk(pkg):
-            dirs[:] = [x for x in dirs if x != "__pycache__"]
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(d, f)
-                    z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(out)
-    _SHIPPED.add(app)
+    from pyspark import cloudpickle
+
+    from dockcast.operators import model, sequence
+    for mod in (sequence, model):
+        try:
+            cloudpickle.register_pickle_by_value(mod)
+        except ValueError:  # already registered
+            pass
