@@ -67,10 +67,6 @@ def _training(spark, sf_dir):
         "y", F.col("pct") - F.col("fwd3"))
 
 
-def _model(spark, sf_dir) -> model.RidgeModel:
-    return model.ridge_fit(_training(spark, sf_dir), ["pct"], "y", alpha=RIDGE_ALPHA)
-
-
 # --------------------------------------------------------------------------
 # scalar functions
 # --------------------------------------------------------------------------
@@ -326,14 +322,14 @@ def q_ridge_fit(spark, sf_dir):
 
 def q_forecast_rows(spark, sf_dir):
     t = _training(spark, sf_dir)
-    m = _model(spark, sf_dir)
+    m = model.ridge_fit(t, ["pct"], "y", alpha=RIDGE_ALPHA)  # fit and apply share one plan
     return model.forecast_fill(t, m, pct="pct", out="fill_rate").select(
         "event_id", F.round("fill_rate", 6).alias("fill_rate"))
 
 
 def q_r2(spark, sf_dir):
     t = _training(spark, sf_dir)
-    m = _model(spark, sf_dir)
+    m = model.ridge_fit(t, ["pct"], "y", alpha=RIDGE_ALPHA)
     return model.r2_score(model.predict(t, m, "yh"), "y", "yh").select(F.round("r2", 6).alias("r2"))
 
 
