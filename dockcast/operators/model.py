@@ -188,19 +188,23 @@ def split_label(ts: str | Column, split, train: str = "train", test: str = "test
     return F.when(col(ts) <= F.lit(split), F.lit(train)).otherwise(F.lit(test))
 
 
-def recursive_forecast(df: DataFrame, key, order, *, step_slope: Column, step_offset: Column,
+def recursive_forecast(df: DataFrame, key, order, *, step_slope: Column, step_offset,
                        first_value: Column, floor: float | None = 0.0, out: str = "forecast",
                        cfg: sq.SkewConfig | None = None) -> DataFrame:
     """Multi-step forecast that feeds its own output back, per station in
     time order: p_1 = max(floor, first_value), p_n = max(floor, slope_n·p_{n-1}
-    + offset_n). A linear model whose features include the previous fill is
+    + offset_n); ``step_offset`` may be a list of terms, added in order. A linear model whose features include the previous fill is
     exactly such a step (slope = 1 + weight of the fill, offset = the rest).
 
     Runs as a parallel scan (``sequence.clamped_affine_scan``): only each
     chunk of one station is sequential.
     """
     lo = float("-inf") if floor is None else float(floor)
-    return sq.clamped_affine_scan(df, key, order, a=step_slope, b=step_offset,
+    terms = list(step_offset) if isinstance(step_offset, (list, tuple)) else [step_offset]
+    rest = None
+    for t in terms[1:]:
+        rest = t if rest is None else rest + t
+    return sq.clamped_affine_scan(df, key, order, a=step_slope, b=terms[0], c=rest,
                                   a_first=F.lit(0.0), b_first=first_value, lo=lo, out=out, cfg=cfg)
 
 

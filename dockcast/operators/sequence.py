@@ -410,6 +410,7 @@ def _replay(df: DataFrame, group: list[str], order: list, out: str, start: str |
             b = pdf["_sq_b"].to_numpy("float64")
             a1 = pdf["_sq_a1"].to_numpy("float64")
             b1 = pdf["_sq_b1"].to_numpy("float64")
+            c = pdf["_sq_c"].to_numpy("float64") if "_sq_c" in pdf.columns else np.zeros(n)
             lo = pdf["_sq_lo"].to_numpy("float64")
             hi = pdf["_sq_hi"].to_numpy("float64")
             st = pdf[start].to_numpy("float64") if start else None
@@ -418,10 +419,12 @@ def _replay(df: DataFrame, group: list[str], order: list, out: str, start: str |
                 if new[i]:
                     x0 = st[i] if st is not None else 0.0
                     x = 0.0 if x0 != x0 else x0
-                    ai, bi = a1[i], b1[i]
+                    ai, bi, ci = a1[i], b1[i], 0.0
                 else:
-                    ai, bi = a[i], b[i]
+                    ai, bi, ci = a[i], b[i], c[i]
                 y = bi if ai == 0.0 else ai * x + bi
+                if ci != 0.0:
+                    y = y + ci  # second offset term added last, as written
                 x = y if y != y else min(max(y, lo[i]), hi[i])
                 res[i] = x
             prev_key = _key_of(pdf, group, n - 1)
@@ -483,13 +486,15 @@ def _scan(df: DataFrame, key: list[str], pos: str, cfg: SkewConfig, depth: int =
 
 
 def clamped_affine_scan(df: DataFrame, key, order, *, a: Column, b: Column,
-                        a_first: Column, b_first: Column,
+                        a_first: Column, b_first: Column, c: Column | None = None,
                         lo: float = float("-inf"), hi: float = float("inf"),
                         out: str = "x", cfg: SkewConfig | None = None) -> DataFrame:
     """Per key, in ``order``: x_1 = clamp(a_first·0 + b_first, lo, hi) (pass
     a_first = 0: the first row does not depend on a previous value),
-    x_n = clamp(a_n·x_{n-1} + b_n, lo, hi). A null b yields null from there
-    on (until a row whose a is 0).
+    x_n = clamp((a_n·x_{n-1} + b_n) + c_n, lo, hi). ``c`` is an optional
+    second offset added last, so the sequential replay performs the same
+    floating-point operations as the step written out. A null offset yields
+    null from there on (until a row whose a is 0).
 
     Keys up to ``hot_rows`` rows are replayed in one streaming pass over
     key-partitioned sorted rows; longer keys go through the chunked scan.
@@ -498,10 +503,12 @@ def clamped_affine_scan(df: DataFrame, key, order, *, a: Column, b: Column,
     key, order = _as_list(key), _as_list(order)
     split = split_hot_keys(df, key, cfg)
     cold, hot = split.cold, split.hot
+    c = F.lit(0.0) if c is None else c
     maps = [a.cast("double").alias("_sq_a"), b.cast("double").alias("_sq_b"),
             a_first.cast("double").alias("_sq_a1"), b_first.cast("double").alias("_sq_b1"),
+            c.cast("double").alias("_sq_c"),
             F.lit(lo).cast("double").alias("_sq_lo"), F.lit(hi).cast("double").alias("_sq_hi")]
-    helper = ["_sq_a", "_sq_b", "_sq_a1", "_sq_b1", "_sq_lo", "_sq_hi"]
+    helper = ["_sq_a", "_sq_b", "_sq_a1", "_sq_b1", "_sq_c", "_sq_lo", "_sq_hi"]
     parts = []
     if cold is not None:
         r = _replay(cold.select("*", *maps), key, order, "_sq_x", None)
@@ -512,7 +519,8 @@ def clamped_affine_scan(df: DataFrame, key, order, *, a: Column, b: Column,
         first = F.col("_sq_pos") == 1
         m = p.select("*", *maps)
         m = (m.withColumn("_sq_a", F.when(first, F.col("_sq_a1")).otherwise(F.col("_sq_a")))
-              .withColumn("_sq_b", F.when(first, F.col("_sq_b1")).otherwise(F.col("_sq_b"))))
+              .withColumn("_sq_b", F.when(first, F.col("_sq_b1"))
+                          .otherwise(F.col("_sq_b") + F.col("_sq_c"))))
         xs = _scan(m.select(*key, "_sq_pos", *_MAP_COLS), key, "_sq_pos", cfg)
         parts.append(_join_ns(p, xs, key + ["_sq_pos"]).drop("_sq_pos"))
     return (_union(parts)

@@ -345,7 +345,7 @@ def q_recursive_forecast(spark, sf_dir):
     o = observations(spark, sf_dir)
     r = model.recursive_forecast(
         o, KEY, ORDER, step_slope=F.lit(0.9),
-        step_offset=F.lit(-0.02) + F.lit(0.05) * (F.col("event_id") % 2),
+        step_offset=[F.lit(-0.02), F.lit(0.05) * (F.col("event_id") % 2)],
         first_value=F.col("pct") * 0.9 - 0.02, floor=0.0, out="p")
     return r.select("event_id", F.round("p", 6).alias("p"))
 
