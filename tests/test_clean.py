@@ -93,3 +93,15 @@ def test_schema_check_raises(spark):
         schemas.check_schema(df.withColumn("space", df.space.cast("int")), schemas.RAW_SNAPSHOT)
     with pytest.raises(schemas.SchemaMismatch, match="missing"):
         schemas.check_schema(df.drop("name"), schemas.RAW_SNAPSHOT, exact_count=False)
+
+
+def test_snapshot_profile(spark):
+    from dockcast.plans.profile import snapshot_profile
+    df = spark.createDataFrame(fixture_rows(), schemas.RAW_SNAPSHOT)
+    p = snapshot_profile(df)
+    assert p["space_identity"].first().n == len(fixture_rows())
+    assert p["nulls"].first()["city_nulls"] == 1
+    assert {r.n: r.groups for r in p["key_uniqueness"].collect()}[2] == 1  # id 12 twice in one snapshot
+    shared = p["shared_positions"].first()
+    assert shared.positions == 2 and shared.rows == 4  # ids 13/14 and the id-12 copies
+    assert p["fill_level"].first().n == len(fixture_rows())
