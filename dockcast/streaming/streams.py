@@ -82,6 +82,41 @@ def stream_clean(spark: SparkSession, raw_path: str, clean_path: str, checkpoint
     return for_each_batch(read_stream(spark, raw_path, schema), batch, checkpoint).start()
 
 
+def stream_clean_watermarked(stream: DataFrame, *, delay: str = "8 days") -> DataFrame:
+    """Clean snapshots in a stream whose snapshots may arrive split over
+    several micro-batches.
+
+    The validity rules are stateless (each row against its own extraction
+    day). The two per-snapshot de-duplications are watermarked streaming
+    aggregations keyed by ``extraction_ts`` — keep one row per 13-column
+    subset, then drop every position held twice in one snapshot — so a
+    snapshot is emitted (append mode) once the watermark has passed its
+    time, whatever the batch boundaries. Rows later than ``delay`` are
+    dropped by the watermark (the staleness cut-off).
+    """
+    from dockcast import schemas
+    from dockcast.functions import fixed_values as fv
+    from dockcast.functions.scalar import map_default
+    from dockcast.operators import clean
+    from dockcast.plans.snapshot import DEDUPE_ORDER, row_cutoff
+
+    s = as_event_time(stream, "extraction_ts").withWatermark("extraction_ts", delay)
+    valid = clean.filter_valid(s, schemas.REQUIRED_RAW, clean.station_rules(row_cutoff()))
+    sub = schemas.DUPLICATE_SUBSET
+    rest = DEDUPE_ORDER + [c for c in valid.columns if c not in sub and c not in DEDUPE_ORDER]
+    kept = (valid.groupBy(*sub).agg(F.min(F.struct(*rest)).alias("_r"))
+                 .select(*sub, *[F.col(f"_r.{c}").alias(c) for c in rest]))
+    pos = ["lat", "lng", "extraction_ts"]
+    others = [c for c in kept.columns if c not in pos]
+    single = (kept.groupBy(*pos)
+                  .agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*others)).alias("_r"))
+                  .filter(F.col("_n") == 1)
+                  .select(*pos, *[F.col(f"_r.{c}").alias(c) for c in others]))
+    named = (single.withColumn("city", map_default("city", fv.CITY_NAMES))
+                   .withColumn("area", map_default("area", fv.AREA_NAMES)))
+    return named.select(*[f.name for f in schemas.CLEAN_SNAPSHOT.fields])
+
+
 def stream_status(spark: SparkSession, snapshots: DataFrame, status_path: str, checkpoint: str, *,
                   key: str = "id", ts: str = "extraction_ts"):
     """Keep one status row per station: each batch's newest row per station
