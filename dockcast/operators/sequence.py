@@ -55,6 +55,7 @@ class SkewConfig:
 
 
 DEFAULT_SKEW = SkewConfig()
+MAX_BROADCAST_ROWS = 2_000_000  # broadcast bound for the offsets table
 _ACTIVE: list[SkewConfig] = [DEFAULT_SKEW]
 
 
@@ -132,11 +133,14 @@ def split_hot_keys(df: DataFrame, key: Sequence[str], cfg: SkewConfig | None = N
     threshold = hot_threshold(df.sparkSession, total, cfg)
     if largest <= threshold:  # the common case ends here, after one job
         return KeySplit(df, None, 0)
-    hot_counts = counts.filter(F.col("_sq_n") > F.lit(threshold))
-    listed = hot_counts.limit(cfg.max_hot_keys + 1).collect()  # bounded: ≤ max_hot_keys + 1 rows
-    if len(listed) > cfg.max_hot_keys:
-        total_hot = int(hot_counts.agg(F.sum("_sq_n")).first()[0])
-        return KeySplit(None, df, total_hot)
+    hot_counts = counts.filter(F.col("_sq_n") > F.lit(threshold)).persist()  # ≤ total / threshold rows
+    try:
+        listed = hot_counts.limit(cfg.max_hot_keys + 1).collect()  # bounded: ≤ max_hot_keys + 1 rows
+        if len(listed) > cfg.max_hot_keys:
+            total_hot = int(hot_counts.agg(F.sum("_sq_n")).first()[0])
+            return KeySplit(None, df, total_hot)
+    finally:
+        hot_counts.unpersist()
     hot_total = sum(int(r["_sq_n"]) for r in listed)
     # the listed keys become a local relation: the plan does not aggregate again
     schema = counts.select(*key).schema
@@ -183,8 +187,8 @@ def global_position(df: DataFrame, key: Sequence[str], order: Sequence, *,
     before = Window.partitionBy(*key).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offs = stats.select(*key, _PID, "_sq_min",
                         F.coalesce(F.sum("_sq_cnt").over(before), F.lit(0)).alias("_sq_off"))
-    if small_key_count:
-        offs = F.broadcast(offs)  # ≤ #partitions + max_hot_keys rows
+    if small_key_count and n + cfg.max_hot_keys <= MAX_BROADCAST_ROWS:
+        offs = F.broadcast(offs)  # ≤ #partitions + max_hot_keys rows, checked just above
     return (_join_ns(r, offs, key + [_PID])
              .withColumn(out, (F.col("_sq_off") + F.col(_LRN) - F.col("_sq_min") + 1).cast("long"))
              .drop(_PID, _LRN, "_sq_off", "_sq_min"))
