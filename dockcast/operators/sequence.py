@@ -127,23 +127,24 @@ def split_hot_keys(df: DataFrame, key: Sequence[str], cfg: SkewConfig | None = N
     """
     cfg = current_skew(cfg)
     key = list(key)
-    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_sq_n"))
-    top = counts.agg(F.sum("_sq_n").alias("total"), F.max("_sq_n").alias("top")).first()  # one row
-    total, largest = int(top["total"] or 0), int(top["top"] or 0)
-    threshold = hot_threshold(df.sparkSession, total, cfg)
-    if largest <= threshold:  # the common case ends here, after one job
-        return KeySplit(df, None, 0)
-    hot_counts = counts.filter(F.col("_sq_n") > F.lit(threshold)).persist()  # ≤ total / threshold rows
+    # one row per key, read by up to three small jobs: computed once
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_sq_n")).persist()
     try:
+        top = counts.agg(F.sum("_sq_n").alias("total"), F.max("_sq_n").alias("top")).first()  # one row
+        total, largest = int(top["total"] or 0), int(top["top"] or 0)
+        threshold = hot_threshold(df.sparkSession, total, cfg)
+        if largest <= threshold:  # the common case ends here, after one job
+            return KeySplit(df, None, 0)
+        hot_counts = counts.filter(F.col("_sq_n") > F.lit(threshold))
         listed = hot_counts.limit(cfg.max_hot_keys + 1).collect()  # bounded: ≤ max_hot_keys + 1 rows
         if len(listed) > cfg.max_hot_keys:
             total_hot = int(hot_counts.agg(F.sum("_sq_n")).first()[0])
             return KeySplit(None, df, total_hot)
     finally:
-        hot_counts.unpersist()
+        counts.unpersist()
     hot_total = sum(int(r["_sq_n"]) for r in listed)
     # the listed keys become a local relation: the plan does not aggregate again
-    schema = counts.select(*key).schema
+    schema = df.select(*key).schema
     hk = F.broadcast(df.sparkSession.createDataFrame([tuple(r[k] for k in key) for r in listed], schema))
     return KeySplit(_join_ns(df, hk, key, "left_anti"), _join_ns(df, hk, key, "left_semi"), hot_total)
 
