@@ -2,7 +2,7 @@
 and the serving-table operators."""
 
 import math
-from datetime import datetime, timedelta
+from datetime import datetime
 
 import numpy as np
 import pytest
