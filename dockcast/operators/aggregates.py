@@ -171,7 +171,10 @@ def hash_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
     """Deterministic sample: keep rows whose integer key hashes below
     ``fraction`` of the 32-bit range (same rows on every run and engine;
     ``df.sample(fraction, seed)`` is the random form)."""
-    h = (col(key).cast("long") * F.lit(HASH_MULT)) % F.lit(HASH_RANGE)
+    # exact decimal arithmetic: id × constant would overflow 64 bits for ids
+    # above ~3.5e9 (an error under ANSI mode)
+    k = col(key).cast("decimal(20,0)")
+    h = (k * F.lit(HASH_MULT).cast("decimal(10,0)")) % F.lit(HASH_RANGE).cast("decimal(11,0)")
     return df.filter(h < F.lit(int(fraction * HASH_RANGE)))
 
 

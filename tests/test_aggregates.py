@@ -52,3 +52,10 @@ def test_hash_sample_is_deterministic(spark):
     a = {r.event_id for r in agg.hash_sample(e, "event_id", 0.1).collect()}
     b = {r.event_id for r in agg.hash_sample(e, "event_id", 0.1).collect()}
     assert a == b and 800 < len(a) < 1200
+
+
+def test_hash_sample_large_ids_do_not_overflow(spark):
+    big = spark.createDataFrame([(10**15 + i,) for i in range(2000)], "event_id long")
+    got = {r.event_id for r in agg.hash_sample(big, "event_id", 0.1).collect()}
+    want = {i for i in (10**15 + j for j in range(2000)) if (i * agg.HASH_MULT) % agg.HASH_RANGE < int(0.1 * agg.HASH_RANGE)}
+    assert got == want
