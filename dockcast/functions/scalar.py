@@ -169,7 +169,9 @@ def reconstruct_fill(pct, change, mode: str = "serving") -> Column:
 
 
 def json_int_field(c, field: str) -> Column:
-    return F.get_json_object(col(c), f"$.{field}").cast("int")
+    """Integer field of a JSON text column; a malformed value gives null
+    (one bad record must not fail a job over the whole table)."""
+    return F.get_json_object(col(c), f"$.{field}").try_cast("int")
 
 
 def any_true(conds: list[Column]) -> Column:

@@ -126,7 +126,7 @@ def explode_hourly(landing: DataFrame, keep: Sequence[str], arrays: Sequence[str
     elements with time start + i·interval (the half-open range [start, end))."""
     z = F.arrays_zip(*[F.col(a) for a in arrays])
     e = landing.select(*keep, start, interval, F.posexplode(z).alias("_i", "_z"))
-    secs = (F.col("_i") * F.col(interval)).cast("decimal(18,6)")
+    secs = (F.col("_i").cast("long") * F.col(interval).cast("long")).cast("decimal(18,6)")
     return e.select(*keep, (F.col(start) + F.make_dt_interval(secs=secs)).alias(out),
                     *[F.col("_z").getField(a).alias(a) for a in arrays])
 
