@@ -62,7 +62,7 @@ def read_weather_csv(spark: SparkSession, path: str, tz: str = "Asia/Taipei") ->
     """Older weather history in CSV: one row per (datetime, lat, lng),
     timestamps converted from ``tz`` wall clock to instants."""
     df = spark.read.schema(schemas.WEATHER_CSV).option("header", True).csv(path)
-    df = df.withColumn("datetime", F.to_utc_timestamp(F.to_timestamp("datetime"), tz))
+    df = df.withColumn("datetime", F.to_utc_timestamp(F.try_to_timestamp(F.col("datetime")), tz))
     from dockcast.operators.clean import dedupe_first
     return dedupe_first(df, ["datetime", "lat", "lng"], [c for c in df.columns if c not in ("datetime", "lat", "lng")])
 
@@ -99,7 +99,7 @@ def scan_latest_file(df: DataFrame) -> DataFrame:
 def run_ts_from_path(pattern: str = r"(\d{4}-\d{2}-\d{2}_\d{2}:\d{2}:\d{2})") -> Column:
     """Run timestamp parsed out of the source file name."""
     from dockcast.functions.fixed_values import FILE_TS_FORMAT
-    return F.to_timestamp(F.regexp_extract(F.col("_metadata.file_path"), pattern, 1), FILE_TS_FORMAT)
+    return F.try_to_timestamp(F.regexp_extract(F.col("_metadata.file_path"), pattern, 1), F.lit(FILE_TS_FORMAT))
 
 
 def hourly_landing(df: DataFrame, key: str, order: Sequence[str], value: str, *, start: str,
