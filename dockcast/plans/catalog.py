@@ -610,7 +610,7 @@ ORACLE_SQL.update({
     "sample_rows": "select event_id from events where (event_id*2654435761) % 4294967296 < 214748364",
     "limit_ids": "select c_custkey from customer order by c_custkey limit 100",
     "union_by_name": "select o_orderkey okey, o_totalprice from orders union all by name select l_orderkey okey, l_quantity from lineitem",
-    "out_json": "select to_json({'user_id': user_id, 'n': count(*)}) json from events group by user_id",
+    "out_json": "select cast(to_json({'user_id': user_id, 'n': count(*)}) as varchar) json from events group by user_id",
     "ridge_fit_station": _F + " select user_id, round(w,6) w, round(my-w*mx,6) b from (select user_id, regr_sxy(pct-fwd3,pct)/(regr_sxx(pct-fwd3,pct)+1) w, avg(pct-fwd3) my, avg(pct) mx from f where fwd3 is not null and pct is not null group by user_id)",
     "tz_convert": "select event_id, (ts at time zone 'UTC') at time zone 'Asia/Taipei' local_ts from events",
     "relative_days": "select event_id, strftime(cast(ts as date) - interval 13 day, '%Y-%m-%d') start_day, strftime(cast(ts as date) - interval 7 day, '%Y-%m-%d') end_day from events",
