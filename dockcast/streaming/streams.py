@@ -119,19 +119,22 @@ def stream_clean_watermarked(stream: DataFrame, *, delay: str = "8 days") -> Dat
 
 def stream_status(spark: SparkSession, snapshots: DataFrame, status_path: str, checkpoint: str, *,
                   key: str = "id", ts: str = "extraction_ts"):
-    """Keep one status row per station: each batch's newest row per station
-    is upserted into the status table (written as a new table version)."""
+    """Keep one status row per station, the latest snapshot: each batch is
+    merged into the status table by key, the row with the later timestamp
+    winning (so a late batch never overwrites newer status), and written as
+    a new table version before it replaces the table."""
     from dockcast.operators.clean import dedupe_first
-    from dockcast.operators.serve import upsert
+
+    def latest(rows: DataFrame) -> DataFrame:
+        return dedupe_first(rows.withColumn("_neg", -F.unix_micros(F.col(ts).cast("timestamp"))),
+                            [key], ["_neg"]).drop("_neg")
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        newest = dedupe_first(df.withColumn("_neg", -F.unix_micros(F.col(ts).cast("timestamp"))),
-                              [key], ["_neg"]).drop("_neg")
         try:
             cur = spark.read.parquet(status_path)
-            state = upsert(cur, newest.select(*cur.columns), [key])
+            state = latest(cur.unionByName(df.select(*cur.columns)))
         except Exception:  # first batch: no table yet
-            state = newest
+            state = latest(df)
         state.write.mode("overwrite").parquet(f"{status_path}.v{batch_id}")
         spark.read.parquet(f"{status_path}.v{batch_id}").write.mode("overwrite").parquet(status_path)
     return for_each_batch(snapshots, batch, checkpoint).start()

@@ -140,9 +140,11 @@ def test_stream_staleness_drops_duplicates(spark, tmp_path):
 def test_stream_status_upserts(spark, tmp_path):
     t1, t2 = datetime(2024, 4, 17, 3, 0), datetime(2024, 4, 17, 3, 10)
     src = str(tmp_path / "snaps")
-    spark.createDataFrame([(1, 5, 5, t1), (2, 1, 9, t1), (1, 6, 4, t2)],
-                          "id long, full long, empty long, extraction_ts timestamp").write.parquet(src)
-    st = streams.read_stream(spark, src, "id long, full long, empty long, extraction_ts timestamp")
+    schema = "id long, full long, empty long, extraction_ts timestamp"
+    spark.createDataFrame([(1, 5, 5, t1), (2, 1, 9, t1), (1, 6, 4, t2)], schema).write.parquet(src)
+    # a later file carrying an older snapshot of station 1 must not win
+    spark.createDataFrame([(1, 0, 10, t1)], schema).write.mode("append").parquet(src)
+    st = streams.read_stream(spark, src, schema, max_files_per_trigger=1)
     out = str(tmp_path / "status")
     q = streams.stream_status(spark, st, out, str(tmp_path / "ck"))
     q.awaitTermination()
