@@ -5,6 +5,8 @@
 * ``stream_staleness``: the 8-day cut-off as a watermark, with duplicate
   rows dropped within it.
 * ``stream_occupancy_window``: 120-minute sliding mean per station.
+* ``stream_clean_watermarked``: snapshots split over micro-batches.
+* ``stream_forecasts``: the forecast service driven by status batches.
 
 Each streaming query uses the same DataFrame functions as its batch twin.
 """
@@ -138,3 +140,22 @@ def stream_status(spark: SparkSession, snapshots: DataFrame, status_path: str, c
         state.write.mode("overwrite").parquet(f"{status_path}.v{batch_id}")
         spark.read.parquet(f"{status_path}.v{batch_id}").write.mode("overwrite").parquet(status_path)
     return for_each_batch(snapshots, batch, checkpoint).start()
+
+
+def stream_forecasts(spark: SparkSession, status_stream: DataFrame, *, clean_layer: DataFrame,
+                     stations: DataFrame, zones: DataFrame, weather_latest: DataFrame, model_path: str,
+                     forecasts_path: str, checkpoint: str, available_now: bool = True):
+    """Continuous forecast service: every status micro-batch requests
+    forecasts for its stations, as of the batch's newest status time; fresh
+    forecasts are served from the table, the rest are computed and
+    insert-ignored (``plans.jobs.forecast``)."""
+    from dockcast.plans import jobs
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        as_of = df.agg(F.max("updated_at")).first()[0]
+        if as_of is None:
+            return
+        requested = df.select(F.col("id").cast("int").alias("station_id")).distinct()
+        jobs.forecast(spark, requested, df, clean_layer, stations, zones, weather_latest,
+                      model_path=model_path, forecasts_path=forecasts_path, as_of=as_of)
+    return for_each_batch(status_stream, batch, checkpoint, available_now).start()

@@ -71,3 +71,34 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert n == 1
     new = spark.read.parquet(st_path).filter(F.col("id") == 4).first()
     assert new.weather_zone_id == 1  # TaiBei
+
+
+def test_stream_forecasts_from_status_batches(spark, tmp_path):
+    from dockcast.streaming import streams
+    csv = tmp_path / "pull.csv"
+    _csv(csv, 48)
+    raw, clean = str(tmp_path / "raw"), str(tmp_path / "clean")
+    jobs.ingest_snapshot_csv(spark, str(csv), raw, clean, as_of="2024-04-15 12:00:00")
+    hours = 10
+    landing = spark.createDataFrame(
+        [(la, lo, EPOCH0, EPOCH0 + hours * 3600, 3600) + tuple([[float(h) for h in range(hours)]] * 9)
+         for _, la, lo in fv.WEATHER_ZONES], schemas.WEATHER_LANDING)
+    weather = jobs.land_weather(spark, landing, str(tmp_path / "weather"))
+    zones = spark.createDataFrame([(i + 1, n, float(la), float(lo)) for i, (n, la, lo) in enumerate(fv.WEATHER_ZONES)],
+                                  schemas.WEATHER_ZONE)
+    stations = spark.createDataFrame([(i, 25.0, 121.5, "TaiBeiShi", f"st{i}", "DaAnQu", 1, T0) for i in (1, 2, 3)],
+                                     schemas.BIKE_STATION)
+    layer = readers.read_snapshots(spark, clean)
+    jobs.retrain(spark, layer, stations, zones, weather, start="2024-04-15 00:00:00", end="2024-04-15 08:00:00",
+                 model_path=str(tmp_path / "model"))
+    src = str(tmp_path / "status_in")
+    newest = T0 + timedelta(minutes=470)
+    spark.createDataFrame([(i, 5, 15, newest) for i in (1, 2, 3)], schemas.STATION_STATUS).write.parquet(src)
+    q = streams.stream_forecasts(spark, streams.read_stream(spark, src, schemas.STATION_STATUS),
+                                 clean_layer=layer, stations=stations, zones=zones, weather_latest=weather,
+                                 model_path=str(tmp_path / "model"), forecasts_path=str(tmp_path / "fc"),
+                                 checkpoint=str(tmp_path / "ck"))
+    q.awaitTermination()
+    fc = spark.read.parquet(str(tmp_path / "fc"))
+    assert sorted({r.station_id for r in fc.collect()}) == [1, 2, 3]
+    assert fc.count() == 6
