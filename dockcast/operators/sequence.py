@@ -55,6 +55,16 @@ class SkewConfig:
 
 
 DEFAULT_SKEW = SkewConfig()
+_PERSISTED: list[DataFrame] = []  # numbered hot-key relations kept for lazy results
+
+
+def release_cached() -> int:
+    """Unpersist the relations the split path persisted; call after the
+    results built on them have been written (jobs do this themselves)."""
+    n = len(_PERSISTED)
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+    return n
 MAX_BROADCAST_ROWS = 2_000_000  # broadcast bound for the offsets table
 _ACTIVE: list[SkewConfig] = [DEFAULT_SKEW]
 
@@ -179,7 +189,11 @@ def global_position(df: DataFrame, key: Sequence[str], order: Sequence, *,
     r = (df.repartitionByRange(n, *ordered)
            .sortWithinPartitions(*ordered)
            .withColumn(_LRN, F.monotonically_increasing_id()))
-    r = cut_lineage(r) if cfg.materialize == "checkpoint" else r.persist(StorageLevel.MEMORY_AND_DISK)
+    if cfg.materialize == "checkpoint":
+        r = cut_lineage(r)
+    else:
+        r = r.persist(StorageLevel.MEMORY_AND_DISK)
+        _PERSISTED.append(r)
     r = r.withColumn(_PID, F.shiftright(F.col(_LRN), 33))
     stats = r.groupBy(*key, _PID).agg(F.min(_LRN).alias("_sq_min"), F.count(F.lit(1)).alias("_sq_cnt"))
     before = Window.partitionBy(*key).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dockcast import schemas
 from dockcast.operators import model, serve
+from dockcast.operators.sequence import release_cached
 from dockcast.plans import features as fp
 from dockcast.plans import serving, snapshot
 from dockcast.session import cut_lineage
@@ -57,6 +58,7 @@ def retrain(spark: SparkSession, clean_layer: DataFrame, stations: DataFrame, zo
     if test is not None:
         r2 = model.r2_score(model.predict(test, m, "_pred"), fp.TARGET_CHANGE, "_pred").first()["r2"]
     n = train.count()
+    release_cached()
     return TrainResult(m, r2, n)
 
 
@@ -78,6 +80,7 @@ def forecast(spark: SparkSession, requested: DataFrame, status: DataFrame, clean
     to_insert, _ = serving.serve_forecast(requested, stations, table, feats, m, as_of=as_of)
     # materialise (checkpoint folder) before appending to the table it was computed from
     cut_lineage(to_insert).write.mode("append").parquet(forecasts_path)
+    release_cached()
     state = spark.read.parquet(forecasts_path)
     fresh = (serve.filter_fresh(state, "run_ts", as_of)
                   .join(requested.select("station_id").distinct(), "station_id", "left_semi"))

@@ -79,8 +79,10 @@ def stream_clean(spark: SparkSession, raw_path: str, clean_path: str, checkpoint
     per-snapshot de-duplication needs whole snapshots, which a file brings)
     and appended to the clean layer partitioned by date."""
     def batch(df: DataFrame, batch_id: int) -> None:
+        from dockcast.operators.sequence import release_cached
         out = clean_fn(df).withColumn("extraction_date", F.to_date("extraction_ts"))
         out.write.mode("append").partitionBy("extraction_date").parquet(clean_path)
+        release_cached()
     return for_each_batch(read_stream(spark, raw_path, schema), batch, checkpoint).start()
 
 

@@ -147,3 +147,10 @@ def test_prefix_sums_hot_equals_plain(events):
     a = sq.prefix_sums(events, "user_id", ["ts", "event_id"], sums, cfg=HOT)
     b = sq.prefix_sums(events, "user_id", ["ts", "event_id"], sums, cfg=PLAIN)
     _close(_rows(a, ["event_id", "cs", "cn"]), _rows(b, ["event_id", "cs", "cn"]))
+
+
+def test_release_cached_unpersists_split_relations(events):
+    sq.release_cached()
+    sq.position(events, "user_id", ["ts", "event_id"], out="p", cfg=HOT).count()
+    assert sq.release_cached() >= 1
+    assert sq.release_cached() == 0
