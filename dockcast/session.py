@@ -85,6 +85,16 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
+def plan_text(df: DataFrame, mode: str = "formatted") -> str:
+    """The text ``df.explain(mode)`` prints, as a string (for plan checks)."""
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make the Python code that runs inside executors travel with the task.
 

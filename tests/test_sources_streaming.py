@@ -33,8 +33,8 @@ def test_layer_roundtrip_and_pruning(spark, tmp_path):
     back = readers.read_snapshots(spark, path)
     sel = readers.scan_time_range(back, "extraction_ts", "2024-04-11 00:00:00", "2024-04-12 00:00:00")
     assert sel.count() == 4
-    plan = sel._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(extraction_date" in plan
+    from dockcast.session import plan_text
+    assert "PartitionFilters: [isnotnull(extraction_date" in plan_text(sel)
     # re-process (oldest, newest] into a clean layer with dynamic overwrite
     clean_path = str(tmp_path / "clean")
     reprocess_range(spark, path, clean_path, "2024-04-10 03:00:00", "2024-04-12 03:00:00")
