@@ -153,3 +153,16 @@ def test_pivot_unpivot_identity(spark):
                                 ["h0", "h1", "h2"], agg="first", digits=None)
     back = serve.unpivot_horizons(wide, "station_id", {"h0": 0, "h1": 1, "h2": 2})
     assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
+
+
+def test_reconstruction_modes(spark):
+    """Serving formula pct + 1 + change (parity) vs the target's inverse
+    pct − change (``mode='consistent'``), both clipped to [0, 1]."""
+    from dockcast.functions.scalar import percent_text
+    feats = spark.createDataFrame([(1, datetime(2024, 1, 1), 0.6)], "station_id int, extraction_ts timestamp, pct_full double")
+    m = model.RidgeModel(["pct_full"], [0.0], -0.9)  # predicted change −0.9
+    serving_fill = model.forecast_fill(feats, m).first().fill_rate
+    consistent = model.forecast_fill(feats, m, mode="consistent").first().fill_rate
+    assert serving_fill == pytest.approx(0.7) and consistent == pytest.approx(1.0)
+    txt = spark.createDataFrame([(0.426,), (None,)], "x double").select(percent_text("x").alias("t")).collect()
+    assert [r.t for r in txt] == ["43%", None]
