@@ -201,6 +201,9 @@ def global_position(df: DataFrame, key: Sequence[str], order: Sequence, *,
                         F.coalesce(F.sum("_sq_cnt").over(before), F.lit(0)).alias("_sq_off"))
     if small_key_count and n + cfg.max_hot_keys <= MAX_BROADCAST_ROWS:
         offs = F.broadcast(offs)  # ≤ #partitions + max_hot_keys rows, checked just above
+    elif row_count_at_most(offs, MAX_BROADCAST_ROWS):
+        offs = F.broadcast(offs)  # many keys, but the offsets table is checked small
+    # otherwise a shuffle join on (key, partition): evenly spread, as partitions split keys
     return (_join_ns(r, offs, key + [_PID])
              .withColumn(out, (F.col("_sq_off") + F.col(_LRN) - F.col("_sq_min") + 1).cast("long"))
              .drop(_PID, _LRN, "_sq_off", "_sq_min"))
