@@ -154,3 +154,20 @@ def test_release_cached_unpersists_split_relations(events):
     sq.position(events, "user_id", ["ts", "event_id"], out="p", cfg=HOT).count()
     assert sq.release_cached() >= 1
     assert sq.release_cached() == 0
+
+
+def test_all_keys_hot_path(events):
+    """More hot keys than max_hot_keys: every row takes the split path
+    without a hot-key list; results equal the plain window."""
+    many = sq.SkewConfig(hot_rows=5, hot_share=0.0, chunk_rows=16, max_hot_keys=2)
+    split = sq.split_hot_keys(events, ["user_id"], many)
+    assert split.cold is None and split.hot is not None
+
+    def build(w):
+        return {"lag3": F.lag("value", 3).over(w), "m": F.avg("value").over(w.rowsBetween(-11, 0))}
+    a = sq.row_frames(events, "user_id", ["ts", "event_id"], build, preceding=11, cfg=many)
+    b = sq.row_frames(events, "user_id", ["ts", "event_id"], build, preceding=11, cfg=PLAIN)
+    _close(_rows(a, ["event_id", "lag3", "m"]), _rows(b, ["event_id", "lag3", "m"]))
+    p = sq.position(events, "user_id", ["ts", "event_id"], out="r", cfg=many)
+    q = sq.position(events, "user_id", ["ts", "event_id"], out="r", cfg=PLAIN)
+    assert _rows(p, ["event_id", "r"]) == _rows(q, ["event_id", "r"])
