@@ -46,7 +46,7 @@ class SkewConfig:
     (all rows / shuffle partitions): alone it would be more than an even
     partition's share of the work, i.e. a straggler.
     """
-    hot_rows: int = 1 << 14        # floor: keys with at most this many rows are never split
+    hot_rows: int = 1 << 20        # floor: smaller keys never pay for splitting (one task, ~1 s)
     hot_share: float = 1.0         # fraction of an even partition share above which a key is hot
     chunk_rows: int = 1 << 16      # positions per chunk on the split path
     max_hot_keys: int = 100_000    # bound for broadcasting the hot-key list

@@ -522,8 +522,8 @@ def q_ts_text(spark, sf_dir):
 
 def q_zone_rolling(spark, sf_dir):
     """Zone-level series (few keys, each a large share of all rows): lag,
-    12-row mean and lead of the readings per zone. At scale every zone is a
-    hot key and takes the split path."""
+    12-row mean and lead of the readings per zone. Once a zone passes the
+    hot-key floor (1 Mi rows) it takes the split path."""
     e = _t(spark, sf_dir, "events")
     spec = windows.FrameSpec().lag("lag3", "value", 3).rolling_mean("m12", "value", 12).lead("fwd3", "value", 3)
     f = spec.apply(e, "event_type", ORDER)

@@ -1,5 +1,5 @@
 """One station holding a third of all rows (derived from the sf0.1 events):
-the default config must detect it, split it, and give the plain result."""
+the share rule must detect it, split it, and give the plain result."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +9,9 @@ from dockcast.operators import windows
 
 SF1 = "/root/testdata/sf0.1"
 NEVER = sq.SkewConfig(hot_rows=10**15)          # plain windows only
-SMALL_CHUNKS = sq.SkewConfig(chunk_rows=1024)   # default detection, finer chunks
+# the default rule (share of an even partition) with a floor scaled down to
+# the 100k-row fixture, and finer chunks
+SCALED = sq.SkewConfig(hot_rows=1 << 14, chunk_rows=1024)
 
 
 @pytest.fixture(scope="module")
@@ -22,14 +24,14 @@ def _spec():
     return windows.FrameSpec().lag("lag3", "value", 3).rolling_mean("m12", "value", 12).lead("fwd3", "value", 3)
 
 
-def test_default_config_detects_the_hot_station(skewed):
-    split = sq.split_hot_keys(skewed, ["user_id"])
+def test_share_rule_detects_the_hot_station(skewed):
+    split = sq.split_hot_keys(skewed, ["user_id"], SCALED)
     assert split.hot is not None and split.hot_rows > skewed.count() // 3 - 10
     assert split.hot.select("user_id").distinct().collect()[0][0] == 0
 
 
 def test_split_equals_plain_and_spreads_the_hot_key(skewed):
-    a = _spec().apply(skewed, "user_id", ["ts", "event_id"], SMALL_CHUNKS)
+    a = _spec().apply(skewed, "user_id", ["ts", "event_id"], SCALED)
     b = _spec().apply(skewed, "user_id", ["ts", "event_id"], NEVER)
     cols = ["event_id", "lag3", "m12", "fwd3"]
     ra = a.select(*[F.round(c, 9).alias(c) if c != "event_id" else c for c in cols])
