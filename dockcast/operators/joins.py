@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockcast.functions.scalar import col, euclid, hour_floor
-from dockcast.operators.sequence import _PERSISTED as sq_registry
+from dockcast.operators.sequence import remember_persisted
 from dockcast.session import broadcast_if_bounded, row_count_at_most
 
 DIM_BROADCAST_ROWS = 1_000_000
@@ -127,8 +127,7 @@ def nearest_zone_grid(points: DataFrame, zones: DataFrame, *, point_id: str, px:
                        .agg(F.min(F.coalesce(F.col("_b"), F.col("_c"))).alias("_b0"), F.min("_c").alias("_c0"))
                        .withColumn("_b", F.least("_b0", "_c0")).drop("_b0", "_c0"))
         done = F.col("_b").isNotNull() & (F.col("_b.d") <= F.lit(r * cell))
-        pending = pending.persist()
-        sq_registry.append(pending)  # released by sequence.release_cached()
+        pending = remember_persisted(pending.persist())  # released by sequence.release_cached()
         settled.append(pending.filter(done).select(point_id, F.col("_b.z").alias(out)))
         pending = pending.filter(~done)
         if row_count_at_most(pending, 0):

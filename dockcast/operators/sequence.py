@@ -58,6 +58,13 @@ DEFAULT_SKEW = SkewConfig()
 _PERSISTED: list[DataFrame] = []  # numbered hot-key relations kept for lazy results
 
 
+def remember_persisted(df: DataFrame) -> DataFrame:
+    """Register a frame persisted for a lazy result, to be released by
+    ``release_cached`` once the result has been written."""
+    _PERSISTED.append(df)
+    return df
+
+
 def release_cached() -> int:
     """Unpersist the relations the split path persisted; call after the
     results built on them have been written (jobs do this themselves)."""
@@ -192,8 +199,7 @@ def global_position(df: DataFrame, key: Sequence[str], order: Sequence, *,
     if cfg.materialize == "checkpoint":
         r = cut_lineage(r)
     else:
-        r = r.persist(StorageLevel.MEMORY_AND_DISK)
-        _PERSISTED.append(r)
+        r = remember_persisted(r.persist(StorageLevel.MEMORY_AND_DISK))
     r = r.withColumn(_PID, F.shiftright(F.col(_LRN), 33))
     stats = r.groupBy(*key, _PID).agg(F.min(_LRN).alias("_sq_min"), F.count(F.lit(1)).alias("_sq_cnt"))
     before = Window.partitionBy(*key).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
