@@ -59,3 +59,19 @@ def test_hash_sample_large_ids_do_not_overflow(spark):
     got = {r.event_id for r in agg.hash_sample(big, "event_id", 0.1).collect()}
     want = {i for i in (10**15 + j for j in range(2000)) if (i * agg.HASH_MULT) % agg.HASH_RANGE < int(0.1 * agg.HASH_RANGE)}
     assert got == want
+
+
+def test_scan_range_boundaries_and_latest_ties(spark):
+    from datetime import datetime
+
+    from dockcast.operators import serve
+    from dockcast.sources import readers
+    ts = [datetime(2024, 1, 1, h) for h in (0, 1, 2, 3)] + [datetime(2024, 1, 1, 3)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ts)], "id int, ts timestamp")
+    left = readers.scan_time_range(df, "ts", "2024-01-01 01:00:00", "2024-01-01 03:00:00")
+    right = readers.scan_time_range(df, "ts", "2024-01-01 01:00:00", "2024-01-01 03:00:00", inclusive="right")
+    assert sorted(r.id for r in left.collect()) == [1, 2]            # [oldest, newest)
+    assert sorted(r.id for r in right.collect()) == [2, 3, 4]        # (oldest, newest]
+    assert sorted(r.id for r in agg.latest_rows(df, "ts").collect()) == [3, 4]  # ties at the max all kept
+    fresh = serve.filter_fresh(df, "ts", "2024-01-01 03:05:00", minutes=65)
+    assert sorted(r.id for r in fresh.collect()) == [3, 4]           # ts > as_of − 65 min, exclusive
