@@ -115,3 +115,19 @@ def test_upsert_and_insert_ignore_versions(spark, tmp_path):
     n = sinks.insert_ignore_append(spark, fc, spark.createDataFrame([(1, 0), (1, 1)], "station_id int, relative_ts int"),
                                    ["station_id", "relative_ts"])
     assert n == 1 and spark.read.parquet(fc).count() == 2
+
+
+def test_dimension_broadcast_only_within_checked_bound(spark):
+    from dockcast.operators import joins
+    from dockcast.session import plan_text
+    facts = spark.range(5000).withColumn("k", F.col("id") % 100)
+    dim = spark.range(100).withColumnRenamed("id", "k").withColumn("name", F.lit("x"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only our hint can broadcast
+    try:
+        small = plan_text(joins.lookup_join(facts, dim, "k", max_broadcast_rows=100), "simple")
+        big = plan_text(joins.lookup_join(facts, dim, "k", max_broadcast_rows=99), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in small
+    assert "BroadcastHashJoin" not in big and "SortMergeJoin" in big
