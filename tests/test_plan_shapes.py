@@ -30,3 +30,11 @@ def test_keep_first_is_a_partial_aggregate(plans):
 
 def test_flagship_shuffles_once(plans):
     assert len(re.findall(r"Exchange hashpartitioning", plans["flagship_shortage"])) == 1
+
+
+def test_pushdown_and_pruning(plans):
+    scan = plans["scan_time_range"]
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in scan and "LessThan(ts," in scan
+    # occupancy needs event_id, value and props only
+    rs = re.findall(r"ReadSchema: struct<([^>]*)>", plans["occupancy_ratio"])
+    assert rs and set(rs[0].split(",")) == {"event_id:bigint", "value:double", "props:string"}
