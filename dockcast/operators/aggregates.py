@@ -34,9 +34,15 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(col(column)).distinct()
 
 
-def ratio_by_group(df: DataFrame, group: str, predicate: Column, out: str = "r", digits: int | None = 6) -> DataFrame:
-    """Share of rows meeting ``predicate`` per group."""
-    r = F.count_if(predicate) / F.count(F.lit(1))
+def ratio_by_group(df: DataFrame, group: str, predicate: Column, out: str = "r", digits: int | None = 6,
+                   empty_as_null: bool = False) -> DataFrame:
+    """Share of rows meeting ``predicate`` per group. ``empty_as_null`` gives
+    null instead of 0 for groups where no row meets it (the result of
+    aligning two separately counted series by group)."""
+    hits = F.count_if(predicate)
+    r = hits / F.count(F.lit(1))
+    if empty_as_null:
+        r = F.when(hits > 0, r)
     return df.groupBy(col(group)).agg((F.round(r, digits) if digits is not None else r).alias(out))
 
 

@@ -75,3 +75,11 @@ def test_scan_range_boundaries_and_latest_ties(spark):
     assert sorted(r.id for r in agg.latest_rows(df, "ts").collect()) == [3, 4]  # ties at the max all kept
     fresh = serve.filter_fresh(df, "ts", "2024-01-01 03:05:00", minutes=65)
     assert sorted(r.id for r in fresh.collect()) == [3, 4]           # ts > as_of − 65 min, exclusive
+
+
+def test_ratio_by_group_alignment_option(spark):
+    df = spark.createDataFrame([(1, 5, 5), (1, 5, 4), (0, 3, 3)], "is_open int, space int, total int")
+    pred = F.col("space") != F.col("total")
+    zero = {r.is_open: r.r for r in agg.ratio_by_group(df, "is_open", pred).collect()}
+    aligned = {r.is_open: r.r for r in agg.ratio_by_group(df, "is_open", pred, empty_as_null=True).collect()}
+    assert zero == {1: 0.5, 0: 0.0} and aligned == {1: 0.5, 0: None}
