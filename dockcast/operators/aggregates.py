@@ -184,6 +184,15 @@ def hash_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
     return df.filter(h < F.lit(int(fraction * HASH_RANGE)))
 
 
+def sample_keys(df: DataFrame, key: str, n: int = 1, seed: int = 0) -> DataFrame:
+    """All rows of ``n`` pseudo-randomly chosen keys (e.g. one station's whole
+    series): the keys with the smallest seeded ``xxhash64`` — a top-n over
+    distinct keys (each task keeps n), then a semi join."""
+    chosen = df.select(col(key).alias("_sk")).distinct().orderBy(
+        F.xxhash64(F.col("_sk"), F.lit(seed)), F.col("_sk")).limit(n)
+    return df.join(F.broadcast(chosen), col(key) == F.col("_sk"), "left_semi")
+
+
 def overview(df: DataFrame, key: str, ts: str) -> DataFrame:
     """Distinct stations, newest snapshot time, row count (one row)."""
     return df.agg(F.count_distinct(col(key)).alias("n_stations"), F.max(col(ts)).alias("latest"),

@@ -83,3 +83,14 @@ def test_ratio_by_group_alignment_option(spark):
     zero = {r.is_open: r.r for r in agg.ratio_by_group(df, "is_open", pred).collect()}
     aligned = {r.is_open: r.r for r in agg.ratio_by_group(df, "is_open", pred, empty_as_null=True).collect()}
     assert zero == {1: 0.5, 0: 0.0} and aligned == {1: 0.5, 0: None}
+
+
+def test_sample_keys_returns_whole_series(spark):
+    e = spark.read.parquet(f"{SF01}/events.parquet")
+    one = agg.sample_keys(e, "user_id", 1, seed=7)
+    users = {r.user_id for r in one.select("user_id").distinct().collect()}
+    assert len(users) == 1
+    u = users.pop()
+    assert one.count() == e.filter(F.col("user_id") == u).count()
+    again = {r.user_id for r in agg.sample_keys(e, "user_id", 1, seed=7).select("user_id").distinct().collect()}
+    assert again == {u}
