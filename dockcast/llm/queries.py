@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockcast.llm import bpe, decontam
+from dockcast.llm import bpe, decontam, mixing
 from dockcast.llm.common import table
 
 
@@ -15,6 +15,10 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op3_heap_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -24,8 +28,11 @@ def op4_suffix_array_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pareto_mix": op1_pareto_mix,
     "op3_heap_bpe_tokens": op3_heap_bpe_tokens,
     "op4_suffix_array_decontam": op4_suffix_array_decontam,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_pareto_mix": mixing.SQL,
+}
