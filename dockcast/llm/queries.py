@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockcast.llm import bpe, decontam, mixing
+from dockcast.llm import bpe, decontam, line_rules, mixing, secrets
 from dockcast.llm.common import table
 
 
@@ -27,12 +27,24 @@ def op4_suffix_array_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items", "matches")
 
 
+def op8_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op9_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.line_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": op1_pareto_mix,
     "op3_heap_bpe_tokens": op3_heap_bpe_tokens,
     "op4_suffix_array_decontam": op4_suffix_array_decontam,
+    "op8_entropy_secrets": op8_entropy_secrets,
+    "op9_line_frequency": op9_line_frequency,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_pareto_mix": mixing.SQL,
+    "op8_entropy_secrets": secrets.SQL,
+    "op9_line_frequency": line_rules.SQL,
 }
