@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockcast.llm import bpe, decontam, line_rules, mixing, secrets
+from dockcast.llm import bpe, decontam, langid, line_rules, mixing, rff_quality, secret_scan
 from dockcast.llm.common import table
 
 
@@ -27,24 +27,34 @@ def op4_suffix_array_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items", "matches")
 
 
+def op5_rff_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rff_quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
 def op9_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": op1_pareto_mix,
     "op3_heap_bpe_tokens": op3_heap_bpe_tokens,
     "op4_suffix_array_decontam": op4_suffix_array_decontam,
+    "op5_rff_quality": op5_rff_quality,
     "op8_entropy_secrets": op8_entropy_secrets,
     "op9_line_frequency": op9_line_frequency,
+    "op10_cross_parsing": op10_cross_parsing,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_pareto_mix": mixing.SQL,
-    "op8_entropy_secrets": secrets.SQL,
+    "op8_entropy_secrets": secret_scan.SQL,
     "op9_line_frequency": line_rules.SQL,
 }
