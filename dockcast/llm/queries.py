@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockcast.llm import bpe, decontam, langid, line_rules, mixing, rff_quality, secret_scan
+from dockcast.llm import bpe, decontam, langid, line_rules, mixing, rff_quality, secret_scan, superkmer
 from dockcast.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmer.dedup_words(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_heap_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -45,6 +49,7 @@ def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": op1_pareto_mix,
+    "op2_superkmer_dedup": op2_superkmer_dedup,
     "op3_heap_bpe_tokens": op3_heap_bpe_tokens,
     "op4_suffix_array_decontam": op4_suffix_array_decontam,
     "op5_rff_quality": op5_rff_quality,
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_pareto_mix": mixing.SQL,
+    "op2_superkmer_dedup": superkmer.SQL,
     "op8_entropy_secrets": secret_scan.SQL,
     "op9_line_frequency": line_rules.SQL,
 }
