@@ -47,7 +47,7 @@ def cutter(window: int, k: int):
             if v is None:
                 v = known[w] = zlib.crc32(w) | len(w) << 32
             hashes.append(v)
-        keys, first, end = buckets.runs_of(buckets.mix(np.array(hashes, np.uint64)), window, k, 4 * window)
+        keys, first, end = buckets.runs_of(buckets.mix(np.array(hashes, np.uint64)), window, k, 4 * window if k < window else 1)
         text = b" ".join(words)
         at = np.cumsum([0, *(len(w) + 1 for w in words)])
         return keys, [text[a:b] for a, b in zip(at[first].tolist(), (at[end + window - 1] - 1).tolist())], first
