@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockcast.llm import bpe, decontam, langid, line_rules, mixing, rff_quality, secret_scan, superkmer
+from dockcast.llm import bpe, decontam, langid, line_rules, mixing, rff_quality, rlbwt, secret_scan, superkmer
 from dockcast.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op5_rff_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rff_quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_rlbwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlbwt.dedup_bytes(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_heap_bpe_tokens": op3_heap_bpe_tokens,
     "op4_suffix_array_decontam": op4_suffix_array_decontam,
     "op5_rff_quality": op5_rff_quality,
+    "op6_rlbwt_dedup": op6_rlbwt_dedup,
     "op8_entropy_secrets": op8_entropy_secrets,
     "op9_line_frequency": op9_line_frequency,
     "op10_cross_parsing": op10_cross_parsing,
