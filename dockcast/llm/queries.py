@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockcast.llm import bpe, decontam, langid, line_rules, mixing, rff_quality, rlbwt, secret_scan, superkmer
+from dockcast.llm import bpe, decontam, hyperminhash, langid, line_rules, mixing, rff_quality, rlbwt, secret_scan, superkmer
 from dockcast.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op6_rlbwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlbwt.dedup_bytes(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op7_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents")).drop("d", "h")
+
+
 def op8_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_array_decontam": op4_suffix_array_decontam,
     "op5_rff_quality": op5_rff_quality,
     "op6_rlbwt_dedup": op6_rlbwt_dedup,
+    "op7_hyperminhash": op7_hyperminhash,
     "op8_entropy_secrets": op8_entropy_secrets,
     "op9_line_frequency": op9_line_frequency,
     "op10_cross_parsing": op10_cross_parsing,
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_pareto_mix": mixing.SQL,
     "op2_superkmer_dedup": superkmer.SQL,
+    "op7_hyperminhash": hyperminhash.SQL,
     "op8_entropy_secrets": secret_scan.SQL,
     "op9_line_frequency": line_rules.SQL,
 }
