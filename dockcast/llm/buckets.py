@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockcast.llm.common import staged
@@ -258,11 +258,15 @@ def marked(docs: DataFrame, name: str, cut: Callable, cut_hot: Callable, reduce:
     return spans
 
 
+def key_columns(id: str, text: str) -> tuple[Column, Column]:
+    """What names a row: its id (a null id sorts after all others) and the hash of its text."""
+    return F.coalesce(F.col(id).cast("long"), F.lit((1 << 63) - 1)), F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
 def row_key(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """doc_id, text, and d and h that name a row: its id (a null id sorts after
-    all others) and the hash of its text."""
-    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return docs.select(F.col(id).alias("doc_id"), t.alias("text"), F.coalesce(F.col(id).cast("long"), F.lit((1 << 63) - 1)).alias("d"), F.xxhash64(t).alias("h"))
+    """doc_id, text (null: empty) and the row's key d, h."""
+    d, h = key_columns(id, text)
+    return docs.select(F.col(id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), d.alias("d"), h.alias("h"))
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
