@@ -1,16 +1,74 @@
-"""Corpus cleaning in stages, each one operator of ``dockcast.llm``."""
+"""Corpus cleaning in stages, each one operator of ``dockcast.llm``.
+
+``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
+returns a frame. :func:`run` writes each stage's result as Parquet to the
+checkpoint folder and reads it again for the next one. All stages but the last
+return the columns of ``documents``, in their order and types; further columns
+pass through. Rows are named by id and text, so nulls, repeated rows and empty
+tables go through every stage under the rules its operator states.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dockcast.llm import buckets, decontam, hyperminhash, line_rules, mixing, secret_scan
+from dockcast.llm.common import free_name, staged, table
+
+
+def with_text(docs: DataFrame, text: Column, columns: list[str]) -> DataFrame:
+    """``columns`` of ``docs`` with a new text and its length."""
+    new = {"text": text, "n_chars": F.length(text).cast("long")}
+    return docs.select([new[c].alias(c) if c in new else F.col(f"`{c}`") for c in columns])
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; lines over the limit go from the others."""
+    q = free_name(docs, "_q")
+    kept = line_rules.judge(docs, q).filter(F.col(f"{q}.kept"))
+    return with_text(kept, F.col(f"{q}.text_left"), docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays (rows that repeat its id and text are the same document)."""
+    d, h = free_name(docs, "_d"), free_name(docs, "_h")
+    keep = hyperminhash.near_duplicates(docs).filter("kept").select(F.col("d").alias(d), F.col("h").alias(h))
+    named = docs.withColumns(dict(zip((d, h), buckets.key_columns("doc_id", "text"))))
+    return named.join(keep, [d, h], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontam.remove_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans of secrets are replaced by a mark; every document stays."""
+    s = free_name(docs, "_s")
+    return with_text(secret_scan.scan(docs, s), secret_scan.mask(F.col("text"), F.col(f"{s}.spans")), docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of each document."""
+    return mixing.mix(docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("quality rules", quality_rules),
+    ("MinHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontaminate),
+    ("secret scans", mask_secrets),
+    ("mixing sources to target weights", mix_sources),
+]
 
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = staged(docs, "stage")
     return docs
