@@ -197,3 +197,23 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", **kw
     """The rows of ``docs`` in which no test window occurs, all columns kept."""
     out = free_name(docs, "_leak")
     return mark(docs, benchmark, out, text=text, **kw).filter(~F.col(f"`{out}`.contaminated")).drop(out)
+
+
+SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT row_number() OVER () AS b, coalesce(item_id::VARCHAR, '') AS item,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT b, item, n, j, array_to_string(w[j:j + n - 1], ' ') AS k
+       FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS j FROM (SELECT *, least(10, len(w)) AS n FROM b WHERE len(w) > 0))),
+dw AS (SELECT r, n, p, array_to_string(w[p:p + n - 1], ' ') AS k
+       FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+hit AS (SELECT r, b, item, n, p, j FROM dw JOIN bw USING (n, k)),
+cov AS (SELECT r, count(DISTINCT p + o) AS n_hit FROM (SELECT DISTINCT r, p, n FROM hit), (SELECT unnest(range(0, 10)) AS o) WHERE o < n GROUP BY r),
+its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r),
+isl AS (SELECT r, b, n, p - j AS diag, p - row_number() OVER (PARTITION BY r, b, p - j ORDER BY p) AS g FROM hit),
+lon AS (SELECT r, max(m) AS longest FROM (SELECT r, count(*) + any_value(n) - 1 AS m FROM isl GROUP BY r, b, diag, g) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated, coalesce(longest, 0)::BIGINT AS longest
+FROM d LEFT JOIN cov USING (r) LEFT JOIN its USING (r) LEFT JOIN lon USING (r)
+"""

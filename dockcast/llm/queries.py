@@ -71,6 +71,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_pareto_mix": mixing.SQL,
     "op2_superkmer_dedup": superkmer.SQL,
+    "op4_suffix_array_decontam": decontam.SQL,
+    "op6_rlbwt_dedup": rlbwt.SQL,
     "op7_hyperminhash": hyperminhash.SQL,
     "op8_entropy_secrets": secret_scan.SQL,
     "op9_line_frequency": line_rules.SQL,

@@ -239,3 +239,21 @@ def dedup_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text", window:
 
     made = append_arrow(buckets.with_spans(d, spans), ["text", "spans"], "r", "struct<n_bytes:long,n_removed:long,n_spans:long,kept_sha256:string,kept:binary>", apply, rows=256)
     return made.select("doc_id", "r.*")
+
+
+# Bytes as pairs of hexadecimal digits; windows are compared by their md5.
+SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+win AS (SELECT r, i, md5(substr(x, 2 * i + 1, 400)) AS k FROM (SELECT r, x, unnest(range(0, length(x) // 2 - 199)) AS i FROM d WHERE length(x) >= 400)),
+rep AS (SELECT r, i FROM win WHERE k IN (SELECT k FROM win GROUP BY k HAVING count(*) > 1)),
+lagged AS (SELECT r, i, i > coalesce(lag(i) OVER (PARTITION BY r ORDER BY i) + 200, -1) AS starts FROM rep),
+isl AS (SELECT r, i, sum(starts::INT) OVER (PARTITION BY r ORDER BY i) AS g FROM lagged),
+run AS (SELECT r, g, min(i) AS a, max(i) + 200 AS e FROM isl GROUP BY r, g),
+gap AS (SELECT r, e AS a, coalesce(lead(a) OVER (PARTITION BY r ORDER BY a), 4611686018427387903) AS e FROM run
+        UNION ALL SELECT r, 0, min(a) FROM run GROUP BY r),
+kept AS (SELECT d.r, string_agg(substr(x, 2 * gap.a + 1, least(2 * (gap.e - gap.a), length(x))), '' ORDER BY gap.a) AS x FROM gap JOIN d USING (r) GROUP BY d.r),
+cnt AS (SELECT r, sum(e - a) AS n, count(*) AS s FROM run GROUP BY r)
+SELECT doc_id, (length(d.x) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(s, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept.x, d.x))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r) LEFT JOIN cnt USING (r)
+"""
