@@ -1,12 +1,12 @@
 """Profiling and summary aggregates. All are hash aggregates with partial
-(map-side) combine; the exact quantiles are computed from a distributed
-global numbering, not by gathering values into one task."""
+(map-side) combine; the exact quantiles come from sketches and counts of
+distinct values, not from a buffer of values."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockcast.functions.scalar import col
@@ -53,9 +53,10 @@ def check_sums(df: DataFrame, identity: Column, bad: str = "bad", n: str = "n")
                   F.count(F.lit(1)).alias(n))
 
 
-# accuracy of the bracketing sketch: rank error ≤ n / QUANTILE_ACCURACY, so
-# each bracket holds about 4·n / QUANTILE_ACCURACY values
-QUANTILE_ACCURACY = 1_000_000
+# accuracy of the bracketing sketch: rank error ≤ n / QUANTILE_ACCURACY
+QUANTILE_ACCURACY = 10_000
+# brackets with more values than this are narrowed by another sketch
+BRACKET_VALUES = 1_000_000
 
 
 def _positions(n: int, q: float) -> tuple[int, int, float]:
@@ -66,49 +67,87 @@ def _positions(n: int, q: float) -> tuple[int, int, float]:
     return lo, min(lo + 1, n), h - (lo - 1)
 
 
+def order_statistics(df: DataFrame, column: str, ranks: Sequence[int], bracket_values: int = BRACKET_VALUES) -> dict[int, float]:
+    """Exact values at 1-based ``ranks`` of the non-null column.
+
+    A coarse sketch brackets each rank, (value below, value above]; while the
+    bracket holds more than ``bracket_values`` different values, a sketch of
+    the bracket's distinct counts narrows it. Then a running count over the
+    bracket's distinct values (one row each, however many ties it has) finds
+    the value. Nothing is buffered; the driver sees a few numbers per rank.
+    """
+    v = df.select(col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    out = {}
+    todo = {r: (None, None, 0) for r in ranks}  # rank: over lo, up to hi, values at or under lo
+    while todo:
+        stats = v.agg(*[e for r, (lo, hi, _) in todo.items() for e in _bracket_stats(lo, hi, r)]).first()
+        wide = {}
+        for r, (lo, hi, below) in todo.items():
+            if stats[f"lo{r}"] == stats[f"hi{r}"]:
+                out[r] = stats[f"lo{r}"]
+            elif stats[f"d{r}"] <= bracket_values:
+                out[r] = _counted(v, lo, hi, r - below)
+            else:
+                wide[r] = (lo, hi, below)
+        if not wide:
+            break
+        probes = v.agg(*[F.percentile_approx(F.when(_inside(lo, hi), F.col("v")), _around(r - below, stats[f"n{r}"]), QUANTILE_ACCURACY).alias(f"p{r}")
+                         for r, (lo, hi, below) in wide.items()]).first()
+        at = v.agg(*[F.count_if(F.col("v") <= F.lit(p)).alias(f"c{r}_{k}") for r in wide for k, p in enumerate(probes[f"p{r}"])]).first()
+        todo = {}
+        for r, (lo, hi, below) in wide.items():
+            ends = [(p, at[f"c{r}_{k}"]) for k, p in enumerate(probes[f"p{r}"])]
+            lo2, below2 = max([x for x in ends if x[1] < r], default=(lo, below))
+            hi2 = min([x[0] for x in ends if x[1] >= r], default=hi)
+            if (lo2, hi2) == (lo, hi):  # a sketch can't part these values: count them
+                out[r] = _counted(v, lo, hi, r - below)
+            else:
+                todo[r] = (lo2, hi2, below2)
+    return out
+
+
+def _counted(v: DataFrame, lo, hi, r: int) -> float:
+    """The r-th value of a bracket by a running count over its distinct values."""
+    counts = v.filter(_inside(lo, hi)).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    to = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    return counts.select("v", to.alias("to")).filter(F.col("to") >= r).agg(F.min("v")).first()[0]
+
+
+def _inside(lo, hi) -> Column:
+    c = F.lit(True)
+    if lo is not None:
+        c = c & (F.col("v") > F.lit(lo))
+    return c if hi is None else c & (F.col("v") <= F.lit(hi))
+
+
+def _bracket_stats(lo, hi, i: int) -> list[Column]:
+    inside = F.when(_inside(lo, hi), F.col("v"))
+    return [F.count(inside).alias(f"n{i}"), F.min(inside).alias(f"lo{i}"), F.max(inside).alias(f"hi{i}"), F.approx_count_distinct(inside).alias(f"d{i}")]
+
+
+def _around(r: int, n: int) -> list[float]:
+    """Probes on both sides of rank r of n, and at it."""
+    p, slack = (r - 1) / max(n - 1, 1), 2.0 / QUANTILE_ACCURACY
+    return [max(p - slack, 0.0), p, min(p + slack, 1.0)]
+
+
 def exact_quantiles(df: DataFrame, column: str, qs: Sequence[float]) -> DataFrame:
     """Exact interpolated quantiles (type 7, as quantile_cont), one row with
-    columns "0", "1", …
-
-    Two passes, no sort of the column and no value buffer that grows with
-    the table: (1) the count and, from a ``percentile_approx`` sketch, values
-    L ≤ x_(r) ≤ U bracketing each needed order statistic (the sketch's rank
-    error is at most n / accuracy, so asking for ranks r ∓ 2n/accuracy is
-    safe); (2) one aggregate counting the values below each L and collecting
-    the values inside [L, U] (about 4n/accuracy of them), where x_(r) is read
-    off by position.
-    """
+    columns "0", "1", … (see ``order_statistics``); nulls ignored."""
     return _quantile_frame(df, column, qs, {})
 
 
 def _quantile_frame(df: DataFrame, column: str, qs: Sequence[float], extra: dict[str, Column]) -> DataFrame:
     """One row: ``extra`` aggregates over ``df`` plus the exact quantiles
     (columns "0", "1", …) of ``column``, nulls ignored."""
-    vv = col(column).cast("double")
-    n = int(df.agg(F.count(vv).alias("n")).first()["n"])  # pass 1a: a number
-    if n == 0:
-        nulls = [F.lit(None).cast("double").alias(str(i)) for i in range(len(qs))]
-        return df.agg(*[c.alias(k) for k, c in extra.items()], *nulls)
-    slack = 2.0 / QUANTILE_ACCURACY
-    ranks = sorted({r for q in qs for r in _positions(n, q)[:2]})
-    probes = []
-    for r in ranks:
-        p = (r - 1) / max(n - 1, 1)
-        probes += [max(p - slack, 0.0), min(p + slack, 1.0)]
-    approx = (df.agg(F.percentile_approx(vv, probes, QUANTILE_ACCURACY).alias("a"))
-                .first()["a"])  # pass 1b: 2 values per rank
-    aggs = [c.alias(k) for k, c in extra.items()]
-    for i, r in enumerate(ranks):
-        lo, hi = approx[2 * i], approx[2 * i + 1]
-        aggs.append(F.count_if(vv < F.lit(lo)).alias(f"_b{r}"))
-        aggs.append(F.array_sort(F.collect_list(F.when((vv >= F.lit(lo)) & (vv <= F.lit(hi)), vv))).alias(f"_w{r}"))
-    row = df.agg(*aggs)  # pass 2
-    pick = {r: F.element_at(F.col(f"_w{r}"), (F.lit(r) - F.col(f"_b{r}")).cast("int")) for r in ranks}
-    outs = []
-    for i, q in enumerate(qs):
-        lo_r, hi_r, frac = _positions(n, q)
-        outs.append((pick[lo_r] + (pick[hi_r] - pick[lo_r]) * F.lit(frac)).alias(str(i)))
-    return row.select(*extra, *outs)
+    n = int(df.agg(F.count(col(column).cast("double")).alias("n")).first()["n"])
+    spots = [_positions(n, q) for q in qs] if n else []
+    at = order_statistics(df, column, sorted({r for lo, hi, _ in spots for r in (lo, hi)})) if n else {}
+    values = [at[lo] + (at[hi] - at[lo]) * frac for lo, hi, frac in spots] if n else [None] * len(qs)
+    outs = [F.lit(x).cast("double").alias(str(i)) for i, x in enumerate(values)]
+    if not extra:
+        return df.sparkSession.range(1).select(*outs)
+    return df.agg(*[c.alias(k) for k, c in extra.items()]).select(*extra, *outs)
 
 
 def describe(df: DataFrame, column: str, *, digits: int = 6) -> DataFrame:
@@ -164,10 +203,6 @@ def latest_rows(df: DataFrame, ts: str | Column, unit: str | None = None) -> Dat
     return df.join(F.broadcast(top), key == F.col("_top"), "left_semi")
 
 
-def unique_count(df: DataFrame, column: str, out: str = "n") -> DataFrame:
-    return df.agg(F.count_distinct(col(column)).alias(out))
-
-
 # Multiplicative hashing constant (Knuth) and 32-bit range.
 HASH_MULT = 2654435761
 HASH_RANGE = 1 << 32
@@ -190,7 +225,7 @@ def sample_keys(df: DataFrame, key: str, n: int = 1, seed: int = 0) -> DataFrame
     distinct keys (each task keeps n), then a semi join."""
     chosen = df.select(col(key).alias("_sk")).distinct().orderBy(
         F.xxhash64(F.col("_sk"), F.lit(seed)), F.col("_sk")).limit(n)
-    return df.join(F.broadcast(chosen), col(key) == F.col("_sk"), "left_semi")
+    return df.join(F.broadcast(chosen) if n <= 1_000_000 else chosen, col(key) == F.col("_sk"), "left_semi")
 
 
 def overview(df: DataFrame, key: str, ts: str) -> DataFrame:

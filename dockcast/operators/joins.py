@@ -6,14 +6,15 @@ planner's shuffle join (with AQE skew splitting) is used.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockcast.functions.scalar import col, euclid, hour_floor
 from dockcast.operators.sequence import remember_persisted
-from dockcast.session import broadcast_if_bounded, row_count_at_most
+from dockcast.session import broadcast_if_bounded
 
 DIM_BROADCAST_ROWS = 1_000_000
 
@@ -53,27 +54,42 @@ def join_weather_hour(obs: DataFrame, weather: DataFrame, *, zone: str, ts: str,
              .drop("_wx_z", "_wx_h"))
 
 
+def _floor(c: Column) -> Column:
+    """Floor as a double (``floor`` gives a long, which a far point overflows)."""
+    return c - F.pmod(c, F.lit(1.0))
+
+
+def _finite(c: str) -> Column:
+    """The coordinate as a double; null unless it is a finite number."""
+    v = F.col(c).cast("double")
+    return F.when(F.abs(v) < F.lit(float("inf")), v)  # NaN sorts above infinity
+
+
 def nearest_zone(points: DataFrame, zones: DataFrame, *, point_id: str, px: str, py: str,
                  zone_id: str, zx: str, zy: str, out: str = "zone",
                  max_literal_zones: int = 1_024, cell: float | None = None) -> DataFrame:
-    """For each point, the zone at the least Euclidean distance; ties go to
-    the smallest zone id.
+    """For each point row, the zone at the least Euclidean distance; ties go to
+    the smallest zone id. Ids keep their types; repeated points stay repeated;
+    a point without finite coordinates gets null, a zone without them is never
+    chosen.
 
     Zones are a small dimension. When a bounded job proves there are at most
     ``max_literal_zones`` of them, they are inlined as a literal array (like a
     literal lookup map) and each point folds over it with ``aggregate``,
-    keeping min(struct(dist, zone_id)): a projection, no join. Above the
-    bound the exact grid search ``nearest_zone_grid`` runs on equi-joins.
+    keeping the least (distance, zone id): a projection, no join. Above the
+    bound the exact grid search ``nearest_zone_grid`` runs on equi-joins, over
+    distinct coordinates, with the same result.
     """
-    z = zones.select(F.col(zone_id).alias("_z_id"), F.col(zx).cast("double").alias("_z_x"),
-                     F.col(zy).cast("double").alias("_z_y")).dropDuplicates(["_z_id"])
+    z = zones.select(F.col(zone_id).alias("_z_id"), _finite(zx).alias("_z_x"), _finite(zy).alias("_z_y")) \
+        .filter("_z_x is not null and _z_y is not null and _z_id is not null").distinct()
+    p = points.select(F.col(point_id), _finite(px).alias("_p_x"), _finite(py).alias("_p_y"))
     small = z.limit(max_literal_zones + 1).collect()  # bounded: ≤ max_literal_zones + 1 rows
-    if len(small) > max_literal_zones:
-        return nearest_zone_grid(points, z, point_id=point_id, px=px, py=py, out=out, cell=cell)
     id_type = z.schema["_z_id"].dataType
-    p = points.select(F.col(point_id), F.col(px).cast("double").alias("_p_x"), F.col(py).cast("double").alias("_p_y"))
     if not small:
         return p.select(point_id, F.lit(None).cast(id_type).alias(out))
+    if len(small) > max_literal_zones:
+        at = p.filter("_p_x is not null and _p_y is not null").select("_p_x", "_p_y").distinct()
+        return p.join(nearest_zone_grid(at, z, out=out, cell=cell), ["_p_x", "_p_y"], "left").select(point_id, out)
     arr = F.array(*[F.struct(F.lit(r["_z_id"]).cast(id_type).alias("id"), F.lit(r["_z_x"]).cast("double").alias("x"),
                              F.lit(r["_z_y"]).cast("double").alias("y")) for r in small])
     start = F.struct(F.lit(None).cast("double").alias("d"), F.lit(None).cast(id_type).alias("z"))
@@ -86,56 +102,47 @@ def nearest_zone(points: DataFrame, zones: DataFrame, *, point_id: str, px: str,
     return p.select(point_id, F.aggregate(arr, start, step)["z"].alias(out))
 
 
-def nearest_zone_grid(points: DataFrame, zones: DataFrame, *, point_id: str, px: str, py: str,
-                      out: str = "zone", cell: float | None = None) -> DataFrame:
-    """Exact nearest zone for many zones: ring search over a square grid.
+def nearest_zone_grid(at: DataFrame, zones: DataFrame, *, out: str = "zone", cell: float | None = None) -> DataFrame:
+    """Exact nearest zone of distinct finite coordinates (_p_x, _p_y) among
+    many zones (_z_id, _z_x, _z_y).
 
-    Ring r holds the cells at Chebyshev distance r from a point's cell. A
-    zone in ring r+1 or beyond lies at least r·cell away, so a point whose
-    best distance after rings 0..r is ≤ r·cell is settled. Each ring is an
-    equi-join of points with zones copied to the ring's cells (8r copies of
-    the small zone table); unsettled points go on to the next ring.
-    ``zones`` has columns _z_id, _z_x, _z_y.
+    Level l lays a square grid of cell·2^l. A point's own and its eight
+    neighbouring cells hold every zone within one cell's width, so a point
+    whose best distance is at most that is settled; the others go on to a
+    coarser grid. Each level is one equi-join with nine copies of the zone
+    table. Points far outside the zones' box skip the levels that cannot
+    reach it.
     """
+    box = zones.agg(F.min("_z_x").alias("x0"), F.max("_z_x").alias("x1"), F.min("_z_y").alias("y0"), F.max("_z_y").alias("y1"),
+                    F.count(F.lit(1)).alias("n")).first()
     if cell is None:
-        ext = zones.agg(((F.max("_z_x") - F.min("_z_x")) * (F.max("_z_y") - F.min("_z_y"))).alias("a"),
-                        F.count(F.lit(1)).alias("n")).first()
-        cell = max((float(ext["a"] or 1.0) / max(int(ext["n"]), 1)) ** 0.5, 1e-9)
-    cx = lambda c: F.floor(F.col(c) / F.lit(cell)).cast("long")
-    zc = zones.select("*", cx("_z_x").alias("_zc_x"), cx("_z_y").alias("_zc_y"))
-    pts = points.select(F.col(point_id), F.col(px).cast("double").alias("_p_x"),
-                        F.col(py).cast("double").alias("_p_y"))
-    pts = pts.select("*", cx("_p_x").alias("_pc_x"), cx("_p_y").alias("_pc_y"))
-    nozone = F.lit(None).cast(zones.schema["_z_id"].dataType)
-    unplaced = F.col("_p_x").isNull() | F.col("_p_y").isNull()
-    settled = [pts.filter(unplaced).select(point_id, nozone.alias(out))]
-    if row_count_at_most(zones, 0):
-        return pts.select(point_id, nozone.alias(out))
-    pending = pts.filter(~unplaced).withColumn("_b", F.lit(None).cast("struct<d:double,z:long>"))
-    r = -1
-    while True:  # no ring cap: every point is settled exactly
-        r += 1
-        offs = [(dx, dy) for dx in range(-r, r + 1) for dy in range(-r, r + 1) if max(abs(dx), abs(dy)) == r]
-        shift = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in offs]))
-        ring = (zc.withColumn("_o", shift)
-                  .select("_z_id", "_z_x", "_z_y", (F.col("_zc_x") - F.col("_o.dx")).alias("_pc_x"),
-                          (F.col("_zc_y") - F.col("_o.dy")).alias("_pc_y")))
-        cand = (pending.join(ring, ["_pc_x", "_pc_y"], "left")
-                       .withColumn("_c", F.when(F.col("_z_id").isNotNull(), F.struct(
-                           euclid("_p_x", "_p_y", "_z_x", "_z_y").alias("d"), F.col("_z_id").cast("long").alias("z")))))
-        pending = (cand.groupBy(point_id, "_p_x", "_p_y", "_pc_x", "_pc_y")
-                       .agg(F.min(F.coalesce(F.col("_b"), F.col("_c"))).alias("_b0"), F.min("_c").alias("_c0"))
-                       .withColumn("_b", F.least("_b0", "_c0")).drop("_b0", "_c0"))
-        done = F.col("_b").isNotNull() & (F.col("_b.d") <= F.lit(r * cell))
-        pending = remember_persisted(pending.persist())  # released by sequence.release_cached()
-        settled.append(pending.filter(done).select(point_id, F.col("_b.z").alias(out)))
-        pending = pending.filter(~done)
-        if row_count_at_most(pending, 0):
-            break
-    best = settled[0]
-    for s in settled[1:]:
-        best = best.unionByName(s)
-    return best
+        cell = max(((box["x1"] - box["x0"]) * (box["y1"] - box["y0"]) / max(int(box["n"]), 1)) ** 0.5, 1e-9)
+    away = F.greatest(F.lit(box["x0"]) - F.col("_p_x"), F.col("_p_x") - F.lit(box["x1"]),
+                      F.lit(box["y0"]) - F.col("_p_y"), F.col("_p_y") - F.lit(box["y1"]), F.lit(0.0))
+    around = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]))
+    pending, settled, level = at, None, 0
+    while True:  # no level cap: every point is settled exactly
+        size = cell * 2.0 ** level
+        # whole-numbered doubles: a far point's cell has no integer overflow
+        ring = (zones.withColumn("_o", around)
+                     .select("_z_id", "_z_x", "_z_y", (_floor(F.col("_z_x") / size) + F.col("_o.dx")).alias("_c_x"),
+                             (_floor(F.col("_z_y") / size) + F.col("_o.dy")).alias("_c_y")))
+        here = pending.withColumn("_c_x", _floor(F.col("_p_x") / size)).withColumn("_c_y", _floor(F.col("_p_y") / size))
+        best = (here.join(ring, ["_c_x", "_c_y"], "left")
+                    .withColumn("_c", F.when(F.col("_z_id").isNotNull(), F.struct(
+                        euclid("_p_x", "_p_y", "_z_x", "_z_y").alias("d"), F.col("_z_id").alias("z"))))
+                    .groupBy("_p_x", "_p_y").agg(F.min("_c").alias("_b")))
+        best = remember_persisted(best.persist())  # released by sequence.release_cached()
+        done = F.col("_b").isNotNull() & (F.col("_b.d") <= F.lit(size))
+        part = best.filter(done).select("_p_x", "_p_y", F.col("_b.z").alias(out))
+        settled = part if settled is None else settled.unionByName(part)
+        pending = best.filter(~F.coalesce(done, F.lit(False))).select("_p_x", "_p_y")
+        left = pending.agg(F.count(F.lit(1)).alias("n"), F.min(away).alias("away")).first()
+        if not left["n"]:
+            return settled
+        level += 1
+        if left["away"] > cell:
+            level = max(level, math.floor(math.log2(left["away"] / cell)))
 
 
 def anti_join(df: DataFrame, other: DataFrame, on) -> DataFrame:
@@ -143,19 +150,11 @@ def anti_join(df: DataFrame, other: DataFrame, on) -> DataFrame:
     return df.join(other, on, "left_anti")
 
 
-def semi_join(df: DataFrame, other: DataFrame, on) -> DataFrame:
-    return df.join(other, on, "left_semi")
-
-
 def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
-    """SQL ``column NOT IN (subquery)``: no rows at all when the subquery has
-    a null (checked by a one-row bounded job), and null ``column`` rows never
-    qualify; otherwise an anti join."""
-    o = other.select(F.col(other_column).alias("_ni"))
-    if not row_count_at_most(o.filter(F.col("_ni").isNull()), 0):
-        return df.limit(0)
-    return (df.filter(F.col(column).isNotNull())
-              .join(o.distinct(), F.col(column) == F.col("_ni"), "left_anti"))
+    """Rows whose ``column`` is none of the listed values (a negated ``isin``):
+    nulls in the list are no values, and a row with a null ``column`` stays."""
+    o = other.select(F.col(other_column).alias("_ni")).filter(F.col("_ni").isNotNull()).distinct()
+    return df.join(o, F.col(column) == F.col("_ni"), "left_anti")
 
 
 def filter_ids(df: DataFrame, column: str, ids) -> DataFrame:

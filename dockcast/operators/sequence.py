@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,7 +45,8 @@ class SkewConfig:
 
     A key is hot when its rows exceed both ``hot_rows`` and ``hot_share`` ×
     (all rows / shuffle partitions): alone it would be more than an even
-    partition's share of the work, i.e. a straggler.
+    partition's share of the work, i.e. a straggler. Above
+    ``rows_per_partition`` rows a key is hot whatever its share.
     """
     hot_rows: int = 1 << 20        # floor: smaller keys never pay for splitting (one task, ~1 s)
     hot_share: float = 1.0         # fraction of an even partition share above which a key is hot
@@ -55,23 +57,36 @@ class SkewConfig:
 
 
 DEFAULT_SKEW = SkewConfig()
-_PERSISTED: list[DataFrame] = []  # numbered hot-key relations kept for lazy results
+_PERSISTED: ContextVar[list[DataFrame]] = ContextVar("persisted", default=[])  # kept for lazy results
 
 
 def remember_persisted(df: DataFrame) -> DataFrame:
-    """Register a frame persisted for a lazy result, to be released by
-    ``release_cached`` once the result has been written."""
-    _PERSISTED.append(df)
+    """Register a frame persisted for a lazy result, to be released with its
+    scope once the result has been written."""
+    _PERSISTED.get().append(df)
     return df
 
 
 def release_cached() -> int:
-    """Unpersist the relations the split path persisted; call after the
-    results built on them have been written (jobs do this themselves)."""
-    n = len(_PERSISTED)
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
+    """Unpersist the relations that this scope's split paths persisted; call
+    after the results built on them have been written."""
+    kept = _PERSISTED.get()
+    n = len(kept)
+    while kept:
+        kept.pop().unpersist()
     return n
+
+
+@contextmanager
+def cached_scope():
+    """A job's own list of persisted relations, released when the job ends;
+    those of other jobs, running at the same time or around it, stay."""
+    token = _PERSISTED.set([])
+    try:
+        yield
+    finally:
+        release_cached()
+        _PERSISTED.reset(token)
 MAX_BROADCAST_ROWS = 2_000_000  # broadcast bound for the offsets table
 _ACTIVE: list[SkewConfig] = [DEFAULT_SKEW]
 
@@ -131,9 +146,10 @@ class KeySplit:
 
 
 def hot_threshold(spark, total_rows: int, cfg: SkewConfig) -> int:
-    """Rows above which one key is split (see ``SkewConfig``)."""
+    """Rows above which one key is split (see ``SkewConfig``). However large
+    the table, a key of more than ``rows_per_partition`` rows is split."""
     share = int(total_rows * cfg.hot_share / max(shuffle_partitions(spark), 1))
-    return max(cfg.hot_rows, share)
+    return max(cfg.hot_rows, min(share, cfg.rows_per_partition))
 
 
 def split_hot_keys(df: DataFrame, key: Sequence[str], cfg: SkewConfig | None = None) -> KeySplit:
@@ -419,7 +435,8 @@ def _replay(df: DataFrame, group: list[str], order: list, out: str, start: str |
     Rows are hash-partitioned by group and sorted by (group, order); one
     Python call per Arrow batch walks the rows and carries (group, x) across
     batches, so memory stays at one batch whatever the group size. The first
-    row of a group uses (_sq_a1, _sq_b1) and starts from ``start`` (or 0).
+    row of a group uses (_sq_a1, _sq_b1) and starts from ``start`` (or 0); a
+    null start makes the chain null.
     """
     ship_package(df.sparkSession)
     out_schema = T.StructType(df.schema.fields + [T.StructField(out, T.DoubleType(), True)])
@@ -442,8 +459,7 @@ def _replay(df: DataFrame, group: list[str], order: list, out: str, start: str |
             res = np.empty(n, dtype="float64")
             for i in range(n):
                 if new[i]:
-                    x0 = st[i] if st is not None else 0.0
-                    x = 0.0 if x0 != x0 else x0
+                    x = st[i] if st is not None else 0.0
                     ai, bi, ci = a1[i], b1[i], 0.0
                 else:
                     ai, bi, ci = a[i], b[i], c[i]
@@ -504,7 +520,9 @@ def _scan(df: DataFrame, key: list[str], pos: str, cfg: SkewConfig, depth: int =
     summary = _compose_chunks(d, key, pos, ch, key_schema).withColumn("_sq_p", F.col(ch) + 1)
     ends = _scan(summary.drop(ch).withColumnRenamed("_sq_p", pos), key, pos, cfg, depth + 1)
     carry = ends.select(*key, F.col(pos).alias(ch), F.col("_sq_x").alias("_sq_start"))
+    # the first chunk starts from 0; a later one from its carry, null included
     d = (_join_ns(d, carry, key + [ch], "left")
+          .withColumn("_sq_start", F.when(F.col(ch) == 0, F.lit(0.0)).otherwise(F.col("_sq_start")))
           .withColumn("_sq_a1", F.col("_sq_a")).withColumn("_sq_b1", F.col("_sq_b")))
     # replay each (key, chunk), bounded by chunk_rows, from its carried-in value
     return _replay(d, key + [ch], [pos], "_sq_x", "_sq_start").select(*key, pos, "_sq_x")

@@ -102,10 +102,6 @@ def tail_n(df: DataFrame, key, order, n: int, cfg=None) -> DataFrame:
     return p.filter(F.col("_tail_pos") <= n).drop("_tail_pos")
 
 
-def series_position(df: DataFrame, key, order, out: str = "position", cfg=None) -> DataFrame:
-    return sq.position(df, key, order, out=out, cfg=cfg)
-
-
 def time_rolling_mean(df: DataFrame, key, ts: str, value, seconds: int, out: str, *,
                       tie: Sequence[str], cfg: sq.SkewConfig | None = None) -> DataFrame:
     """Time-based twin of the rolling mean: per key, the mean of the
@@ -113,11 +109,11 @@ def time_rolling_mean(df: DataFrame, key, ts: str, value, seconds: int, out: str
     frame, for irregular snapshot spacing). ``tie`` makes rows unique
     within a key.
 
-    Cold keys: a plain RANGE window. Hot keys: the frame mean is a difference
-    of running sums, S(≤ ts) − S(< ts − W), read at two probe rows merged
-    into the key's series (one sorting before the rows at ts − W, one after
-    the rows at ts); running sums come from ``sequence.prefix_sums``, which
-    never holds a key in one task.
+    Cold keys: a plain RANGE window. Hot keys are cut into time buckets of
+    ``seconds``; a frame reaches at most one bucket back, so each bucket's rows
+    are copied into the next one as a halo and the same RANGE window runs per
+    (key, bucket). Both paths add the same values of the same frame, so nulls,
+    NaN and large values have the same effect on either.
     """
     cfg = sq.current_skew(cfg)
     keys = [key] if isinstance(key, str) else list(key)
@@ -130,21 +126,9 @@ def time_rolling_mean(df: DataFrame, key, ts: str, value, seconds: int, out: str
         w = Window.partitionBy(*keys).orderBy(us).rangeBetween(-width, 0)
         parts.append(split.cold.withColumn(out, F.avg(col(value)).over(w)))
     if split.hot is not None:
-        hot = split.hot
-        v = col(value).cast("double")
-        base = hot.select(*keys, *tie, us.alias("_tr_t"), F.coalesce(v, F.lit(0.0)).alias("_tr_v"),
-                          F.when(v.isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias("_tr_c"))
-        zero = [F.lit(0.0).alias("_tr_v"), F.lit(0).alias("_tr_c")]
-        data = base.select(*keys, *tie, "_tr_t", F.lit(1).alias("_tr_f"), "_tr_v", "_tr_c")
-        lo = base.select(*keys, *tie, (F.col("_tr_t") - F.lit(width)).alias("_tr_t"), F.lit(0).alias("_tr_f"), *zero)
-        hi = base.select(*keys, *tie, "_tr_t", F.lit(2).alias("_tr_f"), *zero)
-        series = data.unionByName(lo).unionByName(hi)
-        run = sq.prefix_sums(series, keys, ["_tr_t", "_tr_f", *tie],
-                             {"_tr_sv": F.col("_tr_v"), "_tr_sc": F.col("_tr_c")}, cfg=cfg)
-        probes = (run.filter(F.col("_tr_f") != 1)
-                     .groupBy(*keys, *tie)
-                     .agg(F.sum(F.when(F.col("_tr_f") == 2, F.col("_tr_sv")).otherwise(-F.col("_tr_sv"))).alias("_tr_s"),
-                          F.sum(F.when(F.col("_tr_f") == 2, F.col("_tr_sc")).otherwise(-F.col("_tr_sc"))).alias("_tr_n")))
-        means = probes.select(*keys, *tie, F.when(F.col("_tr_n") > 0, F.col("_tr_s") / F.col("_tr_n")).alias(out))
-        parts.append(sq._join_ns(hot, means, keys + tie))
+        home = F.struct(F.floor(us / F.lit(width)).alias("b"), F.lit(False).alias("halo"))
+        ahead = F.when(us.isNotNull(), F.struct((F.floor(us / F.lit(width)) + 1).alias("b"), F.lit(True).alias("halo")))
+        x = split.hot.withColumn("_tr", F.explode(F.filter(F.array(home, ahead), lambda c: c.isNotNull())))
+        w = Window.partitionBy(*keys, F.col("_tr.b")).orderBy(us).rangeBetween(-width, 0)
+        parts.append(x.withColumn(out, F.avg(col(value)).over(w)).filter(~F.col("_tr.halo")).drop("_tr"))
     return sq._union(parts)

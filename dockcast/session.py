@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Default configuration for an occupancy job. AQE re-plans joins at runtime
@@ -74,18 +74,29 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+    """True when ``df`` has at most ``max_rows`` rows: a partially aggregated
+    count (one number per task moves)."""
+    return df.count() <= max_rows
 
-    Runs a bounded job: ``limit(max_rows + 1)`` stops reading once the bound
-    is exceeded, so the check costs at most ``max_rows + 1`` rows.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+
+MAX_BROADCAST_BYTES = 256 << 20
+
+
+def estimated_row_bytes(df: DataFrame) -> Column:
+    """Bytes a row takes in memory: 16 a column, and the length of its texts."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    out = F.lit(16 * len(df.schema.fields)).cast("long")
+    for t in texts:
+        out = out + t
+    return out
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; otherwise leave the
-    join to the planner (shuffle hash / sort-merge, AQE may still switch)."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def broadcast_if_bounded(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only behind a checked bound of rows and estimated bytes
+    (one partial aggregate); otherwise leave the join to the planner (shuffle
+    hash / sort-merge, AQE may still switch)."""
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(estimated_row_bytes(df)), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if size["n"] <= max_rows and size["b"] <= max_bytes else df
 
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
