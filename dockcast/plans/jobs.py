@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dockcast import schemas
 from dockcast.operators import model, serve
-from dockcast.operators.sequence import release_cached
+from dockcast.operators.sequence import cached_scope
 from dockcast.plans import features as fp
 from dockcast.plans import serving, snapshot
 from dockcast.session import cut_lineage
@@ -19,9 +19,10 @@ from dockcast.sources import readers, sinks
 
 
 def ingest_snapshot_csv(spark: SparkSession, csv_path: str, raw_layer: str, clean_layer: str, *,
-                        as_of=None) -> DataFrame:
-    """One pull: CSV → raw layer (all rows) → clean layer. Returns the clean rows."""
-    raw = readers.read_snapshot_csv(spark, csv_path).select(*[f.name for f in schemas.RAW_SNAPSHOT.fields])
+                        as_of=None, pulled_at=None) -> DataFrame:
+    """One pull: CSV, stamped with the time of the pull (``pulled_at``) → raw
+    layer (all rows) → clean layer. Returns the clean rows."""
+    raw = readers.read_snapshot_csv(spark, csv_path, pulled_at).select(*[f.name for f in schemas.RAW_SNAPSHOT.fields])
     sinks.write_layer(raw, raw_layer)
     clean = snapshot.clean_snapshot(raw, as_of=as_of)
     sinks.write_layer(clean, clean_layer)
@@ -32,8 +33,7 @@ def land_weather(spark: SparkSession, landing: DataFrame, weather_layer: str, zo
     """Weather response rows (arrays per location) → hourly rows per zone,
     appended to the weather layer partitioned by date."""
     rows = serving.weather_report(landing, zones)
-    rows.withColumn(readers.DATE_PART, F.to_date("datetime")).write.mode("append") \
-        .partitionBy(readers.DATE_PART).parquet(weather_layer)
+    sinks.write_layer(rows, weather_layer, ts="datetime", sort_by=("zone", "datetime"))
     return rows
 
 
@@ -49,16 +49,16 @@ def retrain(spark: SparkSession, clean_layer: DataFrame, stations: DataFrame, zo
     """Training features over [start, end) → ridge on the feature columns
     predicting the 30-minute relative change → saved coefficients. With
     ``split``, rows after it are held out and R² is reported."""
-    inputs = fp.training_inputs(clean_layer, stations, zones, weather, start=start, end=end)
-    feats = fp.training_features(inputs).dropna(subset=fp_model_columns())
+    with cached_scope():
+        inputs = fp.training_inputs(clean_layer, stations, zones, weather, start=start, end=end)
+        feats = fp.training_features(inputs).dropna(subset=fp_model_columns())
+        feats = cut_lineage(feats)  # scan, joins and windows run once, for fit and score
     train, test = (feats, None) if split is None else model.time_split(feats, "extraction_ts", split)
-    m = model.ridge_fit(train, schemas.FEATURE_COLUMNS, fp.TARGET_CHANGE, alpha)
+    m, n = model.ridge_fit_counted(train, schemas.FEATURE_COLUMNS, fp.TARGET_CHANGE, alpha)
     m.save(spark, model_path)
     r2 = None
     if test is not None:
         r2 = model.r2_score(model.predict(test, m, "_pred"), fp.TARGET_CHANGE, "_pred").first()["r2"]
-    n = train.count()
-    release_cached()
     return TrainResult(m, r2, n)
 
 
@@ -72,15 +72,15 @@ def forecast(spark: SparkSession, requested: DataFrame, status: DataFrame, clean
     """Serve forecasts for the requested stations: fresh rows come from the
     forecast table; stale stations get new rows (insert-ignore append)."""
     m = model.RidgeModel.load(spark, model_path)
-    inputs = fp.prediction_inputs(status, clean_layer, stations, zones, weather_latest,
-                                  station_ids=requested.select(F.col("station_id").alias("id")))
-    feats = fp.prediction_features(inputs)
-    table = (spark.read.parquet(forecasts_path) if _exists(spark, forecasts_path)
-             else spark.createDataFrame([], schemas.FILL_RATE_FORECAST))
-    to_insert, _ = serving.serve_forecast(requested, stations, table, feats, m, as_of=as_of)
-    # materialise (checkpoint folder) before appending to the table it was computed from
-    cut_lineage(to_insert).write.mode("append").parquet(forecasts_path)
-    release_cached()
+    with cached_scope():
+        inputs = fp.prediction_inputs(status, clean_layer, stations, zones, weather_latest,
+                                      station_ids=requested.select(F.col("station_id").alias("id")))
+        feats = fp.prediction_features(inputs)
+        table = (spark.read.parquet(forecasts_path) if sinks.exists(spark, forecasts_path)
+                 else spark.createDataFrame([], schemas.FILL_RATE_FORECAST))
+        to_insert, _ = serving.serve_forecast(requested, stations, table, feats, m, as_of=as_of)
+        # materialise (checkpoint folder) before appending to the table it was computed from
+        cut_lineage(to_insert).write.mode("append").parquet(forecasts_path)
     state = spark.read.parquet(forecasts_path)
     fresh = (serve.filter_fresh(state, "run_ts", as_of)
                   .join(requested.select("station_id").distinct(), "station_id", "left_semi"))
@@ -97,11 +97,3 @@ def register_new_stations(spark: SparkSession, clean_rows: DataFrame, stations:
     if n:
         new.write.mode("append").parquet(stations_path)
     return n
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:
-        return False

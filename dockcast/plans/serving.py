@@ -72,7 +72,8 @@ def wide_forecast(forecasts: DataFrame, horizons: Sequence[int] = (0, 1)) -> Dat
 def shortage_view(stations: DataFrame, forecasts: DataFrame, *, city: str | None = None, k: int = 10):
     """(station view, k emptiest, k fullest) by the mean of now and +30 min."""
     wide = wide_forecast(forecasts)
-    view = (stations.select(F.col("id").alias("station_id"), "name", "city", "area")
+    space = ["space"] if "space" in stations.columns else []
+    view = (stations.select(F.col("id").alias("station_id"), "name", "city", "area", *space)
                     .join(wide, "station_id")
                     .withColumn("avg_fill", serve.avg_fill("fill_rate", "`fill_rate_t+1`")))
     if city is not None:
@@ -89,8 +90,8 @@ def display(view: DataFrame) -> DataFrame:
 
 def weather_report(landing: DataFrame, zones: DataFrame | None = None) -> DataFrame:
     """Weather landing rows (one per location: epoch start/end, interval,
-    hourly arrays) → one row per (location, hour) with the zone name.
-    Zones are matched on exact coordinates from the zone table."""
+    hourly arrays) → one row per (location, hour) with the name of the zone
+    nearest to the location (a reply's coordinates are the provider's grid)."""
     from dockcast import schemas
     arrays = [v for v in schemas.WEATHER_VARS if v in landing.columns]
     rows = readers.explode_hourly(readers.landing_from_epoch(landing), ["latitude", "longitude"], arrays)
@@ -98,6 +99,8 @@ def weather_report(landing: DataFrame, zones: DataFrame | None = None) -> DataFr
     if zones is None:
         spark = landing.sparkSession
         zones = spark.createDataFrame(fv.WEATHER_ZONES, "zone string, lat double, lng double")
-    zones = zones.select("zone", F.round("lat", 2).alias("_zlat"), F.round("lng", 2).alias("_zlng"))
-    return (rows.join(F.broadcast(zones), (F.round("lat", 2) == F.col("_zlat")) & (F.round("lng", 2) == F.col("_zlng")), "left")
-                .drop("_zlat", "_zlng"))
+    here = F.struct("lat", "lng").alias("at")
+    near = joins.nearest_zone(rows.select(here, "lat", "lng").distinct(), zones, point_id="at", px="lat", py="lng",
+                              zone_id="zone", zx="lat", zy="lng", out="zone")
+    rows = rows.withColumn("at", here)
+    return rows.join(near, rows["at"].eqNullSafe(near["at"]), "left").drop("at")

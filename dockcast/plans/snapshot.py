@@ -12,6 +12,7 @@ from dockcast import schemas
 from dockcast.functions import fixed_values as fv
 from dockcast.functions.scalar import map_default
 from dockcast.operators import clean
+from dockcast.session import cut_lineage
 from dockcast.sources import readers, sinks
 
 # tie-break for exact duplicates: lowest name, then the remaining columns
@@ -61,20 +62,39 @@ def ingest_snapshot(spark: SparkSession, raw_df: DataFrame, raw_path: str, clean
 
 def reprocess_range(spark: SparkSession, raw_path: str, clean_path: str, oldest, newest) -> DataFrame:
     """Re-clean every raw snapshot with oldest < extraction_ts ≤ newest and
-    replace the affected dates of the clean layer (dynamic overwrite).
-    Staleness is judged per row against its own extraction day."""
+    replace those rows of the clean layer. Whole dates are overwritten, so the
+    clean rows of the first and last date outside the range are written back
+    with them. Staleness is judged per row against its own extraction day."""
     raw = readers.read_snapshots(spark, raw_path)
-    sel = readers.scan_time_range(raw, "extraction_ts", oldest, newest, inclusive="right")
-    cleaned = clean_snapshot(sel.drop(readers.DATE_PART))
-    sinks.write_layer(cleaned, clean_path, mode="overwrite")
+    cleaned = reclean(raw, oldest, newest)
+    state = cleaned
+    if sinks.exists(spark, clean_path):
+        state = cleaned.unionByName(untouched(readers.read_snapshots(spark, clean_path), oldest, newest).select(*cleaned.columns))
+    state = cut_lineage(state)  # written out before the dates it was read from are replaced
+    sinks.write_layer(state, clean_path, mode="overwrite")
     return cleaned
 
 
+def reclean(raw: DataFrame, oldest, newest) -> DataFrame:
+    """Clean rows of the raw snapshots with oldest < extraction_ts ≤ newest."""
+    return clean_snapshot(readers.scan_time_range(raw, "extraction_ts", oldest, newest, inclusive="right").drop(readers.DATE_PART))
+
+
+def untouched(layer: DataFrame, oldest, newest, ts: str = "extraction_ts") -> DataFrame:
+    """Rows of a layer outside (oldest, newest], on the dates that range touches."""
+    kind = layer.schema[ts].dataType
+    lo, hi = (F.lit(x).cast(kind) for x in (oldest, newest))
+    d = layer if readers.DATE_PART in layer.columns else readers.with_date(layer, ts)
+    return d.filter((F.col(readers.DATE_PART) >= readers.local_date(lo, kind)) & (F.col(readers.DATE_PART) <= readers.local_date(hi, kind))
+                    & ((F.col(ts) <= lo) | (F.col(ts) > hi))).select(*layer.columns)
+
+
 def new_stations(snapshot: DataFrame, stations: DataFrame, zones: DataFrame, *, created_at) -> DataFrame:
     """Stations in the snapshot that the station table lacks, with their
-    nearest weather zone id and a creation time (rows to insert)."""
+    nearest weather zone id and a creation time (rows to insert). Of several
+    rows of one id the least by name, then by the other columns, is taken."""
     from dockcast.operators.joins import anti_join, nearest_zone
-    latest = snapshot.select("id", "lat", "lng", "city", "name", "area").dropDuplicates(["id"])
+    latest = clean.dedupe_first(snapshot.select("id", "lat", "lng", "city", "name", "area"), ["id"], DEDUPE_ORDER)
     fresh = anti_join(latest, stations.select("id"), "id")
     z = zones.select(F.col("id").alias("zone_id"), "lat", "lng")
     near = nearest_zone(fresh, z, point_id="id", px="lat", py="lng", zone_id="zone_id", zx="lat", zy="lng",

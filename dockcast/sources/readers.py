@@ -8,8 +8,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dockcast import schemas
+from dockcast.functions import fixed_values as fv
 from dockcast.functions.scalar import col, epoch_seconds_to_ts
 from dockcast.operators import sequence as sq
 
@@ -21,12 +23,22 @@ def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_snapshot_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_snapshot_csv(spark: SparkSession, path: str, pulled_at=None) -> DataFrame:
     """Station CSV as pulled (explicit schema, no inference), normalised:
-    ``updated_at`` epoch s → ``last_update_ts``; ``extraction_ts`` from the
-    file's pull time column when present."""
-    df = spark.read.schema(schemas.STATION_CSV).option("header", True).csv(path)
-    return normalize_snapshot_ts(df)
+    ``updated_at`` epoch s → ``last_update_ts``. The feed carries no pull time:
+    ``pulled_at`` (an instant) stamps every row that has none of its own; without
+    it the files must have an ``extraction_ts`` column."""
+    # columns are matched by the header, so a feed without some of them reads those as null
+    head = [c.strip() for c in (spark.read.text(path).first() or [""])[0].split(",")]
+    if "extraction_ts" not in head and pulled_at is None:
+        raise ValueError("the feed has no extraction_ts column: pass pulled_at, the time of the pull")
+    have = T.StructType([next(f for f in schemas.STATION_CSV.fields if f.name == h) if h in schemas.STATION_CSV.names else T.StructField(h, T.StringType()) for h in head])
+    df = spark.read.schema(have).option("header", True).csv(path)
+    df = df.select(*[F.col(f.name) if f.name in head else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.STATION_CSV.fields])
+    if pulled_at is None:
+        return normalize_snapshot_ts(df)
+    stamp = F.lit(pulled_at).cast("timestamp")
+    return normalize_snapshot_ts(df, F.coalesce(F.col("extraction_ts"), stamp))
 
 
 def normalize_snapshot_ts(df: DataFrame, extraction_ts: Column | None = None) -> DataFrame:
@@ -67,8 +79,18 @@ def read_weather_csv(spark: SparkSession, path: str, tz: str = "Asia/Taipei") ->
     return dedupe_first(df, ["datetime", "lat", "lng"], [c for c in df.columns if c not in ("datetime", "lat", "lng")])
 
 
-def date_partition(ts: str | Column) -> Column:
-    return F.to_date(col(ts)).alias(DATE_PART)
+def local_date(ts: str | Column, kind: T.DataType) -> Column:
+    """Partition day of a time of type ``kind``: an instant's day in
+    ``LOCAL_TZ``, whatever the session's zone; a wall-clock time's own day."""
+    if isinstance(kind, T.TimestampNTZType):
+        return F.to_date(col(ts))
+    utc = F.timestamp_add("MICROSECOND", F.unix_micros(col(ts)), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(fv.LOCAL_TZ), utc))
+
+
+def with_date(df: DataFrame, ts: str) -> DataFrame:
+    """``df`` with the partition column of its ``ts``."""
+    return df.withColumn(DATE_PART, local_date(ts, df.schema[ts].dataType))
 
 
 def scan_time_range(df: DataFrame, ts: str, oldest, newest, *, inclusive: str = "left") -> DataFrame:
@@ -84,16 +106,20 @@ def scan_time_range(df: DataFrame, ts: str, oldest, newest, *, inclusive: str =
     hi = F.lit(newest).cast(df.schema[ts].dataType)
     cond = (t >= lo) & (t < hi) if inclusive == "left" else (t > lo) & (t <= hi)
     if DATE_PART in df.columns:
-        cond = cond & (F.col(DATE_PART) >= F.to_date(lo)) & (F.col(DATE_PART) <= F.to_date(hi))
+        kind = df.schema[ts].dataType
+        cond = cond & (F.col(DATE_PART) >= local_date(lo, kind)) & (F.col(DATE_PART) <= local_date(hi, kind))
     return df.filter(cond)
 
 
 def scan_latest_file(df: DataFrame) -> DataFrame:
     """Rows of the newest landed file (the greatest file name, as run
-    timestamps are in the names). The max is a one-row aggregate."""
-    p = df.withColumn("_file", F.col("_metadata.file_path"))
-    top = p.agg(F.max("_file").alias("_top"))
-    return p.join(F.broadcast(top), F.col("_file") == F.col("_top"), "left_semi").drop("_file")
+    timestamps are in the names). The names come from the listing, so only
+    the newest file is read; its rows are those whose path it is."""
+    newest = max(df.inputFiles(), default=None)
+    if newest is None:
+        return df.limit(0)
+    spark = df.sparkSession
+    return spark.read.schema(df.schema).option("basePath", newest.rsplit("/", 1)[0]).parquet(newest)
 
 
 def run_ts_from_path(pattern: str = r"(\d{4}-\d{2}-\d{2}_\d{2}:\d{2}:\d{2})") -> Column:
@@ -121,14 +147,18 @@ def hourly_landing(df: DataFrame, key: str, order: Sequence[str], value: str, *,
 
 
 def explode_hourly(landing: DataFrame, keep: Sequence[str], arrays: Sequence[str],
-                   start: str = "start", interval: str = "interval", out: str = "datetime") -> DataFrame:
+                   start: str = "start", interval: str = "interval", out: str = "datetime", end: str = "end") -> DataFrame:
     """Parallel hourly arrays + start/interval → one row per hour: the i-th
-    elements with time start + i·interval (the half-open range [start, end))."""
+    elements with time start + i·interval, in the half-open range [start, end):
+    elements at or beyond ``end`` are dropped (null end: none are)."""
     z = F.arrays_zip(*[F.col(a) for a in arrays])
-    e = landing.select(*keep, start, interval, F.posexplode(z).alias("_i", "_z"))
+    ends = [end] if end in landing.columns else []
+    e = landing.select(*keep, start, interval, *ends, F.posexplode(z).alias("_i", "_z"))
     secs = (F.col("_i").cast("long") * F.col(interval).cast("long")).cast("decimal(18,6)")
-    return e.select(*keep, (F.col(start) + F.make_dt_interval(secs=secs)).alias(out),
-                    *[F.col("_z").getField(a).alias(a) for a in arrays])
+    e = e.withColumn("_at", F.col(start) + F.make_dt_interval(secs=secs))
+    if ends:
+        e = e.filter(F.col(end).isNull() | (F.col("_at") < F.col(end)))
+    return e.select(*keep, F.col("_at").alias(out), *[F.col("_z").getField(a).alias(a) for a in arrays])
 
 
 def landing_from_epoch(df: DataFrame) -> DataFrame:
@@ -147,9 +177,3 @@ def missing_keys(source: DataFrame, target: DataFrame, key: str, limit: int | No
     optionally the first ``limit`` (what a sync copies next)."""
     out = source.select(key).distinct().join(target.select(key), key, "left_anti").orderBy(F.col(key).desc())
     return out.limit(limit) if limit else out
-
-
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """File listing as a DataFrame (path, modificationTime, length)."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-                 .select("path", "modificationTime", "length"))

@@ -5,21 +5,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from dockcast.operators import serve
-from dockcast.sources.readers import DATE_PART
+from dockcast.sources.readers import DATE_PART, with_date
 
 
 def write_layer(df: DataFrame, path: str, *, ts: str = "extraction_ts", mode: str = "append",
                 sort_by: Sequence[str] = ("id", "extraction_ts")) -> None:
-    """Write a snapshot layer partitioned by extraction date.
+    """Write a layer partitioned by the date of ``ts`` (``readers.local_date``).
 
     ``mode='overwrite'`` replaces only the dates present in ``df`` (dynamic
     partition overwrite), which is what re-processing a range needs. Rows
     are sorted inside each file only."""
-    out = df if DATE_PART in df.columns else df.withColumn(DATE_PART, F.to_date(F.col(ts)))
+    out = df if DATE_PART in df.columns else with_date(df, ts)
     # range partitioning on (date, sort keys): a day is spread over as many
     # tasks as its size needs (never one task per day), each task writes a
     # few date folders with files already in sort order
@@ -62,6 +62,18 @@ def insert_ignore_append(spark: SparkSession, target: str, incoming: DataFrame,
     return n
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there. Only that: an unreadable table is
+    there, and reading it fails."""
+    # one file name is enough; a path that names nothing is what this lists as absent
+    try:
+        return bool(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").limit(1).count())
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", properties: dict | None = None,
                batch_size: int = 10_000) -> None:
     """SQL-store sink through the DataFrame writer (parameterised batches,
@@ -70,6 +82,3 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", proper
     props.setdefault("batchsize", str(batch_size))
     df.write.jdbc(url, table, mode=mode, properties=props)
 
-
-def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)

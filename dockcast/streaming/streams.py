@@ -34,10 +34,15 @@ def occupancy_windows(df: DataFrame, key: str, ts: str, value: str, *, length: s
                       slide: str = "10 minutes", out_window: str = "w", out_value: str = "v") -> DataFrame:
     """Mean of ``value`` per key over sliding windows (batch or stream):
     each row counts in every window [start, start+length) containing it,
-    starts aligned to ``slide``."""
-    return (df.groupBy(col(key), F.window(col(ts), length, slide).alias("_w"))
-              .agg(F.avg(col(value)).alias(out_value))
-              .select(key, F.col("_w.start").alias(out_window), out_value))
+    starts aligned to ``slide``. ``length`` must be a multiple of ``slide``: rows
+    are first summed per key and pane of ``slide``, and only the panes are
+    copied into the windows that hold them."""
+    pane = F.window(col(ts), slide)
+    panes = (df.groupBy(col(key), pane.alias("_p"))
+               .agg(F.sum(col(value).cast("double")).alias("_s"), F.count(col(value)).alias("_n")))
+    return (panes.groupBy(col(key), F.window(F.col("_p.start"), length, slide).alias("_w"))
+                 .agg((F.sum("_s") / F.nullif(F.sum("_n"), F.lit(0))).alias(out_value))
+                 .select(key, F.col("_w.start").alias(out_window), out_value))
 
 
 def stream_occupancy_window(stream: DataFrame, key: str, ts: str, value: str, *, delay: str = "8 days",
@@ -77,12 +82,15 @@ def stream_clean(spark: SparkSession, raw_path: str, clean_path: str, checkpoint
                  clean_fn: Callable[[DataFrame], DataFrame]):
     """Each micro-batch of raw snapshot files is cleaned as a batch (the
     per-snapshot de-duplication needs whole snapshots, which a file brings)
-    and appended to the clean layer partitioned by date."""
+    and written to the clean layer partitioned by date and batch. A batch that
+    is tried again replaces its own folders, so its rows are there once."""
     def batch(df: DataFrame, batch_id: int) -> None:
-        from dockcast.operators.sequence import release_cached
-        out = clean_fn(df).withColumn("extraction_date", F.to_date("extraction_ts"))
-        out.write.mode("append").partitionBy("extraction_date").parquet(clean_path)
-        release_cached()
+        from dockcast.operators.sequence import cached_scope
+        from dockcast.sources.readers import DATE_PART, with_date
+        with cached_scope():
+            out = with_date(clean_fn(df), "extraction_ts").withColumn("batch", F.lit(batch_id))
+            (out.repartitionByRange(DATE_PART, "id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy(DATE_PART, "batch").parquet(clean_path))
     return for_each_batch(read_stream(spark, raw_path, schema), batch, checkpoint).start()
 
 
@@ -125,8 +133,12 @@ def stream_status(spark: SparkSession, snapshots: DataFrame, status_path: str, c
                   key: str = "id", ts: str = "extraction_ts"):
     """Keep one status row per station, the latest snapshot: each batch is
     merged into the status table by key, the row with the later timestamp
-    winning (so a late batch never overwrites newer status), and written as
-    a new table version before it replaces the table."""
+    winning (so a late batch never overwrites newer status), and written as a
+    new version, published once it is complete. Published versions are never
+    changed: the newest is the table (``read_status``), so a crash at any point
+    leaves a readable table, and a batch that is tried again writes the same
+    version from the same predecessor. A version that cannot be read fails the
+    batch."""
     from dockcast.operators.clean import dedupe_first
 
     def latest(rows: DataFrame) -> DataFrame:
@@ -134,16 +146,33 @@ def stream_status(spark: SparkSession, snapshots: DataFrame, status_path: str, c
                             [key], ["_neg"]).drop("_neg")
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        try:
-            cur = spark.read.parquet(status_path)
-            state = latest(cur.unionByName(df.select(*cur.columns)))
-        except Exception:  # first batch: no table yet
+        version = status_version(spark, status_path, before=batch_id)
+        if version is None:  # first batch: no table yet
             state = latest(df)
-        state.write.mode("overwrite").parquet(f"{status_path}.v{batch_id}")
-        spark.read.parquet(f"{status_path}.v{batch_id}").write.mode("overwrite").parquet(status_path)
+        else:
+            cur = spark.read.parquet(f"{status_path}/state/v={version}")
+            state = latest(cur.unionByName(df.select(*cur.columns)))
+        state.write.mode("overwrite").parquet(f"{status_path}/state/v={batch_id}")
+        spark.range(1).select(F.lit(batch_id).cast("long").alias("v")).write.mode("append").parquet(f"{status_path}/published")
     return for_each_batch(snapshots, batch, checkpoint).start()
 
 
+def status_version(spark: SparkSession, status_path: str, before: int | None = None) -> int | None:
+    """The newest published version, or none."""
+    from dockcast.sources.sinks import exists
+    if not exists(spark, f"{status_path}/published"):
+        return None
+    v = spark.read.schema("v long").parquet(f"{status_path}/published")
+    if before is not None:
+        v = v.filter(F.col("v") < before)
+    return v.agg(F.max("v")).first()[0]
+
+
+def read_status(spark: SparkSession, status_path: str) -> DataFrame:
+    """The current status table."""
+    return spark.read.parquet(f"{status_path}/state/v={status_version(spark, status_path)}")
+
+
 def stream_forecasts(spark: SparkSession, status_stream: DataFrame, *, clean_layer: DataFrame,
                      stations: DataFrame, zones: DataFrame, weather_latest: DataFrame, model_path: str,
                      forecasts_path: str, checkpoint: str, available_now: bool = True):
