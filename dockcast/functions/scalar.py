@@ -146,10 +146,11 @@ def map_default(c, mapping: Mapping[str, str], default: str = "N/A") -> Column:
 
 
 def percent_text(x, digits: int = 0) -> Column:
-    """Fraction → ``'42%'`` text as shown in the station view."""
+    """Fraction → ``'42%'`` text as shown in the station view; exact halves
+    round to the even percent (12.5 % → 12 %)."""
     c = col(x)
     if digits == 0:
-        txt = F.format_string("%d%%", F.round(c * 100).cast("long"))
+        txt = F.format_string("%d%%", F.bround(c * 100).cast("long"))
     else:
         txt = F.format_string(f"%.{digits}f%%", c * 100)
     return F.when(c.isNotNull(), txt)

@@ -1,8 +1,8 @@
 """Row validation and de-duplication of station snapshots.
 
 De-duplication is written as aggregation, not as a window: a group of
-identical copies may be huge, and a hash aggregate combines it map-side
-(one partial row per task) instead of sorting it inside one task.
+identical copies may be huge, and a partial aggregate leaves one row of it per
+map task instead of sorting it inside one task.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockcast.functions.scalar import any_null, any_true, col
+from dockcast.operators.sequence import _join_ns as join_null_safe
 
 
 def filter_valid(df: DataFrame, required: Sequence[str] = (), rules: Sequence[Column] = ()) -> DataFrame:
@@ -57,8 +58,9 @@ def dedupe_first(df: DataFrame, subset: Sequence[str], order: Sequence[str] = ()
     """Keep one row per ``subset``: the first by ``order`` then by the
     remaining columns (a stated, input-order-free tie-break).
 
-    ``min(struct(order…, rest…))`` per group is a partially aggregated hash
-    aggregate, so a group holding a third of the table is reduced map-side.
+    ``min(struct(order…, rest…))`` per group is partially aggregated, so a
+    group holding a third of the table is reduced map-side. A struct buffer
+    makes Spark plan a sort aggregate (it sorts, and can spill, each side).
     """
     subset, order = list(subset), list(order)
     rest = [c for c in df.columns if c not in subset and c not in order]
@@ -81,34 +83,28 @@ def dedupe_first(df: DataFrame, subset: Sequence[str], order: Sequence[str] = ()
 def drop_shared(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Drop *all* rows whose ``key`` occurs more than once; keep singletons.
 
-    count + min(row) per key in one partial aggregate: a key with millions of
+    count + min per column in one partial aggregate: a key with millions of
     copies leaves one partial row per map task, never a whole group in memory.
+    A kept key has a single row, so the columns' separate minima are that row;
+    with fixed-width columns the plan is a hash aggregate (text columns make
+    Spark plan a sort aggregate).
     """
     key = list(key)
     rest = [c for c in df.columns if c not in key]
-    if not rest:
-        return (df.groupBy(*[col(c) for c in key]).agg(F.count(F.lit(1)).alias("_n"))
-                  .filter(F.col("_n") == 1).drop("_n"))
     agg = (df.groupBy(*[col(c) for c in key])
-             .agg(F.count(F.lit(1)).alias("_n"),
-                  F.min(F.struct(*[col(c).alias(c) for c in rest])).alias("_row"))
+             .agg(F.count(F.lit(1)).alias("_n"), *[F.min(col(c)).alias(c) for c in rest])
              .filter(F.col("_n") == 1))
-    return agg.select(*[col(c) if c in key else F.col("_row").getField(c).alias(c) for c in df.columns])
+    return agg.select(*[col(c) for c in df.columns])
 
 
 def group_size(df: DataFrame, key: Sequence[str], out: str = "group_size") -> DataFrame:
     """Rows per key attached to every row: aggregate, then join back (AQE
-    splits a skewed key on the big side; the count side has one row per key)."""
+    splits a skewed key on the big side; the count side has one row per key).
+    Null keys form a group, as in a GROUP BY."""
     key = list(key)
     sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias(out))
-    return df.join(sizes, key, "left")
+    return join_null_safe(df, sizes, key, "left")
 
 
 def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[col(c) for c in columns])
-
-
-def sorted_for_sink(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Order rows inside each output file only; a global sort is a shuffle
-    that nothing downstream needs."""
-    return df.sortWithinPartitions(*by)

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockcast.functions.scalar import clip01, col, floor_at, reconstruct_fill
+from dockcast.functions.scalar import clip01, col, reconstruct_fill
 from dockcast.operators import sequence as sq
 
 
@@ -84,9 +84,14 @@ def _solve(row, k: int, alpha: float) -> tuple[list[float], float]:
 def ridge_fit(df: DataFrame, features: Sequence[str], target: str, alpha: float = 1.0) -> RidgeModel:
     """Ridge regression with intercept (intercept not penalised), alpha on
     the sum-of-squares scale: minimise Σ(y − b − x·w)² + alpha·|w|²."""
+    return ridge_fit_counted(df, features, target, alpha)[0]
+
+
+def ridge_fit_counted(df: DataFrame, features: Sequence[str], target: str, alpha: float = 1.0) -> tuple[RidgeModel, int]:
+    """The model and how many rows it was fitted on, in one pass."""
     row = ridge_moments(df, features, target).first()
     w, b = _solve(row, len(features), alpha)
-    return RidgeModel(list(features), w, b)
+    return RidgeModel(list(features), w, b), int(row["n"])
 
 
 def ridge_fit_1d_df(df: DataFrame, feature: str, target: str, alpha: float = 1.0,
@@ -127,15 +132,22 @@ def ridge_fit_per_key(df: DataFrame, key: Sequence[str] | str, features: Sequenc
     out_schema = f"{key_schema}, intercept double, " + ", ".join(f"w_{f} double" for f in features)
 
     def solve(pdf):
-        import pandas as pd
-        recs = []
-        for _, r in pdf.iterrows():
-            try:
-                w, b = _solve(r, k, alpha)
-            except np.linalg.LinAlgError:
-                w, b = [float("nan")] * k, float("nan")
-            recs.append([r[c] for c in key] + [b] + w)
-        return pd.DataFrame(recs, columns=key + ["intercept"] + [f"w_{f}" for f in features])
+        n = pdf["n"].to_numpy("float64")
+        sxx, sxy = np.zeros((len(pdf), k, k)), np.zeros((len(pdf), k))
+        for i in range(k):
+            sxy[:, i] = pdf[f"cy{i}"].to_numpy("float64") * n
+            for j in range(i, k):
+                sxx[:, i, j] = sxx[:, j, i] = pdf[f"c{i}_{j}"].to_numpy("float64") * n
+        # one batched solve; alpha > 0 makes every system regular, else a singular one gives nan
+        a = sxx + alpha * np.eye(k)
+        bad = ~(np.isfinite(a).all((1, 2)) & (np.linalg.matrix_rank(np.nan_to_num(a)) == k)) if len(pdf) else np.zeros(0, bool)
+        a[bad], sxy[bad] = np.eye(k), np.nan
+        w = np.linalg.solve(a, sxy[:, :, None])[:, :, 0]
+        out = pdf[key].copy()
+        out["intercept"] = pdf["my"].to_numpy("float64") - sum(w[:, i] * pdf[f"m{i}"].to_numpy("float64") for i in range(k))
+        for i, f in enumerate(features):
+            out[f"w_{f}"] = w[:, i]
+        return out
     return mom.mapInPandas(lambda it: (solve(p) for p in it), schema=out_schema)
 
 
@@ -168,11 +180,13 @@ def forecast_rows(df: DataFrame, model: RidgeModel, *, station: str = "station_i
 def r2_score(df: DataFrame, truth: str | Column, prediction: str | Column, out: str = "r2",
              swap: bool = False) -> DataFrame:
     """Coefficient of determination 1 − SS_res / SS_tot around the mean of
-    the truth. ``swap=True`` reproduces calling it as (prediction, truth)."""
+    the truth. ``swap=True`` reproduces calling it as (prediction, truth).
+    With a constant truth it is 1 for a perfect prediction, else 0."""
     y, p = (col(prediction), col(truth)) if swap else (col(truth), col(prediction))
     d = df.select(y.cast("double").alias("_y"), p.cast("double").alias("_p")).dropna()
-    return d.agg((F.lit(1.0) - F.sum(F.pow(F.col("_y") - F.col("_p"), 2)) /
-                  (F.var_pop("_y") * F.count(F.lit(1)))).alias(out))
+    s = d.agg(F.sum(F.pow(F.col("_y") - F.col("_p"), 2)).alias("res"), (F.var_pop("_y") * F.count(F.lit(1))).alias("tot"))
+    r2 = F.when(F.col("tot") > 0, F.lit(1.0) - F.try_divide("res", "tot")).otherwise(F.when(F.col("res") == 0, 1.0).otherwise(F.when(F.col("res") > 0, 0.0)))
+    return s.select(r2.alias(out))
 
 
 def time_split(df: DataFrame, ts: str, split, inclusive: str = "left") -> tuple[DataFrame, DataFrame]:
@@ -207,6 +221,3 @@ def recursive_forecast(df: DataFrame, key, order, *, step_slope: Column, step_of
     return sq.clamped_affine_scan(df, key, order, a=step_slope, b=terms[0], c=rest,
                                   a_first=F.lit(0.0), b_first=first_value, lo=lo, out=out, cfg=cfg)
 
-
-def floor_zero(x) -> Column:
-    return floor_at(x, 0.0)

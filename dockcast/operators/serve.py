@@ -38,14 +38,25 @@ def stale_ids(requested: DataFrame, forecasts: DataFrame, id_col: str, ts: str,
     return requested.select(id_col).distinct().join(fresh, id_col, "left_anti")
 
 
+def one_per_key(df: DataFrame, key: Sequence[str], pick) -> DataFrame:
+    """One row per key: ``pick`` (min or max) of the other columns as a struct,
+    partially aggregated."""
+    rest = [c for c in df.columns if c not in key]
+    if not rest:
+        return df.distinct()
+    g = df.groupBy(*key).agg(pick(F.struct(*[F.col(c) for c in rest])).alias("_row"))
+    return g.select(*[F.col(c) if c in key else F.col("_row").getField(c).alias(c) for c in df.columns])
+
+
 def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFrame:
     """New table state: for each key the update row if there is one, else the
     target row (whole-row take by key, not a per-column coalesce).
 
-    Keys are unique on both sides (a status table), so the full outer join
-    has no skew to handle.
+    The target's keys are unique (a status table). Of updates that share a
+    key one is taken: the greatest in the remaining columns, in their order.
     """
     key = list(key)
+    updates = one_per_key(updates.select(*target.columns), key, F.max)
     cols = [c for c in target.columns if c not in key]
     t = target.select(*key, *[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_t_hit"))
     u = updates.select(*key, *[F.col(c).alias(f"_u_{c}") for c in cols], F.lit(True).alias("_u_hit"))
@@ -56,8 +67,13 @@ def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFra
 
 def insert_ignore(target: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of ``incoming`` whose key is not yet in ``target`` (what an
-    INSERT … ON CONFLICT DO NOTHING adds). Append these to the target."""
-    return incoming.join(target.select(*key), list(key), "left_anti")
+    INSERT … ON CONFLICT DO NOTHING adds). Append these to the target. Of
+    incoming rows that share a key one is added: the least in the remaining
+    columns, in their order. Null keys conflict with nothing and all go in."""
+    key = list(key)
+    new = incoming.join(target.select(*key), key, "left_anti")
+    null_key = F.greatest(*[F.col(k).isNull().cast("int") for k in key], F.lit(0)) == 1
+    return one_per_key(new.filter(~null_key), key, F.min).unionByName(new.filter(null_key))
 
 
 def insert_ignore_state(target: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:

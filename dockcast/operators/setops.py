@@ -35,8 +35,3 @@ def id_difference(a: DataFrame, a_col: str, b: DataFrame, b_col: str, out: str =
     left = a.select(F.col(a_col).alias(out)).distinct()
     right = b.select(F.col(b_col).alias(out))
     return left.join(right, left[out].eqNullSafe(right[out]), "left_anti")
-
-
-def empty_like(df: DataFrame) -> DataFrame:
-    """Typed empty frame with the same schema."""
-    return df.limit(0)
