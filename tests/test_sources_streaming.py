@@ -148,7 +148,7 @@ def test_stream_status_upserts(spark, tmp_path):
     out = str(tmp_path / "status")
     q = streams.stream_status(spark, st, out, str(tmp_path / "ck"))
     q.awaitTermination()
-    got = {r.id: (r.full, r.empty) for r in spark.read.parquet(out).collect()}
+    got = {r.id: (r.full, r.empty) for r in streams.read_status(spark, out).collect()}
     assert got == {1: (6, 4), 2: (1, 9)}
 
 
