@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from dockcast.functions import scalar as fx
 from dockcast.operators import aggregates as agg
 from dockcast.operators import clean, joins, model, serve, setops, windows
+from dockcast.session import cut_lineage
 from dockcast.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -321,14 +322,14 @@ def q_ridge_fit(spark, sf_dir):
 
 
 def q_forecast_rows(spark, sf_dir):
-    t = _training(spark, sf_dir)
-    m = model.ridge_fit(t, ["pct"], "y", alpha=RIDGE_ALPHA)  # fit and apply share one plan
+    t = cut_lineage(_training(spark, sf_dir).select("event_id", "pct", "y"))  # one window for fit and apply
+    m = model.ridge_fit(t, ["pct"], "y", alpha=RIDGE_ALPHA)
     return model.forecast_fill(t, m, pct="pct", out="fill_rate").select(
         "event_id", F.round("fill_rate", 6).alias("fill_rate"))
 
 
 def q_r2(spark, sf_dir):
-    t = _training(spark, sf_dir)
+    t = cut_lineage(_training(spark, sf_dir).select("pct", "y"))
     m = model.ridge_fit(t, ["pct"], "y", alpha=RIDGE_ALPHA)
     return model.r2_score(model.predict(t, m, "yh"), "y", "yh").select(F.round("r2", 6).alias("r2"))
 
@@ -342,7 +343,7 @@ def q_time_split(spark, sf_dir):
 def q_recursive_forecast(spark, sf_dir):
     """Fixed linear step in place of a fitted model: p₁ = max(0, 0.9·pct − 0.02),
     pₙ = max(0, 0.9·pₙ₋₁ − 0.02 + 0.05·(event_id mod 2))."""
-    o = observations(spark, sf_dir)
+    o = observations(spark, sf_dir).select("event_id", "user_id", "ts", "pct")  # what the Python step needs
     r = model.recursive_forecast(
         o, KEY, ORDER, step_slope=F.lit(0.9),
         step_offset=[F.lit(-0.02), F.lit(0.05) * (F.col("event_id") % 2)],
@@ -598,7 +599,7 @@ ORACLE_SQL.update({
     "drop_na_features": _F + " select event_id from f where pct is not null and lag3 is not null and fwd3 is not null",
     "filter_fresh": "select event_id from events where ts > timestamp '2024-01-30 12:00:00' - interval 300 minute",
     "needs_refresh": "select coalesce(max(ts) <= timestamp '2024-01-30 23:59:00' - interval 5 minute, true) stale from events",
-    "display_view": _OBS + " select user_id, printf('%d%%', cast(round(avg(pct)*100) as bigint)) fill_pct from obs group by 1",
+    "display_view": _OBS + " select user_id, printf('%d%%', cast(round_even(avg(pct)*100, 0) as bigint)) fill_pct from obs group by 1",
     "join_status_station": "select o_orderkey, c_name from orders join customer on o_custkey=c_custkey",
     "anti_stale_forecasts": "select distinct c_custkey station_id from customer anti join (select o_custkey from orders where o_orderdate > timestamp '1998-01-01' - interval 525600 minute) f on c_custkey=f.o_custkey",
     "dedupe_weather": "select event_type, h, value from (select event_type, date_trunc('hour',ts) h, value, row_number() over (partition by event_type, date_trunc('hour',ts) order by ts, event_id) rn from events) where rn=1",
