@@ -429,6 +429,44 @@ def _group_starts(pdf: pd.DataFrame, cols: list[str], prev_key) -> np.ndarray:
     return starts
 
 
+def _walk(new, a, b, a1, b1, c, lo, hi, st, x: float) -> tuple[np.ndarray, float]:
+    """One batch of the recurrence, ``x`` carried in and out. Groups of the
+    batch advance in step, one vector operation per position; a batch that is
+    mostly one long group has nothing to put beside it and is walked alone."""
+    n = len(new)
+    res = np.empty(n, dtype="float64")
+    first = np.flatnonzero(new)
+    if not new[0]:
+        first = np.append(0, first)
+    size = np.diff(np.append(first, n))
+    af, bf, cf = np.where(new, a1, a), np.where(new, b1, b), np.where(new, 0.0, c)
+    x0 = np.where(new[first], st[first] if st is not None else 0.0, x)
+    if size.max() * 16 > n:
+        cols = [v.tolist() for v in (new, af, bf, cf, lo, hi)]
+        starts = iter(x0[new[first]].tolist())
+        for i, (is_new, ai, bi, ci, l, h) in enumerate(zip(*cols)):
+            if is_new:
+                x = next(starts)
+            y = bi if ai == 0.0 else ai * x + bi
+            if ci != 0.0:
+                y = y + ci  # second offset term added last, as written
+            x = y if y != y else min(max(y, l), h)
+            res[i] = x
+        return res, x
+    order = np.argsort(-size, kind="stable")
+    first, size, x0 = first[order], size[order], x0[order].astype("float64")
+    live = np.searchsorted(-size, -np.arange(int(size[0])), "left")
+    for k in range(int(size[0])):
+        m = live[k]
+        i = first[:m] + k
+        ai = af[i]
+        y = np.where(ai == 0.0, bf[i], ai * x0[:m] + bf[i])
+        y = np.where(cf[i] != 0.0, y + cf[i], y)
+        x0[:m] = np.where(np.isnan(y), y, np.minimum(np.maximum(y, lo[i]), hi[i]))
+        res[i] = x0[:m]
+    return res, float(res[n - 1])
+
+
 def _replay(df: DataFrame, group: list[str], order: list, out: str, start: str | None) -> DataFrame:
     """Sequential replay of x = clamp(a·x_prev + b, lo, hi) within each group.
 
@@ -456,18 +494,7 @@ def _replay(df: DataFrame, group: list[str], order: list, out: str, start: str |
             lo = pdf["_sq_lo"].to_numpy("float64")
             hi = pdf["_sq_hi"].to_numpy("float64")
             st = pdf[start].to_numpy("float64") if start else None
-            res = np.empty(n, dtype="float64")
-            for i in range(n):
-                if new[i]:
-                    x = st[i] if st is not None else 0.0
-                    ai, bi, ci = a1[i], b1[i], 0.0
-                else:
-                    ai, bi, ci = a[i], b[i], c[i]
-                y = bi if ai == 0.0 else ai * x + bi
-                if ci != 0.0:
-                    y = y + ci  # second offset term added last, as written
-                x = y if y != y else min(max(y, lo[i]), hi[i])
-                res[i] = x
+            res, x = _walk(new, a, b, a1, b1, c, lo, hi, st, x)
             prev_key = _key_of(pdf, group, n - 1)
             pdf[out] = res
             yield pdf
