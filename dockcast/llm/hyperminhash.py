@@ -11,10 +11,12 @@ shingle sets.
 Texts with equal sets are one class from the start, so copies make no pairs.
 Round one pairs each member of a band group with the group's first class, and
 the confirmed links are joined into components. Round two takes the groups that
-still hold several components and compares their members across components,
-in blocks of ``block`` classes inside tasks; only pairs that pass the estimate
-leave a task, and no pair inside a component is tried. So no link that shares
-a band is lost, and a group of near copies costs its size, not its square.
+still hold several components and compares their members across components
+inside tasks, in blocks of ``block`` classes: sketches first, then the full
+sets of pairs that pass, best estimates first; no pair inside a component is
+tried, and only links that join components leave a task. So no link that
+shares a band is lost, and what is shuffled or written for a group of near
+copies grows with its size, not its square.
 
 Chances: at similarity 0.85, 32 bands of 6 registers miss a link with
 probability 3e-7; the estimate has a standard error of 0.022 there and drops
@@ -208,45 +210,72 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return e.select(F.col("a").alias("v"), F.col("b").alias("label")).unionByName(e.select(F.col("b").alias("v"), F.col("b").alias("label")).distinct())
 
 
-def across(rows: DataFrame, least: float, block: int) -> DataFrame:
-    """Pairs of different labels inside a band group that pass the estimate.
-    rows: key, set, label, n, regs. Groups above ``block`` rows are compared
-    block against block, each pair of blocks in its own unit."""
+def across(rows: DataFrame, least: float, min_pct: int, block: int) -> DataFrame:
+    """Links (a, b) between different labels of a band group. rows: key, set,
+    label, n, regs, data. Members whose estimate passes are confirmed on their
+    full sets inside the task, best estimate first, and a link joins two
+    labels, so a unit yields fewer links than it has labels. Groups above
+    ``block`` rows are compared block against block, each two in a unit."""
     size = rows.groupBy("key").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
     r = rows.join(size, "key").withColumn("own", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
     r = r.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    r = r.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "set").select("key", "i", "j", "own", "set", "label", "n", "regs")
+    r = r.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "set").select("key", "i", "j", "own", "set", "label", "n", "regs", "data")
+
+    def linked(g: list, known: dict) -> list:
+        labels = np.unique([x[5].hex() for x in g], return_inverse=True)[1]
+        if labels.max() == 0:
+            return []
+        regs = np.frombuffer(b"".join(x[7] for x in g), np.uint16).reshape(-1, REGISTERS)
+        n, own = np.array([x[6] for x in g]), np.array([x[3] for x in g])
+        one_block = g[0][1] == g[0][2]
+        pairs = []
+        for x in range(len(g) - 1):
+            rest = x + 1 + np.flatnonzero((labels[x + 1:] != labels[x]) & (one_block | (own[x + 1:] != own[x])))
+            est = estimate((regs[rest] == regs[x]).sum(1), np.full(len(rest), n[x]), n[rest])
+            ok = est >= least
+            pairs.append(np.stack([est[ok], np.full(ok.sum(), x), rest[ok]]))
+        est, xs, ys = np.concatenate(pairs, 1)
+        up, sets, found = list(range(labels.max() + 1)), {}, []
+
+        def root(i):
+            while up[i] != i:
+                up[i] = up[up[i]]
+                i = up[i]
+            return i
+
+        def full(i):
+            if i not in sets:
+                sets[i] = shingles(g[i][8], known)
+            return sets[i]
+
+        for k in np.argsort(-est, kind="stable").tolist():
+            x, y = int(xs[k]), int(ys[k])
+            p, q = root(labels[x]), root(labels[y])
+            if p != q and 100 * (both := len(np.intersect1d(full(x), full(y), assume_unique=True))) >= min_pct * (n[x] + n[y] - both):
+                up[p] = q
+                found.append((g[x][4], g[y][4]))
+        return found
 
     def run(batches):
         import pyarrow as pa
         from itertools import groupby
+        known: dict = {}
 
         def each():
             for b in batches:
                 for i in range(0, b.num_rows, 512):
-                    yield from zip(*[b.slice(i, 512).column(c).to_pylist() for c in ("key", "i", "j", "own", "set", "label", "n", "regs")])
-
-        for (_, i, j), g in groupby(each(), key=lambda x: x[:3]):
-            g = list(g)
-            labels = np.unique([x[5].hex() for x in g], return_inverse=True)[1]
-            if labels.max() == 0:
-                continue
-            regs = np.frombuffer(b"".join(x[7] for x in g), np.uint16).reshape(-1, REGISTERS)
-            n, own = np.array([x[6] for x in g]), np.array([x[3] for x in g])
-            found = []
-            for x in range(len(g) - 1):
-                rest = x + 1 + np.flatnonzero((labels[x + 1:] != labels[x]) & ((i == j) | (own[x + 1:] != own[x])))
-                if len(rest):
-                    est = estimate((regs[rest] == regs[x]).sum(1), np.full(len(rest), n[x]), n[rest])
-                    found += [(g[x][4], g[y][4]) for y in rest[est >= least].tolist()]
-            if found:
+                    part = b.slice(i, 512)
+                    yield from zip(*[part.column(c).to_pylist() for c in ("key", "i", "j", "own", "set", "label", "n", "regs", "data")])
+
+        for _, g in groupby(each(), key=lambda x: x[:3]):
+            if found := linked(list(g), known):
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)], names=["a", "b"])
 
     return r.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", min_pct: int = 85, slack: float = 0.12, block: int = 1000) -> DataFrame:
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", min_pct: int = 85, slack: float = 0.12, block: int = 500) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, and d and h (which name the row)
     of every row."""
     ship(__name__)
@@ -271,10 +300,10 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", min
 
     r = members.select("key", "set").join(labels.withColumnRenamed("v", "set"), "set", "left").withColumn("label", F.coalesce("label", "set"))
     open_groups = r.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
-    r = r.join(open_groups, "key").join(involved.select("set", "n", "regs"), "set")
-    more = staged(across(r, least, block), "hmh-across")
+    r = r.join(open_groups, "key").join(involved.select("set", "n", "regs"), "set").join(texts, "set")
+    more = staged(across(r, least, min_pct, block), "hmh-across")
     if not more.isEmpty():
-        links = links.unionByName(staged(confirmed(more, texts, min_pct, block), "hmh-links2"))
+        links = links.unionByName(more)
         labels = components(links, "hmh-cc2")
     labels = labels.withColumnRenamed("v", "set")
     comp = classes.select("set", "rep").join(labels, "set").groupBy("label").agg(F.min("rep").alias("smallest"))
