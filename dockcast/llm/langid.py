@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockcast.llm.common import append_arrow, crc_mod5, ship
+from dockcast.llm.common import append_arrow, crc_mod5, ship, staged
 
 BLANK, OTHER = 1, 0
 
@@ -166,7 +166,9 @@ class Model:
 def learn(labelled: DataFrame, sample_docs: int, sample_chars: int) -> Model:
     """From (doc_id, text, lang) without nulls in lang and text."""
     d = labelled.withColumn("h", F.xxhash64("doc_id", "lang"))
-    counts = d.groupBy("lang").count().withColumnRenamed("lang", "of")
+    # written first: its size is known when the join is planned, so a small one is
+    # broadcast and no text is dealt out by language
+    counts = staged(d.groupBy("lang").count().withColumnRenamed("lang", "of"), "language-counts")
     # about four times the rows asked for, by hash; all of a small language
     share = F.least(F.lit(1.0), F.lit(4.0 * sample_docs) / F.col("count"))
     d = d.join(counts, F.col("lang") == F.col("of")).filter(F.col("h").cast("double") / F.lit(2.0 ** 64) + F.lit(0.5) <= share)
