@@ -6,8 +6,8 @@ hashes, inside one text only). Across documents: lines are normalised (ends
 trimmed, lower case), hashed, and the distinct documents that hold a line are
 counted per host; a line in at least ``min_docs`` documents and more than
 ``max_share`` of its host's documents is over the limit and is removed. A
-document that keeps fewer than ``min_words`` words, or less than ``min_left``
-of its words, is depleted and rejected.
+document that keeps less than ``min_left`` of its words is depleted and
+rejected.
 
 Scale: a document is known by its text's hash in these counts, so a group of
 copies counts once; counting is a two-step aggregate (distinct host, line,
@@ -82,7 +82,7 @@ def frequent_lines(docs: DataFrame, host: str, text: str, max_share: float, min_
 
 
 def judge(docs: DataFrame, out: str, host: str = "source", text: str = "text", max_share: float = 0.1, min_docs: int = 20,
-          min_words: int = 10, max_repeat_pct: int = 20, min_left: float = 0.1) -> DataFrame:
+          min_words: int = 10, max_repeat_pct: int = 20, min_left: float = 0.2) -> DataFrame:
     """All columns of ``docs`` and a struct ``out``: n_words, word_chars,
     n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_cut_lines,
     words_left, text_left (the text without the lines over the limit)."""
@@ -104,7 +104,7 @@ def judge(docs: DataFrame, out: str, host: str = "source", text: str = "text", m
     b, n = F.col(made), F.col(f"{made}.n_words")
     failed = (n < min_words) | (100 * F.col(f"{made}.n_repeat_words") > max_repeat_pct * n)
     words_left = n - F.col(f"{cut}.lost")
-    depleted = (words_left < min_words) | (words_left < min_left * n)
+    depleted = words_left < min_left * n
     return d.withColumn(out, F.struct(*[b[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], failed.alias("base_failed"),
                                       (~failed & ~depleted).alias("kept"), F.col(f"{cut}.n_cut_lines").alias("n_cut_lines"), words_left.alias("words_left"),
                                       F.col(f"{cut}.text_left").alias("text_left"))).drop(t, w, cut, made)
@@ -135,6 +135,6 @@ b AS (SELECT d.r, doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[
              coalesce(cut.n, 0)::BIGINT AS n_cut_lines, len(w)::BIGINT - coalesce(cut.lost, 0)::BIGINT AS words_left
       FROM d LEFT JOIN dup USING (r) LEFT JOIN cov USING (r) LEFT JOIN cut USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT (words_left < 10 OR words_left < 0.1::DOUBLE * n_words) AS kept, n_cut_lines, words_left
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT (words_left < 0.2::DOUBLE * n_words) AS kept, n_cut_lines, words_left
 FROM b
 """
