@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 SF = "/root/testdata/sf0.01"
 
 
-@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+@pytest.mark.parametrize("name", [*sorted(queries.ORACLE_SQL), "pipeline"])
 def test_query_equals_sql(spark, name):
     import oracle_check
     ok, why = oracle_check.compare(spark, SF, [name], strict=True)[name]
