@@ -62,7 +62,45 @@ STAGES = [
     ("mixing sources to target weights", mix_sources),
 ]
 
-ORACLE_SQL = None
+
+
+def _parts(sql: str) -> tuple[str, str]:
+    """A query's named parts and its last SELECT."""
+    head, _, last = sql.strip().rpartition("\nSELECT ")
+    return head.removeprefix("WITH "), "SELECT " + last
+
+
+def _oracle_sql() -> str:
+    """The stages as nested queries, each over the one before by the name ``documents``."""
+    rules, verdict = _parts(line_rules.SQL)
+    scan, _ = _parts(secret_scan.SQL)
+    return rf"""
+WITH s1 AS (
+  WITH {rules},
+  pq AS ({verdict}),
+  pl AS (SELECT doc_id, source, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL),
+  pc AS (SELECT pl.*, regexp_matches(line, '[^\x20\x09-\x0D]') AND EXISTS (SELECT 1 FROM ov WHERE ov.source IS NOT DISTINCT FROM pl.source
+          AND ov.k = lower(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)))) AS gone FROM pl),
+  pt AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS text FROM pc GROUP BY doc_id)
+  SELECT doc_id, pt.text, x.lang, x.source, length(pt.text)::BIGINT AS n_chars FROM documents x JOIN pt USING (doc_id) JOIN pq USING (doc_id) WHERE pq.kept),
+s2 AS (SELECT s1.* FROM s1 JOIN (SELECT * FROM (WITH RECURSIVE documents AS (SELECT * FROM s1), {_parts(hyperminhash.SQL)[0].removeprefix("RECURSIVE ")}
+  {_parts(hyperminhash.SQL)[1]})) n USING (doc_id) WHERE n.kept),
+s3 AS (SELECT s2.* FROM s2 JOIN (SELECT * FROM (WITH documents AS (SELECT * FROM s2), {_parts(decontam.SQL)[0]} {_parts(decontam.SQL)[1]})) n USING (doc_id) WHERE NOT n.contaminated),
+s4 AS (
+  WITH documents AS (SELECT * FROM s3), {scan},
+  po AS (SELECT r, start, stop, coalesce(start >= max(stop) OVER (PARTITION BY r ORDER BY start, kind, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS new FROM alls),
+  pg AS (SELECT r, start, stop, sum(new::INT) OVER (PARTITION BY r ORDER BY start, stop, new) AS g FROM po),
+  pu AS (SELECT r, min(start) AS a, max(stop) AS e FROM pg GROUP BY r, g),
+  pf AS (SELECT r, a, coalesce(lag(e) OVER (PARTITION BY r ORDER BY a), 0) AS before, e FROM pu),
+  pm AS (SELECT d.r, string_agg(substr(t, before + 1, a - before) || '[SECRET]', '' ORDER BY a) || substr(any_value(t), max(e) + 1) AS text FROM pf JOIN d USING (r) GROUP BY d.r),
+  pz AS (SELECT d.doc_id, coalesce(pm.text, d.t) AS text FROM d LEFT JOIN pm USING (r))
+  SELECT s3.doc_id, pz.text, lang, source, length(pz.text)::BIGINT AS n_chars FROM s3 JOIN pz USING (doc_id)),
+documents_mixed AS (SELECT * FROM (WITH documents AS (SELECT * FROM s4), {_parts(mixing.SQL)[0]} {_parts(mixing.SQL)[1]}))
+SELECT * FROM documents_mixed
+"""
+
+
+ORACLE_SQL = _oracle_sql()
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
