@@ -90,10 +90,6 @@ def hour_floor(ts, ntz: bool = True) -> Column:
     return _floor(col(ts), "hour", ntz)
 
 
-def day_floor(ts, ntz: bool = True) -> Column:
-    return _floor(col(ts), "day", ntz)
-
-
 def forecast_ts(ts, minutes: int = 30, ntz: bool = True) -> Column:
     """Base time + horizon, rounded to the minute (half a minute rounds up;
     the pandas original rounds exact half-minutes to even)."""

@@ -198,6 +198,12 @@ def time_split(df: DataFrame, ts: str, split, inclusive: str = "left") -> tuple[
     return train, test
 
 
+def split_xy(df: DataFrame, target: str, index: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(features, target): every column but the target, and the target alone;
+    ``index`` columns stay on both sides."""
+    return df.drop(target), df.select(*index, col(target))
+
+
 def split_label(ts: str | Column, split, train: str = "train", test: str = "test") -> Column:
     return F.when(col(ts) <= F.lit(split), F.lit(train)).otherwise(F.lit(test))
 

@@ -302,40 +302,42 @@ def position(df: DataFrame, key, order, out: str = "position", *, descending: bo
 
 def carry_forward(df: DataFrame, key, order, value: str | Column, out: str, *,
                   cfg: SkewConfig | None = None) -> DataFrame:
-    """Last non-null ``value`` at or before each row of the key (forward fill).
+    """Last non-null ``value`` at or before each row of the key (forward fill)."""
+    return carry_forward_all(df, key, order, {out: value}, cfg=cfg)
+
+
+def carry_forward_all(df: DataFrame, key, order, values: dict[str, str | Column], *,
+                      cfg: SkewConfig | None = None) -> DataFrame:
+    """Forward fill of several columns {out: value}, all in one pass.
 
     Split path: a two-level scan — last non-null per chunk, carried across
     chunks by a window over the (rows / chunk_rows)-sized chunk table.
     """
     cfg = current_skew(cfg)
     key, order = _as_list(key), _as_list(order)
-    v = F.col(value) if isinstance(value, str) else value
+    vs = {o: F.col(v) if isinstance(v, str) else v for o, v in values.items()}
     split = split_hot_keys(df, key, cfg)
     cold, hot = split.cold, split.hot
     parts = []
     if cold is not None:
         w = (Window.partitionBy(*key).orderBy(*_order_exprs(order, False))
              .rowsBetween(Window.unboundedPreceding, 0))
-        parts.append(cold.withColumn(out, F.last(v, ignorenulls=True).over(w)))
+        parts.append(cold.select("*", *[F.last(v, ignorenulls=True).over(w).alias(o) for o, v in vs.items()]))
     if hot is not None:
+        outs = list(vs)
         r = _chunked(global_position(hot, key, order, small_key_count=cold is not None, cfg=cfg, rows=split.hot_rows), cfg.chunk_rows)
-        r = r.withColumn("_sq_v", v)
+        r = r.select("*", *[v.alias(f"_sq_v{i}") for i, v in enumerate(vs.values())])
         wl = (Window.partitionBy(*key, _CHUNK).orderBy(_RANK)
               .rowsBetween(Window.unboundedPreceding, 0))
-        r = r.withColumn("_sq_local", F.last("_sq_v", ignorenulls=True).over(wl))
-        tail = (r.filter(F.col("_sq_v").isNotNull())
-                 .groupBy(*key, _CHUNK)
-                 .agg(F.max_by("_sq_v", _RANK).alias("_sq_tail")))
-        # chunks without a non-null value have no ``tail`` row; the window over
-        # the chunk table (rows / chunk_rows per key) carries the last one on
-        fill = r.select(*key, _CHUNK).distinct()
-        fill = (_join_ns(fill, tail, key + [_CHUNK], "left")
-                    .withColumn("_sq_prev", F.last("_sq_tail", ignorenulls=True).over(
-                        Window.partitionBy(*key).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)))
-                    .select(*key, _CHUNK, "_sq_prev"))
+        r = r.select("*", *[F.last(f"_sq_v{i}", ignorenulls=True).over(wl).alias(f"_sq_local{i}") for i in range(len(outs))])
+        # a chunk without a non-null value has a null tail; the window over the
+        # chunk table (rows / chunk_rows per key) carries the last one on
+        tail = r.groupBy(*key, _CHUNK).agg(*[F.max(F.when(F.col(f"_sq_v{i}").isNotNull(), F.struct(F.col(_RANK).alias("r"), F.col(f"_sq_v{i}").alias("v")))).alias(f"_sq_t{i}")
+                                             for i in range(len(outs))])
+        wc = Window.partitionBy(*key).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        fill = tail.select(*key, _CHUNK, *[F.last(F.col(f"_sq_t{i}.v"), ignorenulls=True).over(wc).alias(f"_sq_prev{i}") for i in range(len(outs))])
         r = _join_ns(r, fill, key + [_CHUNK], "left")
-        parts.append(r.withColumn(out, F.coalesce("_sq_local", "_sq_prev"))
-                      .drop("_sq_v", "_sq_local", "_sq_prev", _CHUNK, _RANK))
+        parts.append(r.select(*hot.columns, *[F.coalesce(f"_sq_local{i}", f"_sq_prev{i}").alias(o) for i, o in enumerate(outs)]))
     return _union(parts)
 
 

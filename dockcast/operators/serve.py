@@ -151,6 +151,20 @@ def display_view(df: DataFrame, columns: dict[str, str], percent: Sequence[str]
                        for dst, src in columns.items()])
 
 
+def decode_requests(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame:
+    """A text column of JSON requests → one row per requested station:
+    ``keep``, service, station_id and problem. A body without a service, one
+    that is no JSON object, or an unknown service gives one row with the
+    problem and no station; the status service names no stations."""
+    r = F.from_json(col(body), "service string, station_id array<bigint>, extended boolean")
+    d = df.select(*keep, r.alias("_r"))
+    service = F.col("_r.service")
+    problem = F.when(service.isNull(), "missing service").when(~service.isin("fill_rate_forecast", "bike_station_status"), "unknown service") \
+        .when((service == "fill_rate_forecast") & (F.coalesce(F.size("_r.station_id"), F.lit(0)) <= 0), "no stations")
+    ids = F.when(problem.isNull() & (service == "fill_rate_forecast"), F.col("_r.station_id"))
+    return d.select(*keep, service.alias("service"), F.explode_outer(ids).alias("station_id"), problem.alias("problem"))
+
+
 def to_json_rows(df: DataFrame, out: str = "json") -> DataFrame:
     """Each row as one JSON object string (the response encoding)."""
     return df.select(F.to_json(F.struct(*[col(c) for c in df.columns])).alias(out))

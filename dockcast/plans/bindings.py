@@ -22,7 +22,7 @@ from dockcast import schemas
 from dockcast.functions import fixed_values as fv
 from dockcast.functions import scalar as fx
 from dockcast.operators import aggregates as agg
-from dockcast.operators import clean, joins, model, setops
+from dockcast.operators import clean, joins, model, serve, setops
 from dockcast.plans import features as fp
 from dockcast.plans import serving, snapshot
 from dockcast.sources import readers
@@ -269,6 +269,24 @@ def q_group_size_nulls(spark, sf_dir):
     return clean.group_size(o.select("o_orderkey", "c"), ["c"], "n")
 
 
+def q_decode_requests(spark, sf_dir):
+    """Requests of two customers each, with malformed and odd ones among them."""
+    o = _t(spark, sf_dir, "orders")
+    ids = F.concat(F.lit("["), F.col("o_custkey").cast("string"), F.lit(","), (F.col("o_orderkey") % 7).cast("string"), F.lit("]"))
+    body = F.when(F.col("o_orderkey") % 11 == 0, "oops").when(F.col("o_orderkey") % 11 == 1, '{"extended": true}') \
+        .when(F.col("o_orderkey") % 11 == 2, '{"service": "weather"}').when(F.col("o_orderkey") % 11 == 3, '{"service": "bike_station_status", "extended": true}') \
+        .when(F.col("o_orderkey") % 11 == 4, '{"service": "fill_rate_forecast", "station_id": []}') \
+        .otherwise(F.concat(F.lit('{"service": "fill_rate_forecast", "station_id": '), ids, F.lit("}")))
+    return serve.decode_requests(o.select("o_orderkey", body.alias("body")), "body", ["o_orderkey"])
+
+
+def q_split_xy(spark, sf_dir):
+    """Both halves of the events with the value as target, joined again."""
+    e = _t(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    x, y = model.split_xy(e, "value", ["event_id"])
+    return x.join(y, "event_id")
+
+
 QUERIES = {n[2:]: f for n, f in list(globals().items()) if n.startswith("q_")}
 
 _RANGE = f"extraction_ts > timestamp '{OLDEST}' and extraction_ts <= timestamp '{NEWEST}'"
@@ -323,6 +341,11 @@ ORACLE_SQL = {
        s as (select *, (ay*bb-byy*ab)/(aa*bb-ab*ab) w1, (byy*aa-ay*ab)/(aa*bb-ab*ab) w2 from m) select l_suppkey, round(w1,3) w1, round(w2,3) w2, round(y-w1*a-w2*b,3) b from s""",
     "group_size_nulls": "select o_orderkey, c, count(*) over (partition by c) n from (select o_orderkey, case when o_orderkey%9<>0 then o_custkey end c from orders)",
 }
+ORACLE_SQL["split_xy"] = "select event_id, user_id, value from events"
+ORACLE_SQL["decode_requests"] = """with o as (select o_orderkey, o_orderkey%11 m, o_custkey c, o_orderkey%7 d from orders)
+  select o_orderkey, null::varchar service, null::bigint station_id, 'missing service' problem from o where m in (0,1) union all select o_orderkey, 'weather', null, 'unknown service' from o where m=2
+  union all select o_orderkey, 'bike_station_status', null, null from o where m=3 union all select o_orderkey, 'fill_rate_forecast', null, 'no stations' from o where m=4
+  union all select o_orderkey, 'fill_rate_forecast', c, null from o where m>4 union all select o_orderkey, 'fill_rate_forecast', d, null from o where m>4"""
 _F3 = _OBS + f""", f as (select s.id station_id, ts, z, {_FEAT} from s join st using (id) join region on z=r_regionkey where ts >= timestamp '2024-01-03' and ts < timestamp '2024-01-28'),
   g0 as (select *, {_WIN}, lead(pct,3) over o f3 from f window o as (partition by station_id order by ts)),
   g as (select station_id, ts, pct a, l3 b, m12 c, pct-f3 y from g0 where l3 is not null and m12 is not null and f3 is not null),

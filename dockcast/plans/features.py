@@ -136,9 +136,8 @@ def drop_stations_with_gaps(features: DataFrame, column: str = "pct_full") -> Da
 
 def forward_fill_features(features: DataFrame, columns: Sequence[str],
                           cfg: sq.SkewConfig | None = None) -> DataFrame:
-    """Fill gaps with the station's own last value (never another station's)."""
-    out = features
-    for c in columns:
-        out = windows.forward_fill(out, "station_id", ["extraction_ts"], c, f"_ff_{c}", cfg).drop(c) \
-            .withColumnRenamed(f"_ff_{c}", c)
-    return out
+    """Fill gaps with the station's own last value (never another station's);
+    all columns in one pass."""
+    names = {f"_ff_{i}": c for i, c in enumerate(columns)}
+    out = sq.carry_forward_all(features, "station_id", ["extraction_ts"], {o: F.col(f"`{c}`") for o, c in names.items()}, cfg=cfg)
+    return out.select(*[F.col(o).alias(c) if (o := next((k for k, v in names.items() if v == c), None)) else F.col(f"`{c}`") for c in features.columns])
