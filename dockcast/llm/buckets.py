@@ -91,7 +91,7 @@ class Block:
     def pack(keys: np.ndarray, packed: list[bytes], counts: np.ndarray, docs: np.ndarray, table: np.ndarray, starts: np.ndarray) -> bytes:
         raw = b"".join([struct.pack(Block.HEAD, len(packed), len(docs), len(table)), keys.astype("<u4").tobytes(), np.fromiter(map(len, packed), np.dtype("<u4"), len(packed)).tobytes(),
                         counts.astype("<u4").tobytes(), docs.astype("<u4").tobytes(), starts.astype("<i8").tobytes(), table.astype("<i8").tobytes(), *packed])
-        return zstandard.ZstdCompressor(level=1).compress(raw)
+        return zstandard.ZstdCompressor(level=3).compress(raw)
 
     def __init__(self, data: bytes):
         raw = zstandard.ZstdDecompressor().decompress(data)
