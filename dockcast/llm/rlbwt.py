@@ -215,7 +215,7 @@ def hot_reducer(window: int):
     return reduce
 
 
-def dedup_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 200, k: int = 40, hot: int = 20_000,
+def dedup_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 200, k: int = 32, hot: int = 20_000,
                 bucket_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256
     and kept (the remaining bytes) of every row."""

@@ -150,7 +150,7 @@ def hot_reducer(window: int):
     return reduce
 
 
-def dedup_words(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 13, k: int = 4, hot: int = 20_000,
+def dedup_words(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 13, k: int = 3, hot: int = 20_000,
                 bucket_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (kept words joined by a blank)
     and kept (that text) of every row."""
