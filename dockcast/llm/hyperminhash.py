@@ -43,7 +43,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockcast.llm import buckets
+from dockcast.llm.buckets import mix, part_hashes, row_key
 from dockcast.llm.common import append_arrow, ship, staged, texts_of
 
 REGISTERS, BANDS, BAND = 256, 32, 6
@@ -66,9 +66,9 @@ def shingles(text: bytes, known: dict, n: int = 5) -> np.ndarray:
         hashes.append(v)
     units = np.array(hashes, np.uint64)
     k = min(n, len(units))
-    out = buckets.part_hashes(units, k)
+    out = part_hashes(units, k)
     if k < n:  # sequences of different lengths stay different
-        out = buckets.mix(out + np.uint64(k))
+        out = mix(out + np.uint64(k))
     return np.unique(out)
 
 
@@ -279,8 +279,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", min
     """doc_id, n_shingles, component_id, kept, and d and h (which name the row)
     of every row."""
     ship(__name__)
-    ship(buckets.__name__)
-    d = buckets.row_key(docs, id, text)
+    ship(row_key.__module__)
+    d = row_key(docs, id, text)
     s = staged(sketched(d), "hmh-sketches")
     classes = s.filter("set is not null").groupBy("set").agg(F.min("doc_id").alias("rep"), F.min(F.struct("d", "h")).alias("at"), F.min("n").alias("n"), F.min("regs").alias("regs"))
     classes = staged(classes, "hmh-classes")

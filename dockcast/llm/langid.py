@@ -188,10 +188,12 @@ def identify(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str
     ship(__name__)
     d = docs.select(F.col(id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     d = d.withColumn("held_out", crc_mod5(F.col("doc_id")) == 0)
-    model = d.sparkSession.sparkContext.broadcast(learn(d.filter(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull()), sample_docs, sample_chars))
+    sent = d.sparkSession.sparkContext.broadcast(vars(learn(d.filter(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull()), sample_docs, sample_chars)))
 
     def run(column):
-        return model.value.predict(column.to_pylist(), piece)
+        model = Model.__new__(Model)  # a broadcast carries plain values only: workers need not know the class
+        vars(model).update(sent.value)
+        return model.predict(column.to_pylist(), piece)
 
     return append_arrow(d.drop("lang"), ["text"], "p", "struct<lang:string,score:double,bits:double>", run) \
         .select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score", "p.bits")

@@ -10,8 +10,8 @@ calibrates: pool-adjacent-violators turns raw scores into rates.
 
 Learning uses at most ``max_fit`` labelled rows (lowest hash of the id; a
 documented bound), so normal equations and calibration stay of fixed size;
-scoring is one narrow pass over all rows and whole texts with a broadcast model
-of fixed size.
+scoring is one narrow pass over all rows and whole texts with a model of fixed
+size.
 
 Rules. A row is held out if crc32 of its id mod 5 is 0 (null id: of the empty
 text); held-out rows are never learnt from, and id, language, source and
@@ -159,9 +159,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text:
     # about max_fit rows of 24 bytes, whatever the number of labels: sent to the texts
     fitting = d.join(F.broadcast(known), F.col("doc_id") == F.col("of")).select("text", "y", F.pmod("h", F.lit(4)).alias("part"))
     rows = staged(append_arrow(fitting, ["text"], "x", "array<double>", measured).select("x", "y", "part"), "quality-fit")
-    model = d.sparkSession.sparkContext.broadcast(fit(rows, n_features, width, ridge, parts, seed))
+    model = fit(rows, n_features, width, ridge, parts, seed)  # some 100 KB, travels with the function
 
     def run(column):
-        return model.value.score(np.array([statistics(b) for b in texts_of(column)], np.float64)).tolist() if len(column) else []
+        return model.score(np.array([statistics(b) for b in texts_of(column)], np.float64)).tolist() if len(column) else []
 
     return append_arrow(d, ["text"], "score", "double", run).select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -29,8 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockcast.llm import buckets
-from dockcast.llm.buckets import Block, Held
+from dockcast.llm.buckets import Block, Held, marked, merged, row_key, runs_of, with_spans
 from dockcast.llm.common import append_arrow, ship, texts_of
 
 
@@ -113,7 +112,7 @@ def cutter(window: int, k: int):
     def cut(data: bytes):
         if len(data) < window:
             return (), (), ()
-        keys, first, end = buckets.runs_of(np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1), window, k, window if k < window else 1)
+        keys, first, end = runs_of(np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1), window, k, window if k < window else 1)
         return keys, [data[a:b] for a, b in zip(first.tolist(), (end + window - 1).tolist())], first
 
     return cut
@@ -220,16 +219,16 @@ def dedup_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text", window:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256
     and kept (the remaining bytes) of every row."""
     ship(__name__)
-    ship(buckets.__name__)
-    d = buckets.row_key(docs, id, text)
-    spans = buckets.marked(d.select("d", "h", F.col("text").cast("binary").alias("data")), "rlbwt", cutter(window, k), cutter(window, window),
+    ship(row_key.__module__)
+    d = row_key(docs, id, text)
+    spans = marked(d.select("d", "h", F.col("text").cast("binary").alias("data")), "rlbwt", cutter(window, k), cutter(window, window),
                            reducer(window, hot), hot_reducer(window), window, bucket_bytes)
 
     def apply(texts, spans):
         out = []
         for t, s in zip(texts_of(texts), spans.to_pylist()):
             kept, at, gone = [], 0, 0
-            runs = buckets.merged(s)
+            runs = merged(s)
             for a, b in runs:
                 kept.append(t[at:a])
                 at, gone = b, gone + b - a
@@ -237,7 +236,7 @@ def dedup_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text", window:
             out.append({"n_bytes": len(t), "n_removed": gone, "n_spans": len(runs), "kept_sha256": hashlib.sha256(left).hexdigest(), "kept": left})
         return out
 
-    made = append_arrow(buckets.with_spans(d, spans), ["text", "spans"], "r", "struct<n_bytes:long,n_removed:long,n_spans:long,kept_sha256:string,kept:binary>", apply, rows=256)
+    made = append_arrow(with_spans(d, spans), ["text", "spans"], "r", "struct<n_bytes:long,n_removed:long,n_spans:long,kept_sha256:string,kept:binary>", apply, rows=256)
     return made.select("doc_id", "r.*")
 
 

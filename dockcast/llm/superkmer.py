@@ -25,8 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockcast.llm import buckets
-from dockcast.llm.buckets import Block, Held
+from dockcast.llm.buckets import Block, Held, marked, merged, mix, row_key, runs_of, with_spans
 from dockcast.llm.common import append_arrow, ship, texts_of
 
 
@@ -47,7 +46,7 @@ def cutter(window: int, k: int):
             if v is None:
                 v = known[w] = zlib.crc32(w) | len(w) << 32
             hashes.append(v)
-        keys, first, end = buckets.runs_of(buckets.mix(np.array(hashes, np.uint64)), window, k, 4 * window if k < window else 1)
+        keys, first, end = runs_of(mix(np.array(hashes, np.uint64)), window, k, 4 * window if k < window else 1)
         text = b" ".join(words)
         at = np.cumsum([0, *(len(w) + 1 for w in words)])
         return keys, [text[a:b] for a, b in zip(at[first].tolist(), (at[end + window - 1] - 1).tolist())], first
@@ -155,9 +154,9 @@ def dedup_words(docs: DataFrame, id: str = "doc_id", text: str = "text", window:
     """doc_id, n_words, n_removed, kept_sha256 (kept words joined by a blank)
     and kept (that text) of every row."""
     ship(__name__)
-    ship(buckets.__name__)
-    d = buckets.row_key(docs, id, text)
-    spans = buckets.marked(d.select("d", "h", F.col("text").cast("binary").alias("data")), "superkmer", cutter(window, k), cutter(window, window),
+    ship(row_key.__module__)
+    d = row_key(docs, id, text)
+    spans = marked(d.select("d", "h", F.col("text").cast("binary").alias("data")), "superkmer", cutter(window, k), cutter(window, window),
                            reducer(window, hot), hot_reducer(window), window, bucket_bytes)
 
     def apply(texts, spans):
@@ -165,14 +164,14 @@ def dedup_words(docs: DataFrame, id: str = "doc_id", text: str = "text", window:
         for t, s in zip(texts_of(texts), spans.to_pylist()):
             words = t.split()
             kept, at, gone = [], 0, 0
-            for a, b in buckets.merged(s):
+            for a, b in merged(s):
                 kept += words[at:a]
                 at, gone = b, gone + b - a
             kept = b" ".join(kept + words[at:])
             out.append({"n_words": len(words), "n_removed": gone, "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept.decode()})
         return out
 
-    made = append_arrow(buckets.with_spans(d, spans), ["text", "spans"], "r", "struct<n_words:long,n_removed:long,kept_sha256:string,kept:string>", apply, rows=256)
+    made = append_arrow(with_spans(d, spans), ["text", "spans"], "r", "struct<n_words:long,n_removed:long,kept_sha256:string,kept:string>", apply, rows=256)
     return made.select("doc_id", "r.*")
 
 

@@ -65,3 +65,21 @@ def test_pipeline_stages(spark):
     assert all(r.n_chars == len(r.text) for r in docs.collect())
     last = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert sorted(map(repr, last.collect())) == sorted(map(repr, corpus_pipeline.run(spark, SF).collect()))
+
+
+SCRIPT = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+import __spark_entry__ as ent
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4").getOrCreate()
+for q in sorted(ent.llm_queries.QUERIES) + ["pipeline"]:
+    print("QUERY", q, ent.queries()[q](spark, "/root/testdata/sf0.001").count())
+"""
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    import subprocess
+    r = subprocess.run([sys.executable, "-c", SCRIPT], cwd=str(tmp_path), capture_output=True, text=True, timeout=600)
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert r.stdout.count("QUERY") == 11
