@@ -19,8 +19,9 @@ from dockcast.llm.common import free_name, staged, table
 
 def with_text(docs: DataFrame, text: Column, columns: list[str]) -> DataFrame:
     """``columns`` of ``docs`` with a new text and its length."""
-    new = {"text": text, "n_chars": F.length(text).cast("long")}
-    return docs.select([new[c].alias(c) if c in new else F.col(f"`{c}`") for c in columns])
+    t = free_name(docs, "_text")  # a column of its own: inside one select, an expression over the old text could meet the new one
+    new = {"text": F.col(t), "n_chars": F.length(t).cast("long")}
+    return docs.withColumn(t, text).select([new[c].alias(c) if c in new else F.col(f"`{c}`") for c in columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
