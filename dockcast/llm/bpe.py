@@ -164,5 +164,5 @@ def count_tokens(docs: DataFrame, vocab_path: str, id: str = "doc_id", text: str
         return [{"n_bytes": len(b), "n_tokens": c.count(b.decode("utf-8", "replace"))} for b in texts_of(column)]
 
     d = docs.select(F.col(id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return append_arrow(d, ["text"], "n", "struct<n_bytes:long,n_tokens:long>", run) \
+    return append_arrow(d, ["text"], "n", "struct<n_bytes:long,n_tokens:long>", run, drop=("text",)) \
         .select("doc_id", "n.n_bytes", "n.n_tokens", (F.col("n.n_tokens") > limit).alias("over_limit"))

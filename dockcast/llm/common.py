@@ -51,18 +51,20 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def append_arrow(df: DataFrame, cols: list[str], out: str, out_type: str, fn: Callable[..., object],
-                 rows: int = 1024) -> DataFrame:
+                 rows: int = 1024, drop: tuple[str, ...] = ()) -> DataFrame:
     """``df`` with one more column ``out``: ``fn`` gets the Arrow arrays of
     ``cols`` for up to ``rows`` rows and returns that many values of
-    ``out_type``. No shuffle; all other columns pass through untouched."""
+    ``out_type``. No shuffle; all other columns pass through untouched, but
+    those of ``drop``, which don't come back from Python."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import StructType, _parse_datatype_string
 
     kind = _parse_datatype_string(out_type)
     arrow_kind = to_arrow_type(kind)
-    schema = StructType([*df.schema.fields]).add(out, kind)
-    at = [df.columns.index(c) for c in cols]
+    kept = [c for c in df.columns if c not in drop]
+    schema = StructType([f for f in df.schema.fields if f.name in kept]).add(out, kind)
+    at, stay = [df.columns.index(c) for c in cols], [df.columns.index(c) for c in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -71,7 +73,7 @@ def append_arrow(df: DataFrame, cols: list[str], out: str, out_type: str, fn: Ca
                 made = fn(*[b.column(j) for j in at])
                 if not isinstance(made, pa.Array):
                     made = pa.array(made, arrow_kind)
-                yield pa.RecordBatch.from_arrays([*b.columns, made], names=[*b.schema.names, out])
+                yield pa.RecordBatch.from_arrays([*[b.column(j) for j in stay], made], names=[*kept, out])
 
     return df.mapInArrow(run, schema)
 

@@ -132,7 +132,7 @@ def sketched(docs: DataFrame) -> DataFrame:
             out.append({"set": hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None, "n": len(s), "regs": sketch(s, probes).tobytes() if len(s) else None})
         return out
 
-    return append_arrow(docs, ["text"], "s", "struct<set:binary,n:long,regs:binary>", run).select("doc_id", "d", "h", "s.set", "s.n", "s.regs")
+    return append_arrow(docs, ["text"], "s", "struct<set:binary,n:long,regs:binary>", run, drop=("text",)).select("doc_id", "d", "h", "s.set", "s.n", "s.regs")
 
 
 def passing(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:

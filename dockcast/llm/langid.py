@@ -195,5 +195,5 @@ def identify(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str
         vars(model).update(sent.value)
         return model.predict(column.to_pylist(), piece)
 
-    return append_arrow(d.drop("lang"), ["text"], "p", "struct<lang:string,score:double,bits:double>", run) \
+    return append_arrow(d.drop("lang"), ["text"], "p", "struct<lang:string,score:double,bits:double>", run, drop=("text",)) \
         .select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score", "p.bits")

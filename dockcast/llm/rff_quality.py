@@ -158,10 +158,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text:
 
     # about max_fit rows of 24 bytes, whatever the number of labels: sent to the texts
     fitting = d.join(F.broadcast(known), F.col("doc_id") == F.col("of")).select("text", "y", F.pmod("h", F.lit(4)).alias("part"))
-    rows = staged(append_arrow(fitting, ["text"], "x", "array<double>", measured).select("x", "y", "part"), "quality-fit")
+    rows = staged(append_arrow(fitting, ["text"], "x", "array<double>", measured, rows=256, drop=("text",)).select("x", "y", "part"), "quality-fit")
     model = fit(rows, n_features, width, ridge, parts, seed)  # some 100 KB, travels with the function
 
     def run(column):
         return model.score(np.array([statistics(b) for b in texts_of(column)], np.float64)).tolist() if len(column) else []
 
-    return append_arrow(d, ["text"], "score", "double", run).select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return append_arrow(d, ["text"], "score", "double", run, rows=256, drop=("text",)).select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

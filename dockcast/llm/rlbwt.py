@@ -236,7 +236,7 @@ def dedup_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text", window:
             out.append({"n_bytes": len(t), "n_removed": gone, "n_spans": len(runs), "kept_sha256": hashlib.sha256(left).hexdigest(), "kept": left})
         return out
 
-    made = append_arrow(with_spans(d, spans), ["text", "spans"], "r", "struct<n_bytes:long,n_removed:long,n_spans:long,kept_sha256:string,kept:binary>", apply, rows=256)
+    made = append_arrow(with_spans(d, spans), ["text", "spans"], "r", "struct<n_bytes:long,n_removed:long,n_spans:long,kept_sha256:string,kept:binary>", apply, rows=256, drop=("text", "spans"))
     return made.select("doc_id", "r.*")
 
 

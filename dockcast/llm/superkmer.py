@@ -171,7 +171,7 @@ def dedup_words(docs: DataFrame, id: str = "doc_id", text: str = "text", window:
             out.append({"n_words": len(words), "n_removed": gone, "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept.decode()})
         return out
 
-    made = append_arrow(with_spans(d, spans), ["text", "spans"], "r", "struct<n_words:long,n_removed:long,kept_sha256:string,kept:string>", apply, rows=256)
+    made = append_arrow(with_spans(d, spans), ["text", "spans"], "r", "struct<n_words:long,n_removed:long,kept_sha256:string,kept:string>", apply, rows=256, drop=("text", "spans"))
     return made.select("doc_id", "r.*")
 
 
