@@ -9,8 +9,13 @@ ties go to the name that sorts first.
 
 Learning is bounded by documented parameters: at most ``sample_docs`` rows
 (those with the lowest hash of their id) and ``sample_chars`` characters of a
-language, whole documents only. Rows are chosen with a hash limit made from
-per-language counts, so no language is sorted whole. The automata, a table of
+language. Rows are chosen whatever their length; of a text of more than a
+quarter of ``sample_chars`` a slice of that length counts, from a place its
+hash names, runs of other than letters made one blank. Rows are chosen with a
+hash limit made from per-language counts, so no language is sorted whole; the
+row of a language's lowest hash is always in, and texts without a letter are
+not counted, so each language with one labelled text with a letter is learnt.
+The automata, a table of
 fixed size for each language, go to the executors as a broadcast; scoring is
 one narrow pass over whole texts. Texts are cut into pieces of ``piece``
 characters, each parsed from the start, and all pieces of a batch walk all
@@ -165,15 +170,20 @@ class Model:
 
 def learn(labelled: DataFrame, sample_docs: int, sample_chars: int) -> Model:
     """From (doc_id, text, lang) without nulls in lang and text."""
-    d = labelled.withColumn("h", F.xxhash64("doc_id", "lang"))
+    # Python's letters, and what this JVM's tables do not know yet
+    d = labelled.filter(F.col("text").rlike(r"[\p{L}\p{Cn}]")).withColumn("h", F.xxhash64("doc_id", "lang"))
     # written first: its size is known when the join is planned, so a small one is
     # broadcast and no text is dealt out by language
-    counts = staged(d.groupBy("lang").count().withColumnRenamed("lang", "of"), "language-counts")
+    counts = staged(d.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("count"), F.min("h").alias("least")), "language-counts")
     # about four times the rows asked for, by hash; all of a small language
     share = F.least(F.lit(1.0), F.lit(4.0 * sample_docs) / F.col("count"))
-    d = d.join(counts, F.col("lang") == F.col("of")).filter(F.col("h").cast("double") / F.lit(2.0 ** 64) + F.lit(0.5) <= share)
+    d = d.join(counts, F.col("lang") == F.col("of")).filter((F.col("h") == F.col("least")) | (F.col("h").cast("double") / F.lit(2.0 ** 64) + F.lit(0.5) <= share))
+    most = max(1, sample_chars // 4)
+    short = F.regexp_replace("text", r"[^\p{L}\p{Cn}]+", " ")
+    at = F.pmod(F.xxhash64("h"), F.greatest(F.lit(1), F.length(short) - most + 1)).cast("int") + 1
+    sample = F.when(F.length("text") <= most, F.col("text")).otherwise(F.substring(short, at, F.lit(most)))
     w = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
-    rows = d.select("lang", "h", "doc_id", F.col("text")).filter(F.length("text") <= sample_chars // 4).withColumn("i", F.row_number().over(w)).filter(F.col("i") <= sample_docs).sort("lang", "i").collect()
+    rows = d.select("lang", "h", "doc_id", sample.alias("text")).withColumn("i", F.row_number().over(w)).filter(F.col("i") <= sample_docs).sort("lang", "i").collect()
     texts: dict[str, list[str]] = {}
     for r in rows:
         if r["text"] not in texts.setdefault(r["lang"], []):

@@ -122,6 +122,17 @@ def docs_01(spark):
     return spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
 
 
+def test_languages_of_long_texts_are_learnt(make_docs):
+    rng = random.Random(8)
+    said = lambda abc, n: " ".join("".join(rng.choice(abc) for _ in range(rng.randrange(2, 8))) for _ in range(n))
+    rows = [(i, said("abcde", 40), "short") for i in range(300)] + [(1000 + i, said("fghij", 1500), "long") for i in range(300)]
+    rows += [(2000 + i, said("klmno", 1500) if i == 8 else "12 34 " * (i % 3), "rare") for i in range(600)]
+    rows += [(4001, "7 " * 4000 + said("pqrst", 900) + " 7" * 4000, "one id") for _ in range(300)]
+    rows += [(5000 + i, said(abc, 60), None) for i, abc in enumerate(("abcde", "fghij", "klmno", "pqrst"))]
+    got = {r.doc_id: r.lang_pred for r in langid.identify(make_docs([(d, t, lang, "s0") for d, t, lang in rows])).collect()}
+    assert [got[5000 + i] for i in range(4)] == ["short", "long", "rare", "one id"]
+
+
 def test_phrases():
     rng = random.Random(4)
     texts = {lang: ["".join(rng.choice(abc) for _ in range(300)) for _ in range(3)] for lang, abc in (("x", "abc  "), ("y", "bcde "), ("z", "é "))}
