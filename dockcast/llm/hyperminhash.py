@@ -19,8 +19,10 @@ shares a band is lost, and what is shuffled or written for a group of near
 copies grows with its size, not its square.
 
 Chances: at similarity 0.85, 32 bands of 6 registers miss a link with
-probability 3e-7; the estimate has a standard error of 0.022 there and drops
-only pairs estimated ``slack`` = 0.12 below the limit.
+probability 3e-7; the estimate has a standard error of 0.024 there from
+``SMALL`` shingles up and drops only pairs estimated ``slack`` = 0.12 below the
+limit. In a smaller set one shingle fills many registers, so an estimate drops
+no pair of one; there, pairs go whose sizes alone keep them from the limit.
 
 Scale: sketches are 512 bytes a text; band groups come from a partially
 aggregated count; joins on hot keys are plain equi-joins that Spark splits;
@@ -48,6 +50,7 @@ from dockcast.llm.common import append_arrow, ship, staged, texts_of
 
 REGISTERS, BANDS, BAND = 256, 32, 6
 MANTISSA = 10
+SMALL = 64  # shingles; estimates of smaller sets drop no pair
 
 
 def shingles(text: bytes, known: dict, n: int = 5) -> np.ndarray:
@@ -120,6 +123,12 @@ def estimate(equal: np.ndarray, n_a, n_b) -> np.ndarray:
     return (equal / REGISTERS - c) / (1 - c)
 
 
+def promising(est: np.ndarray, n_a, n_b, least: float, min_pct: int) -> np.ndarray:
+    """Which pairs are to be confirmed on their full sets."""
+    few, many = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
+    return np.where(few < SMALL, 100 * few >= min_pct * many, est >= least)
+
+
 def sketched(docs: DataFrame) -> DataFrame:
     """doc_id, d, h, set (digest of the shingle set; null if empty), n, regs."""
     known: dict = {}
@@ -135,8 +144,8 @@ def sketched(docs: DataFrame) -> DataFrame:
     return append_arrow(docs, ["text"], "s", "struct<set:binary,n:long,regs:binary>", run, drop=("text",)).select("doc_id", "d", "h", "s.set", "s.n", "s.regs")
 
 
-def passing(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) whose estimate is at least ``least``."""
+def passing(pairs: DataFrame, sketches: DataFrame, least: float, min_pct: int) -> DataFrame:
+    """Pairs (a, b) that are :func:`promising`."""
     one = sketches.select(F.col("set").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra"))
     two = sketches.select(F.col("set").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb"))
 
@@ -144,10 +153,11 @@ def passing(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
         if not len(na):
             return []
         x, y = (np.frombuffer(b"".join(r.to_pylist()), np.uint16).reshape(-1, REGISTERS) for r in (ra, rb))
-        return estimate((x == y).sum(1), na.to_numpy(), nb.to_numpy()).tolist()
+        a, b = na.to_numpy(), nb.to_numpy()
+        return promising(estimate((x == y).sum(1), a, b), a, b, least, min_pct).tolist()
 
     both = pairs.join(two, "b").join(one, "a")
-    return append_arrow(both, ["na", "ra", "nb", "rb"], "j", "double", run).filter(F.col("j") >= least).select("a", "b")
+    return append_arrow(both, ["na", "ra", "nb", "rb"], "ok", "boolean", run).filter("ok").select("a", "b")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, min_pct: int, block: int) -> DataFrame:
@@ -212,7 +222,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 
 def across(rows: DataFrame, least: float, min_pct: int, block: int) -> DataFrame:
     """Links (a, b) between different labels of a band group. rows: key, set,
-    label, n, regs, data. Members whose estimate passes are confirmed on their
+    label, n, regs, data. Members whose pair is promising are confirmed on their
     full sets inside the task, best estimate first, and a link joins two
     labels, so a unit yields fewer links than it has labels. Groups above
     ``block`` rows are compared block against block, each two in a unit."""
@@ -233,7 +243,7 @@ def across(rows: DataFrame, least: float, min_pct: int, block: int) -> DataFrame
         for x in range(len(g) - 1):
             rest = x + 1 + np.flatnonzero((labels[x + 1:] != labels[x]) & (one_block | (own[x + 1:] != own[x])))
             est = estimate((regs[rest] == regs[x]).sum(1), np.full(len(rest), n[x]), n[rest])
-            ok = est >= least
+            ok = promising(est, n[x], n[rest], least, min_pct)
             pairs.append(np.stack([est[ok], np.full(ok.sum(), x), rest[ok]]))
         est, xs, ys = np.concatenate(pairs, 1)
         up, sets, found = list(range(labels.max() + 1)), {}, []
@@ -295,7 +305,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", min
     involved = staged(involved.select("set", "at.d", "at.h", "n", "regs"), "hmh-involved")
     texts = d.join(involved.select("d", "h", "set"), ["d", "h"]).select("set", F.col("text").cast("binary").alias("data")).dropDuplicates(["set"])
     texts = staged(texts, "hmh-texts")
-    links = staged(confirmed(staged(passing(star, involved, least), "hmh-pairs"), texts, min_pct, block), "hmh-links")
+    links = staged(confirmed(staged(passing(star, involved, least, min_pct), "hmh-pairs"), texts, min_pct, block), "hmh-links")
     labels = components(links, "hmh-cc")
 
     r = members.select("key", "set").join(labels.withColumnRenamed("v", "set"), "set", "left").withColumn("label", F.coalesce("label", "set"))

@@ -166,6 +166,16 @@ def test_near_duplicates_in_blocks(make_docs, near):
     assert sorted(repr(tuple(r)) for r in got.collect()) == brute_groups(near)
 
 
+def test_near_duplicates_of_short_texts(make_docs):
+    rng = random.Random(2)
+    rows = []
+    for i in range(300):  # 11 words and their first 10: 7 and 6 shingles, similarity 0.857; then three of them, for a group with two labels
+        words = [f"g{i}w{rng.randrange(10 ** 6)}" for _ in range(11)]
+        rows += [(3 * i, " ".join(words)), (3 * i + 1, " ".join(words[:10])), (3 * i + 2, " ".join(words[1:]))]
+    got = hyperminhash.near_duplicates(make_docs(rows)).drop("d", "h")
+    assert sorted(repr(tuple(r)) for r in got.collect()) == brute_groups(rows)
+
+
 def test_sketch_estimates():
     rng = np.random.default_rng(3)
     probes = hyperminhash.probe_order()
