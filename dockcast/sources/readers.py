@@ -112,14 +112,19 @@ def scan_time_range(df: DataFrame, ts: str, oldest, newest, *, inclusive: str =
 
 
 def scan_latest_file(df: DataFrame) -> DataFrame:
-    """Rows of the newest landed file (the greatest file name, as run
-    timestamps are in the names). The names come from the listing, so only
-    the newest file is read; its rows are those whose path it is."""
-    newest = max(df.inputFiles(), default=None)
+    """Rows of the newest landed file (the greatest file path, as run
+    timestamps are in the names) among those that ``df``, a frame read from
+    files, has rows of. Filters and columns of ``df`` stay as they are. The
+    name comes from a scan of no columns but those that ``df`` filters by; the
+    rows are filtered by path, and by partition date if ``df`` has it, so
+    other files aren't read."""
+    path = F.col("_metadata.file_path")
+    date = F.col(DATE_PART) if DATE_PART in df.columns else F.lit(None)
+    newest, day = df.agg(F.max(path), F.max_by(date, path)).first()
     if newest is None:
         return df.limit(0)
-    spark = df.sparkSession
-    return spark.read.schema(df.schema).option("basePath", newest.rsplit("/", 1)[0]).parquet(newest)
+    latest = df.filter(path == newest)
+    return latest if day is None else latest.filter(F.col(DATE_PART) == F.lit(day))
 
 
 def run_ts_from_path(pattern: str = r"(\d{4}-\d{2}-\d{2}_\d{2}:\d{2}:\d{2})") -> Column:

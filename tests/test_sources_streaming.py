@@ -55,6 +55,20 @@ def test_latest_file_and_run_ts(spark, tmp_path):
     assert {r.t for r in ts} == {datetime(2024, 4, 17, 9, 1, 29), datetime(2024, 4, 17, 9, 11, 29)}
 
 
+def test_latest_file_of_a_partitioned_layer(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    for ts in (datetime(2024, 4, 10, 3), datetime(2024, 4, 11, 3)):
+        sinks.write_layer(spark.createDataFrame(_raw_rows(4, [ts]), schemas.RAW_SNAPSHOT).coalesce(1), path)
+    df = readers.read_snapshots(spark, path)
+    newest = df.agg(F.max("_metadata.file_path")).first()[0]
+    want = sorted(map(repr, df.filter(F.col("_metadata.file_path") == newest).collect()))
+    latest = readers.scan_latest_file(df)
+    assert latest.columns == df.columns and sorted(map(repr, latest.collect())) == want
+    assert {str(r[0]) for r in latest.select("extraction_date").collect()} == {"2024-04-11"}
+    one = max(r.id for r in latest.collect())
+    assert [tuple(r) for r in readers.scan_latest_file(df.filter(F.col("id") == one).select("id")).collect()] == [(one,)]
+
+
 def test_csv_source_normalises(spark, tmp_path):
     p = tmp_path / "s.csv"
     p.write_text("id,name,type,space,full,empty,bike_yb1,bike_yb2,bike_eyb,city,area,lat,lng,place_id,address,"
