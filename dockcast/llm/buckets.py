@@ -11,8 +11,9 @@ shuffled and sorted by bucket; a reducer holds one bucket at a time.
 A bucket is sized to a few MB. A minimiser with more than ``hot`` different
 strings in a bucket (a phrase that very many texts share) is not held: its
 strings leave the reducer and are exchanged once more with k = window, where a
-key has one string only and places stream through, so no group of any size
-meets one task's memory and none is cut.
+key has one string only and places stream through; none is cut. Strings are
+counted, not places: all places of one string of a minimiser that is not hot
+are held by one task, so its memory bounds a group of exact copies.
 """
 
 from __future__ import annotations
