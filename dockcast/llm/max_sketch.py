@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dockcast.llm.common import ship, staged, texts_of
+from dockcast.llm.common import expand, ship, staged, texts_of
 
 SLOTS = 1 << 16
 FULL = 255               # this count or more
@@ -64,13 +64,6 @@ def weight(df: int, n_docs: int) -> int:
     return math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
 
 
-def expand(start: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """start[0], start[0]+1, … (count[0] of them), start[1], …"""
-    total = int(count.sum())
-    ends = np.cumsum(count)
-    return np.arange(total) - np.repeat(ends - count, count) + np.repeat(start, count)
-
-
 # ------------------------------------------------------------------ index
 
 @dataclass

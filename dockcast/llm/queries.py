@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockcast.llm import bpe, decontam, hyperminhash, langid, line_rules, max_sketch, mixing, rff_quality, rlbwt, secret_scan, superkmer
+from dockcast.llm import bpe, decontam, hyperminhash, langid, line_rules, max_sketch, mixing, rff_quality, rlbwt, secret_scan, superkmer, variants
 from dockcast.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_trie_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_max_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return max_sketch.search(max_sketch.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_entropy_secrets": op8_entropy_secrets,
     "op9_line_frequency": op9_line_frequency,
     "op10_cross_parsing": op10_cross_parsing,
+    "op11_vector_trie_variants": op11_vector_trie_variants,
     "op13_max_sketch_search": op13_max_sketch_search,
 }
 
@@ -81,5 +86,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_hyperminhash": hyperminhash.SQL,
     "op8_entropy_secrets": secret_scan.SQL,
     "op9_line_frequency": line_rules.SQL,
+    "op11_vector_trie_variants": variants.SQL,
     "op13_max_sketch_search": max_sketch.SQL,
 }
