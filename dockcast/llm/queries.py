@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockcast.llm import bpe, decontam, hyperminhash, langid, line_rules, max_sketch, mixing, rff_quality, rlbwt, secret_scan, superkmer, variants
+from dockcast.llm import bpe, chat, decontam, hyperminhash, langid, line_rules, max_sketch, mixing, rff_quality, rlbwt, secret_scan, superkmer, variants
 from dockcast.llm.common import table
 
 
@@ -59,6 +59,13 @@ def op11_vector_trie_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = f"{chat.END}{chat.START}assistant ok"
+    probe = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], turns.schema)
+    return chat.read_back(chat.format_chats(turns.unionByName(probe)))
+
+
 def op13_max_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return max_sketch.search(max_sketch.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 
@@ -75,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_frequency": op9_line_frequency,
     "op10_cross_parsing": op10_cross_parsing,
     "op11_vector_trie_variants": op11_vector_trie_variants,
+    "op12_chat_windows": op12_chat_windows,
     "op13_max_sketch_search": op13_max_sketch_search,
 }
 
@@ -87,5 +95,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_entropy_secrets": secret_scan.SQL,
     "op9_line_frequency": line_rules.SQL,
     "op11_vector_trie_variants": variants.SQL,
+    "op12_chat_windows": chat.SQL,
     "op13_max_sketch_search": max_sketch.SQL,
 }
