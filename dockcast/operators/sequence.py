@@ -306,9 +306,10 @@ def carry_forward(df: DataFrame, key, order, value: str | Column, out: str, *,
     return carry_forward_all(df, key, order, {out: value}, cfg=cfg)
 
 
-def carry_forward_all(df: DataFrame, key, order, values: dict[str, str | Column], *,
+def carry_forward_all(df: DataFrame, key, order, values: dict[str, str | Column], *, descending: bool = False,
                       cfg: SkewConfig | None = None) -> DataFrame:
-    """Forward fill of several columns {out: value}, all in one pass.
+    """Forward fill of several columns {out: value}, all in one pass; with
+    ``descending`` every order column runs backward (a backward fill).
 
     Split path: a two-level scan — last non-null per chunk, carried across
     chunks by a window over the (rows / chunk_rows)-sized chunk table.
@@ -320,12 +321,12 @@ def carry_forward_all(df: DataFrame, key, order, values: dict[str, str | Column]
     cold, hot = split.cold, split.hot
     parts = []
     if cold is not None:
-        w = (Window.partitionBy(*key).orderBy(*_order_exprs(order, False))
+        w = (Window.partitionBy(*key).orderBy(*_order_exprs(order, descending))
              .rowsBetween(Window.unboundedPreceding, 0))
         parts.append(cold.select("*", *[F.last(v, ignorenulls=True).over(w).alias(o) for o, v in vs.items()]))
     if hot is not None:
         outs = list(vs)
-        r = _chunked(global_position(hot, key, order, small_key_count=cold is not None, cfg=cfg, rows=split.hot_rows), cfg.chunk_rows)
+        r = _chunked(global_position(hot, key, order, descending=descending, small_key_count=cold is not None, cfg=cfg, rows=split.hot_rows), cfg.chunk_rows)
         r = r.select("*", *[v.alias(f"_sq_v{i}") for i, v in enumerate(vs.values())])
         wl = (Window.partitionBy(*key, _CHUNK).orderBy(_RANK)
               .rowsBetween(Window.unboundedPreceding, 0))

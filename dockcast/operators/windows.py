@@ -8,7 +8,7 @@ and one sort for all of them), with hot keys split into chunks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -132,3 +132,45 @@ def time_rolling_mean(df: DataFrame, key, ts: str, value, seconds: int, out: str
         w = Window.partitionBy(*keys, F.col("_tr.b")).orderBy(us).rangeBetween(-width, 0)
         parts.append(x.withColumn(out, F.avg(col(value)).over(w)).filter(~F.col("_tr.halo")).drop("_tr"))
     return sq._union(parts)
+
+
+def as_of_columns(df: DataFrame, key, ts: str, columns: Mapping[str, str | Column], seconds: float, *, tie: Sequence[str],
+                  ahead: bool = False, max_age: float | None = None, found_at: str | None = None,
+                  cfg: sq.SkewConfig | None = None) -> DataFrame:
+    """Time-based twin of lag and lead, for irregular snapshot spacing.
+
+    Each row gets the ``columns`` {out: value} of the last row of its key at
+    or before ts − ``seconds`` or, with ``ahead``, of the first row at or after
+    ts + ``seconds``. Of rows at one time the last by ``tie`` counts (ahead: the
+    first); ``tie`` makes rows unique within a key and time. The row found is
+    taken whole: where its value is null, the result is null. ``max_age``
+    bounds how many seconds the row found may lie beyond the time asked for;
+    ``found_at`` names a column for its time. A null ``ts`` finds nothing and
+    is never found; without a row the result is null.
+
+    One search for all columns: every row also goes in as a probe, placed
+    ``seconds`` away, and a fill over the time-sorted union of rows and probes
+    carries the last row on to each probe (``sequence.carry_forward_all``: one
+    exchange; hot keys are cut into chunks). Only key, time, ``tie`` and the
+    asked columns are doubled.
+    """
+    keys, tie = ([key] if isinstance(key, str) else list(key)), list(tie)
+    us = F.unix_micros(col(ts).cast("timestamp"))
+    sign = 1 if ahead else -1
+    shift = sign * round(seconds * 1_000_000)
+    row = F.struct(us.alias("at"), *[col(v).alias(o) for o, v in columns.items()])
+    at_same = 1 if ahead else 0  # rows come before the probes of their time, in either direction
+    base = df.select(F.struct("*").alias("_row"), *[col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[col(t).alias(f"_t{i}") for i, t in enumerate(tie)], us.alias("_us"), row.alias("_v"))
+    k, t = [f"_k{i}" for i in range(len(keys))], [f"_t{i}" for i in range(len(tie))]
+    points = base.filter(F.col("_us").isNotNull()).select(*k, *t, F.col("_us").alias("_at"), F.lit(at_same).alias("_side"), "_v", F.lit(None).cast(base.schema["_row"].dataType).alias("_row"))
+    probes = base.select(*k, *t, (F.col("_us") + shift).alias("_at"), F.lit(1 - at_same).alias("_side"), F.lit(None).cast(base.schema["_v"].dataType).alias("_v"), "_row")
+    both = points.unionByName(probes)
+    filled = sq.carry_forward_all(both, k, ["_at", "_side", *t], {"_found": "_v"}, descending=ahead, cfg=cfg)
+    hits = filled.filter(F.col("_row").isNotNull())
+    use = F.col("_at").isNotNull() & F.col("_found").isNotNull()
+    if max_age is not None:
+        use = use & (F.abs(F.col("_found.at") - F.col("_at")) <= round(max_age * 1_000_000))
+    outs = [F.when(use, F.col("_found").getField(o)).alias(o) for o in columns]
+    if found_at is not None:
+        outs.append(F.when(use, F.timestamp_micros("_found.at")).cast(df.schema[ts].dataType).alias(found_at))
+    return hits.select(*[F.col("_row").getField(c).alias(c) for c in df.columns], *outs)

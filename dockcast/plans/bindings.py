@@ -135,10 +135,10 @@ def _weather(spark, sf_dir) -> DataFrame:
         ("temperature", "lo"), ("relative_humidity", "n"), ("apparent_temperature", "hi"), ("precipitation", "lo"), ("wind_speed", "n"))])
 
 
-def _training(spark, sf_dir) -> DataFrame:
+def _training(spark, sf_dir, by: str = "rows") -> DataFrame:
     inputs = fp.training_inputs(snapshots(spark, sf_dir), _stations(spark, sf_dir), _zones(spark, sf_dir), _weather(spark, sf_dir),
                                 start="2024-01-03 00:00:00", end="2024-01-28 00:00:00")
-    return fp.training_features(inputs)
+    return fp.training_features(inputs, by=by)
 
 
 _SHOWN = ["pct_full", fp.LAG_COL, fp.ROLL_COL, "apparent_temperature", "precipitation", "wind_speed", "1h_fwd_apparent_temperature", "1h_fwd_precipitation"]
@@ -153,6 +153,11 @@ def q_plan_training_features(spark, sf_dir):
     return _plain(_rounded(f, [*_SHOWN, fp.TARGET_COL, fp.TARGET_CHANGE], ["station_id", "extraction_ts", "month", "day_of_week", "hour"]))
 
 
+def q_plan_training_features_by_time(spark, sf_dir):
+    f = _training(spark, sf_dir, by="time")
+    return _plain(_rounded(f, [*_SHOWN, fp.TARGET_COL, fp.TARGET_CHANGE], ["station_id", "extraction_ts", "month", "day_of_week", "hour"]))
+
+
 def q_plan_prediction_features(spark, sf_dir):
     """Status = each station's newest snapshot, stamped with one pull time."""
     s = snapshots(spark, sf_dir)
@@ -305,6 +310,13 @@ ORACLE_SQL = {
        g as (select *, {_WIN}, lead(pct,3) over o f3 from f window o as (partition by station_id order by ts))
        select station_id, ts extraction_ts, "month", day_of_week, "hour", round(pct,6) pct_full, round(l3,6) m30_blag_pct_full, round(m12,6) m120_avg_pct_full, {_WX},
        round(f3,6) m30_fwd_pct_full, round(pct-f3,6) m30_fwd_pct_full_rel_change from g left join w on w.z=g.z and w.h=date_trunc('hour',ts) where l3 is not null and m12 is not null and f3 is not null""",
+    "plan_training_features_by_time": _OBS + f""", f as (select s.id station_id, ts, z, "full", "empty", {_FEAT} from s join st using (id) join region on z=r_regionkey where ts >= timestamp '2024-01-03' and ts < timestamp '2024-01-28'),
+       p as (select station_id, ts, arg_max({{'v': pct}}, ("full", "empty")) la, arg_min({{'v': pct}}, ("full", "empty")) fi from f group by all),
+       r as (select *, avg(pct) over (partition by station_id order by ts range between interval 120 minute preceding and current row) m12 from f),
+       g as (select r.*, a.la.v l3 from r asof left join p a on r.station_id=a.station_id and r.ts - interval 30 minute >= a.ts),
+       h as (select g.*, b.fi.v f3 from g asof left join p b on g.station_id=b.station_id and g.ts + interval 30 minute <= b.ts)
+       select station_id, ts extraction_ts, "month", day_of_week, "hour", round(pct,6) pct_full, round(l3,6) m30_blag_pct_full, round(m12,6) m120_avg_pct_full, {_WX},
+       round(f3,6) m30_fwd_pct_full, round(pct-f3,6) m30_fwd_pct_full_rel_change from h left join w on w.z=h.z and w.h=date_trunc('hour',ts) where l3 is not null and m12 is not null and f3 is not null""",
     "plan_prediction_features": _OBS + f""", cur as (select id, arg_max({{'f':"full",'e':"empty"}}, ts) r from s group by id),
        b as (select id, r.f "full", r.e "empty", timestamp '2024-01-30 20:00:00' ts from cur union all select id, "full", "empty", ts from s where ts >= timestamp '2024-01-10 20:00:00' and ts < timestamp '2024-01-30 20:00:00'),
        f as (select b.id station_id, ts, z, {_FEAT} from b join st using (id) join region on z=r_regionkey),

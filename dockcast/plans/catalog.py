@@ -207,6 +207,24 @@ def q_target_lead(spark, sf_dir):
     return f.select("event_id", F.round(F.col("pct") - F.col("fwd3"), 6).alias("chg"))
 
 
+def _hourly(spark, sf_dir):
+    """Observations stamped with their hour: gaps, and many rows at one time."""
+    return observations(spark, sf_dir).withColumn("t", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+
+
+def q_lag_as_of(spark, sf_dir):
+    """Fill of the last snapshot at or before one hour ago, and its time."""
+    o = windows.as_of_columns(_hourly(spark, sf_dir), KEY, "t", {"was": "pct"}, 3600, tie=[TIE], found_at="was_at")
+    return o.select("event_id", F.round("was", 6).alias("was"), "was_at")
+
+
+def q_lead_as_of(spark, sf_dir):
+    """Change towards the first snapshot at or after three hours ahead, if
+    there is one within the twelve hours that follow."""
+    o = windows.as_of_columns(_hourly(spark, sf_dir), KEY, "t", {"then": "pct", "then_id": "event_id"}, 3 * 3600, tie=[TIE], ahead=True, max_age=12 * 3600)
+    return o.select("event_id", "then_id", F.round(F.col("pct") - F.col("then"), 6).alias("chg"))
+
+
 def q_ffill(spark, sf_dir):
     e = _t(spark, sf_dir, "events")
     v = F.when(F.col("event_type") == "purchase", F.col("value"))
@@ -571,6 +589,11 @@ ORACLE_SQL: dict[str, str] = {
     "lag_occupancy": _F + " select event_id, round(lag3,6) lag3 from f",
     "rolling_mean": "select event_id, case when count(value) over w=12 then round(avg(value) over w,6) end m from events window w as (partition by user_id order by ts,event_id rows between 11 preceding and current row)",
     "target_lead": _F + " select event_id, round(pct-fwd3,6) chg from f where fwd3 is not null",
+    "lag_as_of": _OBS + """, h as (select *, date_trunc('hour',ts) t from obs), p as (select user_id, t, arg_max({'v': pct}, event_id) r from h group by all)
+        select event_id, round(p.r.v,6) was, p.t was_at from h asof left join p on h.user_id=p.user_id and h.t - interval 1 hour >= p.t""",
+    "lead_as_of": _OBS + """, h as (select *, date_trunc('hour',ts) t from obs), p as (select user_id, t, arg_min({'v': pct, 'e': event_id}, event_id) r from h group by all)
+        select event_id, case when p.t <= h.t + interval 15 hour then p.r.e end then_id, case when p.t <= h.t + interval 15 hour then round(pct-p.r.v,6) end chg
+        from h asof left join p on h.user_id=p.user_id and h.t + interval 3 hour <= p.t""",
     "ffill": "select event_id, last_value(case when event_type='purchase' then value end ignore nulls) over (partition by user_id order by ts,event_id rows between unbounded preceding and current row) v from events",
     "tail_n": "select event_id from (select event_id,row_number() over (partition by user_id order by ts desc,event_id desc) r from events) where r<=5",
     "top_shortage": _OBS + " select user_id, round(avg(pct),6) a from obs group by 1 order by a, user_id limit 10",

@@ -81,18 +81,35 @@ def prediction_inputs(status: DataFrame, snapshots: DataFrame, stations: DataFra
     return attach_weather(_zoned(both, stations, zones), weather_features(weather_latest, cfg))
 
 
-def feature_matrix(inputs: DataFrame, *, with_target: bool = False,
+def feature_matrix(inputs: DataFrame, *, with_target: bool = False, by: str = "rows",
                    cfg: sq.SkewConfig | None = None) -> DataFrame:
-    """Occupancy, month / day of week (Mon=0) / hour, 3-row lag and 12-row
-    mean of the fill per station (and the 3-row-ahead target), one pass."""
+    """Occupancy, month / day of week (Mon=0) / hour, lag and mean of the fill
+    per station, and the fill ahead as target.
+
+    ``by='rows'`` counts rows (3-row lag and lead, 12-row mean, one pass), which
+    is 30 and 120 minutes only where no snapshot is missing; ``by='time'`` asks
+    for the last snapshot at or before 30 minutes ago, the mean of the last 120
+    minutes and the first snapshot at or after 30 minutes ahead. Snapshots of
+    one station at one time are ordered by their counts.
+    """
     f = inputs.withColumn("pct_full", occupancy_ratio("full", "empty"))
     for name, c in time_features("extraction_ts").items():
         f = f.withColumn(name, c.cast("int"))
-    spec = (windows.FrameSpec().lag(LAG_COL, "pct_full", fv.LAG_ROWS)
-            .rolling_mean(ROLL_COL, "pct_full", fv.ROLLING_ROWS))
-    if with_target:
-        spec = spec.lead(TARGET_COL, "pct_full", fv.LAG_ROWS)
-    f = spec.apply(f, "station_id", ["extraction_ts"], cfg)
+    tie = ["full", "empty"]
+    if by == "time":
+        lag = {"tie": tie, "cfg": cfg}
+        f = windows.as_of_columns(f, "station_id", "extraction_ts", {LAG_COL: "pct_full"}, 60 * fv.HORIZON_MINUTES, **lag)
+        f = windows.time_rolling_mean(f, "station_id", "extraction_ts", "pct_full", 60 * fv.SNAPSHOT_MINUTES * fv.ROLLING_ROWS, ROLL_COL, **lag)
+        if with_target:
+            f = windows.as_of_columns(f, "station_id", "extraction_ts", {TARGET_COL: "pct_full"}, 60 * fv.HORIZON_MINUTES, ahead=True, **lag)
+    elif by == "rows":
+        spec = (windows.FrameSpec().lag(LAG_COL, "pct_full", fv.LAG_ROWS)
+                .rolling_mean(ROLL_COL, "pct_full", fv.ROLLING_ROWS))
+        if with_target:
+            spec = spec.lead(TARGET_COL, "pct_full", fv.LAG_ROWS)
+        f = spec.apply(f, "station_id", ["extraction_ts", *tie], cfg)
+    else:
+        raise ValueError(f"by must be 'rows' or 'time', not {by!r}")
     if with_target:
         f = f.withColumn(TARGET_CHANGE, F.col("pct_full") - col(TARGET_COL))
     return f
@@ -107,10 +124,10 @@ def prediction_features(inputs: DataFrame, cfg: sq.SkewConfig | None = None) ->
     return project_features(f)
 
 
-def training_features(inputs: DataFrame, cfg: sq.SkewConfig | None = None) -> DataFrame:
+def training_features(inputs: DataFrame, cfg: sq.SkewConfig | None = None, by: str = "rows") -> DataFrame:
     """Every row with features and the target; rows lacking lag, mean or
     target are dropped (the training-set rule)."""
-    f = feature_matrix(inputs, with_target=True, cfg=cfg)
+    f = feature_matrix(inputs, with_target=True, by=by, cfg=cfg)
     return f.dropna(subset=[LAG_COL, ROLL_COL, TARGET_COL])
 
 

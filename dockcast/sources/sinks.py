@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dockcast.operators import serve
+from dockcast.sources.files import exists
 from dockcast.sources.readers import DATE_PART, with_date
 
 
@@ -31,6 +32,34 @@ def write_layer(df: DataFrame, path: str, *, ts: str = "extraction_ts", mode: st
     w.parquet(path)
 
 
+BATCH = "batch"
+
+
+def append_once(df: DataFrame, path: str, batch: int, *, ts: str = "extraction_ts", again: bool = True) -> None:
+    """Append a numbered batch to a layer so that a batch tried again is there
+    once.
+
+    Rows carry the number in a column ``batch`` (files of other jobs have none
+    and read as null), so the layout is that of :func:`write_layer`. If ``again``,
+    the rows that an earlier try of the batch left, on the dates it touches,
+    are set against the new ones, and only those still missing are written.
+    The same input gives the same rows, so the result is the same."""
+    out = with_date(df, ts).withColumn(BATCH, F.lit(batch).cast("long"))
+    if again and exists(df.sparkSession, path):
+        old = df.sparkSession.read.schema(out.schema).parquet(path).filter(F.col(BATCH) == batch)
+        days = out.select(DATE_PART).distinct()
+        out = out.exceptAll(old.join(days, DATE_PART, "left_semi").select(*out.columns))
+    write_layer(out, path, ts=ts)
+
+
+def last_batch(spark: SparkSession, path: str) -> int:
+    """The highest batch number in a layer; -1 without any."""
+    if not exists(spark, path):
+        return -1
+    top = spark.read.schema(f"{BATCH} long").parquet(path).agg(F.max(BATCH)).first()[0]
+    return -1 if top is None else int(top)
+
+
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("append").format(fmt).save(path)
 
@@ -62,18 +91,6 @@ def insert_ignore_append(spark: SparkSession, target: str, incoming: DataFrame,
     return n
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder or file is there. Only that: an unreadable table is
-    there, and reading it fails."""
-    # one file name is enough; a path that names nothing is what this lists as absent
-    try:
-        return bool(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").limit(1).count())
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-
-
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", properties: dict | None = None,
                batch_size: int = 10_000) -> None:
     """SQL-store sink through the DataFrame writer (parameterised batches,

@@ -1,7 +1,8 @@
 """Structured Streaming forms of the scheduled flows.
 
 * ``stream_clean``: new raw snapshot files → clean layer, per micro-batch.
-* ``stream_status``: latest status per station kept by upsert, per batch.
+* ``stream_status``: latest status per station as streaming state, its
+  changes logged per batch.
 * ``stream_staleness``: the 8-day cut-off as a watermark, with duplicate
   rows dropped within it.
 * ``stream_occupancy_window``: 120-minute sliding mean per station.
@@ -78,20 +79,37 @@ def for_each_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], chec
     return w.trigger(availableNow=True) if available_now else w
 
 
+def to_layer(stream: DataFrame, path: str, checkpoint: str, *, ts: str = "extraction_ts",
+             fn: Callable[[DataFrame], DataFrame] | None = None) -> DataStreamWriter:
+    """Writer of a stream into a date-partitioned layer, with the layout of the
+    batch sinks (``sinks.append_once``), ``fn`` applied to each micro-batch.
+    Only batches up to the layer's last one at the start can have been tried
+    before."""
+    from dockcast.operators.sequence import cached_scope
+    from dockcast.sources.sinks import append_once, last_batch
+    known: list[int] = []
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        if not known:
+            known.append(last_batch(df.sparkSession, path))
+        with cached_scope():
+            append_once(fn(df) if fn else df, path, batch_id, ts=ts, again=batch_id <= known[0])
+    return for_each_batch(stream, batch, checkpoint)
+
+
+def to_files(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Writer of a stream into Parquet files, exactly once (the sink's own log
+    names the files that count)."""
+    return (stream.writeStream.format("parquet").outputMode("append").option("path", path)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+
+
 def stream_clean(spark: SparkSession, raw_path: str, clean_path: str, checkpoint: str, *, schema,
                  clean_fn: Callable[[DataFrame], DataFrame]):
     """Each micro-batch of raw snapshot files is cleaned as a batch (the
     per-snapshot de-duplication needs whole snapshots, which a file brings)
-    and written to the clean layer partitioned by date and batch. A batch that
-    is tried again replaces its own folders, so its rows are there once."""
-    def batch(df: DataFrame, batch_id: int) -> None:
-        from dockcast.operators.sequence import cached_scope
-        from dockcast.sources.readers import DATE_PART, with_date
-        with cached_scope():
-            out = with_date(clean_fn(df), "extraction_ts").withColumn("batch", F.lit(batch_id))
-            (out.repartitionByRange(DATE_PART, "id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy(DATE_PART, "batch").parquet(clean_path))
-    return for_each_batch(read_stream(spark, raw_path, schema), batch, checkpoint).start()
+    and appended to the clean layer (:func:`to_layer`)."""
+    return to_layer(read_stream(spark, raw_path, schema), clean_path, checkpoint, fn=clean_fn).start()
 
 
 def stream_clean_watermarked(stream: DataFrame, *, delay: str = "8 days") -> DataFrame:
@@ -99,7 +117,8 @@ def stream_clean_watermarked(stream: DataFrame, *, delay: str = "8 days") -> Dat
     several micro-batches.
 
     The validity rules are stateless (each row against its own extraction
-    day). The two per-snapshot de-duplications are watermarked streaming
+    day); only valid rows move the watermark. The two per-snapshot
+    de-duplications are watermarked streaming
     aggregations keyed by ``extraction_ts`` — keep one row per 13-column
     subset, then drop every position held twice in one snapshot — so a
     snapshot is emitted (append mode) once the watermark has passed its
@@ -112,8 +131,8 @@ def stream_clean_watermarked(stream: DataFrame, *, delay: str = "8 days") -> Dat
     from dockcast.operators import clean
     from dockcast.plans.snapshot import DEDUPE_ORDER, row_cutoff
 
-    s = as_event_time(stream, "extraction_ts").withWatermark("extraction_ts", delay)
-    valid = clean.filter_valid(s, schemas.REQUIRED_RAW, clean.station_rules(row_cutoff()))
+    s = as_event_time(stream, "extraction_ts")
+    valid = clean.filter_valid(s, schemas.REQUIRED_RAW, clean.station_rules(row_cutoff())).withWatermark("extraction_ts", delay)
     sub = schemas.DUPLICATE_SUBSET
     rest = DEDUPE_ORDER + [c for c in valid.columns if c not in sub and c not in DEDUPE_ORDER]
     kept = (valid.groupBy(*sub).agg(F.min(F.struct(*rest)).alias("_r"))
@@ -129,48 +148,95 @@ def stream_clean_watermarked(stream: DataFrame, *, delay: str = "8 days") -> Dat
     return named.select(*[f.name for f in schemas.CLEAN_SNAPSHOT.fields])
 
 
+# ---------------------------------------------------------------------------
+# Status table: streaming state, a log of changes, a base of older ones
+# ---------------------------------------------------------------------------
+
+def latest_per_key(rows: DataFrame, key: str, ts: str) -> DataFrame:
+    """The latest row of each key (batch or stream): greatest ``ts``, a null
+    one last; of rows at one time the least in the other columns."""
+    rest = [c for c in rows.columns if c != key]
+    order = [F.col(ts).isNull().alias("_o0"), (-F.unix_micros(F.col(ts).cast("timestamp"))).alias("_o1")]
+    top = F.min(F.struct(*order, *[F.col(c) for c in rest])).alias("_row")
+    return rows.groupBy(key).agg(top).select(*[F.col(c) if c == key else F.col("_row").getField(c).alias(c) for c in rows.columns])
+
+
+COMPACT_BYTES = 64 << 20
+
+
 def stream_status(spark: SparkSession, snapshots: DataFrame, status_path: str, checkpoint: str, *,
-                  key: str = "id", ts: str = "extraction_ts"):
-    """Keep one status row per station, the latest snapshot: each batch is
-    merged into the status table by key, the row with the later timestamp
-    winning (so a late batch never overwrites newer status), and written as a
-    new version, published once it is complete. Published versions are never
-    changed: the newest is the table (``read_status``), so a crash at any point
-    leaves a readable table, and a batch that is tried again writes the same
-    version from the same predecessor. A version that cannot be read fails the
-    batch."""
-    from dockcast.operators.clean import dedupe_first
-
-    def latest(rows: DataFrame) -> DataFrame:
-        return dedupe_first(rows.withColumn("_neg", -F.unix_micros(F.col(ts).cast("timestamp"))),
-                            [key], ["_neg"]).drop("_neg")
+                  key: str = "id", ts: str = "extraction_ts", compact_bytes: int = COMPACT_BYTES):
+    """Keep one status row per station, the latest snapshot (a late row never
+    replaces a newer one).
+
+    The latest row of each station is state of the streaming query (update
+    mode), so a batch reads and writes the state of its own stations only.
+    What it emits, their current rows, becomes one folder of a log; a batch
+    that is tried again replaces its own folder. The table (``read_status``)
+    is the latest row of each station over the log and the newest version of
+    the state. When the log outweighs that version (and ``compact_bytes``), both
+    are merged into a new version, so a row is rewritten a bounded number of
+    times on average, and old folders go. A version that cannot be read fails
+    the run."""
+    from dockcast.sources import files
+    begun = []
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        version = status_version(spark, status_path, before=batch_id)
-        if version is None:  # first batch: no table yet
-            state = latest(df)
-        else:
-            cur = spark.read.parquet(f"{status_path}/state/v={version}")
-            state = latest(cur.unionByName(df.select(*cur.columns)))
-        state.write.mode("overwrite").parquet(f"{status_path}/state/v={batch_id}")
-        spark.range(1).select(F.lit(batch_id).cast("long").alias("v")).write.mode("append").parquet(f"{status_path}/published")
-    return for_each_batch(snapshots, batch, checkpoint).start()
-
-
-def status_version(spark: SparkSession, status_path: str, before: int | None = None) -> int | None:
-    """The newest published version, or none."""
-    from dockcast.sources.sinks import exists
-    if not exists(spark, f"{status_path}/published"):
-        return None
-    v = spark.read.schema("v long").parquet(f"{status_path}/published")
-    if before is not None:
-        v = v.filter(F.col("v") < before)
-    return v.agg(F.max("v")).first()[0]
-
-
-def read_status(spark: SparkSession, status_path: str) -> DataFrame:
+        version = status_version(spark, status_path)
+        if not begun and version is not None:
+            read_status(spark, status_path, key=key, ts=ts)  # its schema: the files are there and readable
+        begun.append(batch_id)
+        logs = files.folders(spark, f"{status_path}/log", "n")
+        mine = f"_{df.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}_{batch_id}"
+        nth = max([version if version is not None else -1, *map(files.number, logs)]) + 1
+        folder = next((x for x in logs if x.endswith(mine)), f"n={nth}{mine}")
+        df.write.mode("overwrite").parquet(f"{status_path}/log/{folder}")
+        grown = sum(files.bytes_under(spark, f"{status_path}/log/{x}") for x in {*logs, folder} if version is None or files.number(x) > version)
+        if version is None or grown > max(compact_bytes, files.bytes_under(spark, f"{status_path}/state/v={version}")):
+            compact_status(spark, status_path, key=key, ts=ts)
+    w = latest_per_key(snapshots, key, ts).writeStream.outputMode("update").foreachBatch(batch)
+    return w.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def status_version(spark: SparkSession, status_path: str) -> int | None:
+    """The newest version of the state: the number of the last log folder in it."""
+    from dockcast.sources import files
+    versions = files.folders(spark, f"{status_path}/state", "v")
+    return files.number(versions[-1]) if versions else None
+
+
+def read_status(spark: SparkSession, status_path: str, *, key: str = "id", ts: str = "extraction_ts") -> DataFrame:
     """The current status table."""
-    return spark.read.parquet(f"{status_path}/state/v={status_version(spark, status_path)}")
+    from dockcast.sources import files
+    version = status_version(spark, status_path)
+    paths = [] if version is None else [f"{status_path}/state/v={version}"]
+    paths += [f"{status_path}/log/{x}" for x in files.folders(spark, f"{status_path}/log", "n") if version is None or files.number(x) > version]
+    parts = [spark.read.parquet(p) for p in paths]  # each names its own columns: no partition columns from folder names
+    table = parts[0]
+    for p in parts[1:]:
+        table = table.unionByName(p)
+    return latest_per_key(table, key, ts)
+
+
+def compact_status(spark: SparkSession, status_path: str, *, key: str = "id", ts: str = "extraction_ts") -> None:
+    """Merge the log into a new version of the state. The version gets its
+    name once it is complete; the one before it, and the log that one lacks,
+    stay one round longer for readers that have begun."""
+    from dockcast.sources import files
+    version = status_version(spark, status_path)
+    logs = files.folders(spark, f"{status_path}/log", "n")
+    if not logs or (version is not None and files.number(logs[-1]) <= version):
+        return
+    draft = f"{status_path}/state/_draft"
+    read_status(spark, status_path, key=key, ts=ts).write.mode("overwrite").parquet(draft)
+    files.publish(spark, draft, f"{status_path}/state/v={files.number(logs[-1])}")
+    if version is not None:
+        for x in files.folders(spark, f"{status_path}/state", "v"):
+            if files.number(x) < version:
+                files.remove(spark, f"{status_path}/state/{x}")
+        for x in logs:
+            if files.number(x) <= version:
+                files.remove(spark, f"{status_path}/log/{x}")
 
 
 def stream_forecasts(spark: SparkSession, status_stream: DataFrame, *, clean_layer: DataFrame,
