@@ -22,7 +22,7 @@ from dockcast import schemas
 from dockcast.functions import fixed_values as fv
 from dockcast.functions import scalar as fx
 from dockcast.operators import aggregates as agg
-from dockcast.operators import clean, joins, model, serve, setops
+from dockcast.operators import clean, joins, model, serve, setops, summary
 from dockcast.plans import features as fp
 from dockcast.plans import serving, snapshot
 from dockcast.sources import readers
@@ -158,6 +158,15 @@ def q_plan_training_features_by_time(spark, sf_dir):
     return _plain(_rounded(f, [*_SHOWN, fp.TARGET_COL, fp.TARGET_CHANGE], ["station_id", "extraction_ts", "month", "day_of_week", "hour"]))
 
 
+_PAIRED = ["pct_full", "m30_blag_pct_full", "m120_avg_pct_full", "apparent_temperature", "precipitation", "wind_speed", "h1_fwd_apparent_temperature", "h1_fwd_precipitation",
+           "day_of_week", "hour", "m30_fwd_pct_full"]
+
+
+def q_feature_correlations(spark, sf_dir):
+    """Every pair of the eleven numbers of the training features."""
+    return summary.correlations(q_plan_training_features(spark, sf_dir), _PAIRED)
+
+
 def q_plan_prediction_features(spark, sf_dir):
     """Status = each station's newest snapshot, stamped with one pull time."""
     s = snapshots(spark, sf_dir)
@@ -370,3 +379,6 @@ _F3 = _OBS + f""", f as (select s.id station_id, ts, z, {_FEAT} from s join st u
 ORACLE_SQL["plan_forecast_rows"] = _F3.replace("\nw as (select r_name", "\nwx as (select r_name") + f""" select station_id, mode, relative_ts, round(v,5) fill_rate, ts base_ts, case when relative_ts=0 then ts else date_trunc('minute', ts + interval 30 minute + interval 30 second) end ts, timestamp '{AS_OF}' run_ts from (
   select station_id, ts, 'serving' mode, 0 relative_ts, a v from p union all select station_id, ts, 'serving', 1, greatest(0,least(1,a+1+h)) from p
   union all select station_id, ts, 'consistent', 0, a from p union all select station_id, ts, 'consistent', 1, greatest(0,least(1,a-h)) from p)"""
+
+ORACLE_SQL["feature_correlations"] = f"with ff as (select * from ({ORACLE_SQL['plan_training_features']})) " + " union all ".join(
+    f"""select '{a}' a, '{b}' b, count(*) filter ("{a}" is not null and "{b}" is not null) n, round(nullif(corr("{a}", "{b}"), 'nan'::double), 6) r from ff""" for a in _PAIRED for b in _PAIRED)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from dockcast.functions import scalar as fx
 from dockcast.operators import aggregates as agg
-from dockcast.operators import clean, joins, model, serve, setops, windows
+from dockcast.operators import clean, joins, model, serve, setops, summary, windows
 from dockcast.session import cut_lineage
 from dockcast.sources import readers
 
@@ -207,6 +207,10 @@ def q_target_lead(spark, sf_dir):
     return f.select("event_id", F.round(F.col("pct") - F.col("fwd3"), 6).alias("chg"))
 
 
+def q_describe_all(spark, sf_dir):
+    return summary.describe_all(_t(spark, sf_dir, "lineitem").drop("l_shipdate"))
+
+
 def _hourly(spark, sf_dir):
     """Observations stamped with their hour: gaps, and many rows at one time."""
     return observations(spark, sf_dir).withColumn("t", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
@@ -563,7 +567,13 @@ _M = (_F + ", m as (select regr_sxy(pct-fwd3,pct)/(regr_sxx(pct-fwd3,pct)+1) w,
       "from f where fwd3 is not null and pct is not null)")
 _WX = "with wx as (select event_type, date_trunc('hour',ts) h, avg(value) v from events group by all)"
 
+_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
 ORACLE_SQL: dict[str, str] = {
+    "describe_all": " union all ".join(
+        [f"""select '{c}' "column", count({c}) n, null::bigint "unique", null::varchar top, null::bigint freq, round(avg({c}),6) mean, round(stddev_samp({c}),6) std, min({c})::double "min",
+             round(quantile_cont({c}::double,0.25),6) q1, round(quantile_cont({c}::double,0.5),6) q2, round(quantile_cont({c}::double,0.75),6) q3, max({c})::double "max" from lineitem""" for c in _NUMBERS]
+        + [f"""select '{c}', sum(k)::bigint, count(*), arg_min(v, (-k, v)), max(k), null, null, null, null, null, null, null from (select {c} v, count(*) k from lineitem where {c} is not null group by 1)""" for c in ("l_returnflag", "l_linestatus")]),
     "occupancy_ratio": _OBS + " select event_id, round(pct,6) pct_full from obs",
     "time_features": "select event_id, month(ts) \"month\", isodow(ts)-1 day_of_week, hour(ts) \"hour\" from events",
     "hour_key": "select event_id, strftime(ts,'%Y-%m-%d_%H') y_m_d_h from events",
