@@ -39,8 +39,10 @@ def _typed(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def raw_snapshots(spark, sf_dir) -> DataFrame:
+def raw_snapshots(spark, sf_dir, monthly: bool = False) -> DataFrame:
     li = _t(spark, sf_dir, "lineitem")
+    if monthly:  # pulls on the first day of each month only: fewer, larger dates
+        li = li.withColumn("l_shipdate", F.date_trunc("month", "l_shipdate").cast("timestamp_ntz"))
     ts = F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(hours=(F.col("l_orderkey") % 24).cast("int"))
     rows = li.select(
         F.col("l_suppkey").alias("id"), F.concat("l_returnflag", F.col("l_linenumber").cast("string")).alias("name"),

@@ -19,9 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockcast import schemas
-from dockcast.plans import bindings
+from dockcast.plans import bindings, catalog, snapshot
 from dockcast.session import ensure_checkpoint_dir
-from dockcast.sources import readers
+from dockcast.sources import readers, sinks, sync
 from dockcast.streaming import streams
 
 DELIVERIES = 4
@@ -82,7 +82,7 @@ def q_stream_first_seen(spark, sf_dir):
 def q_stream_clean_layer(spark, sf_dir):
     """Snapshots split over deliveries, cleaned by two chained stateful
     aggregations and written to a layer; what the layer holds."""
-    raw = bindings.raw_snapshots(spark, sf_dir)
+    raw = bindings.raw_snapshots(spark, sf_dir, monthly=True)
     src, out, ck = (folder(spark, x) for x in ("raw", "clean", "ck"))
     number = F.least(F.lit(DELIVERIES - 1), (F.floor((F.year("extraction_ts") - 1995) / 2) + F.when(F.col("space") % 9 == 0, 1).otherwise(0)).cast("int"))
 
@@ -106,9 +106,67 @@ def q_stream_status_table(spark, sf_dir):
     return bindings._plain(streams.read_status(spark, out))
 
 
-QUERIES = {"stream_occupancy_closed": q_stream_occupancy_closed, "stream_first_seen": q_stream_first_seen,
-           "stream_clean_layer": q_stream_clean_layer, "stream_status_table": q_stream_status_table}
-
+def q_snapshot_csv(spark, sf_dir):
+    """Snapshots written as CSV files with different headers, read back."""
+    raw = bindings.raw_snapshots(spark, sf_dir).withColumn("updated_at", F.unix_seconds("last_update_ts"))
+    cols = [c for c in schemas.STATION_CSV.names if c != "address"]
+    out = folder(spark, "csv")
+    other = raw.filter(F.col("id") % 3 == 0).withColumn("note", F.lit("x, y"))
+    for part, names in ((raw.filter(F.col("id") % 3 != 0), cols), (other, [*reversed(cols), "note"])):
+        part.select(*names).write.mode("append").option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(out)
+    back = readers.read_snapshot_csv(spark, out)
+    return bindings._plain(back.select("id", "name", "space", "full", "empty", "city", "lat", "lng", "last_update_ts", "extraction_ts"))
+
+
+def q_reprocess_layer(spark, sf_dir):
+    """A stored clean layer with wrong rows (space 0) after re-processing a
+    range of the raw layer, in which the rows of every third month have turned
+    invalid, so that some dates of the range have no clean rows any more."""
+    raw = bindings.raw_snapshots(spark, sf_dir, monthly=True)
+    raw_path, clean_path = folder(spark, "raw"), folder(spark, "clean")
+    sinks.write_layer(snapshot.clean_snapshot(raw).withColumn("space", F.lit(0).cast("long")), clean_path)
+    sinks.write_layer(raw.withColumn("city", F.when(F.month("extraction_ts") % 3 != 0, F.col("city"))), raw_path)
+    snapshot.reprocess_range(spark, raw_path, clean_path, bindings.OLDEST, bindings.NEWEST)
+    return bindings._plain(readers.read_snapshots(spark, clean_path).select("id", "space", "extraction_ts"))
+
+
+def q_sync_files(spark, sf_dir):
+    """Files of a remote folder copied into a layer: seven files first, then
+    the rest; what the layer holds, and how many files a last run copies."""
+    e = readers.read_table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("extraction_ts"), "value")
+    remote, layer = folder(spark, "remote"), folder(spark, "layer")
+    e.repartitionByRange(12, "event_id").write.parquet(remote)
+    copied = [sync.sync_missing(spark, remote, layer, schema=e.schema, limit=n, pattern="*.parquet", block_files=4) for n in (7, None, None)]
+    back = spark.read.schema(e.schema).parquet(layer).select(*e.columns)
+    return bindings._plain(back.withColumns({"first": F.lit(copied[0]), "again": F.lit(copied[2])}))
+
+
+def q_history_concat(spark, sf_dir):
+    """Files written with three schemas, and files that are none, read as one history."""
+    e = readers.read_table(spark, sf_dir, "events")
+    path = folder(spark, "history")
+    e.filter("event_id % 3 = 0").select(F.col("event_id").cast("int").alias("event_id"), F.col("value").cast("float").alias("value"), F.col("user_id").cast("string").alias("who")).coalesce(4).write.parquet(f"{path}/a")
+    e.filter("event_id % 3 = 1").select("event_id", "value", F.col("user_id").alias("who"), "event_type").coalesce(4).write.parquet(f"{path}/b")
+    e.filter("event_id % 3 = 2").select(F.col("user_id").cast("int").alias("who"), "event_id").coalesce(4).write.parquet(f"{path}/c")
+    e.filter("event_id < 10").select("event_type").repartitionByRange(2, "event_type").write.text(f"{path}/d")
+    rows, bad = sync.read_history(spark, path)
+    return rows.withColumns({"value": F.round("value", 4), "some_unreadable": F.lit(not bad.isEmpty())})
+
+
+def q_sink_upsert_parts(spark, sf_dir):
+    """The upsert of a stored table by key parts, as the table is read after it."""
+    e = readers.read_table(spark, sf_dir, "events")
+    base = e.groupBy("user_id").agg(F.min_by("value", "event_id").alias("v"))
+    new = e.filter(F.col("event_type") == "signup").groupBy("user_id").agg(F.max_by("value", "event_id").alias("v"))
+    path = folder(spark, "keyed")
+    sinks.write_keyed(base, path, ["user_id"], 16)
+    sinks.upsert_parts(spark, path, new, ["user_id"], base.schema, 16)
+    return sinks.read_keyed(spark, path, base.schema)
+
+
+QUERIES = {n[2:]: f for n, f in list(globals().items()) if n.startswith("q_")}
+
+_MONTHLY = bindings._RAW.replace("l_shipdate", "date_trunc('month', l_shipdate)")
 _LATE = "case when event_id%37=0 then 3 when event_id%10=0 then 1 else 0 end"
 # deliveries of the events, and the watermark that holds while each is read
 _EVENTS = f"""with d as (select *, least(3, (day(ts)-1)//8 + {_LATE}) b from events),
@@ -126,7 +184,7 @@ ORACLE_SQL = {
         ok as (select s.*, wm, wm is null or ts > wm as in_time from s join before using (b)),
         o as (select a.*, f.event_id is not null and f.in_time as seen, f.ts first_ts from ok a left join ok f on a.copy > 0 and f.event_id=a.event_id and f.copy=0)
         select event_id, copy, ts from o where in_time and not (seen and (wm is null or first_ts + interval 8 day > wm))""",
-    "stream_clean_layer": bindings._RAW.split("valid as")[0] + """del as (select *, least(3, (year(extraction_ts)-1995)//2 + case when "space"%9=0 then 1 else 0 end) b from raw),
+    "stream_clean_layer": _MONTHLY.split("valid as")[0] + """del as (select *, least(3, (year(extraction_ts)-1995)//2 + case when "space"%9=0 then 1 else 0 end) b from raw),
         ok as (select * from del where city is not null and "type"=2 and not ("empty" < 0) and not ("space" < 1) and lat >= 21.89::double and lng >= 120.0::double
           and last_update_ts >= date_trunc('day', extraction_ts + interval 8 hour) - interval 8 day - interval 8 hour and not ("space" < "full" + "empty" - 10)),
         m as (select b, max(extraction_ts) - interval 400 day wm from ok group by b),
@@ -138,4 +196,10 @@ ORACLE_SQL = {
         select id, name, lat, lng, "space", "full", "empty", bike_yb2, bike_eyb, case when city='台北市' then 'TaiBeiShi' else 'N/A' end city,
           case when area='大安區' then 'DaAnQu' else 'N/A' end area, last_update_ts, extraction_ts from single""",
     "stream_status_table": "select user_id id, arg_max(ts, (ts, -event_id)) extraction_ts, arg_max(event_id, (ts, -event_id)) event_id, arg_max(value, (ts, -event_id)) as value from events group by user_id",
+    "snapshot_csv": bindings._RAW.split("valid as")[0].rstrip().rstrip(",") + """ select id, name, "space", "full", "empty", city, lat, lng, last_update_ts, extraction_ts from raw""",
+    "reprocess_layer": _MONTHLY + f""" select id, case when {bindings._RANGE} then "space" else 0 end "space", extraction_ts from clean where not ({bindings._RANGE} and month(extraction_ts)%3=0)""",
+    "sync_files": "select event_id, ts extraction_ts, value, 7 as first, 0 again from events",
+    "history_concat": """select event_id, round(case event_id%3 when 0 then value::float::double when 1 then value end, 4) as value, user_id::varchar who, case when event_id%3=1 then event_type end event_type,
+        true some_unreadable from events""",
+    "sink_upsert_parts": catalog.ORACLE_SQL["sink_upsert"],
 }

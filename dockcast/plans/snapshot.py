@@ -64,7 +64,7 @@ def reprocess_range(spark: SparkSession, raw_path: str, clean_path: str, oldest,
     """Re-clean every raw snapshot with oldest < extraction_ts ≤ newest and
     replace those rows of the clean layer. Whole dates are overwritten, so the
     clean rows of the first and last date outside the range are written back
-    with them. Staleness is judged per row against its own extraction day."""
+    with them; dates of the range that have no clean row any more are removed. Staleness is judged per row against its own extraction day."""
     raw = readers.read_snapshots(spark, raw_path)
     cleaned = reclean(raw, oldest, newest)
     state = cleaned
@@ -72,6 +72,9 @@ def reprocess_range(spark: SparkSession, raw_path: str, clean_path: str, oldest,
         state = cleaned.unionByName(untouched(readers.read_snapshots(spark, clean_path), oldest, newest).select(*cleaned.columns))
     state = cut_lineage(state)  # written out before the dates it was read from are replaced
     sinks.write_layer(state, clean_path, mode="overwrite")
+    kind = cleaned.schema["extraction_ts"].dataType
+    first, last = spark.range(1).select(*[readers.local_date(F.lit(x).cast(kind), kind) for x in (oldest, newest)]).first()
+    sinks.drop_dates(spark, clean_path, first, last, keep=state)
     return cleaned
 
 

@@ -32,13 +32,15 @@ def publish(spark: SparkSession, written: str, path: str) -> None:
         raise OSError(f"{written} could not be renamed to {path}")
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names right under a folder."""
+    fs, p = _at(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def folders(spark: SparkSession, path: str, key: str) -> list[str]:
     """The names ``<key>=…`` right under ``path``, in order of the number they go on with."""
-    fs, p = _at(spark, path)
-    if not fs.exists(p):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    return sorted((n for n in names if n.startswith(f"{key}=")), key=number)
+    return sorted((n for n in children(spark, path) if n.startswith(f"{key}=")), key=number)
 
 
 def number(folder: str) -> int:

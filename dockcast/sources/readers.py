@@ -23,24 +23,76 @@ def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
 
 
+MAX_HEADERS = 1000
+
+
+def csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, header, line: every data line of a file or folder of CSV files
+    beside its own file's header (the file's first line). Blank lines and
+    repeats of the header are left out. The headers, one row per file, are
+    found by a partial aggregate over the first block of each file."""
+    at = F.col("_metadata.file_path")
+    text = spark.read.text(path).select(at.alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
+    bare = F.regexp_replace("line", "^\ufeff", "")  # a byte-order mark
+    first = text.filter(F.col("block") == 0).select("file", bare.alias("line"), F.monotonically_increasing_id().alias("row")) \
+        .groupBy("file").agg(F.min_by("line", "row").alias("header"))
+    return text.join(first, "file").filter((F.trim("line") != "") & (bare != F.col("header"))).select("file", "header", "line")
+
+
+def _csv_columns(header: str) -> list[str]:
+    """Column names of a header; of names that repeat, the first counts."""
+    names = [c.strip().strip('"').strip() for c in header.split(",")]
+    return [n if n and n not in names[:i] else f"_unused_{i}" for i, n in enumerate(names)]
+
+
+def parse_snapshot_csv(spark: SparkSession, path: str) -> DataFrame:
+    """file, line, bad, row: each line read under its own file's header into
+    the feed's columns. Columns are matched by name, so files may order them
+    differently, lack some (null) or bring others (ignored). ``bad`` marks lines
+    with too few or too many fields, or with a value that is not of its
+    column's type; such a value is null in ``row``."""
+    lines = csv_lines(spark, path)
+    heads = [r[0] for r in lines.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
+    if len(heads) > MAX_HEADERS:
+        raise ValueError(f"{path} has more than {MAX_HEADERS} different headers: not one feed")
+    fields = schemas.STATION_CSV.fields
+    empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    row, bad = empty, F.lit(False)
+    for h in heads:  # one expression per header, not per file
+        names = _csv_columns(h)
+        known = {f.name: f for f in fields if f.name in names}
+        kind = T.StructType([known.get(n, T.StructField(n, T.StringType())) for n in names] + [T.StructField("_corrupt", T.StringType())])
+        got = F.from_csv("line", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind.fields), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+        mine = F.col("header") == h
+        row = F.when(mine, F.struct(*[(got.getField(f.name) if f.name in known else F.lit(None).cast(f.dataType)).alias(f.name) for f in fields])).otherwise(row)
+        bad = F.when(mine, got.getField("_corrupt").isNotNull()).otherwise(bad)
+    return lines.select("file", "line", "header", bad.alias("bad"), row.alias("row"))
+
+
 def read_snapshot_csv(spark: SparkSession, path: str, pulled_at=None) -> DataFrame:
     """Station CSV as pulled (explicit schema, no inference), normalised:
-    ``updated_at`` epoch s → ``last_update_ts``. The feed carries no pull time:
-    ``pulled_at`` (an instant) stamps every row that has none of its own; without
-    it the files must have an ``extraction_ts`` column."""
-    # columns are matched by the header, so a feed without some of them reads those as null
-    head = [c.strip() for c in (spark.read.text(path).first() or [""])[0].split(",")]
-    if "extraction_ts" not in head and pulled_at is None:
-        raise ValueError("the feed has no extraction_ts column: pass pulled_at, the time of the pull")
-    have = T.StructType([next(f for f in schemas.STATION_CSV.fields if f.name == h) if h in schemas.STATION_CSV.names else T.StructField(h, T.StringType()) for h in head])
-    df = spark.read.schema(have).option("header", True).csv(path)
-    df = df.select(*[F.col(f.name) if f.name in head else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.STATION_CSV.fields])
+    ``updated_at`` epoch s → ``last_update_ts``. ``path`` may be a folder whose
+    files have different headers (:func:`parse_snapshot_csv`). The feed carries
+    no pull time: ``pulled_at`` (an instant) stamps every row that has none of
+    its own; without it every file must have an ``extraction_ts`` column."""
+    parsed = parse_snapshot_csv(spark, path)
+    if pulled_at is None:
+        bare = parsed.select("file", "header").distinct().filter(~F.array_contains(F.transform(F.split("header", ","), lambda c: F.trim(F.replace(c, F.lit('"')))), "extraction_ts"))
+        lacks = bare.select("file").first()
+        if lacks is not None:
+            raise ValueError(f"{lacks['file']} has no extraction_ts column: pass pulled_at, the time of the pull")
+    df = parsed.select("row.*")
     if pulled_at is None:
         return normalize_snapshot_ts(df)
     stamp = F.lit(pulled_at).cast("timestamp")
     return normalize_snapshot_ts(df, F.coalesce(F.col("extraction_ts"), stamp))
 
 
+def snapshot_csv_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """file, line: the lines of a feed that don't read as its header says."""
+    return parse_snapshot_csv(spark, path).filter("bad").select("file", "line")
+
+
 def normalize_snapshot_ts(df: DataFrame, extraction_ts: Column | None = None) -> DataFrame:
     """epoch seconds → timestamp, pull time truncated to the second,
     ``updated_at`` dropped."""

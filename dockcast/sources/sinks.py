@@ -5,10 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dockcast.operators import serve
+from dockcast.sources import files
 from dockcast.sources.files import exists
 from dockcast.sources.readers import DATE_PART, with_date
 
@@ -32,6 +34,17 @@ def write_layer(df: DataFrame, path: str, *, ts: str = "extraction_ts", mode: st
     w.parquet(path)
 
 
+def drop_dates(spark: SparkSession, path: str, first, last, *, keep: DataFrame, ts: str = "extraction_ts") -> list[str]:
+    """Remove a layer's dates from ``first`` to ``last`` (inclusive) that
+    ``keep`` has no rows of; a dynamic overwrite leaves those as they were."""
+    kept = {str(r[0]) for r in with_date(keep, ts).select(DATE_PART).distinct().collect()}  # one value a day
+    there = [n.split("=", 1)[1] for n in files.children(spark, path) if n.startswith(f"{DATE_PART}=")]
+    gone = [d for d in there if str(first) <= d <= str(last) and d not in kept]
+    for d in gone:
+        files.remove(spark, f"{path}/{DATE_PART}={d}")
+    return gone
+
+
 BATCH = "batch"
 
 
@@ -80,6 +93,44 @@ def upsert_version(spark: SparkSession, current: str, updates: DataFrame, key: S
     return write_version(state, base, version)
 
 
+PART = "key_part"
+
+
+def key_part(key: Sequence[str], parts: int) -> Column:
+    """The part of a keyed table that a key belongs to."""
+    return F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int")
+
+
+def write_keyed(df: DataFrame, path: str, key: Sequence[str], parts: int = 64) -> None:
+    """A table in ``parts`` folders by key hash, for :func:`upsert_parts`."""
+    out = df.withColumn(PART, key_part(key, parts))
+    out.repartition(parts, PART).write.mode("overwrite").partitionBy(PART).parquet(path)
+
+
+def read_keyed(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.read.schema(schema).parquet(path).drop(PART)
+
+
+def upsert_parts(spark: SparkSession, path: str, updates: DataFrame, key: Sequence[str], schema, parts: int = 64) -> list[int]:
+    """Status-table upsert in place, part by part: only the parts that hold an
+    updated key are read and replaced (dynamic partition overwrite); returns
+    them. The new parts are materialised first, as the old ones are read for
+    them. The upsert is idempotent, so a run that broke off is run again.
+    ``schema`` names the table's columns, ``parts`` is what it was written with."""
+    from dockcast.session import cut_lineage
+    fields = (schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)).fields
+    names = [f.name for f in fields]
+    new = updates.select(*names).withColumn(PART, key_part(key, parts))
+    touched = sorted(r[0] for r in new.select(PART).distinct().collect())  # at most ``parts`` numbers
+    if not touched:
+        return []
+    full = T.StructType([*fields, T.StructField(PART, T.IntegerType())])
+    old = spark.read.schema(full).parquet(path).filter(F.col(PART).isin(touched))
+    state = cut_lineage(serve.upsert(old.select(*names), new.select(*names), key)).withColumn(PART, key_part(key, parts))
+    state.repartition(len(touched), PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+    return touched
+
+
 def insert_ignore_append(spark: SparkSession, target: str, incoming: DataFrame, key: Sequence[str]) -> int:
     """Append the rows whose key is not in the target yet; returns how many.
     The new rows are materialised first so the count and the write agree."""
