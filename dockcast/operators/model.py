@@ -47,6 +47,42 @@ class RidgeModel:
         return RidgeModel(list(rows), list(rows.values()), b)
 
 
+@dataclass
+class ModelStore:
+    """Models by name and version in a shared folder (``base/<name>/v=<n>``). A
+    version gets its name once its table is complete and never changes; all
+    names and versions are listed from the folder."""
+    spark: SparkSession
+    base: str
+
+    def versions(self, name: str) -> list[int]:
+        from dockcast.sources import files
+        return [files.number(f) for f in files.folders(self.spark, f"{self.base}/{name}", "v")]
+
+    def names(self) -> list[str]:
+        from dockcast.sources import files
+        return sorted(n for n in files.children(self.spark, self.base) if self.versions(n))
+
+    def save(self, name: str, model: RidgeModel) -> int:
+        """Store a model as the next version; returns its number."""
+        import uuid
+
+        from dockcast.sources import files
+        version = max(self.versions(name), default=0) + 1
+        draft = f"{self.base}/{name}/_draft-{uuid.uuid4().hex}"
+        model.save(self.spark, draft)
+        files.publish(self.spark, draft, f"{self.base}/{name}/v={version}")
+        return version
+
+    def load(self, name: str, version: int | None = None) -> RidgeModel:
+        """A version of a model, the newest unless it is named."""
+        there = self.versions(name)
+        wanted = version if version is not None else max(there, default=None)
+        if wanted not in there:
+            raise LookupError(f"no model {name!r}" + (f" in version {version}" if version is not None else "") + f"; versions: {there}")
+        return RidgeModel.load(self.spark, f"{self.base}/{name}/v={wanted}")
+
+
 def _moment_exprs(features: Sequence[str], target: str) -> list[Column]:
     xs = [col(f).cast("double") for f in features]
     y = col(target).cast("double")

@@ -72,8 +72,10 @@ def insert_ignore(target: DataFrame, incoming: DataFrame, key: Sequence[str]) ->
     columns, in their order. Null keys conflict with nothing and all go in."""
     key = list(key)
     new = incoming.join(target.select(*key), key, "left_anti")
-    null_key = F.greatest(*[F.col(k).isNull().cast("int") for k in key], F.lit(0)) == 1
-    return one_per_key(new.filter(~null_key), key, F.min).unionByName(new.filter(null_key))
+    # a row with a null key is a group of its own in the one aggregate
+    any_null = F.greatest(*[F.col(k).isNull().cast("int") for k in key], F.lit(0)) == 1
+    own = F.when(any_null, F.monotonically_increasing_id()).alias("_own")
+    return one_per_key(new.select("*", own), [*key, "_own"], F.min).drop("_own")
 
 
 def insert_ignore_state(target: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from dockcast import schemas
 from dockcast.functions import fixed_values as fv
 from dockcast.functions.scalar import col, hour_floor, occupancy_ratio, time_features
-from dockcast.operators import aggregates, clean, joins, sequence as sq, windows
+from dockcast.operators import clean, joins, sequence as sq, windows
+from dockcast.session import cut_lineage
 from dockcast.sources import readers
 
 WEATHER_COLS = ["temperature", "relative_humidity", "apparent_temperature", "precipitation", "wind_speed"]
@@ -117,9 +118,13 @@ def feature_matrix(inputs: DataFrame, *, with_target: bool = False, by: str = "r
 
 def prediction_features(inputs: DataFrame, cfg: sq.SkewConfig | None = None) -> DataFrame:
     """Rows at the newest extraction time with every model input present,
-    in the feature schema (stations with a gap are dropped here)."""
+    in the feature schema (stations with a gap are dropped here). The inputs (a
+    few snapshots per station) are written to the checkpoint folder first, as
+    they are read twice: for the newest time and for the window."""
+    inputs = cut_lineage(inputs)
     f = feature_matrix(inputs, cfg=cfg)
-    f = aggregates.latest_rows(f, "extraction_ts")
+    newest = inputs.agg(F.max("extraction_ts").alias("_newest"))
+    f = f.join(F.broadcast(newest), F.col("extraction_ts") == F.col("_newest"), "left_semi")  # one row
     f = f.dropna(subset=["wind_speed", "pct_full", LAG_COL, ROLL_COL])
     return project_features(f)
 

@@ -15,12 +15,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dockcast import schemas
-from dockcast.plans import bindings, catalog, snapshot
-from dockcast.session import ensure_checkpoint_dir
+from dockcast.operators import model, setops
+from dockcast.plans import bindings, catalog, features as fp, snapshot
+from dockcast.session import cut_lineage, ensure_checkpoint_dir
 from dockcast.sources import readers, sinks, sync
 from dockcast.streaming import streams
 
@@ -164,6 +165,101 @@ def q_sink_upsert_parts(spark, sf_dir):
     return sinks.read_keyed(spark, path, base.schema)
 
 
+def q_scan_latest_file(spark, sf_dir):
+    """The newest file of a layer with one file a day."""
+    e = readers.read_table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    out = folder(spark, "layer")
+    readers.with_date(e, "ts").repartition(readers.DATE_PART).write.partitionBy(readers.DATE_PART).parquet(out)
+    latest = readers.scan_latest_file(readers.read_snapshots(spark, out))
+    return latest.select("event_id", F.col(readers.DATE_PART).cast("string").alias("day"))
+
+
+def q_run_ts_of_files(spark, sf_dir):
+    """The run time in the name of the folder that each row was landed in."""
+    e = readers.read_table(spark, sf_dir, "events").select("event_id", "ts")
+    out = folder(spark, "runs")
+    week = F.floor((F.dayofmonth("ts") - 1) / 8)
+    for i in range(DELIVERIES):
+        e.filter(week == i).write.parquet(f"{out}/pull_2024-01-{7 * i + 8:02d}_23:59:5{i}")
+    df = spark.read.option("recursiveFileLookup", "true").schema(e.schema).parquet(out)
+    return df.select("event_id", readers.run_ts_from_path().cast("timestamp_ntz").alias("run_ts"))
+
+
+def q_model_versions(spark, sf_dir):
+    """Two models stored under one name: the newest, and the first by its number."""
+    t = cut_lineage(catalog._training(spark, sf_dir).select("pct", "y"))
+    store = model.ModelStore(spark, folder(spark, "models"))
+    for alpha in (50.0, catalog.RIDGE_ALPHA):
+        store.save("fill", model.ridge_fit(t, ["pct"], "y", alpha=alpha))
+    rows = [(v or 2, float(m.coef[0]), float(m.intercept)) for v, m in ((v, store.load("fill", v)) for v in (1, None))]
+    return spark.createDataFrame(rows, "version int, w double, b double").select("version", F.round("w", 6).alias("w"), F.round("b", 6).alias("b"))
+
+
+def _readings(spark, sf_dir) -> DataFrame:
+    """Hourly weather by zone: its place, and readings."""
+    e = readers.read_table(spark, sf_dir, "events").select((F.col("user_id") % 6).alias("z"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("h"), "value")
+    g = e.groupBy("z", "h").agg(F.min("value").cast("float").alias("lo"), F.max("value").cast("float").alias("hi"))
+    return g.select(F.col("h").alias("datetime"), (F.col("z") + 22.0).alias("lat"), F.lit(120.5).alias("lng"),
+                    *[(F.col("lo") if i % 2 == 0 else F.col("hi")).alias(v) for i, v in enumerate(schemas.WEATHER_VARS)])
+
+
+def q_weather_csv(spark, sf_dir):
+    """Weather written as CSV twice over in local time, read back once and as instants."""
+    w, out = _readings(spark, sf_dir), folder(spark, "weather")
+    for _ in range(2):
+        w.withColumn("datetime", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss")).select(*schemas.WEATHER_CSV.names).write.mode("append").option("header", True).csv(out)
+    back = readers.read_weather_csv(spark, out)
+    return bindings._plain(back.select("datetime", "lat", F.col("temperature").cast("double").alias("temperature"), F.col("wind_gusts").cast("double").alias("wind_gusts")))
+
+
+def q_weather_nanos(spark, sf_dir):
+    """Weather whose times are stored as long nanoseconds."""
+    w, out = _readings(spark, sf_dir), folder(spark, "weather")
+    w.withColumn("datetime", F.unix_micros(F.col("datetime").cast("timestamp")) * 1000).write.parquet(out)
+    return bindings._plain(readers.read_weather(spark, out).select("datetime", "lat", F.col("rain").cast("double").alias("rain")))
+
+
+def q_snapshot_files(spark, sf_dir):
+    """A raw layer of which some files lack columns, read under the layer's schema."""
+    raw, out = bindings.raw_snapshots(spark, sf_dir), folder(spark, "raw")
+    raw.filter(F.col("id") % 2 == 0).write.parquet(f"{out}/part=0")
+    raw.filter(F.col("id") % 2 == 1).drop("address", "is_open", "area").write.parquet(f"{out}/part=1")
+    back = readers.read_snapshots(spark, out, schemas.RAW_SNAPSHOT)
+    return bindings._plain(back.select("id", "name", "area", "address", "is_open", "space", "extraction_ts"))
+
+
+def q_sink_append(spark, sf_dir):
+    """A forecast table that begins empty but typed, and two appended runs."""
+    e, out = readers.read_table(spark, sf_dir, "events"), folder(spark, "forecasts")
+    kinds = schemas.FILL_RATE_FORECAST
+    empty = spark.createDataFrame([], kinds)
+    rows = e.select(F.col("user_id").alias("station_id"), (F.col("value") / 100).alias("fill_rate"), F.lit(0).alias("relative_ts"), F.col("ts").alias("base_ts"), F.col("ts").alias("run_ts"))
+    sinks.append(empty, out)
+    for click in (True, False):
+        mine = rows.filter((e["event_type"] == "click") == F.lit(click))
+        sinks.append(setops.union_by_name(empty, mine).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in kinds.fields]), out)
+    back = spark.read.schema(kinds).parquet(out)
+    return bindings._plain(back.select(F.col("station_id").cast("long").alias("station_id"), F.round(F.col("fill_rate").cast("double"), 4).alias("fill_rate"), "base_ts"))
+
+
+def q_sorted_layer(spark, sf_dir):
+    """Rows of each date of a written layer, and how many of them stand before
+    a smaller one in their file."""
+    e, out = readers.read_table(spark, sf_dir, "events"), folder(spark, "layer")
+    sinks.write_layer(e.select(F.col("user_id").alias("id"), F.col("ts").cast("timestamp").alias("extraction_ts")), out)
+    back = readers.read_snapshots(spark, out).select("id", "extraction_ts", readers.DATE_PART, F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r"))
+    w = Window.partitionBy("f").orderBy("r")
+    low = F.lead(F.struct("id", "extraction_ts")).over(w) < F.struct("id", "extraction_ts")
+    return back.withColumn("low", low).groupBy(F.col(readers.DATE_PART).cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.count_if("low").cast("long").alias("unsorted"))
+
+
+def q_training_ties(spark, sf_dir):
+    """Features of stations with several snapshots at one time."""
+    s = bindings.snapshots(spark, sf_dir).withColumns({"extraction_ts": F.date_trunc("day", "extraction_ts"), "station_id": F.col("id")})
+    f = fp.feature_matrix(s, with_target=True)
+    return bindings._plain(f.select("id", "full", "empty", "extraction_ts", *[F.round(F.col(f"`{c}`"), 6).alias(n) for c, n in ((fp.LAG_COL, "lag3"), (fp.ROLL_COL, "mean12"), (fp.TARGET_COL, "lead3"))]))
+
+
 QUERIES = {n[2:]: f for n, f in list(globals().items()) if n.startswith("q_")}
 
 _MONTHLY = bindings._RAW.replace("l_shipdate", "date_trunc('month', l_shipdate)")
@@ -202,4 +298,17 @@ ORACLE_SQL = {
     "history_concat": """select event_id, round(case event_id%3 when 0 then value::float::double when 1 then value end, 4) as value, user_id::varchar who, case when event_id%3=1 then event_type end event_type,
         true some_unreadable from events""",
     "sink_upsert_parts": catalog.ORACLE_SQL["sink_upsert"],
+    "scan_latest_file": "with d as (select event_id, strftime(ts + interval 8 hour, '%Y-%m-%d') as day from events) select * from d where day = (select max(day) from d)",
+    "run_ts_of_files": "select event_id, case (day(ts)-1)//8 when 0 then timestamp '2024-01-08 23:59:50' when 1 then timestamp '2024-01-15 23:59:51' when 2 then timestamp '2024-01-22 23:59:52' else timestamp '2024-01-29 23:59:53' end run_ts from events",
+    "model_versions": catalog._M + """, k as (select 1 as version, 50 as a union all select 2, 1), x as (select regr_sxy(pct-fwd3,pct) sxy, regr_sxx(pct-fwd3,pct) sxx, avg(pct-fwd3) my, avg(pct) mx from f where fwd3 is not null and pct is not null)
+        select version, round(sxy/(sxx+a),6) w, round(my-sxy/(sxx+a)*mx,6) b from k, x""",
+    "weather_csv": "select date_trunc('hour',ts) - interval 8 hour datetime, 22.0::double+user_id%6 lat, min(value)::float::double temperature, min(value)::float::double wind_gusts from events group by date_trunc('hour',ts), user_id%6",
+    "weather_nanos": "select date_trunc('hour',ts) datetime, 22.0::double+user_id%6 lat, max(value)::float::double rain from events group by date_trunc('hour',ts), user_id%6",
+    "snapshot_files": bindings._RAW.split("valid as")[0].rstrip().rstrip(",") + """ select id, name, case when id%2=0 then area end area, case when id%2=0 then 'a' end address, case when id%2=0 then 1::bigint end is_open, "space", extraction_ts from raw""",
+    "sink_append": "select user_id station_id, round((value/100)::float::double, 4) fill_rate, ts base_ts from events where event_type is not null",
+    "sorted_layer": "select strftime(ts + interval 8 hour, '%Y-%m-%d') as day, count(*) n, 0::bigint unsorted from events group by 1",
+    "training_ties": bindings._OBS + """, f as (select id, "full", "empty", date_trunc('day', ts) t, case when "full"+"empty"=0 then null else "full"::double/("full"+"empty") end pct from s),
+        win as (select *, lag(pct,3) over o lag3, case when count(pct) over (o rows between 11 preceding and current row) >= 12 then avg(pct) over (o rows between 11 preceding and current row) end mean12, lead(pct,3) over o lead3
+              from f window o as (partition by id order by t, "full" nulls first, "empty" nulls first))
+        select id, "full", "empty", t extraction_ts, round(lag3,6) lag3, round(mean12,6) mean12, round(lead3,6) lead3 from win""",
 }
