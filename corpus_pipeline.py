@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from dockcast.llm import buckets, decontam, hyperminhash, line_rules, mixing, secret_scan
 from dockcast.llm.common import free_name, staged, table
+from dockcast.operators.serve import one_per_key
 
 
 def with_text(docs: DataFrame, text: Column, columns: list[str]) -> DataFrame:
@@ -31,12 +32,23 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return with_text(kept, F.col(f"{q}.text_left"), docs.columns)
 
 
+NEAR_PCT = 80  # similarity from which documents are near duplicates
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays (rows that repeat its id and text are the same document)."""
-    d, h = free_name(docs, "_d"), free_name(docs, "_h")
-    keep = hyperminhash.near_duplicates(docs).filter("kept").select(F.col("d").alias(d), F.col("h").alias(h))
+    """One document of each group stays. Rows that repeat a kept document's id
+    and text (null ids are one id) are copies of it: of those the least in the
+    other columns stays."""
+    d, h, n = (free_name(docs, c) for c in ("_d", "_h", "_n"))
+    keep = hyperminhash.near_duplicates(docs, min_pct=NEAR_PCT).filter("kept").groupBy(F.col("d").alias(d), F.col("h").alias(h)).agg(F.count(F.lit(1)).alias(n))
+    keep = staged(keep, "near-kept")
     named = docs.withColumns(dict(zip((d, h), buckets.key_columns("doc_id", "text"))))
-    return named.join(keep, [d, h], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    once = named.join(keep.filter(F.col(n) == 1).drop(n), [d, h], "left_semi").select(*columns)
+    again = keep.filter(F.col(n) > 1).drop(n)
+    if again.isEmpty():
+        return once
+    return once.unionByName(one_per_key(named.join(again, [d, h], "left_semi"), [d, h], F.min).select(*columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,6 +87,7 @@ def _oracle_sql() -> str:
     """The stages as nested queries, each over the one before by the name ``documents``."""
     rules, verdict = _parts(line_rules.SQL)
     scan, _ = _parts(secret_scan.SQL)
+    near = _parts(hyperminhash.sql(NEAR_PCT))
     return rf"""
 WITH s1 AS (
   WITH {rules},
@@ -84,8 +97,8 @@ WITH s1 AS (
           AND ov.k = lower(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)))) AS gone FROM pl),
   pt AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS text FROM pc GROUP BY doc_id)
   SELECT doc_id, pt.text, x.lang, x.source, length(pt.text)::BIGINT AS n_chars FROM documents x JOIN pt USING (doc_id) JOIN pq USING (doc_id) WHERE pq.kept),
-s2 AS (SELECT s1.* FROM s1 JOIN (SELECT * FROM (WITH RECURSIVE documents AS (SELECT * FROM s1), {_parts(hyperminhash.SQL)[0].removeprefix("RECURSIVE ")}
-  {_parts(hyperminhash.SQL)[1]})) n USING (doc_id) WHERE n.kept),
+s2 AS (SELECT s1.* FROM s1 JOIN (SELECT * FROM (WITH RECURSIVE documents AS (SELECT * FROM s1), {near[0].removeprefix("RECURSIVE ")}
+  {near[1]})) n USING (doc_id) WHERE n.kept QUALIFY row_number() OVER (PARTITION BY doc_id, text ORDER BY lang NULLS FIRST, source NULLS FIRST) = 1),
 s3 AS (SELECT s2.* FROM s2 JOIN (SELECT * FROM (WITH documents AS (SELECT * FROM s2), {_parts(decontam.SQL)[0]} {_parts(decontam.SQL)[1]})) n USING (doc_id) WHERE NOT n.contaminated),
 s4 AS (
   WITH documents AS (SELECT * FROM s3), {scan},

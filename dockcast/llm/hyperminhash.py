@@ -323,7 +323,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", min
     return out.select("doc_id", F.col("n").alias("n_shingles"), comp_id.alias("component_id"), F.col("doc_id").eqNullSafe(comp_id).alias("kept"), "d", "h")
 
 
-SQL = r"""
+_SQL = r"""
 WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 sh AS (SELECT DISTINCT r, s FROM (SELECT r, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0))),
 n AS (SELECT r, count(*) AS n FROM sh GROUP BY r),
@@ -331,7 +331,7 @@ st AS (SELECT r, n, md5(string_agg(s, chr(10) ORDER BY s)) AS k FROM sh JOIN n U
 rep AS (SELECT k, min(r) AS r, any_value(n) AS n FROM st GROUP BY k),
 rs AS (SELECT sh.r, s FROM sh JOIN rep USING (r)),
 prs AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM rs a JOIN rs b ON a.s = b.s AND a.r < b.r GROUP BY 1, 2),
-lnk AS (SELECT a, b FROM prs JOIN rep x ON x.r = a JOIN rep y ON y.r = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+lnk AS (SELECT a, b FROM prs JOIN rep x ON x.r = a JOIN rep y ON y.r = b WHERE 100 * c >= {min_pct} * (x.n + y.n - c)),
 e AS (SELECT a, b FROM lnk UNION ALL SELECT b, a FROM lnk),
 reach AS (SELECT r, r AS t FROM rep UNION SELECT reach.r, e.b FROM reach JOIN e ON reach.t = e.a),
 comp AS (SELECT reach.r, min(doc_id) AS c FROM reach JOIN rep x ON x.r = reach.t JOIN st ON st.k = x.k JOIN d ON d.r = st.r GROUP BY reach.r)
@@ -339,3 +339,11 @@ SELECT d.doc_id, coalesce(st.n, 0)::BIGINT AS n_shingles, CASE WHEN st.r IS NULL
        d.doc_id IS NOT DISTINCT FROM (CASE WHEN st.r IS NULL THEN d.doc_id ELSE comp.c END) AS kept
 FROM d LEFT JOIN st USING (r) LEFT JOIN rep ON rep.k = st.k LEFT JOIN comp ON comp.r = rep.r
 """
+
+
+def sql(min_pct: int) -> str:
+    """The rows of :func:`near_duplicates` in SQL, but for d and h."""
+    return _SQL.replace("{min_pct}", str(min_pct))
+
+
+SQL = sql(85)

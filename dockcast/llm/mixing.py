@@ -22,10 +22,12 @@ documents of that bucket, so no source is sorted in one task however large.
 Tables of one row per source and size class are joined as plain equi-joins,
 which Spark broadcasts only if their written size is below its threshold.
 
-Rules. u comes from the md5 of seed and id: reruns agree, and rows that share
-an id and source are taken or left together. Null text has size 0 and is never
-taken; a null source is a source of its own; null ids share one draw. Empty
-tables give an empty result. Other columns are ignored.
+Rules. u comes from the md5 of seed, id and text, and of rows that repeat these
+in one source from their number among those: each row is drawn by itself, and
+reruns agree, as such rows are interchangeable. Null text has size 0 and is
+never taken; a null source is a source of its own; a null id counts as the
+empty text in the draw. Very long texts are counted whole. Empty tables give
+an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockcast.llm.common import staged
+from dockcast.operators.sequence import position
 
 WORD_RE = r"[^\x20\x09-\x0D]+"
 BUCKETS = 4096
@@ -41,10 +44,22 @@ BUCKETS = 4096
 
 def sized(docs: DataFrame, id: str, text: str, source: str, seed: int) -> DataFrame:
     """doc_id, source, size (words), k (size class) and u of every row."""
-    words = F.size(F.regexp_extract_all(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(WORD_RE), F.lit(0))).cast("long")
-    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id).cast("string"), F.lit(""))).cast("binary"))
-    return docs.select(F.col(id).alias("doc_id"), F.col(source).cast("string").alias("source"), words.alias("size"),
-                       ((F.conv(F.substring(draw, 1, 13), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))).alias("u")) \
+    said = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    words = F.size(F.regexp_extract_all(said, F.lit(WORD_RE), F.lit(0))).cast("long")
+    rows = staged(docs.select(F.col(id).alias("doc_id"), F.col(source).cast("string").alias("source"), words.alias("size"), F.md5(said.cast("binary")).alias("h"),
+                              F.monotonically_increasing_id().alias("row")), "mix-rows")
+    # rows that repeat id, source and text are numbered, so each has a draw of its own
+    again = rows.groupBy("doc_id", "source", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if again.isEmpty():
+        rows = rows.withColumn("nth", F.lit(1).cast("long"))
+    else:
+        again = again.select(F.col("doc_id").alias("_id"), F.col("source").alias("_s"), F.col("h").alias("_h"))
+        same = rows["doc_id"].eqNullSafe(again["_id"]) & rows["source"].eqNullSafe(again["_s"]) & (rows["h"] == again["_h"])
+        rows = rows.join(again, same, "left_anti").withColumn("nth", F.lit(1).cast("long")) \
+            .unionByName(position(rows.join(again, same, "left_semi"), ["doc_id", "source", "h"], ["row"], "nth"))
+    name = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("h"), F.when(F.col("nth") > 1, F.concat(F.lit(":"), F.col("nth").cast("string"))).otherwise(""))
+    draw = F.md5(name.cast("binary"))
+    return rows.select("doc_id", "source", "size", ((F.conv(F.substring(draw, 1, 13), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))).alias("u")) \
         .withColumn("k", F.length(F.bin(F.greatest("size", F.lit(1)))).cast("long") - 1)
 
 
@@ -142,8 +157,9 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         (('0x' || left(md5('0:' || coalesce(doc_id::VARCHAR, '')), 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
-  FROM documents),
+         (('0x' || left(md5('0:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) || CASE WHEN nth > 1 THEN ':' || nth::VARCHAR ELSE '' END), 13))::BIGINT
+          + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+  FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, source, coalesce(text, '')) AS nth FROM documents)),
 e AS (SELECT *, (length(bin(greatest(size, 1))) - 1)::BIGINT AS k FROM d),
 cl AS (SELECT source, k, sum(size)::BIGINT AS words FROM e GROUP BY 1, 2),
 s0 AS (SELECT source, sum(words)::BIGINT AS source_size FROM cl GROUP BY 1),

@@ -86,3 +86,31 @@ def test_stages(spark, make_docs, odd_rows, stage):
         assert len(got) <= len(rows)
         if stage != corpus_pipeline.STAGES[-1][0]:
             assert out.dtypes == docs.dtypes
+
+
+def test_one_row_of_each_group_stays(spark, make_docs):
+    """Copies that share an id, or have none, and links from 0.8 on."""
+    base = " ".join(f"w{i}" for i in range(104))  # 100 shingles
+    near = " ".join(f"w{i}" if i != 50 else "x" for i in range(104))  # 95 of 105 shingles shared
+    loose = " ".join(f"w{i}" if i not in (20, 70) else "y" for i in range(104))  # 90 of 110 shared: 0.818
+    rows = [(4, "one two three four five six")] * 4 + [(None, "seven eight nine ten eleven twelve", "de", "s1")] * 5 + [(7, base), (8, near), (9, base), (10, loose), (11, None), (11, None), (12, "")]
+    f = dict(corpus_pipeline.STAGES)["MinHash near-dedup"]
+    docs = make_docs(rows, clash=True)
+    got = f(spark, docs, "/root/testdata/sf0.001")
+    assert got.dtypes == docs.dtypes
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, [(4, rows[0][1]), (None, rows[4][1]), (7, base), (11, None), (12, "")]))
+
+
+@pytest.mark.parametrize("ids", ["one", "none", "copies"])
+def test_mix_meets_its_targets_with_repeated_ids(spark, make_docs, ids):
+    import random
+    rng = random.Random(6)
+    rows = []
+    for s in ("a", "b", "c"):
+        for i in range(1000):
+            text = " ".join(["w"] * rng.randrange(5, 200)) if ids != "copies" or i >= 600 else "same words " * 40
+            rows.append(({"one": 5, "none": None, "copies": 5}[ids] if i < 600 else i, text, "en", s))
+    got = mixing.mix(make_docs(rows)).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    longest = max(len(r[1].split()) for r in rows)
+    assert all(abs(r.taken - r.target) <= max(0.01 * r.target, longest) for r in got), got
+    assert sorted(map(repr, mixing.mix(make_docs(rows)).collect())) == sorted(map(repr, mixing.mix(make_docs(rows[::-1])).collect()))
