@@ -384,22 +384,6 @@ def prefix_sums(df: DataFrame, key, order, sums: dict[str, Column], *,
 # replay each chunk from its carried-in value.
 # ---------------------------------------------------------------------------
 
-def _compose(first, second):
-    """second ∘ first for maps (a, b, lo, hi): x -> clamp(a x + b, lo, hi)."""
-    a1, b1, l1, h1 = first
-    a2, b2, l2, h2 = second
-    if a2 == 0.0:
-        c = min(max(b2, l2), h2)
-        return (0.0, c, c, c)
-    lo, hi = (a2 * l1 + b2, a2 * h1 + b2) if a2 > 0 else (a2 * h1 + b2, a2 * l1 + b2)
-    if np.isnan(lo):
-        lo = -np.inf
-    if np.isnan(hi):
-        hi = np.inf
-    lo, hi = min(max(lo, l2), h2), min(max(hi, l2), h2)
-    return (a2 * a1, a2 * b1 + b2, lo, hi)
-
-
 class _Null:
     """Stands for a null key so that null == null when finding group starts."""
 
@@ -510,19 +494,40 @@ def _replay(df: DataFrame, group: list[str], order: list, out: str, start: str |
 _MAP_COLS = ["_sq_a", "_sq_b", "_sq_lo", "_sq_hi"]
 
 
+def _compose_all(a: np.ndarray, b: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[float, float, float, float]:
+    """The composition of all maps of a chunk, first to last, by halving: maps
+    beside each other are composed in one vector operation per level. The map
+    (a, b, lo, hi) is x -> clamp(a x + b, lo, hi); a null step makes the rest
+    null, up to a step that forgets what came before it (a = 0)."""
+    null = np.flatnonzero(np.isnan(b))
+    if len(null):  # what comes before the last null step can't matter
+        last = null[-1]
+        a, b, lo, hi = (v[last:].copy() for v in (a, b, lo, hi))
+        a[0], b[0], lo[0], hi[0] = 0.0, np.nan, -np.inf, np.inf
+    while len(a) > 1:
+        odd = tuple(v[-1:] for v in (a, b, lo, hi)) if len(a) % 2 else None
+        n = len(a) // 2 * 2
+        a1, b1, l1, h1 = (v[0:n:2] for v in (a, b, lo, hi))
+        a2, b2, l2, h2 = (v[1:n:2] for v in (a, b, lo, hi))
+        flat = a2 == 0.0
+        const = np.minimum(np.maximum(b2, l2), h2)
+        with np.errstate(invalid="ignore"):
+            p, q = a2 * l1 + b2, a2 * h1 + b2
+            low, high = np.where(a2 > 0, p, q), np.where(a2 > 0, q, p)
+            low, high = np.where(np.isnan(low), -np.inf, low), np.where(np.isnan(high), np.inf, high)
+            low, high = np.minimum(np.maximum(low, l2), h2), np.minimum(np.maximum(high, l2), h2)
+            made = [np.where(flat, 0.0, a2 * a1), np.where(flat, const, a2 * b1 + b2), np.where(flat, const, low), np.where(flat, const, high)]
+        a, b, lo, hi = (np.append(m, o) for m, o in zip(made, odd)) if odd else made
+    return float(a[0]), float(b[0]), float(lo[0]), float(hi[0])
+
+
 def _compose_chunks(df: DataFrame, key: list[str], pos: str, chunk: str, key_schema: str) -> DataFrame:
     ship_package(df.sparkSession)
     def comp(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(pos)
-        m = (1.0, 0.0, -np.inf, np.inf)
-        for a, b, lo, hi in zip(pdf["_sq_a"], pdf["_sq_b"], pdf["_sq_lo"], pdf["_sq_hi"]):
-            if b != b:  # null step: the chain becomes null from here
-                m = (0.0, np.nan, -np.inf, np.inf)
-                continue
-            m = _compose(m, (float(a), float(b), float(lo), float(hi)))
         res = pdf[key].iloc[:1].copy()
         res[chunk] = int(pdf[chunk].iloc[0])
-        res["_sq_a"], res["_sq_b"], res["_sq_lo"], res["_sq_hi"] = m
+        res["_sq_a"], res["_sq_b"], res["_sq_lo"], res["_sq_hi"] = _compose_all(*[pdf[c].to_numpy("float64") for c in _MAP_COLS])
         return res
     return (df.select(*key, pos, chunk, *_MAP_COLS)
               .groupBy(*key, chunk)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from dockcast.functions import fixed_values as fv
 from dockcast.operators import joins, model, serve
+from dockcast.session import cut_lineage
 from dockcast.sources import readers
 
 
@@ -70,7 +71,9 @@ def wide_forecast(forecasts: DataFrame, horizons: Sequence[int] = (0, 1)) -> Dat
 
 
 def shortage_view(stations: DataFrame, forecasts: DataFrame, *, city: str | None = None, k: int = 10):
-    """(station view, k emptiest, k fullest) by the mean of now and +30 min."""
+    """(station view, k emptiest, k fullest) by the mean of now and +30 min.
+    The view, one row per station, is written to the checkpoint folder: the
+    forecasts are read and pivoted once for all three."""
     wide = wide_forecast(forecasts)
     space = ["space"] if "space" in stations.columns else []
     view = (stations.select(F.col("id").alias("station_id"), "name", "city", "area", *space)
@@ -78,6 +81,7 @@ def shortage_view(stations: DataFrame, forecasts: DataFrame, *, city: str | None
                     .withColumn("avg_fill", serve.avg_fill("fill_rate", "`fill_rate_t+1`")))
     if city is not None:
         view = view.filter(F.col("city") == city)
+    view = cut_lineage(view)
     lowest = serve.top_k(view, "avg_fill", k, tie=["station_id"])
     highest = serve.top_k(view, "avg_fill", k, tie=["station_id"], descending=True)
     return view, lowest, highest

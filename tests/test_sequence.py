@@ -3,6 +3,7 @@ window path row for row."""
 
 import math
 
+import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -111,9 +112,13 @@ def test_compose_is_associative():
             x = min(max(m[0] * x + m[1], m[2]), m[3])
         comp = (1.0, 0.0, float("-inf"), float("inf"))
         for m in maps:
-            comp = sq._compose(comp, m)
-        y = min(max(comp[0] * x0 + comp[1], comp[2]), comp[3])
-        assert math.isclose(x, y, abs_tol=1e-9)
+            comp = sq._compose_all(*np.array([comp, m], float).T)
+        for c in (comp, sq._compose_all(*np.array(maps, float).T)):
+            y = min(max(c[0] * x0 + c[1], c[2]), c[3])
+            assert math.isclose(x, y, abs_tol=1e-9)
+    gap = maps[:9] + [(1.0, float("nan"), -1.0, 1.0)] + maps[9:]
+    assert math.isnan(sq._compose_all(*np.array(gap, float).T)[1])
+    assert sq._compose_all(*np.array([*gap, (0.0, 0.5, -1.0, 1.0)], float).T)[1:] == (0.5, 0.5, 0.5)
 
 
 def test_null_key_rows_survive_split_path(spark):
