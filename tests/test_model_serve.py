@@ -166,3 +166,19 @@ def test_reconstruction_modes(spark):
     assert serving_fill == pytest.approx(0.7) and consistent == pytest.approx(1.0)
     txt = spark.createDataFrame([(0.426,), (None,)], "x double").select(percent_text("x").alias("t")).collect()
     assert [r.t for r in txt] == ["43%", None]
+
+
+def test_model_store_names_and_versions(spark, tmp_path):
+    import pytest
+
+    from dockcast.operators.model import ModelStore, RidgeModel
+    store = ModelStore(spark, str(tmp_path / "models"))
+    assert store.names() == [] and store.versions("fill") == []
+    first, second = RidgeModel(["a", "b"], [1.0, 2.0], 0.5), RidgeModel(["a"], [3.0], 0.0)
+    assert (store.save("fill", first), store.save("fill", second), store.save("other", first)) == (1, 2, 1)
+    assert store.names() == ["fill", "other"] and store.versions("fill") == [1, 2]
+    assert store.load("fill").coef == [3.0] and store.load("fill", 1).intercept == 0.5
+    with pytest.raises(LookupError):
+        store.load("fill", 3)
+    with pytest.raises(LookupError):
+        store.load("none")
