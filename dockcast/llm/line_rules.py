@@ -4,24 +4,26 @@ Per document: word and symbol counts, repeated lines, and words inside
 repeated 5-word windows (windows compared by a 64-bit hash of their word
 hashes, inside one text only). Across documents: lines are normalised (ends
 trimmed, lower case), hashed, and the distinct documents that hold a line are
-counted per host; a line in at least ``min_docs`` documents and more than
-``max_share`` of its host's documents is over the limit and is removed. A
+counted per host. A line is over the limit in ``max_docs`` documents of a host
+or more, whatever the host's size, or in at least ``min_docs`` and more than
+``max_share`` of its host's documents (small hosts); it is removed there. A
 document that keeps less than ``min_left`` of its words is depleted and
 rejected.
 
 Scale: a document is known by its text's hash in these counts, so a group of
 copies counts once; counting is a two-step aggregate (distinct host, line,
 document; then counts per host and line), so neither a hot host nor a hot line
-meets one task. Lines over the limit are at most 1 / max_share times the lines
-of an average document, per host: they become one row per host, written to the
-checkpoint folder and joined by host; Spark broadcasts that table only if its
-written size is below its threshold and otherwise splits hot hosts.
+meets one task. The lines over the limit, a written table, are joined by
+(host, line) and become one row per distinct document with the places of its
+own lines, joined by (host, text hash); no list grows with a host, and none is
+broadcast by hint. The counts of a document are made before that join, so its
+text is shuffled only where the text without the lines is asked for.
 
 Rules. Words are runs of characters other than blank and \\x09-\\x0D. Null
 text has no words and fails the base rule (under ``min_words`` words). A null
 host is a host of its own; ids are only carried along. Repeated rows each get
-their result. Empty tables give an empty result. Columns other than host and
-text are passed through by :func:`judge` and dropped by :func:`line_rules`.
+their result. Empty tables give an empty result. Texts of any length are read whole;
+the work on lines is linear in the text. Columns other than host and text are passed through by :func:`judge` and dropped by :func:`line_rules`.
 """
 
 from __future__ import annotations
@@ -69,45 +71,53 @@ def has_word(line: Column) -> Column:
     return F.btrim(line, F.lit(SPACE)) != ""
 
 
-def frequent_lines(docs: DataFrame, host: str, text: str, max_share: float, min_docs: int) -> DataFrame:
-    """One row per host with lines over the limit: (host, lines)."""
+def over_limit(docs: DataFrame, host: str, text: str, max_docs: int, max_share: float, min_docs: int) -> DataFrame:
+    """One row per distinct document with lines over the limit: host, doc (its
+    key) and at (the places of these lines among the text's lines)."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    lines = F.array_distinct(F.transform(F.filter(F.split(t, "\n"), has_word), line_key))
-    d = docs.select(F.col(host).cast("string").alias("host"), F.struct(F.xxhash64(t), F.hash(t)).alias("doc"), lines.alias("lines"))
-    each = d.select("host", "doc", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.countDistinct("doc").alias("n"))
+    d = docs.select(F.col(host).cast("string").alias("host"), text_key(t).alias("doc"), F.split(t, "\n").alias("lines"))
+    held = d.select("host", "doc", F.posexplode(F.transform("lines", lambda x: F.when(has_word(x), line_key(x)))).alias("at", "line")).filter(F.col("line").isNotNull())
+    each = held.groupBy("host", "line").agg(F.countDistinct("doc").alias("n")).filter(F.col("n") >= min(max_docs, min_docs))
     hosts = d.groupBy("host").agg(F.countDistinct("doc").alias("n_host")).withColumnRenamed("host", "of")
-    over = each.filter(F.col("n") >= min_docs).join(hosts, F.col("host").eqNullSafe(F.col("of"))).filter(F.col("n") > max_share * F.col("n_host"))
-    # at most (lines of an average document) / max_share values for a host
-    return staged(over.groupBy("host").agg(F.collect_list("line").alias("lines")), "frequent-lines")
+    often = each.join(hosts, F.col("host").eqNullSafe(F.col("of"))) \
+        .filter((F.col("n") >= max_docs) | ((F.col("n") >= min_docs) & (F.col("n") > max_share * F.col("n_host"))))
+    often = staged(often.select("of", F.col("line").alias("l")), "frequent-lines")
+    found = held.join(often, F.col("host").eqNullSafe(F.col("of")) & (F.col("line") == F.col("l")), "left_semi")
+    return staged(found.groupBy("host", "doc").agg(F.collect_set("at").alias("at")), "lines-over-limit")
 
 
-def judge(docs: DataFrame, out: str, host: str = "source", text: str = "text", max_share: float = 0.1, min_docs: int = 20,
-          min_words: int = 10, max_repeat_pct: int = 20, min_left: float = 0.2) -> DataFrame:
+def text_key(text: Column) -> Column:
+    return F.struct(F.xxhash64(text), F.hash(text))
+
+
+def judge(docs: DataFrame, out: str, host: str = "source", text: str = "text", max_docs: int = 20, max_share: float = 0.1, min_docs: int = 3,
+          min_words: int = 10, max_repeat_pct: int = 20, min_left: float = 0.5) -> DataFrame:
     """All columns of ``docs`` and a struct ``out``: n_words, word_chars,
     n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_cut_lines,
     words_left, text_left (the text without the lines over the limit)."""
-    over = frequent_lines(docs, host, text, max_share, min_docs)
-    t, w, of, cut = (free_name(docs, x) for x in ("_t", "_w", "_host", "_over"))
-    d = docs.join(over.select(F.col("host").alias(of), F.col("lines").alias(cut)), F.col(host).cast("string").eqNullSafe(F.col(of)), "left").drop(of)
-    d = d.withColumn(t, F.coalesce(F.col(text).cast("string"), F.lit(""))).withColumn(w, words_of(F.col(t)))
-    T, words, over = F.col(t), F.col(w), F.col(cut)
+    over = over_limit(docs, host, text, max_docs, max_share, min_docs)
+    t, w, of, key, cut, made, each = (free_name(docs, x) for x in ("_t", "_w", "_host", "_doc", "_at", "_base", "_line_words"))
+    d = docs.withColumn(t, F.coalesce(F.col(text).cast("string"), F.lit(""))).withColumn(w, words_of(F.col(t)))
+    T, words = F.col(t), F.col(w)
     with_word = F.filter(F.split(T, "\n"), has_word)
     base = F.struct(F.size(words).cast("long").alias("n_words"), F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
                     (F.size(F.split(T, SYMBOLS)) - 1).cast("long").alias("n_symbols"),
                     let(with_word, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
                     repeat_words(words).alias("n_repeat_words"))
-    gone = F.when(over.isNull(), F.array().cast("array<string>")).otherwise(F.filter(F.split(T, "\n"), lambda x: has_word(x) & F.array_contains(over, line_key(x))))
-    lost = F.aggregate(gone, F.lit(0), lambda a, x: a + F.size(words_of(x))).cast("long")
-    left = F.when(over.isNull(), T).otherwise(F.array_join(F.filter(F.split(T, "\n"), lambda x: ~(has_word(x) & F.array_contains(over, line_key(x)))), "\n"))
-    made = free_name(d, "_base")
-    d = d.withColumn(made, base).withColumn(cut, F.struct(F.size(gone).cast("long").alias("n_cut_lines"), lost.alias("lost"), left.alias("text_left")))
-    b, n = F.col(made), F.col(f"{made}.n_words")
+    d = d.withColumns({made: base, each: F.transform(F.split(T, "\n"), lambda x: F.size(words_of(x))), key: text_key(T)}).drop(w, t)
+    # sort-merge: the side of documents over the limit grows with the input
+    over = over.select(F.col("host").alias(of), F.col("doc").alias(f"{key}_"), F.col("at").alias(cut)).hint("merge")
+    d = d.join(over, F.col(host).cast("string").eqNullSafe(F.col(of)) & (F.col(key) == F.col(f"{key}_")), "left").drop(of, key, f"{key}_")
+    at, b, n = F.col(cut), F.col(made), F.col(f"{made}.n_words")
+    n_cut = F.coalesce(F.size(at), F.lit(0)).cast("long")
+    lost = F.coalesce(F.aggregate(at, F.lit(0).cast("long"), lambda a, i: a + F.get(F.col(each), i)), F.lit(0).cast("long"))
+    T = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    stay = let(F.split(T, "\n"), lambda x: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), at), lambda i: F.get(x, i)), "\n"))
     failed = (n < min_words) | (100 * F.col(f"{made}.n_repeat_words") > max_repeat_pct * n)
-    words_left = n - F.col(f"{cut}.lost")
-    depleted = words_left < min_left * n
+    words_left = n - lost
     return d.withColumn(out, F.struct(*[b[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], failed.alias("base_failed"),
-                                      (~failed & ~depleted).alias("kept"), F.col(f"{cut}.n_cut_lines").alias("n_cut_lines"), words_left.alias("words_left"),
-                                      F.col(f"{cut}.text_left").alias("text_left"))).drop(t, w, cut, made)
+                                      (~failed & ~(words_left < min_left * n)).alias("kept"), n_cut.alias("n_cut_lines"), words_left.alias("words_left"),
+                                      F.when(at.isNull(), T).otherwise(stay).alias("text_left"))).drop(cut, made, each)
 
 
 def line_rules(docs: DataFrame, id: str = "doc_id", host: str = "source", text: str = "text", **limits) -> DataFrame:
@@ -123,7 +133,7 @@ lw AS (SELECT r, source, t, line, lower(trim(line, chr(32) || chr(9) || chr(10)
 dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM lw GROUP BY 1),
 fr AS (SELECT source, k, count(DISTINCT t) AS n FROM lw GROUP BY 1, 2),
 ho AS (SELECT source, count(DISTINCT t) AS n FROM d GROUP BY 1),
-ov AS (SELECT fr.source, fr.k FROM fr JOIN ho ON fr.source IS NOT DISTINCT FROM ho.source WHERE fr.n >= 20 AND fr.n > 0.1::DOUBLE * ho.n),
+ov AS (SELECT fr.source, fr.k FROM fr JOIN ho ON fr.source IS NOT DISTINCT FROM ho.source WHERE fr.n >= 20 OR (fr.n >= 3 AND fr.n > 0.1::DOUBLE * ho.n)),
 cut AS (SELECT r, count(*) AS n, sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS lost
         FROM lw JOIN ov ON lw.k = ov.k AND lw.source IS NOT DISTINCT FROM ov.source GROUP BY 1),
 win AS (SELECT r, unnest(range(1, len(w) - 3)) AS i, w FROM d WHERE len(w) >= 5),
@@ -135,6 +145,6 @@ b AS (SELECT d.r, doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[
              coalesce(cut.n, 0)::BIGINT AS n_cut_lines, len(w)::BIGINT - coalesce(cut.lost, 0)::BIGINT AS words_left
       FROM d LEFT JOIN dup USING (r) LEFT JOIN cov USING (r) LEFT JOIN cut USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT (words_left < 0.2::DOUBLE * n_words) AS kept, n_cut_lines, words_left
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT (words_left < 0.5::DOUBLE * n_words) AS kept, n_cut_lines, words_left
 FROM b
 """

@@ -210,19 +210,21 @@ def test_line_rules(make_docs):
         lines = [" ".join(rng.choice("abcdefgh") * rng.randrange(1, 4) + rng.choice(["", "#", "|"]) for _ in range(rng.randrange(0, 15))) for _ in range(rng.randrange(1, 6))]
         if i % 3:
             lines.insert(0, common + " " * (i % 2) if i % 4 else common.upper())
+        if i % 4 == 1:
+            lines.append("a rarer line")
         if i % 5 == 0:
             lines.append(lines[0])
         rows.append((i, "\n".join(lines), "en", ["h1", "h2", None][i % 7 % 3]))
     rows += [(100 + i, "copy of one text\nwith two lines here ok now", "en", "h1") for i in range(60)]  # copies count once
-    got = {r.doc_id: r for r in line_rules.line_rules(make_docs(rows), min_docs=5, max_share=0.3).collect()}
+    got = {r.doc_id: r for r in line_rules.line_rules(make_docs(rows), max_docs=8, min_docs=5, max_share=0.3).collect()}
     hosts, held = {}, {}
     for _, t, _, h in rows:
         hosts.setdefault(h, set()).add(t)
         for line in t.split("\n"):
             if line.strip():
                 held.setdefault((h, line.strip().lower()), set()).add(t)
-    over = {k for k, v in held.items() if len(v) >= 5 and len(v) > 0.3 * len(hosts[k[0]])}
-    assert over
+    over = {k for k, v in held.items() if len(v) >= 8 or len(v) >= 5 and len(v) > 0.3 * len(hosts[k[0]])}
+    assert over and any(len(held[k]) <= 0.3 * len(hosts[k[0]]) for k in over)
     for i, t, _, h in rows:
         w, lines = t.split(), [x for x in t.split("\n") if x.strip()]
         wins = [tuple(w[k:k + 5]) for k in range(len(w) - 4)]
@@ -230,10 +232,30 @@ def test_line_rules(make_docs):
         cut = [x for x in lines if (h, x.strip().lower()) in over]
         left = len(w) - sum(len(x.split()) for x in cut)
         failed = len(w) < 10 or 100 * rep > 20 * len(w)
-        want = (len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), rep, failed, not failed and left >= 0.2 * len(w), len(cut), left)
+        want = (len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), rep, failed, not failed and left >= 0.5 * len(w), len(cut), left)
         assert tuple(got[i])[1:] == want
 
 
+def test_line_limit_acts(spark):
+    """Counted on the table itself: a line over the limit goes from every host that has it, and documents are rejected for it."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = docs.select("doc_id", "source", "text").collect()
+    held, hosts = {}, {}
+    for r in rows:
+        t = r.text or ""
+        hosts.setdefault(r.source, set()).add(t)
+        for k in {x.strip(" \t\n\x0b\x0c\r").lower() for x in t.split("\n")} - {""}:
+            held.setdefault((r.source, k), set()).add(t)
+    over = {k for k, v in held.items() if len(v) >= 20 or len(v) >= 3 and len(v) > 0.1 * len(hosts[k[0]])}
+    assert {s for s, _ in over} == set(hosts)
+    got = {r.doc_id: r for r in line_rules.judge(docs, "q").select("doc_id", "q.*").collect()}
+    for r in rows:
+        lines = (r.text or "").split("\n")
+        left = [x for x in lines if (r.source, x.strip(" \t\n\x0b\x0c\r").lower()) not in over]
+        assert got[r.doc_id].text_left == "\n".join(left) and got[r.doc_id].n_cut_lines == len(lines) - len(left)
+    assert any(not r.kept and not r.base_failed for r in got.values())
+
+
 # mixing
 
 def test_targets_share_the_excess(spark):
