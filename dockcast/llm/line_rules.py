@@ -90,11 +90,10 @@ def text_key(text: Column) -> Column:
     return F.struct(F.xxhash64(text), F.hash(text))
 
 
-def judge(docs: DataFrame, out: str, host: str = "source", text: str = "text", max_docs: int = 20, max_share: float = 0.1, min_docs: int = 3,
-          min_words: int = 10, max_repeat_pct: int = 20, min_left: float = 0.5) -> DataFrame:
-    """All columns of ``docs`` and a struct ``out``: n_words, word_chars,
-    n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_cut_lines,
-    words_left, text_left (the text without the lines over the limit)."""
+def judged(docs: DataFrame, host: str = "source", text: str = "text", max_docs: int = 20, max_share: float = 0.1, min_docs: int = 3,
+           min_words: int = 10, max_repeat_pct: int = 20, min_left: float = 0.5) -> tuple[DataFrame, list[Column], list[str]]:
+    """``docs`` with scratch columns, the fields of :func:`judge` over them
+    (text_left, the only one that needs the text, last) and the scratch names."""
     over = over_limit(docs, host, text, max_docs, max_share, min_docs)
     t, w, of, key, cut, made, each = (free_name(docs, x) for x in ("_t", "_w", "_host", "_doc", "_at", "_base", "_line_words"))
     d = docs.withColumn(t, F.coalesce(F.col(text).cast("string"), F.lit(""))).withColumn(w, words_of(F.col(t)))
@@ -115,15 +114,25 @@ def judge(docs: DataFrame, out: str, host: str = "source", text: str = "text", m
     stay = let(F.split(T, "\n"), lambda x: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), at), lambda i: F.get(x, i)), "\n"))
     failed = (n < min_words) | (100 * F.col(f"{made}.n_repeat_words") > max_repeat_pct * n)
     words_left = n - lost
-    return d.withColumn(out, F.struct(*[b[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], failed.alias("base_failed"),
-                                      (~failed & ~(words_left < min_left * n)).alias("kept"), n_cut.alias("n_cut_lines"), words_left.alias("words_left"),
-                                      F.when(at.isNull(), T).otherwise(stay).alias("text_left"))).drop(cut, made, each)
+    fields = [*[b[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], failed.alias("base_failed"),
+              (~failed & ~(words_left < min_left * n)).alias("kept"), n_cut.alias("n_cut_lines"), words_left.alias("words_left"),
+              F.when(at.isNull(), T).otherwise(stay).alias("text_left")]
+    return d, fields, [cut, made, each]
+
+
+def judge(docs: DataFrame, out: str, **kw) -> DataFrame:
+    """All columns of ``docs`` and a struct ``out``: n_words, word_chars,
+    n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_cut_lines,
+    words_left, text_left (the text without the lines over the limit)."""
+    d, fields, scratch = judged(docs, **kw)
+    return d.withColumn(out, F.struct(*fields)).drop(*scratch)
 
 
 def line_rules(docs: DataFrame, id: str = "doc_id", host: str = "source", text: str = "text", **limits) -> DataFrame:
     """The id and the fields of :func:`judge`, but text_left, for every row."""
     d = docs.select(F.col(id).alias("doc_id"), F.col(host).alias("source"), F.col(text).alias("text"))
-    return judge(d, "q", **limits).select("doc_id", "q.n_words", "q.word_chars", "q.n_symbols", "q.n_dup_lines", "q.n_repeat_words", "q.base_failed", "q.kept", "q.n_cut_lines", "q.words_left")
+    d, fields, _ = judged(d, **limits)
+    return d.select("doc_id", *fields[:-1])
 
 
 SQL = r"""
