@@ -9,17 +9,18 @@ lengths add up to positions in code points.
 Entropy spans: candidates are runs of at least ``window`` characters of the
 token alphabet. A candidate belongs to the first character class that matches
 it whole, and each class has its own threshold in bits per character. A window
-of ``window`` characters slides over the candidate; sum(c * log2 c) over its
-character counts c is kept by the change of the two counts that a step
-touches, in whole millionths, so results don't depend on rounding. The span
-runs from the first to the last window at or over the threshold. Candidates
-that match an allow-list pattern are dropped, as are spans inside a base span;
-base spans always stay.
+of ``window`` characters slides over the candidate. The counts of its
+characters are carried along, packed into a few integers; a step changes two
+of them, and sum(c * log2 c) by their change, in whole millionths, so results
+don't depend on rounding. Windows that overlap a match of an allow-list
+pattern are suppressed. The span runs from the first to the last other window
+at or over the threshold. Spans inside a base span are dropped; base spans
+always stay.
 
 Scale: one narrow pass over the texts, no shuffle, nothing leaves the JVM; a
 text that a pattern can't match costs one search.
 
-Rules. Null text is an empty one: no spans. Repeated rows each get their
+Rules. Null text is an empty one: no spans. Texts of any length are scanned whole. Repeated rows each get their
 result, null ids stay null, empty tables give an empty result. Columns other
 than the text are passed through by :func:`scan` and dropped by
 :func:`find_secrets`.
@@ -43,10 +44,17 @@ BASE = [
     ("hex", r"[0-9a-f]{16,}", 0, 16),
 ]
 TOKEN = "[A-Za-z0-9+/_=-]"
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 # Character classes: name, whole-string pattern, bits per character.
 CLASSES = [
+    ("digits", r"^[0-9]+$", 3.2),
     ("hex", r"^(?=.*[0-9])[0-9A-Fa-f]+$", 3.0),
-    ("mixed", r"^(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9+/_=-]+$", 3.7),
+    ("lower", r"^[a-z]+$", 4.0),
+    ("upper", r"^[A-Z]+$", 4.0),
+    ("letters", r"^[A-Za-z]+$", 4.0),
+    ("base64", r"^(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9+/_=-]+$", 3.7),
+    ("marked", r"^[A-Za-z+/_=-]+$", 4.0),
+    ("numbers", r"^[0-9+/_=-]+$", 3.4),
 ]
 # Allow-list: identifiers in the common dashed form, and plain alphabets.
 ALLOW = [
@@ -79,33 +87,46 @@ def matches(text: Column, pattern: str, group: int) -> Column:
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(kind))
 
 
-def dense_part(token: Column, window: int, limit: Column) -> Column:
+def dense_part(token: Column, window: int, limit: Column, allowed: Column) -> Column:
     """first and last: ends of the first and last window of ``token`` whose
-    sum(c * log2 c) is at most ``limit`` millionths; -1 if there is none."""
+    sum(c * log2 c) is at most ``limit`` millionths and that overlaps none of
+    the spans ``allowed``; -1 if there is none."""
+    bits = (window + 1).bit_length()
+    per = 63 // bits  # counts in one integer
     table = F.array(*[F.lit(micro(c)).cast("long") for c in range(window + 1)])
 
-    def sums(chars: Column) -> Column:
-        def count(start: Column, n: Column, x: Column) -> Column:
-            return F.size(F.filter(F.slice(chars, start + 1, n), lambda y: y == x))
+    def count(packed: Column, symbol: Column) -> Column:
+        at = F.get(packed, (symbol / per).cast("int"))
+        return F.call_function("shiftright", at, symbol % per * bits).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
 
+    def one(j: Column, symbol: Column) -> Column:
+        return F.when(j == (symbol / per).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), symbol % per * bits)).otherwise(F.lit(0).cast("long"))
+
+    def sums(symbols: Column) -> Column:
         def step(a: Column, i: Column) -> Column:
-            gone, new = F.get(chars, i - window), F.get(chars, i)
-            # after the leaving character is out, the window has these many before the new one
-            begin, held = F.greatest(i - window + 1, F.lit(0)), F.least(i, F.lit(window - 1))
-            old_n = count(i - window, F.lit(window), gone)
-            new_n = count(begin, held, new)
-            s = a["s"] + F.when(i >= window, F.get(table, old_n - 1) - F.get(table, old_n)).otherwise(F.lit(0).cast("long")) + F.get(table, new_n + 1) - F.get(table, new_n)
-            ok = (i >= window - 1) & (s <= limit)
-            return F.struct(s.alias("s"), F.when(ok & (a["first"] < 0), i).otherwise(a["first"]).alias("first"), F.when(ok, i).otherwise(a["last"]).alias("last"))
+            gone, new = F.get(symbols, i - window), F.get(symbols, i)
+            full = i >= window
+            old_n = count(a["c"], gone)
+            new_n = count(a["c"], new) - F.when(full & (gone == new), 1).otherwise(0)
+            s = a["s"] + F.when(full, F.get(table, old_n - 1) - F.get(table, old_n)).otherwise(F.lit(0).cast("long")) + F.get(table, new_n + 1) - F.get(table, new_n)
+            c = F.transform(a["c"], lambda w, j: w + one(j, new) - F.when(full, one(j, gone)).otherwise(F.lit(0).cast("long")))
+            ok = (i >= window - 1) & (s <= limit) & ~F.exists(allowed, lambda x: (x["start"] <= i) & (x["end"] > i - window + 1))
+            return F.struct(c.alias("c"), s.alias("s"), F.when(ok & (a["first"] < 0), i).otherwise(a["first"]).alias("first"), F.when(ok, i).otherwise(a["last"]).alias("last"))
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), F.struct(F.lit(0).cast("long").alias("s"), F.lit(-1).alias("first"), F.lit(-1).alias("last")), step)
+        none = F.array(*[F.lit(0).cast("long")] * -(-len(ALPHABET) // per))
+        start = F.struct(none.alias("c"), F.lit(0).cast("long").alias("s"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(symbols) - 1), start, step)
 
-    return F.element_at(F.transform(F.array(F.regexp_extract_all(token, F.lit("."), F.lit(0))), sums), 1)
+    symbols = F.transform(F.regexp_extract_all(token, F.lit("."), F.lit(0)), lambda x: F.instr(F.lit(ALPHABET), x) - 1)
+    return F.element_at(F.transform(F.array(symbols), sums), 1)
 
 
 def entropy_spans(text: Column, window: int, classes, allow) -> Column:
     found = matches(text, TOKEN + "{" + str(window) + ",}", 0)
-    found = F.filter(found, lambda m: ~F.coalesce(*[F.when(m["hit"].rlike(a), True) for a in allow], F.lit(False)) if allow else F.lit(True))
+
+    def allowed(m: Column) -> Column:
+        empty = F.array().cast("array<struct<start:int,end:int,hit:string,n:int>>")
+        return F.concat(empty, *[matches(m["hit"], a, 0) for a in allow])
 
     def limit(m: Column) -> Column:
         """Most sum(c * log2 c) of a window, by the first class that matches."""
@@ -114,7 +135,7 @@ def entropy_spans(text: Column, window: int, classes, allow) -> Column:
     found = F.filter(found, lambda m: limit(m).isNotNull())
 
     def span(m: Column) -> Column:
-        part = F.element_at(F.transform(F.array(dense_part(m["hit"], window, limit(m))), lambda p: F.struct(
+        part = F.element_at(F.transform(F.array(dense_part(m["hit"], window, limit(m), allowed(m))), lambda p: F.struct(
             (m["start"] + p["first"] - window + 1).alias("start"), F.lit(len(BASE)).alias("kind"), F.when(p["first"] >= 0, m["start"] + p["last"] + 1).alias("end"))), 1)
         return part
 
@@ -185,12 +206,19 @@ pos AS (SELECT r, kind, least, i, hit, length(g) AS n,
                sum(length(gap) + length(hit)) OVER (PARTITION BY r, kind ORDER BY i) AS stop FROM m WHERE hit IS NOT NULL),
 base AS (SELECT r, kind, (stop - length(hit))::BIGINT AS start, stop::BIGINT AS stop FROM pos WHERE kind < 3 AND n >= least),
 cand AS (SELECT r, (stop - length(hit))::BIGINT AS start, hit,
-                CASE WHEN regexp_matches(hit, '^[0-9A-Fa-f]+$') AND regexp_matches(hit, '[0-9]') THEN 3.0::DOUBLE
-                     WHEN regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') THEN 3.7::DOUBLE END AS bits
-         FROM pos WHERE kind = 3 AND NOT regexp_matches(hit, '^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$')
-           AND NOT regexp_matches(hit, '(?i)(0123456789|1234567890|abcdefghij|example|placeholder)')),
-win AS (SELECT r, start, bits, i, unnest(string_split(hit[i:i + 19], '')) AS ch
-        FROM (SELECT r, start, bits, hit, unnest(range(1, length(hit) - 18)) AS i FROM cand WHERE bits IS NOT NULL)),
+                CASE WHEN regexp_matches(hit, '^[0-9]+$') THEN 3.2::DOUBLE
+                     WHEN regexp_matches(hit, '^[0-9A-Fa-f]+$') AND regexp_matches(hit, '[0-9]') THEN 3.0::DOUBLE
+                     WHEN regexp_matches(hit, '^[A-Za-z]+$') THEN 4.0::DOUBLE
+                     WHEN regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') THEN 3.7::DOUBLE
+                     WHEN regexp_matches(hit, '[0-9]') THEN 3.4::DOUBLE ELSE 4.0::DOUBLE END AS bits
+         FROM pos WHERE kind = 3 AND NOT regexp_matches(hit, '^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$')),
+ag AS (SELECT r, start, string_split_regex(hit, '(?i)(0123456789|1234567890|abcdefghij|example|placeholder)') AS gap,
+              regexp_extract_all(hit, '(?i)(0123456789|1234567890|abcdefghij|example|placeholder)') AS found FROM cand),
+au AS (SELECT r, start, generate_subscripts(gap, 1) AS i, unnest(gap) AS gap, unnest(found) AS found FROM ag WHERE len(found) > 0),
+al AS (SELECT r, start, length(found) AS n, sum(length(gap) + length(found)) OVER (PARTITION BY r, start ORDER BY i) AS stop FROM au WHERE found IS NOT NULL),
+wins AS (SELECT r, start, bits, hit, unnest(range(1, length(hit) - 18)) AS i FROM cand),
+win AS (SELECT r, start, bits, i, unnest(string_split(hit[i:i + 19], '')) AS ch FROM wins
+        WHERE NOT EXISTS (SELECT 1 FROM al WHERE al.r = wins.r AND al.start = wins.start AND al.stop >= wins.i AND al.stop - al.n < wins.i + 19)),
 cnt AS (SELECT r, start, bits, i, ch, count(*) AS c FROM win GROUP BY ALL),
 ent AS (SELECT r, start, bits, i, sum(round(c * log2(c) * 1e6)) AS s FROM cnt GROUP BY ALL),
 den AS (SELECT r, 3 AS kind, start + min(i) - 1 AS start, start + max(i) + 19 AS stop FROM ent
