@@ -8,12 +8,16 @@ packed strings are kept once with the list of places they come from. The
 strings of one bucket and task are one row: a compressed block. Blocks are
 shuffled and sorted by bucket; a reducer holds one bucket at a time.
 
+Equal texts in large groups are exchanged once: a group of ``copies`` rows or
+more, and of more than one row in 100,000 of all, sends one of its rows (so
+there are at most 100,000 such groups, whatever the input, and their digests
+can be broadcast). What the other rows lose follows from being a copy.
+
 A bucket is sized to a few MB. A minimiser with more than ``hot`` different
-strings in a bucket (a phrase that very many texts share) is not held: its
-strings leave the reducer and are exchanged once more with k = window, where a
-key has one string only and places stream through; none is cut. Strings are
-counted, not places: all places of one string of a minimiser that is not hot
-are held by one task, so its memory bounds a group of exact copies.
+strings in a bucket (a phrase that very many texts share), or with strings at
+more than 50 * ``hot`` places, is not held: its strings leave the reducer and
+are exchanged once more with k = window, where a key has one string only and
+places stream through; none is cut.
 """
 
 from __future__ import annotations
@@ -30,6 +34,8 @@ from dockcast.llm.common import staged
 
 OUT = "kind int, d long, h long, start long, stop long, packed binary"
 FLUSH_BYTES = 64 << 20
+MOST_GROUPS = 100_000  # of copies that are broadcast
+PLACES = 50  # places of a hot minimiser for each string of one
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -211,22 +217,26 @@ class Held:
     leave at once."""
 
     def __init__(self, hot: int):
-        self.hot, self.blocks, self.n, self.hot_keys, self.next = hot, [], 0, set(), 8 * hot
+        self.hot, self.blocks, self.hot_keys = hot, [], set()
+        self.n = self.places = 0
+        self.next, self.next_places = 8 * hot, 2 * PLACES * hot
 
     def add(self, block: Block) -> Iterator[tuple]:
         if self.hot_keys:
             yield from self._drop(block)
         self.blocks.append(block)
         self.n += len(block.keys)
-        if self.n >= self.next:
-            keys, counts = np.unique(np.concatenate([b.keys for b in self.blocks]), return_counts=True)
-            new = set(keys[counts > self.hot].tolist()) - self.hot_keys
+        self.places += len(block.d)
+        if self.n >= self.next or self.places >= self.next_places:
+            keys, which, counts = np.unique(np.concatenate([b.keys for b in self.blocks]), return_inverse=True, return_counts=True)
+            places = np.bincount(which, np.concatenate([b.counts for b in self.blocks]), len(keys))
+            new = set(keys[(counts > self.hot) | (places > PLACES * self.hot)].tolist()) - self.hot_keys
             self.hot_keys |= new
             if new:
                 for b in self.blocks:
                     yield from self._drop(b)
-                self.n = sum(len(b.keys) for b in self.blocks)
-            self.next = self.n + 8 * self.hot
+                self.n, self.places = (sum(len(x) for x in xs) for xs in zip(*[(b.keys, b.d) for b in self.blocks]))
+            self.next, self.next_places = self.n + 8 * self.hot, self.places + 2 * PLACES * self.hot
 
     def _drop(self, b: Block) -> Iterator[tuple]:
         out = np.isin(b.keys, list(self.hot_keys))
@@ -242,21 +252,39 @@ class Held:
         b.keys, b.counts = b.keys[~out], b.counts[~out]
 
 
-def marked(docs: DataFrame, name: str, cut: Callable, cut_hot: Callable, reduce: Callable, reduce_hot: Callable, blow_up: int, bucket_bytes: int) -> DataFrame:
-    """Covered intervals (d, h, start, stop) of ``docs`` (d, h, data)."""
-    size = docs.agg(F.coalesce(F.sum(F.length("data")), F.lit(0)).alias("n")).first()["n"]
+def copied(docs: DataFrame, name: str, n: int, copies: int) -> tuple[DataFrame, DataFrame]:
+    """``docs`` (d, h, text, …) of n rows with ``least``, the smallest id of the
+    row's large group of equal texts (null: in none), and the rows to exchange:
+    those of no such group, and one of smallest id of each."""
+    digest = F.unhex(F.sha2(F.col("text"), 256))
+    large = docs.groupBy(digest.alias("digest")).agg(F.count("*").alias("n"), F.min("d").alias("least"))
+    large = staged(large.filter(F.col("n") >= max(copies, 2, n // MOST_GROUPS + 1)).drop("n"), f"{name}-copies")
+    if large.isEmpty():
+        return docs.withColumn("least", F.lit(None).cast("long")), docs.select("d", "h", "text")
+    known = docs.withColumn("digest", digest).join(F.broadcast(large), "digest", "left")  # at most MOST_GROUPS rows
+    one = known.filter("d = least").groupBy("digest").agg(*[F.first(c).alias(c) for c in ("d", "h", "text")]).drop("digest")
+    return known.drop("digest"), known.filter("least IS NULL").select("d", "h", "text").unionByName(one)
+
+
+def marked(docs: DataFrame, name: str, cut: Callable, cut_hot: Callable, reduce: Callable, reduce_hot: Callable, blow_up: int, bucket_bytes: int,
+           copies: int) -> tuple[DataFrame, DataFrame]:
+    """``docs`` (d, h, text, …) with ``least`` (see :func:`copied`), and covered
+    intervals (d, h, start, stop) of the rows exchanged."""
+    size = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
 
     def count(n: int) -> int:
         return 1 << max(4, (n // bucket_bytes).bit_length())
 
-    found = staged(exchange(docs.withColumn("at", F.lit(0).cast("long")), cut, count(4 * size), reduce), name)
+    docs, once = copied(docs, name, size["n"], copies)
+    rows = once.select("d", "h", F.lit(0).cast("long").alias("at"), F.col("text").cast("binary").alias("data"))
+    found = staged(exchange(rows, cut, count(4 * size["bytes"]), reduce), name)
     hot = found.filter("kind = 1").select("d", "h", F.col("start").alias("at"), F.col("packed").alias("data"))
     spans = found.filter("kind = 0").select("d", "h", "start", "stop")
     n = hot.agg(F.coalesce(F.sum(F.length("data")), F.lit(0)).alias("n")).first()["n"]
     if n:  # strings of hot keys, window by window
         again = staged(exchange(hot, cut_hot, count(blow_up * n), reduce_hot), f"{name}-hot")
         spans = spans.unionByName(again.select("d", "h", "start", "stop"))
-    return spans
+    return docs, spans
 
 
 def key_columns(id: str, text: str) -> tuple[Column, Column]:

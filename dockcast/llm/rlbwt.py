@@ -2,7 +2,8 @@
 ``window``-byte string that also starts anywhere else.
 
 Byte windows are exchanged by minimiser (see :mod:`dockcast.llm.buckets`), so
-all places of a repeated string meet in one bucket. A string that occurs once
+all places of a repeated string meet in one bucket. Of a large group of equal
+texts one row is exchanged; all windows of the group's rows repeat. A string that occurs once
 under its minimiser, and cannot repeat within itself, is done. Equal strings
 are kept once with their places. All others of a bucket go into a run-length
 index (:class:`RunIndex`): suffix order, Burrows-Wheeler transform, its runs,
@@ -16,7 +17,8 @@ Rules. Texts are UTF-8 bytes; matches never cross documents; strings are
 judged on the input; overlapping occurrences and occurrences inside one
 document count; repeated rows are occurrences like any other. Null and empty
 texts have no bytes. A null id is carried along. Texts shorter than
-``window`` bytes keep all. Empty tables give an empty result. Other columns
+``window`` bytes keep all; very long texts are cut into strings like any
+other, one text being held by its task. Empty tables give an empty result. Other columns
 are ignored.
 """
 
@@ -215,20 +217,19 @@ def hot_reducer(window: int):
 
 
 def dedup_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 200, k: int = 32, hot: int = 20_000,
-                bucket_bytes: int = 4 << 20) -> DataFrame:
+                bucket_bytes: int = 4 << 20, copies: int = 1000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256
     and kept (the remaining bytes) of every row."""
     ship(__name__)
     ship(row_key.__module__)
-    d = row_key(docs, id, text)
-    spans = marked(d.select("d", "h", F.col("text").cast("binary").alias("data")), "rlbwt", cutter(window, k), cutter(window, window),
-                           reducer(window, hot), hot_reducer(window), window, bucket_bytes)
+    d, spans = marked(row_key(docs, id, text), "rlbwt", cutter(window, k), cutter(window, window), reducer(window, hot), hot_reducer(window),
+                      window, bucket_bytes, copies)
 
-    def apply(texts, spans):
+    def apply(texts, spans, again):
         out = []
-        for t, s in zip(texts_of(texts), spans.to_pylist()):
+        for t, s, whole in zip(texts_of(texts), spans.to_pylist(), again.to_pylist()):
             kept, at, gone = [], 0, 0
-            runs = merged(s)
+            runs = [(0, len(t))] if whole and len(t) >= window else merged(s)
             for a, b in runs:
                 kept.append(t[at:a])
                 at, gone = b, gone + b - a
@@ -236,7 +237,8 @@ def dedup_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text", window:
             out.append({"n_bytes": len(t), "n_removed": gone, "n_spans": len(runs), "kept_sha256": hashlib.sha256(left).hexdigest(), "kept": left})
         return out
 
-    made = append_arrow(with_spans(d, spans), ["text", "spans"], "r", "struct<n_bytes:long,n_removed:long,n_spans:long,kept_sha256:string,kept:binary>", apply, rows=256, drop=("text", "spans"))
+    rows = with_spans(d, spans).withColumn("again", F.col("least").isNotNull())
+    made = append_arrow(rows, ["text", "spans", "again"], "r", "struct<n_bytes:long,n_removed:long,n_spans:long,kept_sha256:string,kept:binary>", apply, rows=256, drop=("text", "spans", "again"))
     return made.select("doc_id", "r.*")
 
 

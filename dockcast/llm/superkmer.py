@@ -5,14 +5,16 @@ Windows are exchanged as super-k-mers (see :mod:`dockcast.llm.buckets`): runs
 of windows with one minimiser, as one packed string of words. In a bucket the
 strings are sorted by minimiser; those of a minimiser that more than one
 document has are opened, and each window's sequence is compared exactly, so
-hashes only decide where strings meet.
+hashes only decide where strings meet. Of a large group of equal texts one row
+of smallest id is exchanged: all windows of the rows with larger ids start there.
 
 Rules. Words: runs of characters other than blank and \\x09-\\x0D, unchanged.
 Windows are judged on the input. Null text has no words. A null id counts as
 larger than all others; rows that share an id are one document in the
 comparison (neither removes the other's words) and each gets its own result.
-Texts of fewer than ``window`` words keep all. Empty tables give an empty
-result. Other columns are ignored.
+Texts of fewer than ``window`` words keep all; very long texts are cut into
+strings like any other, one text being held by its task. Empty tables give an
+empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -150,28 +152,28 @@ def hot_reducer(window: int):
 
 
 def dedup_words(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 13, k: int = 3, hot: int = 20_000,
-                bucket_bytes: int = 4 << 20) -> DataFrame:
+                bucket_bytes: int = 4 << 20, copies: int = 1000) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (kept words joined by a blank)
     and kept (that text) of every row."""
     ship(__name__)
     ship(row_key.__module__)
-    d = row_key(docs, id, text)
-    spans = marked(d.select("d", "h", F.col("text").cast("binary").alias("data")), "superkmer", cutter(window, k), cutter(window, window),
-                           reducer(window, hot), hot_reducer(window), window, bucket_bytes)
+    d, spans = marked(row_key(docs, id, text), "superkmer", cutter(window, k), cutter(window, window), reducer(window, hot), hot_reducer(window),
+                      window, bucket_bytes, copies)
 
-    def apply(texts, spans):
+    def apply(texts, spans, again):
         out = []
-        for t, s in zip(texts_of(texts), spans.to_pylist()):
+        for t, s, whole in zip(texts_of(texts), spans.to_pylist(), again.to_pylist()):
             words = t.split()
             kept, at, gone = [], 0, 0
-            for a, b in merged(s):
+            for a, b in [(0, len(words))] if whole and len(words) >= window else merged(s):
                 kept += words[at:a]
                 at, gone = b, gone + b - a
             kept = b" ".join(kept + words[at:])
             out.append({"n_words": len(words), "n_removed": gone, "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept.decode()})
         return out
 
-    made = append_arrow(with_spans(d, spans), ["text", "spans"], "r", "struct<n_words:long,n_removed:long,kept_sha256:string,kept:string>", apply, rows=256, drop=("text", "spans"))
+    rows = with_spans(d, spans).withColumn("again", F.coalesce(F.col("d") > F.col("least"), F.lit(False)))
+    made = append_arrow(rows, ["text", "spans", "again"], "r", "struct<n_words:long,n_removed:long,kept_sha256:string,kept:string>", apply, rows=256, drop=("text", "spans", "again"))
     return made.select("doc_id", "r.*")
 
 

@@ -77,6 +77,35 @@ def test_rlbwt(make_docs, repetitive, options):
     assert sorted(repr(tuple(r)) for r in got.collect()) == brute_bytes(repetitive, 200)
 
 
+@pytest.fixture(scope="module")
+def copies(repetitive):
+    """Groups of equal texts: with ids, without, with one id for all, shorter than a window; passages shared with others."""
+    rows = list(repetitive)
+    for n, (i, t) in enumerate(repetitive[3:12]):
+        rows += [((None, 7, 1000 + j)[n % 3], t) for j in range(6)] + [(900 + n, t)]
+    return rows + [(2000 + j, "few words") for j in range(5)] + [(None, "") for _ in range(5)]
+
+
+@pytest.mark.parametrize("least", [2, 6])
+def test_copies_are_exchanged_once(make_docs, copies, least):
+    got = superkmer.dedup_words(make_docs(copies), copies=least).drop("kept")
+    assert sorted(repr(tuple(r)) for r in got.collect()) == brute_words(copies, 13)
+    got = rlbwt.dedup_bytes(make_docs(copies), copies=least).drop("kept")
+    assert sorted(repr(tuple(r)) for r in got.collect()) == brute_bytes(copies, 200)
+    _, once = buckets.copied(buckets.row_key(make_docs(copies), "doc_id", "text"), "t", len(copies), 2)
+    assert once.count() == len({t for _, t in copies})
+
+
+def test_places_make_a_key_hot():
+    """A string at very many places leaves its bucket, whatever the number of strings."""
+    one = np.ones(1, np.uint64)
+    held, left = buckets.Held(2), []
+    for i in range(300):
+        row = next(buckets.block_rows([(one, [b"a b c"], i, i, np.array([i]))], 1))
+        left += held.add(buckets.Block(row[1]))
+    assert held.places < 2 * buckets.PLACES * 2 and [x[1] for x in left] == list(range(300))[:len(left)] and len(left) + held.places == 300
+
+
 def test_run_index_statistics():
     rng = random.Random(1)
     for _ in range(60):
