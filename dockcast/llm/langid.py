@@ -15,9 +15,10 @@ hash names, runs of other than letters made one blank. Rows are chosen with a
 hash limit made from per-language counts, so no language is sorted whole; the
 row of a language's lowest hash is always in, and texts without a letter are
 not counted, so each language with one labelled text with a letter is learnt.
-The automata, a table of
-fixed size for each language, go to the executors as a broadcast; scoring is
-one narrow pass over whole texts. Texts are cut into pieces of ``piece``
+The automata have less than 3 * ``sample_chars`` edges a
+language, kept in one array of about that many places whatever the alphabet;
+they go to the executors as a broadcast. Scoring is one narrow pass over whole
+texts. Texts are cut into pieces of ``piece``
 characters, each parsed from the start, and all pieces of a batch walk all
 automata in step.
 
@@ -84,8 +85,46 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return go
 
 
+def displaced(rows: list[dict[int, int]], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of all states in one array: the edge of state s for code c, if any,
+    is at base[s] + c and holds s << 32 | target (0: none). Rows of several edges
+    are laid into the first gap that fits, largest first; single edges fill the
+    places left."""
+    degree = np.fromiter(map(len, rows), np.int64, len(rows))
+    base = np.zeros(len(rows), np.int64)
+    order = np.argsort(-degree, kind="stable")
+    many, single = order[:int((degree > 1).sum())], np.flatnonzero(degree == 1)
+    free = np.ones(2 * width + 2 * int(degree.sum()) + 4096, bool)
+    free[:width] = False  # so that no base is negative
+    low = width
+    for s in many.tolist():
+        c = np.array(sorted(rows[s]), np.int64)
+        at = low
+        while True:
+            if at + 1024 + width > len(free):
+                free = np.append(free, np.ones(len(free), bool))
+            p = at + np.flatnonzero(free[at:at + 1024])
+            if at == low and len(p) < 50:  # nearly full: left to single edges
+                low += 1024
+            for k in (c[1:] - c[0]).tolist():
+                p = p[free[p + k]]
+                if not len(p):
+                    break
+            if len(p):
+                break
+            at += 1024
+        base[s] = p[0] - c[0]
+        free[base[s] + c] = False
+    base[single] = np.flatnonzero(free)[:len(single)] - np.fromiter((next(iter(rows[s])) for s in single.tolist()), np.int64, len(single))
+    state = np.repeat(np.arange(len(rows)), degree)
+    code = np.fromiter((c for r in rows for c in r), np.int64, len(state))
+    edge = np.zeros(int(base.max(initial=0)) + width + 1, np.int64)
+    edge[base[state] + code] = state << 32 | np.fromiter((t for r in rows for t in r.values()), np.int64, len(state))
+    return base.astype(np.int32), edge
+
+
 class Model:
-    """Automata of all languages in one transition table; state 0 is none."""
+    """Automata of all languages, their states numbered on; state 0 is none."""
 
     def __init__(self, texts: dict[str, list[str]], sample_chars: int):
         self.letters = letter_codes()
@@ -103,21 +142,22 @@ class Model:
         self.size = np.array(sizes, np.float64)
         known = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint32)
         known = known[known > 0]
-        self.width = len(known) + 2  # code 0: a letter of no sample
-        self.code = np.zeros(0x110000, np.uint16)
-        self.code[known] = np.arange(2, self.width)
+        self.code = np.zeros(0x110000, np.int32)  # code 0: a letter of no sample
+        self.code[known] = np.arange(2, len(known) + 2)
         self.code[0] = BLANK
-        tables, self.root, at = [np.zeros((1, self.width), np.int32)], [], 1
+        rows: list[dict[int, int]] = [{}]
+        root = []
         for part in parts:
-            go = suffix_automaton(self.code[part].tolist())
-            t = np.zeros((len(go), self.width), np.int32)
-            for s, edges in enumerate(go):
-                for c, to in edges.items():
-                    t[s, c] = to + at
-            self.root.append(at)
-            at += len(go)
-            tables.append(t)
-        self.table, self.root = np.concatenate(tables), np.array(self.root, np.int32)
+            at = len(rows)
+            root.append(at)
+            rows += [{c: to + at for c, to in edges.items()} for edges in suffix_automaton(self.code[part].tolist())]
+        self.base, self.edge = displaced(rows, len(known) + 2)
+        self.root = np.array(root, np.int32)
+
+    def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Next states; 0 where there is no edge."""
+        e = self.edge[self.base[state] + code]
+        return np.where(e >> 32 == state, e, 0).astype(np.int32)  # the low half is the target
 
     def phrases(self, docs: list[np.ndarray], piece: int) -> np.ndarray:
         """Phrases of each text (codes) against each language."""
@@ -127,22 +167,21 @@ class Model:
             return out
         cuts.sort(key=lambda c: -min(piece, len(docs[c[0]]) - c[1]))
         size = np.array([min(piece, len(docs[d]) - i) for d, i in cuts])
-        codes = np.zeros((int(size[0]), len(cuts)), np.uint16)
+        codes = np.zeros((int(size[0]), len(cuts)), np.int32)
         for k, (d, i) in enumerate(cuts):
             codes[:size[k], k] = docs[d][i:i + piece]
-        flat, width = self.table.ravel(), self.width
         root = np.repeat(self.root[:, None], len(cuts), 1)
         state, count = root.copy(), np.zeros(root.shape, np.int64)
         live = np.searchsorted(-size, -np.arange(int(size[0])), "left")
         for i in range(int(size[0])):
             n = live[i]
             c, s = codes[i, :n], state[:, :n]
-            to = flat[s.astype(np.int64) * width + c]
+            to = self.step(s, c)
             lang, k = np.nonzero(to == 0)
             if len(lang):
                 base = self.root[lang]
                 count[lang, k] += s[lang, k] != base  # the phrase ends before this character
-                again = flat[base.astype(np.int64) * width + c[k]]
+                again = self.step(base, c[k])
                 count[lang, k] += again == 0  # a character of no sample is a phrase
                 to[lang, k] = np.where(again == 0, base, again)
             state[:, :n] = to
@@ -155,7 +194,7 @@ class Model:
     def predict(self, texts: list[str | None], piece: int) -> list[dict]:
         cps = [cleaned(t, self.letters) if t else np.zeros(0, np.uint32) for t in texts]
         none = [not (x > 0).any() for x in cps]
-        n = self.phrases([np.zeros(0, np.uint16) if e else self.code[x] for x, e in zip(cps, none)], piece)
+        n = self.phrases([np.zeros(0, np.int32) if e else self.code[x] for x, e in zip(cps, none)], piece)
         out = []
         for d, (x, e) in enumerate(zip(cps, none)):
             if e or not self.langs:
