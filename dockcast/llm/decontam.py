@@ -5,8 +5,10 @@ shard: an array of word numbers and the suffix array over it. Every suffix of
 the test items is binary-searched in every shard; the equal range holds all
 locations of its first ``window`` words, and each left-maximal location is
 extended to the longest verbatim match. Documents never move: the test items
-go to the documents, in blocks of at most ``block_bytes`` of text, one narrow
-pass per block, so no size of the benchmark breaks the plan.
+go to the documents, in blocks of about ``block_bytes`` of text, one narrow pass
+per block. After each ``passes`` blocks what was found is written, before the
+next are read: the driver and a plan hold that many blocks, whatever the size
+of the benchmark. A single item of more text is a block of its own.
 
 Training suffixes whose first words do not all occur in the test items match
 no window; they are left out of the array (the result is the same).
@@ -15,7 +17,8 @@ Rules. Words: runs of ASCII letters and digits and of all non-ASCII
 characters, A-Z lowered. A window is ``window`` consecutive words of an item;
 an item with fewer words, but some, is one window. A document word inside any
 occurrence of a window is hit. Null or empty text (document or item) has no
-words: no hit, and such an item is never found. Repeated rows of ``docs`` each
+words: no hit, and such an item is never found. Very long texts are one
+document of a shard. Repeated rows of ``docs`` each
 get their own result; rows of the benchmark that share an ``item_id`` count as
 one item; a null ``item_id`` counts as the id ''. Empty tables give an empty
 result or no hits. Other columns are ignored.
@@ -29,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockcast.llm.common import append_arrow, free_name, ship, texts_of
+from dockcast.llm.common import append_arrow, free_name, ship, staged, texts_of
 
 # Bytes to word bytes: A-Z lowered, all that is no word character to a blank.
 _TABLE = bytes((b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32) for b in range(256))
@@ -166,7 +169,7 @@ def _summary(found):
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, out: str, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-         window: int = 10, block_bytes: int = 8 << 20, shard_words: int = 300_000) -> DataFrame:
+         window: int = 10, block_bytes: int = 8 << 20, shard_words: int = 300_000, passes: int = 8) -> DataFrame:
     """All columns of ``docs`` and a struct ``out``: n_words, n_hit, n_items,
     items_sha256, contaminated, longest (words of the longest match), items,
     matches (every left-maximal match: start word, length, item, word of the item)."""
@@ -178,11 +181,15 @@ def mark(docs: DataFrame, benchmark: DataFrame, out: str, text: str = "text", it
     kind = f"struct<n_words:long,mask:binary,items:array<string>,matches:{MATCHES}>"
     acc = free_name(docs, "_found")
     df = docs.withColumn(acc, F.lit(None).cast(kind))
+    if blocks > 1:
+        items = staged(items.distinct(), "test-items")
     for b in range(blocks):  # a block is collected and sent with the pass's tasks
         part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
         test = TestItems([(r["item"], bytes(r["text"])) for r in part.sort("item", "text").collect()], window)
         sent = free_name(df, "_next")
         df = append_arrow(df, [text, acc], sent, kind, _pass(test, shard_words)).drop(acc).withColumnRenamed(sent, acc)
+        if b % passes == passes - 1 and b < blocks - 1:
+            df = staged(df, "test-passes")
     made = f"struct<n_words:long,n_hit:long,n_items:long,items_sha256:string,contaminated:boolean,longest:long,items:array<string>,matches:{MATCHES}>"
     return append_arrow(df, [acc], out, made, _summary).drop(acc)
 
