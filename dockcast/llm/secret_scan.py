@@ -18,7 +18,9 @@ at or over the threshold. Spans inside a base span are dropped; base spans
 always stay.
 
 Scale: one narrow pass over the texts, no shuffle, nothing leaves the JVM; a
-text that a pattern can't match costs one search.
+text that a pattern can't match costs one search. Positions, overlaps and the
+mask are running folds in pieces of ``PIECE`` matches, so that a text's time
+grows with its matches, not with their square.
 
 Rules. Null text is an empty one: no spans. Texts of any length are scanned whole. Repeated rows each get their
 result, null ids stay null, empty tables give an empty result. Columns other
@@ -62,6 +64,7 @@ ALLOW = [
     r"(?i)(0123456789|1234567890|abcdefghij|example|placeholder)",
 ]
 SPAN = "array<struct<start:int,kind:int,end:int>>"
+PIECE = 128
 
 
 def micro(c: int) -> int:
@@ -69,22 +72,49 @@ def micro(c: int) -> int:
     return round(c * math.log2(c) * 1e6) if c > 1 else 0
 
 
+def let(value: Column, fn) -> Column:
+    """fn(value), with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def piece(xs: Column, i: Column) -> Column:
+    return F.slice(xs, i * PIECE + 1, F.lit(PIECE))
+
+
+def pieces(xs: Column) -> Column:
+    """Numbers of the pieces of an array."""
+    return F.sequence(F.lit(0), (F.greatest(F.size(xs) - 1, F.lit(0)) / PIECE).cast("int"))
+
+
+def running(xs: Column, step) -> Column:
+    """For each element the fold (from 0) of those before it."""
+    def whole(xs: Column) -> Column:
+        first = F.aggregate(pieces(xs), F.array(F.lit(0)), lambda a, i: F.array_append(a, F.aggregate(piece(xs, i), F.element_at(a, -1), step)))
+
+        def inside(first: Column) -> Column:
+            return F.flatten(F.transform(pieces(xs), lambda i: F.slice(
+                F.aggregate(piece(xs, i), F.array(F.get(first, i)), lambda a, x: F.array_append(a, step(F.element_at(a, -1), x))), F.lit(1), F.size(piece(xs, i)))))
+
+        return let(first, inside)
+
+    return let(xs, whole)
+
+
 def matches(text: Column, pattern: str, group: int) -> Column:
     """start, end, hit (text) and n (length of the group) of each match."""
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
                          F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("g"))
-    kind = "array<struct<start:int,end:int,hit:string,n:int>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
 
-    def step(a: Column, p: Column) -> Column:
-        begin = a["at"] + F.length(p["gap"])
-        end = begin + F.length(p["hit"])
-        one = F.struct(begin.alias("start"), end.alias("end"), p["hit"].alias("hit"), F.length(p["g"]).alias("n"))
-        return F.struct(end.alias("at"), F.array_append(a["out"], one).alias("out"))
+    def placed(parts: Column) -> Column:
+        def one(p: Column, at: Column) -> Column:
+            begin = at + F.length(p["gap"])
+            return F.struct(begin.alias("start"), (begin + F.length(p["hit"])).alias("end"), p["hit"].alias("hit"), F.length(p["g"]).alias("n"))
+
+        return F.zip_with(parts, running(parts, lambda at, p: at + F.length(p["gap"]) + F.length(p["hit"])), one)
 
     # the last gap has no match after it
-    found = F.aggregate(F.filter(parts, lambda p: p["hit"].isNotNull()), start, step, lambda a: a["out"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(kind))
+    found = let(F.filter(parts, lambda p: p["hit"].isNotNull()), placed)
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<start:int,end:int,hit:string,n:int>>"))
 
 
 def dense_part(token: Column, window: int, limit: Column, allowed: Column) -> Column:
@@ -161,8 +191,17 @@ def scan(docs: DataFrame, out: str, text: str = "text", window: int = 20, classe
         base = F.concat(base, _long_enough(matches(T, pattern, group), k, least))
     d = d.withColumn(b, F.struct(F.array_sort(base).alias("base"), entropy_spans(T, window, classes, allow).cast(SPAN).alias("dense")))
     base, dense = F.col(f"{b}.base"), F.col(f"{b}.dense")
-    more = F.when(F.size(dense) == 0, dense).otherwise(F.filter(dense, lambda s: ~F.exists(base, lambda x: (x["start"] <= s["start"]) & (x["end"] >= s["end"]))))
-    return d.withColumn(out, F.struct(base.alias("base"), F.array_sort(F.concat(base, more)).alias("spans"))).drop(t, b)
+    return d.withColumn(out, F.struct(base.alias("base"), F.when(F.size(dense) == 0, base).otherwise(together(base, dense)).alias("spans"))).drop(t, b)
+
+
+def together(base: Column, dense: Column) -> Column:
+    """Base spans, and the others that no base span holds, in order."""
+    def kept(both: Column) -> Column:
+        # a base span that holds another one comes before it
+        ends = running(both, lambda a, s: F.greatest(a, F.when(s["kind"] < len(BASE), s["end"]).otherwise(0)))
+        return F.transform(F.filter(F.arrays_zip(both.alias("s"), ends.alias("past")), lambda x: (x["s"]["kind"] < len(BASE)) | (x["s"]["end"] > x["past"])), lambda x: x["s"])
+
+    return let(F.array_sort(F.concat(base, dense)), kept)
 
 
 def listed(spans: Column) -> Column:
@@ -180,14 +219,19 @@ def find_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text", **kw)
 
 def mask(text: Column, spans: Column, by: str = "[SECRET]") -> Column:
     """``text`` with each run of overlapping ``spans`` replaced by ``by``."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(a: Column, s: Column) -> Column:
-        new = s["start"] >= a["at"]
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"),
-                        F.when(new, F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(by))).otherwise(a["out"]).alias("out"))
-
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))).otherwise(text)
+    def runs(spans: Column) -> Column:
+        """at (end of the last run) and start of each run."""
+        ends = running(spans, lambda a, s: F.greatest(a, s["end"]))
+        return F.filter(F.zip_with(spans, ends, lambda s, at: F.struct(at.alias("at"), s["start"].alias("start"))), lambda x: x["start"] >= x["at"])
+
+    def of_piece(some: Column) -> Column:
+        first, last = F.element_at(some, 1)["at"], F.element_at(some, -1)["start"]
+        return let(F.substring(text, first + 1, last - first), lambda part: F.array_join(
+            F.transform(some, lambda x: F.concat(F.substring(part, x["at"] - first + 1, x["start"] - x["at"]), F.lit(by))), ""))
+
+    out = let(runs(spans), lambda xs: F.array_join(F.transform(pieces(xs), lambda i: let(piece(xs, i), of_piece)), ""))
+    rest = F.substring(text, F.array_max(F.transform(spans, lambda s: s["end"])) + 1, F.length(text))
+    return F.when(F.size(spans) > 0, F.concat(out, rest)).otherwise(text)
 
 
 SQL = r"""

@@ -4,9 +4,11 @@ force, the public library or held-out labels."""
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from dockcast.llm import bpe, decontam, langid, line_rules, mixing, queries, rff_quality, secret_scan
 
@@ -217,8 +219,27 @@ def test_secret_spans(make_docs):
     assert not any("entropy" in got[n + len(DENSE) + i][4] for i in range(len(PLAIN)))
 
 
+def test_many_matches_in_one_text(make_docs):
+    """Positions, spans and mask across pieces, and time that doesn't grow with the square of the matches."""
+    rng = random.Random(9)
+    hexes = ["".join(rng.choices("0123456789abcdef", k=rng.choice([16, 24, 40]))) for _ in range(1000)]
+    text = "".join(f"{h}{rng.choice([' ', ' é '])}" + ("key=sk_live_QwErTyUiOpAsDfGhJkLzXcVbNm " if i % 7 == 0 else "") for i, h in enumerate(hexes))
+    found = [m.span() for m in re.finditer("[0-9a-f]{16,}", text)]
+    d = secret_scan.scan(make_docs([(0, text), (1, text * 32)]), "s").withColumn("m", secret_scan.mask(F.col("text"), F.col("s.spans")))
+    start = time.monotonic()
+    one, many = d.orderBy("doc_id").collect()
+    assert time.monotonic() - start < 60
+    assert [(x["start"], x["end"]) for x in one.s.base if x["kind"] == 2] == found
+    assert len(many.s.spans) == 32 * len(one.s.spans) and many.m == one.m * 32
+    left, at = [], 0
+    for x in one.s.spans:
+        if x["start"] >= at:
+            left.append(text[at:x["start"]] + "[SECRET]")
+        at = max(at, x["end"])
+    assert one.m == "".join(left) + text[at:]
+
+
 def test_mask(make_docs):
-    from pyspark.sql import functions as F
     d = secret_scan.scan(make_docs([(0, SECRETS[0]), (1, "no é"), (2, "api_key = deadbeefdeadbeef é"), (3, None)]), "s")
     got = {r.doc_id: r.m for r in d.select("doc_id", secret_scan.mask(F.col("text"), F.col("s.spans")).alias("m")).collect()}
     assert got == {0: '[SECRET]" and PASSWD:short', 1: "no é", 2: "[SECRET] é", 3: None}
