@@ -34,6 +34,7 @@ from dockcast.llm.common import staged
 
 OUT = "kind int, d long, h long, start long, stop long, packed binary"
 FLUSH_BYTES = 64 << 20
+PARTITION_BYTES = 128 << 20  # of packed strings, before compression
 MOST_GROUPS = 100_000  # of copies that are broadcast
 PLACES = 50  # places of a hot minimiser for each string of one
 
@@ -151,10 +152,15 @@ def block_rows(items: list[tuple], buckets: int) -> Iterator[tuple[int, bytes]]:
         yield int(b[a]), Block.pack(low[f], [packed[o[i]] for i in f.tolist()], counts, docs, table[used], starts[order[a:e]])
 
 
-def exchange(rows: DataFrame, cut: Callable, buckets: int, reduce: Callable) -> DataFrame:
+def exchange(rows: DataFrame, cut: Callable, size: int, bucket_bytes: int, reduce: Callable) -> DataFrame:
     """``rows`` (d, h, at, data): data is cut into (keys, packed, starts) by
-    ``cut``; starts count from ``at``. ``reduce`` gets the blocks of a bucket
-    one by one and yields rows of OUT."""
+    ``cut``, some ``size`` bytes of packed strings in all; starts count from
+    ``at``. ``reduce`` gets the blocks of a bucket one by one and yields rows of
+    OUT. Buckets and, beyond the session's own number, partitions grow with size."""
+    buckets = 1 << max(4, (size // bucket_bytes).bit_length())
+    parts = min(buckets, size // PARTITION_BYTES)
+    own = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def mapped(batches):
         import pyarrow as pa
 
@@ -204,7 +210,8 @@ def exchange(rows: DataFrame, cut: Callable, buckets: int, reduce: Callable) ->
             yield to_batch(held, pa)
 
     made = rows.select("d", "h", "at", "data").mapInArrow(mapped, "bucket long, block binary")
-    return made.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(reduced, OUT)
+    dealt = made.repartition(parts, "bucket") if parts > own else made.repartition("bucket")
+    return dealt.sortWithinPartitions("bucket").mapInArrow(reduced, OUT)
 
 
 def to_batch(rows: list[tuple], pa):
@@ -271,18 +278,14 @@ def marked(docs: DataFrame, name: str, cut: Callable, cut_hot: Callable, reduce:
     """``docs`` (d, h, text, …) with ``least`` (see :func:`copied`), and covered
     intervals (d, h, start, stop) of the rows exchanged."""
     size = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
-
-    def count(n: int) -> int:
-        return 1 << max(4, (n // bucket_bytes).bit_length())
-
     docs, once = copied(docs, name, size["n"], copies)
     rows = once.select("d", "h", F.lit(0).cast("long").alias("at"), F.col("text").cast("binary").alias("data"))
-    found = staged(exchange(rows, cut, count(4 * size["bytes"]), reduce), name)
+    found = staged(exchange(rows, cut, 4 * size["bytes"], bucket_bytes, reduce), name)
     hot = found.filter("kind = 1").select("d", "h", F.col("start").alias("at"), F.col("packed").alias("data"))
     spans = found.filter("kind = 0").select("d", "h", "start", "stop")
     n = hot.agg(F.coalesce(F.sum(F.length("data")), F.lit(0)).alias("n")).first()["n"]
     if n:  # strings of hot keys, window by window
-        again = staged(exchange(hot, cut_hot, count(blow_up * n), reduce_hot), f"{name}-hot")
+        again = staged(exchange(hot, cut_hot, blow_up * n, bucket_bytes, reduce_hot), f"{name}-hot")
         spans = spans.unionByName(again.select("d", "h", "start", "stop"))
     return docs, spans
 

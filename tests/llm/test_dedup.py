@@ -96,6 +96,17 @@ def test_copies_are_exchanged_once(make_docs, copies, least):
     assert once.count() == len({t for _, t in copies})
 
 
+def test_partitions_grow_with_the_strings(make_docs, repetitive, monkeypatch):
+    monkeypatch.setattr(buckets, "PARTITION_BYTES", 1 << 10)
+    got = superkmer.dedup_words(make_docs(repetitive), bucket_bytes=1 << 10).drop("kept")
+    assert sorted(repr(tuple(r)) for r in got.collect()) == brute_words(repetitive, 13)
+    rows = buckets.row_key(make_docs(repetitive), "doc_id", "text").selectExpr("d", "h", "0L AS at", "CAST(text AS BINARY) AS data")
+    for size, parts in ((1 << 16, 64), (1 << 8, None)):
+        found = buckets.exchange(rows, superkmer.cutter(13, 3), size, 1 << 10, superkmer.reducer(13, 20))
+        n = found.rdd.getNumPartitions()
+        assert n == parts if parts else n <= int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_places_make_a_key_hot():
     """A string at very many places leaves its bucket, whatever the number of strings."""
     one = np.ones(1, np.uint64)
