@@ -4,7 +4,7 @@ landing-array explode."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,19 +24,45 @@ def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
 
 
 MAX_HEADERS = 1000
+MAX_BROADCAST_FILES = 200_000
 
 
-def csv_lines(spark: SparkSession, path: str) -> DataFrame:
+def _csv_text(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
+
+
+def _bare(line: str) -> Column:
+    """A line without a byte-order mark."""
+    return F.when(F.col(line).startswith("\ufeff"), F.expr(f"substring({line}, 2)")).otherwise(F.col(line))
+
+
+def csv_headers(text: DataFrame) -> DataFrame:
+    """file, header: the first line of each file. Its place is the least row
+    number in the first block of the file, a hash aggregate over numbers; the
+    line is then taken from its place, so no texts are sorted. Both scans are
+    of one frame, whose files and splits, and so its row numbers, are the same."""
+    rows = text.filter(F.col("block") == 0).select("file", "line", F.monotonically_increasing_id().alias("row"))
+    places = rows.groupBy("file").agg(F.min("row").alias("row"))
+    return rows.join(places, ["file", "row"]).select("file", _bare("line").alias("header"))
+
+
+def csv_lines(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
     """file, header, line: every data line of a file or folder of CSV files
     beside its own file's header (the file's first line). Blank lines and
-    repeats of the header are left out. The headers, one row per file, are
-    found by a partial aggregate over the first block of each file."""
-    at = F.col("_metadata.file_path")
-    text = spark.read.text(path).select(at.alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
-    bare = F.regexp_replace("line", "^\ufeff", "")  # a byte-order mark
-    first = text.filter(F.col("block") == 0).select("file", bare.alias("line"), F.monotonically_increasing_id().alias("row")) \
-        .groupBy("file").agg(F.min_by("line", "row").alias("header"))
-    return text.join(first, "file").filter((F.trim("line") != "") & (bare != F.col("header"))).select("file", "header", "line")
+    repeats of the header are left out. With it, the different headers. Lines
+    are not moved to their headers, these go to the lines (up to
+    MAX_BROADCAST_FILES files)."""
+    text = _csv_text(spark, path)
+    headers = csv_headers(text)
+    found = headers.groupBy("header").agg(F.count(F.lit(1)).alias("n")).limit(MAX_HEADERS + 1).collect()
+    heads = [r["header"] for r in found]
+    few = len(heads) <= MAX_HEADERS and sum(r["n"] for r in found) <= MAX_BROADCAST_FILES
+    lines = text.join(F.broadcast(headers) if few else headers, "file").filter((F.trim("line") != "") & (_bare("line") != F.col("header"))).select("file", "header", "line")
+    if len(heads) > MAX_HEADERS:  # those of files without data lines don't count
+        heads = [r[0] for r in lines.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
+    if len(heads) > MAX_HEADERS:
+        raise ValueError(f"{path} has more than {MAX_HEADERS} different headers: not one feed")
+    return lines, heads
 
 
 def _csv_columns(header: str) -> list[str]:
@@ -45,28 +71,36 @@ def _csv_columns(header: str) -> list[str]:
     return [n if n and n not in names[:i] else f"_unused_{i}" for i, n in enumerate(names)]
 
 
-def parse_snapshot_csv(spark: SparkSession, path: str) -> DataFrame:
-    """file, line, bad, row: each line read under its own file's header into
-    the feed's columns. Columns are matched by name, so files may order them
-    differently, lack some (null) or bring others (ignored). ``bad`` marks lines
-    with too few or too many fields, or with a value that is not of its
-    column's type; such a value is null in ``row``."""
-    lines = csv_lines(spark, path)
-    heads = [r[0] for r in lines.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
-    if len(heads) > MAX_HEADERS:
-        raise ValueError(f"{path} has more than {MAX_HEADERS} different headers: not one feed")
+def _of_feed(known: Collection[str]) -> Callable[[Column], Column]:
+    """bad, row: from a parsed line, as a lambda that names it, so that the line
+    is parsed once however many columns are taken of it."""
+    return lambda got: F.struct(
+        got.getField("_corrupt").isNotNull().alias("bad"),
+        F.struct(*[(got.getField(f.name) if f.name in known else F.lit(None).cast(f.dataType)).alias(f.name) for f in schemas.STATION_CSV.fields]).alias("row"))
+
+
+def _parse_lines(lines: DataFrame, heads: list[str]) -> DataFrame:
+    """The frame of :func:`parse_snapshot_csv` from those of :func:`csv_lines`."""
     fields = schemas.STATION_CSV.fields
-    empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
-    row, bad = empty, F.lit(False)
+    parsed = F.lit(None)
     for h in heads:  # one expression per header, not per file
         names = _csv_columns(h)
         known = {f.name: f for f in fields if f.name in names}
         kind = T.StructType([known.get(n, T.StructField(n, T.StringType())) for n in names] + [T.StructField("_corrupt", T.StringType())])
         got = F.from_csv("line", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind.fields), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-        mine = F.col("header") == h
-        row = F.when(mine, F.struct(*[(got.getField(f.name) if f.name in known else F.lit(None).cast(f.dataType)).alias(f.name) for f in fields])).otherwise(row)
-        bad = F.when(mine, got.getField("_corrupt").isNotNull()).otherwise(bad)
-    return lines.select("file", "line", "header", bad.alias("bad"), row.alias("row"))
+        parsed = F.when(F.col("header") == h, F.transform(F.array(got), _of_feed(known))[0]).otherwise(parsed)
+    if not heads:
+        parsed = F.struct(F.lit(False).alias("bad"), F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]).alias("row"))
+    return lines.select("file", "line", "header", parsed.alias("_p")).select("file", "line", "header", F.col("_p.bad").alias("bad"), F.col("_p.row").alias("row"))
+
+
+def parse_snapshot_csv(spark: SparkSession, path: str) -> DataFrame:
+    """file, line, bad, row: each line read under its own file's header into
+    the feed's columns. Columns are matched by name, so files may order them
+    differently, lack some (null) or bring others (ignored). ``bad`` marks lines
+    with too few or too many fields, or with a value that is not of its
+    column's type; such a value is null in ``row``."""
+    return _parse_lines(*csv_lines(spark, path))
 
 
 def read_snapshot_csv(spark: SparkSession, path: str, pulled_at=None) -> DataFrame:
@@ -75,13 +109,13 @@ def read_snapshot_csv(spark: SparkSession, path: str, pulled_at=None) -> DataFra
     files have different headers (:func:`parse_snapshot_csv`). The feed carries
     no pull time: ``pulled_at`` (an instant) stamps every row that has none of
     its own; without it every file must have an ``extraction_ts`` column."""
-    parsed = parse_snapshot_csv(spark, path)
-    if pulled_at is None:
-        bare = parsed.select("file", "header").distinct().filter(~F.array_contains(F.transform(F.split("header", ","), lambda c: F.trim(F.replace(c, F.lit('"')))), "extraction_ts"))
-        lacks = bare.select("file").first()
+    lines, heads = csv_lines(spark, path)
+    timeless = [h for h in heads if "extraction_ts" not in [c.replace('"', "").strip(" ") for c in h.split(",")]]
+    if pulled_at is None and timeless:  # else no line has to be read for it
+        lacks = lines.filter(F.col("header").isin(timeless)).select("file").first()
         if lacks is not None:
             raise ValueError(f"{lacks['file']} has no extraction_ts column: pass pulled_at, the time of the pull")
-    df = parsed.select("row.*")
+    df = _parse_lines(lines, heads).select("row.*")
     if pulled_at is None:
         return normalize_snapshot_ts(df)
     stamp = F.lit(pulled_at).cast("timestamp")

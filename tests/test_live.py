@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from dockcast import schemas
 from dockcast.operators import serve
 from dockcast.plans.snapshot import clean_snapshot, reprocess_range
+from dockcast.session import plan_text
 from dockcast.sources import files, readers, sinks, sync
 from dockcast.streaming import streams
 
@@ -124,6 +125,17 @@ def test_csv_folder_of_differing_headers(spark, tmp_path):
     assert readers.read_snapshot_csv(spark, str(tmp_path), pulled_at=T0).filter("id = 4").first().extraction_ts == T0
 
 
+def test_csv_lines_are_parsed_once_and_stay_in_place(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("﻿id,full,extraction_ts\n" + "".join(f"{i},5,2024-04-17 01:00:00\n" for i in range(40)) + "﻿id,full,extraction_ts\n")
+    (tmp_path / "b.csv").write_text("full,id,extraction_ts\n\n" + "".join(f"6,{i},2024-04-17 01:00:00\n" for i in range(40, 60)))
+    (tmp_path / "c.csv").write_text("full,id\n")  # no line lacks its time
+    back = readers.read_snapshot_csv(spark, str(tmp_path))
+    assert {(r.id, r.full) for r in back.collect()} == {(i, 5 if i < 40 else 6) for i in range(60)}
+    plan = plan_text(back, "extended").split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")
+    assert plan[0].count("from_csv(") + plan[0].count("csvtostructs(") == 3  # one for each header, whatever is taken of a line
+    assert "SortMergeJoin" not in plan[1] and "SortAggregate" not in plan[1]
+
+
 def test_sync_copies_newest_first_and_once(spark, tmp_path):
     remote, layer = str(tmp_path / "remote"), str(tmp_path / "layer")
     schema = "id long, extraction_ts timestamp"
