@@ -57,7 +57,7 @@ def q_stream_occupancy_closed(spark, sf_dir):
 
     def run():
         stream = streams.read_stream(spark, src, e.schema)
-        streams.to_files(streams.stream_occupancy_window(stream, "user_id", "ts", "value"), out, ck).start().awaitTermination()
+        streams.to_files(streams.stream_occupancy_window(stream, "user_id", "ts", "value", append=True), out, ck).start().awaitTermination()
     delivered(e, _event_delivery(), src, run)
     return spark.read.parquet(out).select("user_id", F.col("w").cast("timestamp_ntz").alias("w"), F.round("v", 6).alias("v"))
 

@@ -47,15 +47,132 @@ def occupancy_windows(df: DataFrame, key: str, ts: str, value: str, *, length: s
 
 
 def stream_occupancy_window(stream: DataFrame, key: str, ts: str, value: str, *, delay: str = "8 days",
-                            length: str = "120 minutes", slide: str = "10 minutes") -> DataFrame:
+                            length: str = "120 minutes", slide: str = "10 minutes", append: bool = False) -> DataFrame:
     """Streaming twin: watermark on event time, windows emitted (append
-    mode) once the watermark passes their end."""
+    mode) once the watermark passes their end. With ``append``, for append mode
+    only, the state holds sums per pane of ``slide`` instead of per window
+    (:func:`closed_windows`): as many times less as a window has panes."""
+    if append:
+        return closed_windows(stream, key, ts, value, delay=delay, length=length, slide=slide)
     s = as_event_time(stream, ts).withWatermark(ts, delay)
     return (s.groupBy(col(key), F.window(col(ts), length, slide).alias("_w"))
              .agg(F.avg(col(value)).alias("v"))
              .select(key, F.col("_w.start").alias("w"), F.col("_w.end").alias("w_end"), "v"))
 
 
+STATE_BUCKETS = 1024  # fixed: the state of a checkpoint is kept by bucket
+
+
+def _micros(spark: SparkSession, *intervals: str) -> list[int]:
+    zero = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    return list(spark.sql("SELECT " + ", ".join(f"timestampdiff(MICROSECOND, {zero}, {zero} + INTERVAL '{i}')" for i in intervals)).first())
+
+
+def closed_windows(stream: DataFrame, key: str, ts: str, value: str, *, delay: str = "8 days",
+                   length: str = "120 minutes", slide: str = "10 minutes") -> DataFrame:
+    """key, w, w_end, v (double): the sliding means that the watermark has
+    closed, for append mode. ``length`` must be a multiple of ``slide``.
+
+    The state is one table of (key, pane, sum, count) for each of STATE_BUCKETS
+    hash buckets of the keys. A batch first emits the windows that its
+    watermark has newly passed, then adds its rows: a row counts in the
+    windows that are still open at the watermark of its batch. A pane goes when its last
+    window is closed. Spark itself drops a late row only if none of its windows
+    is open, so the watermark it keeps lies ``length`` further back; a bucket
+    whose next window closes is called by its event-time timeout."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+    wait, long, step = _micros(stream.sparkSession, delay, length, slide)
+    if step <= 0 or long % step or step % 1000:
+        raise ValueError(f"{length} must be a multiple of {slide}, both in whole milliseconds")
+    s = as_event_time(stream, ts)
+    kind = s.schema[key].dataType
+    plain = "long" if kind.typeName() in ("byte", "short", "integer", "long") else "string"
+    number, micros = col(value).cast("double"), F.unix_micros(col(ts))
+    rows = s.filter(col(ts).isNotNull()).withWatermark(ts, f"{(wait + long) // 1000} milliseconds").select(
+        F.when(col(key).isNull(), -1).otherwise(F.pmod(F.xxhash64(col(key)), F.lit(STATE_BUCKETS))).cast("int").alias("_b"), col(ts).alias("_ts"),
+        F.coalesce(col(key).cast(plain), F.lit(0 if plain == "long" else "")).alias("_k"),
+        F.floor((micros - F.pmod(micros, F.lit(step))) / step).cast("long").alias("_p"),
+        F.coalesce(number, F.lit(0.0)).alias("_s"), number.isNotNull().cast("long").alias("_n"))
+    found = rows.groupBy("_b").applyInPandasWithState(
+        _pane_state(plain, long // step, step // 1000), f"_b int, _k {plain}, _w long, _s double, _n long", "done long, panes binary", "append", GroupStateTimeout.EventTimeTimeout)
+    return found.select(F.when(F.col("_b") >= 0, F.col("_k")).cast(kind).alias(key),
+                        F.timestamp_micros(F.col("_w") * step).alias("w"), F.timestamp_micros(F.col("_w") * step + long).alias("w_end"),
+                        (F.col("_s") / F.nullif(F.col("_n"), F.lit(0).cast("long"))).alias("v"))
+
+
+def _pane_state(plain: str, panes: int, step_ms: int):
+    """The function of a bucket (:func:`closed_windows`): times are counted in
+    steps of the windows, a window of start w closes at w + ``panes``. It holds
+    all it needs, so it runs where the package is not installed."""
+    at_once = 100_000
+
+    def combined(tables):
+        import pyarrow as pa
+        t = pa.concat_tables(tables).group_by(["_k", "_p"]).aggregate([("_s", "sum"), ("_n", "sum")])
+        return t.select(["_k", "_p", "_s_sum", "_n_sum"]).rename_columns(["_k", "_p", "_s", "_n"])
+
+    def windows(t, done: int, now: int):
+        """Frames of the windows that close after ``done`` and up to ``now``; ``t`` is sorted."""
+        import numpy as np
+        import pandas as pd
+        codes = t["_k"].combine_chunks().dictionary_encode()
+        keys, code = codes.dictionary, codes.indices.to_numpy(zero_copy_only=False).astype("int64")
+        p, s, n = (t[c].to_numpy() for c in ("_p", "_s", "_n"))
+        new = np.flatnonzero(np.diff(code)) + 1  # a part ends where a key does
+        near = np.searchsorted(new, np.arange(at_once, len(code), at_once))
+        cuts = [0, *np.unique(new[near[near < len(new)]]), len(code)]
+        for a, b in zip(cuts, cuts[1:]):
+            w = np.concatenate([p[a:b] - j for j in range(panes)])
+            i = np.tile(np.arange(a, b), panes)
+            closes = (w + panes > done) & (w + panes <= now)
+            w, i = w[closes], i[closes]
+            if not len(w):
+                continue
+            low = w.min()
+            place = code[i] * (w.max() - low + 1) + (w - low)
+            order = np.argsort(place, kind="stable")
+            place, w, i = place[order], w[order], i[order]
+            first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+            yield pd.DataFrame({"_k": keys.take(code[i[first]]).to_pandas(), "_w": w[first], "_s": np.add.reduceat(s[i], first), "_n": np.add.reduceat(n[i], first)})
+
+    def bucket(key, frames, state):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        back = state.getCurrentWatermarkMs()
+        now = (back // step_ms) + panes if back > 0 else 0  # in whole steps: all windows end at one
+        held = None
+        if state.exists:
+            done, blob = state.get
+            held = pa.ipc.open_stream(blob).read_all()
+            if now > done:
+                for out in windows(held, done, now):
+                    out.insert(0, "_b", key[0])
+                    yield out
+                held = held.filter(pc.greater(held["_p"], now - panes))
+        parts = [] if held is None else [held]
+        kinds = pa.schema([("_k", pa.int64() if plain == "long" else pa.string()), ("_p", pa.int64()), ("_s", pa.float64()), ("_n", pa.int64())])
+        for f in frames:
+            if f.empty:  # a bucket called by its timeout
+                continue
+            t = pa.Table.from_pandas(f[kinds.names], schema=kinds, preserve_index=False)
+            parts.append(t.filter(pc.greater(t["_p"], now - panes)))
+            if sum(len(x) for x in parts[1:]) > 10 * at_once:
+                parts = [combined(parts)]
+        held = combined(parts).sort_by([("_k", "ascending"), ("_p", "ascending")]) if parts else None
+        if held is None or not len(held):
+            if state.exists:
+                state.remove()
+            return
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held.schema) as w:
+            w.write_table(held)
+        state.update((int(now), sink.getvalue().to_pybytes()))
+        closes = max(int(np.min(held["_p"].to_numpy())), now) + 1  # the next end of a window
+        state.setTimeoutTimestamp(max(1, back, (closes - panes) * step_ms - 1))
+    return bucket
+
+
 def stream_staleness(stream: DataFrame, ts: str, subset: list[str], delay: str = "8 days") -> DataFrame:
     """Rows later than the watermark are dropped; exact duplicates on
     ``subset`` are dropped while the watermark keeps their state."""

@@ -1,6 +1,7 @@
 """Streams that stop and go on, and stored layers, on small folders."""
 
 import os
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -111,6 +112,45 @@ def test_status_log_is_merged_and_pruned(spark, tmp_path):
     assert len(files.folders(spark, f"{out}/state", "v")) <= 2 and len(files.folders(spark, f"{out}/log", "n")) <= 4
 
 
+def test_closed_windows_keep_panes_not_windows(spark, tmp_path):
+    schema = "k string, ts timestamp, v double"
+    rng = random.Random(5)
+    day = timedelta(days=1)
+    sent = []
+    for d in range(4):  # each delivery brings late rows, some around the watermark of the one before
+        times = [T0 + d * day + timedelta(seconds=rng.randrange(86400)) for _ in range(60)]
+        if d:
+            times += [T0 + (d - 1) * day + timedelta(minutes=rng.randrange(-200, 200), seconds=rng.choice([0, 0, 7])) for _ in range(60)]
+        sent.append([(rng.choice(["a", "b", "", None]), t, rng.choice([None, 1.5, 2.0, float(d)])) for t in times] + [(None, None, 1.0), ("a", T0 + d * day + day, None)])
+
+    def closed(name, **kw):
+        src, out, ck = (str(tmp_path / f"{name}-{x}") for x in ("src", "out", "ck"))
+        for rows in sent:
+            land(spark, src, rows, schema)
+            s = streams.stream_occupancy_window(streams.read_stream(spark, src, schema), "k", "ts", "v", delay="1 day", **kw)
+            q = streams.to_files(s, out, ck).start()
+            q.awaitTermination()
+        rows = spark.read.parquet(out)
+        return rows.dtypes, sorted(map(repr, rows.select("k", "w", "w_end", F.round("v", 9)).collect())), q.lastProgress["stateOperators"][0]["numRowsTotal"]
+    kinds, want, held = closed("windows")
+    got_kinds, got, buckets = closed("panes", append=True)
+    assert got_kinds == kinds and got == want and len(want) > 1000
+    assert buckets <= 4 and held > 100 * buckets  # a row of state for each bucket of keys
+
+
+def test_closed_windows_of_whole_numbers(spark, tmp_path):
+    src, out, ck = (str(tmp_path / x) for x in ("src", "out", "ck"))
+    big = (1 << 60) + 1
+    rows = [(k, T0 + timedelta(minutes=m), 1.0) for k in (big, big + 1, None, -1) for m in (0, 9, 10)] + [(7, T0 + timedelta(hours=9), 1.0)]
+    land(spark, src, rows, "k long, ts timestamp, v double")
+    s = streams.stream_occupancy_window(streams.read_stream(spark, src, "k long, ts timestamp, v double"), "k", "ts", "v", delay="0 seconds", length="20 minutes", append=True)
+    streams.to_files(s, out, ck).start().awaitTermination()
+    got = {(r.k, (r.w - T0).total_seconds() / 60) for r in spark.read.parquet(out).collect()}
+    assert got == {(k, m) for k in (big, big + 1, None, -1) for m in (-10, 0, 10)}
+    with pytest.raises(ValueError, match="multiple"):
+        streams.stream_occupancy_window(streams.read_stream(spark, src, "k long, ts timestamp, v double"), "k", "ts", "v", length="25 minutes", append=True)
+
+
 def test_csv_folder_of_differing_headers(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,full,empty,updated_at,extraction_ts\n1,5,15,1713315600,2024-04-17 01:00:00\nx,5,15,1713315600,2024-04-17 01:00:00\n\n7,5\n")
     (tmp_path / "b.csv").write_text('﻿id,empty,full,"extraction_ts",updated_at,id,more\n1,15,5,2024-04-17 01:00:00,1713315600,99,"a,b"\n')
