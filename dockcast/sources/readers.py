@@ -39,11 +39,12 @@ def _bare(line: str) -> Column:
 def csv_headers(text: DataFrame) -> DataFrame:
     """file, header: the first line of each file. Its place is the least row
     number in the first block of the file, a hash aggregate over numbers; the
-    line is then taken from its place, so no texts are sorted. Both scans are
-    of one frame, whose files and splits, and so its row numbers, are the same."""
+    line is then taken from its place (one number per file is broadcast), so no
+    texts are sorted or moved. Both scans are of one frame, whose files and
+    splits, and so its row numbers, are the same."""
     rows = text.filter(F.col("block") == 0).select("file", "line", F.monotonically_increasing_id().alias("row"))
     places = rows.groupBy("file").agg(F.min("row").alias("row"))
-    return rows.join(places, ["file", "row"]).select("file", _bare("line").alias("header"))
+    return rows.join(F.broadcast(places.select("row")), "row").select("file", _bare("line").alias("header"))
 
 
 def csv_lines(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
